@@ -84,20 +84,29 @@ def billing_per_customer(
     customer_id: str,
     group_cols: Sequence[str],
     order_cols: Sequence[str],
-    scale: tuple[int, int] = (18, 2),
+    decimals: int = 2,
 ) -> DataFrame:
     """sum(quantity * list_price) as billing, sum(discount) as discount per customer.
 
-    Exact decimal sums (inputs cast to ``decimal(scale)``), returned as double.
+    Sums are exact: amounts are taken as whole numbers of 10^-decimals units
+    (cents by default) and summed as ``bigint`` (ANSI mode fails on overflow rather
+    than wrap), then scaled back to double once per output row.  This equals exact
+    decimal arithmetic for amounts with at most ``decimals`` places and keeps the
+    aggregation on fixed-width, code-generated long arithmetic.
+
     The plan aggregates eagerly: line items are summed per order before the join
     with orders, and per customer id before the join with customers, so the big
     shuffles carry partial sums instead of rows; a final group-by on the output
     columns keeps the result exact when several customer ids share a name.
     """
-    dec = f"decimal({scale[0]},{scale[1]})"
+    unit = 10 ** decimals
+
+    def units(c: str):
+        return F.round(F.col(c) * unit).cast("bigint")
+
     per_order = items.groupBy(F.col(item_order).alias("__oid")).agg(
-        F.sum(F.col(quantity).cast(dec) * F.col(list_price).cast(dec)).alias("__bill"),
-        F.sum(F.col(discount).cast(dec)).alias("__disc"),
+        F.sum(units(quantity) * units(list_price)).alias("__bill"),
+        F.sum(units(discount)).alias("__disc"),
     )
     o = orders.select(F.col(order_id).alias("__oid"), F.col(order_customer).alias("__cust"))
     per_customer = (
@@ -109,7 +118,10 @@ def billing_per_customer(
     out = (
         per_customer.join(cust, "__cust", "inner")
         .groupBy(*group_cols)
-        .agg(F.sum("__bill").cast("double").alias("billing"), F.sum("__disc").cast("double").alias("discount"))
+        .agg(
+            (F.sum("__bill").cast("double") / float(unit * unit)).alias("billing"),
+            (F.sum("__disc").cast("double") / float(unit)).alias("discount"),
+        )
     )
     return out.orderBy(*order_cols)
 
