@@ -86,4 +86,4 @@ def impact_class(fail_pct: Column, pass_pct: Column) -> Column:
 def bracket_list(text: Column, trim: bool = False) -> Column:
     """``'[a,b, c]'`` -> ``['a', 'b', ' c']`` (items keep blanks unless ``trim``)."""
     items = F.split(F.regexp_replace(text, r"[\[\]]", ""), ",")
-    return F.transform(items, F.trim) if trim else items
+    return F.transform(items, lambda x: F.trim(x)) if trim else items
