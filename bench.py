@@ -31,6 +31,7 @@ HEADLINE = [
     "merge_latest_per_key",
     "dq_report",
     "cdc_load_silver",
+    "cdc_load_collapsed",
     "load_log_full",
 ]
 

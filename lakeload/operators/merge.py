@@ -240,3 +240,39 @@ def update_step(target: DataFrame, source: DataFrame, keys: Sequence[str], flag:
     for source rows not flagged as deleted."""
     src = _flagged(source, target, flag).filter(~F.coalesce(F.col(_FLAG), F.lit(False)))
     return src.join(target.select(*keys), list(keys), "left_semi").select(*target.columns)
+
+
+def collapse_changes(
+    batches: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    mode: str = CDC,
+    flag: str = DELETE_FLAG,
+) -> DataFrame:
+    """Reduce several ordered CDC batches to one net change per key.
+
+    Merging the result once gives the same table as merging the batches one after
+    another (one table rewrite instead of one per batch), provided each batch holds
+    at most one row per key (``latest_per_key`` per batch ensures that):
+
+    * CDC: the net row carries the values of the key's last row and the flag of its
+      last row whose flag is not null (null when all are null).  A null flag only
+      updates an existing row, so it never changes whether the key exists.
+    * FULL: every batch replaces the key, so the last row (values and flag) decides.
+
+    ``order_by`` orders the batches (and rows inside them); rows with a null key are
+    passed through unchanged.  The reduction is an aggregation with map-side combine.
+    """
+    keys = list(keys)
+    order = F.struct(*[F.col(f"`{c}`") for c in order_by])
+    others = [c for c in batches.columns if c not in keys and c != flag]
+    fl = F.col(f"`{flag}`")
+    net_flag = F.max_by(fl, F.when(fl.isNotNull(), order)) if mode.upper() == CDC else F.max_by(fl, order)
+    net = (
+        batches.filter(all_not_null(keys))
+        .groupBy(*keys)
+        .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), order).alias("__last"), net_flag.alias("__flag"))
+        .select(*keys, *[F.col("__last")[c].alias(c) for c in others], F.col("__flag").alias(flag))
+        .select(*batches.columns)
+    )
+    return net.unionByName(batches.filter(~all_not_null(keys)))

@@ -17,7 +17,7 @@ from lakeload.functions import NUMBER_PATTERN
 from lakeload.operators import change_feed as cf
 from lakeload.operators import dq as dqmod
 from lakeload.operators import gold
-from lakeload.operators.merge import bootstrap_target, duplicate_keys, latest_per_key, merge
+from lakeload.operators.merge import bootstrap_target, collapse_changes, duplicate_keys, latest_per_key, merge
 from lakeload.operators.merge import delete_step, insert_step, update_step
 from lakeload.operators.project import cast_projection, filter_load_date, load_stamp
 from lakeload.plans import fixtures as fx
@@ -521,6 +521,22 @@ def merge_multi_batch(spark, sf):
     return table.read()
 
 
+@query("merge_collapsed_batches", ORACLE_SQL["merge_multi_batch"])
+def merge_collapsed_batches(spark, sf):
+    """The weekly batches of ``merge_multi_batch`` reduced to one net change per user
+    and merged once: one table rewrite instead of one per batch, same table."""
+    e = t(spark, sf, "events").select(
+        *EVENTS_BY_USER.fields, (F.col("event_type") == "error").alias("IsDeleted"),
+        F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias(EXECUTION_COL),
+    )
+    per_batch = latest_per_key(e, ["user_id", EXECUTION_COL], ["ts", "event_id"])
+    net = collapse_changes(per_batch, ["user_id"], [EXECUTION_COL, "ts", "event_id"]).drop(EXECUTION_COL)
+    first = per_batch.agg(F.min(EXECUTION_COL).alias("__first"))
+    # the table starts from the first batch (bootstrap), as the batch-by-batch job does
+    boot = per_batch.join(first, per_batch[EXECUTION_COL] == first["__first"], "left_semi").drop(EXECUTION_COL, "IsDeleted")
+    return merge(boot, net, ["user_id"], CDC).rows()
+
+
 @query(
     "cdc_read_counts",
     f"""WITH {fx.SQL_ORDERS_BATCH} SELECT count(*) FILTER (WHERE IsDeleted) AS num_read_deleted_regs,
@@ -605,6 +621,28 @@ def cdc_load_silver(spark, sf):
     return zones.silver_table(spark, fx.ORDERS_SPEC).read()
 
 
+@query("cdc_load_collapsed", SQL_MERGE_CDC)
+def cdc_load_collapsed(spark, sf):
+    """The CDC job with all pending executions merged as one net change."""
+    lake = work_dir(spark, "lake-cdc-net")
+    zones = jobs.Zones.under(lake)
+    jobs.write_executions(fx.orders_batch(spark, sf), f"{zones.raw}/orders", F.year("o_orderdate"))
+    zones.silver_table(spark, fx.ORDERS_SPEC).commit(fx.orders_before(spark, sf))
+    jobs.cdc_load(spark, [fx.ORDERS_SPEC], zones, processed_at=PROCESSED_AT, collapse=True).collect()
+    return zones.silver_table(spark, fx.ORDERS_SPEC).read()
+
+
+@query("stream_cdc_merge_collapsed", SQL_MERGE_CDC)
+def stream_cdc_merge_collapsed(spark, sf):
+    """The file stream with each micro-batch merged as one net change."""
+    root = _batch_executions(spark, sf)
+    table = VersionedTable(spark, f"{root}/silver/orders")
+    table.commit(fx.orders_before(spark, sf))
+    ledger = Ledger(spark, f"{root}/_ledger")
+    stream_cdc_apply(spark, f"{root}/orders", fx.ORDERS_SPEC, table, ledger, f"{root}/_checkpoint", collapse=True)
+    return table.read()
+
+
 @query(
     "load_log_cdc",
     f"""{PAIR} SELECT 'orders' AS TableName, 'Table Sucessfull Loaded' AS Status,

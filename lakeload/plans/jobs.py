@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.operators import dq as dqmod
-from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, merge, metric_columns
+from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, merge, metric_columns
 from lakeload.operators.project import cast_projection
 from lakeload.sinks import Ledger, VersionedTable, archive_batch, replace_table
 from lakeload.sources import EXECUTION_COL, list_dirs, path_exists, scan_executions
@@ -144,6 +144,24 @@ def apply_batch(
     return m
 
 
+def apply_collapsed(
+    spark: SparkSession, table: VersionedTable, spec: TableSpec, raw: str, folders: Sequence[str], flag: str = DELETE_FLAG
+) -> dict:
+    """Merge several execution folders as one net change (see ``collapse_changes``)."""
+    rows = scan_executions(spark, raw).withColumn(EXECUTION_COL, F.regexp_replace(EXECUTION_COL, r"^[^=]*=", ""))
+    wanted = [execution_name(f) for f in folders]
+    rows = rows.filter(F.col(EXECUTION_COL).isin(*wanted))
+    typed = cast_projection(rows, spec, keep=(flag, EXECUTION_COL))
+    if not table.exists():
+        first = typed.filter(F.col(EXECUTION_COL) == wanted[0]).drop(flag, EXECUTION_COL)
+        table.commit(first)
+    net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
+    result = merge(table.read(), net, spec.keys, spec.load_type, flag=flag)
+    version, m = commit_merge(table, result)
+    m["version"] = version
+    return m
+
+
 def cdc_load(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -151,11 +169,15 @@ def cdc_load(
     processed_at: str | None = None,
     archive: bool = True,
     with_read_counts: bool = False,
+    collapse: bool = False,
 ) -> DataFrame:
     """Apply every unprocessed execution folder of each table, in name order.
 
     The ledger makes re-runs idempotent (a batch is applied once); the log keeps
-    the counts of the last batch applied per table.
+    the counts of the last batch applied per table.  With ``collapse`` all pending
+    executions are reduced to one net change per key and merged in a single job
+    (one table rewrite instead of one per execution); the log then holds the net
+    counts of that merge.
     """
     processed_at = processed_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     ledger = Ledger(spark, f"{zones.meta}/ledger")
@@ -173,6 +195,19 @@ def cdc_load(
             table = zones.silver_table(spark, spec)
             last = {"num_inserted_rows": 0, "num_updated_rows": 0, "num_deleted_rows": 0}
             reads = (0, 0)
+            if collapse:
+                pending = [f for f in list_dirs(spark, raw) if execution_name(f) not in done]
+                if pending:
+                    last = apply_collapsed(spark, table, spec, raw, pending)
+                    ledger.record_many(
+                        spec.name, [execution_name(f) for f in pending], last["version"],
+                        last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"],
+                    )
+                    if archive:
+                        batch = spark.read.parquet(*[f"{raw}/{f}" for f in pending])
+                        archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)
+                log.append((spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"]) + (reads if with_read_counts else ()))
+                continue
             for folder in list_dirs(spark, raw):
                 ex = execution_name(folder)
                 if ex in done:

@@ -37,8 +37,12 @@ class Ledger:
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
     def record(self, table_name: str, execution_id: str, version: int, ins: int, upd: int, dele: int) -> None:
-        row = [(table_name, execution_id, int(version), int(ins), int(upd), int(dele))]
-        self.spark.createDataFrame(row, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.record_many(table_name, [execution_id], version, ins, upd, dele)
+
+    def record_many(self, table_name: str, execution_ids, version: int, ins: int, upd: int, dele: int) -> None:
+        """One append for several executions applied by the same table version."""
+        rows = [(table_name, ex, int(version), int(ins), int(upd), int(dele)) for ex in execution_ids]
+        self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def unprocessed(self, executions: DataFrame, table_name: str) -> DataFrame:
         """Rows of ``executions`` (with ``execution_id``) whose batch is not in the ledger."""

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from lakeload.plans.jobs import apply_batch, execution_name
+from lakeload.operators.merge import collapse_changes, merge
+from lakeload.operators.project import cast_projection
+from lakeload.plans.jobs import apply_batch, commit_merge, execution_name
 from lakeload.sinks import Ledger, VersionedTable
 from lakeload.sources import EXECUTION_COL
 from lakeload.specs import DELETE_FLAG, TableSpec
@@ -37,8 +39,13 @@ def stream_cdc_apply(
     checkpoint: str,
     flag: str = DELETE_FLAG,
     max_files_per_trigger: int | None = None,
+    collapse: bool = False,
 ) -> None:
-    """Apply every available CDC file to ``table`` and stop (``availableNow``)."""
+    """Apply every available CDC file to ``table`` and stop (``availableNow``).
+
+    With ``collapse`` the executions of a micro-batch are reduced to one net change
+    per key and merged in one job (one table rewrite per micro-batch).
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         done = {
@@ -46,9 +53,18 @@ def stream_cdc_apply(
             for r in ledger.read().filter(F.col("table_name") == spec.name).select(EXECUTION_COL).collect()
         }
         ids = sorted(r[EXECUTION_COL] for r in batch.select(EXECUTION_COL).distinct().collect())
+        ids = [ex for ex in ids if ex not in done]
+        if not ids:
+            return
+        if collapse:
+            typed = cast_projection(batch.filter(F.col(EXECUTION_COL).isin(*ids)), spec, keep=(flag, EXECUTION_COL))
+            if not table.exists():
+                table.commit(typed.filter(F.col(EXECUTION_COL) == ids[0]).drop(flag, EXECUTION_COL))
+            net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
+            version, m = commit_merge(table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag))
+            ledger.record_many(spec.name, ids, version, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
+            return
         for ex in ids:
-            if ex in done:
-                continue
             part = batch.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL)
             m = apply_batch(spark, table, spec, part, flag=flag)
             ledger.record(spec.name, ex, m["version"], m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])

@@ -171,3 +171,30 @@ def test_orders_pair_counts(spark):
     assert upd + dele + keep == before
     assert ins + upd + dele + drop == batch
     assert res.rows().count() == keep + upd + ins
+
+
+# Collapsing ordered batches to a net change equals applying them one by one.
+
+from lakeload.operators.merge import collapse_changes  # noqa: E402
+
+ops = st.lists(st.tuples(keys, st.text("pq", min_size=1, max_size=2), flags), max_size=6)
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    target=st.dictionaries(keys, st.text("abc", min_size=1, max_size=2), max_size=4),
+    batches=st.lists(ops, min_size=1, max_size=3),
+    mode=st.sampled_from(["CDC", "FULL"]),
+)
+def test_collapse_equals_fold(spark, target, batches, mode):
+    # at most one row per key per batch (the contract of collapse_changes)
+    batches = [list({k: (k, v, f) for k, v, f in b}.values()) for b in batches]
+    state = sorted(target.items())
+    for b in batches:
+        state = model(state, b, mode)
+    rows_ = [(k, v, f, i) for i, b in enumerate(batches) for k, v, f in b]
+    all_batches = spark.createDataFrame(rows_, "id int, v string, IsDeleted boolean, b int")
+    net = collapse_changes(all_batches, ["id"], ["b"], mode).drop("b")
+    t = spark.createDataFrame(list(target.items()), T_SCHEMA)
+    got = rows(merge(t, net, ["id"], mode, small_source=True).rows())
+    assert got == state
