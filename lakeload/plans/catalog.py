@@ -1007,3 +1007,71 @@ def stream_cdc_merge(spark, sf):
     ledger = Ledger(spark, f"{root}/_ledger")
     stream_cdc_apply(spark, f"{root}/orders", fx.ORDERS_SPEC, table, ledger, f"{root}/_checkpoint", max_files_per_trigger=4)
     return table.read()
+
+
+# ---------------------------------------------------------------------------
+# M7. end-to-end run over the catalog
+# ---------------------------------------------------------------------------
+
+E2E_SPECS = [fx.ORDERS_SPEC, fx.CUSTOMER_SPEC, fx.PART_SPEC, fx.SUPPLIER_SPEC, fx.LINEITEM_SPEC]
+
+
+def _e2e(spark, sf):
+    lake = work_dir(spark, "lake-e2e")
+    zones = jobs.Zones.under(lake)
+    jobs.write_executions(t(spark, sf, "orders"), f"{zones.raw}/orders", F.year("o_orderdate"))
+    for name in ("customer", "part", "supplier", "lineitem"):
+        jobs.write_executions(t(spark, sf, name), f"{zones.raw}/{name}", F.lit("0001"))
+    dbs = {"raw": "lakeload_raw", "silver": "lakeload_silver_e2e", "gold": "lakeload_gold"}
+    log, report = jobs.run_full_pipeline(spark, E2E_SPECS, [GOLD_CANDIDATE, GOLD_STATUS], zones, rules(spark), AS_OF, dbs)
+    return log, report, dbs
+
+
+SQL_LAST_ORDERS = "(SELECT * FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders))"
+
+
+@query(
+    "end_to_end_full_load",
+    SQL_FULL_LOG
+    + """
+UNION ALL SELECT 'part', 'Table Sucessfull Loaded', count(*), count(*) FROM part
+UNION ALL SELECT 'supplier', 'Table Sucessfull Loaded', count(*), count(*) FROM supplier
+UNION ALL SELECT 'lineitem', 'Table Sucessfull Loaded', count(*), count(*) FROM lineitem
+UNION ALL SELECT 'candidate_by_campaign', 'Table Sucessfull Loaded', count(*), count(*) FROM ("""
+    + SQL_CANDIDATE
+    + """) c
+UNION ALL SELECT 'status_by_campaign', 'Table Sucessfull Loaded', count(*), count(*) FROM
+  (SELECT o_orderstatus FROM """
+    + SQL_LAST_ORDERS
+    + """ o GROUP BY o_orderstatus) s""",
+)
+def end_to_end_full_load(spark, sf):
+    """Databases, silver full load (catalog tables), data quality, gold: the log."""
+    return _e2e(spark, sf)[0]
+
+
+@query(
+    "catalog_table_exists",
+    """SELECT 'orders' AS TableName, true AS table_exists, count(*) AS regs FROM """
+    + SQL_LAST_ORDERS
+    + """ o
+UNION ALL SELECT 'customer', true, count(*) FROM customer
+UNION ALL SELECT 'part', true, count(*) FROM part
+UNION ALL SELECT 'supplier', true, count(*) FROM supplier
+UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
+UNION ALL SELECT 'account', false, CAST(0 AS BIGINT)""",
+)
+def catalog_table_exists(spark, sf):
+    """Existence (catalog lookup) and row count of each configured silver table."""
+    _, _, dbs = _e2e(spark, sf)
+    db = dbs["silver"]
+    parts = []
+    for name in [s.name for s in E2E_SPECS] + ["account"]:
+        qn = f"{db}.{name}"
+        if spark.catalog.tableExists(qn):
+            parts.append(spark.table(qn).agg(F.lit(name).alias("TableName"), F.lit(True).alias("table_exists"), F.count(F.lit(1)).alias("regs")))
+        else:
+            parts.append(
+                spark.createDataFrame([(name, False, 0)], "TableName string, table_exists boolean, regs bigint")
+            )
+    return gold.union_all(parts)

@@ -358,3 +358,44 @@ def cdc_reconcile(batch: DataFrame, result: MergeResult, flag: str = DELETE_FLAG
         ).alias("ok_total"),
         (c("num_read_upsert_regs") == c("num_inserted_rows") + c("num_updated_rows")).alias("ok_upsert"),
     )
+
+
+# ---------------------------------------------------------------------------
+# End to end: databases -> silver -> data quality -> gold
+# ---------------------------------------------------------------------------
+
+
+def register_external(spark: SparkSession, qualified_name: str, path: str) -> None:
+    """(Re)register a parquet folder as a catalog table without rewriting it."""
+    spark.sql(f"DROP TABLE IF EXISTS {qualified_name}")
+    spark.sql(f"CREATE TABLE {qualified_name} USING parquet LOCATION '{path}'")
+
+
+def run_full_pipeline(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    golds: Sequence[GoldSpec],
+    zones: Zones,
+    rules: DataFrame,
+    as_of: str,
+    databases: Mapping[str, str],
+) -> tuple[DataFrame, DataFrame]:
+    """Create the zone databases, full-load silver, check it, build gold.
+
+    ``databases`` maps zone ('raw', 'silver', 'gold') to a database name.  Silver
+    tables are registered in the catalog over the files the load wrote; the data
+    quality sweep checks every configured table that exists there; gold builders
+    read the silver tables from the catalog.  Returns (load log, DQ report).
+    """
+    for zone, db in databases.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{getattr(zones, zone, zones.meta)}/_db_{db}'")
+    silver_db = databases["silver"]
+    log = full_load(spark, specs, zones)
+    for spec in specs:
+        path = f"{zones.silver}/{spec.name}/current"
+        if path_exists(spark, path):
+            register_external(spark, f"{silver_db}.{spec.name}", path)
+    present = {s.name: spark.table(f"{silver_db}.{s.name}") for s in specs if spark.catalog.tableExists(f"{silver_db}.{s.name}")}
+    report = dq_job(spark, present, rules, as_of)
+    gold_log = gold_full_load(spark, golds, present, zones)
+    return log.unionByName(gold_log), report
