@@ -50,16 +50,48 @@ def null_key_salt(keys: Iterable[str], spread_on: Iterable[str]) -> Column:
     return F.when(any_null(keys), spread).otherwise(F.lit(0)).cast("int")
 
 
-def cast_columns(fields: Mapping[str, str], lenient: bool = False) -> list[Column]:
+_WIDENING = {
+    "tinyint": {"smallint", "int", "bigint", "double", "float"},
+    "smallint": {"int", "bigint", "double", "float"},
+    "int": {"bigint", "double"},
+    "bigint": set(),
+    "float": {"double"},
+    "timestamp": {"date"},
+    "timestamp_ntz": {"date", "timestamp"},
+    "date": {"timestamp", "timestamp_ntz"},
+}
+
+
+def cast_cannot_fail(source: str | None, target: str) -> bool:
+    """True for casts that never reject a value (same type, widening, to string)."""
+    if source is None:
+        return False
+    src, dst = source.lower(), target.lower().replace("integer", "int").replace("long", "bigint")
+    return src == dst or dst == "string" or dst in _WIDENING.get(src, set())
+
+
+def cast_columns(
+    fields: Mapping[str, str], lenient: bool = False, source_types: Mapping[str, str] | None = None
+) -> list[Column]:
     """``cast(f as T) as f`` for each configured field, in configuration order.
 
-    ``lenient`` uses ``try_cast`` so that a bad value becomes null instead of failing
-    the job under ANSI mode.
+    ``lenient`` uses ``try_cast`` so that a bad value becomes null; strict mode fails
+    the job on such a value whatever the session's ANSI setting.  With
+    ``source_types`` (column -> type name), casts that cannot fail stay plain casts.
     """
     out = []
     for name, type_name in fields.items():
         c = F.col(f"`{name}`")
-        out.append((c.try_cast(type_name) if lenient else c.cast(type_name)).alias(name))
+        if cast_cannot_fail((source_types or {}).get(name), type_name):
+            out.append(c.cast(type_name).alias(name))
+            continue
+        converted = c.try_cast(type_name)
+        if not lenient:
+            # Strict whatever the session's ANSI setting: a value that does not
+            # convert fails the job instead of turning into null.
+            message = F.concat(F.lit(f"CAST_INVALID_INPUT: column {name} value '"), c.cast("string"), F.lit(f"' is not a valid {type_name}"))
+            converted = F.when(c.isNotNull() & converted.isNull(), F.raise_error(message)).otherwise(converted)
+        out.append(converted.alias(name))
     return out
 
 

@@ -20,7 +20,8 @@ def cast_projection(df: DataFrame, spec: TableSpec, lenient: bool = False, keep:
     Strict mode fails on a value that does not convert (ANSI); lenient mode turns it
     into null.  ``keep`` carries extra columns through unchanged (e.g. the op flag).
     """
-    return df.select(*cast_columns(spec.fields, lenient), *[F.col(f"`{c}`") for c in keep])
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return df.select(*cast_columns(spec.fields, lenient, types), *[F.col(f"`{c}`") for c in keep])
 
 
 def _as_date(as_of: str | _dt.date | None) -> Column:

@@ -1075,3 +1075,38 @@ def catalog_table_exists(spark, sf):
                 spark.createDataFrame([(name, False, 0)], "TableName string, table_exists boolean, regs bigint")
             )
     return gold.union_all(parts)
+
+
+# ---------------------------------------------------------------------------
+# Partition-scoped merge (rewrites only the partitions a batch touches)
+# ---------------------------------------------------------------------------
+
+
+def _partitioned_merge(spark, sf):
+    from lakeload.sinks.partitioned import merge_into_partitions
+
+    path = work_dir(spark, "partitioned")
+    year = F.year("o_orderdate").alias("o_year")
+    fx.orders_before(spark, sf).select("*", year).write.partitionBy("o_year").parquet(path)
+    batch = fx.orders_batch(spark, sf).select("*", year)
+    m = merge_into_partitions(spark, path, ["o_year"], batch, ["o_orderkey", "o_year"], CDC)
+    return path, m
+
+
+@query(
+    "merge_partition_scoped",
+    f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM ({SQL_MERGE_CDC}) m",
+)
+def merge_partition_scoped(spark, sf):
+    path, _ = _partitioned_merge(spark, sf)
+    return spark.read.parquet(path).select(*fx.ORDERS_SPEC.fields, "o_year")
+
+
+@query(
+    "merge_partition_scoped_metrics",
+    f"SELECT num_inserted_rows, num_updated_rows, num_deleted_rows FROM ({SQL_MERGE_CDC_METRICS}) m",
+)
+def merge_partition_scoped_metrics(spark, sf):
+    _, m = _partitioned_merge(spark, sf)
+    row = [(m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])]
+    return spark.createDataFrame(row, "num_inserted_rows bigint, num_updated_rows bigint, num_deleted_rows bigint")

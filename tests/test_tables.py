@@ -129,3 +129,18 @@ def test_catalog_table_exists(spark, tmp_root):
     save_table(fx.table(spark, SF001, "orders"), "lakeload_t.orders", f"{tmp_root}/orders")
     assert table_exists(spark, "lakeload_t.orders")
     assert replace_table(fx.table(spark, SF001, "orders"), f"{tmp_root}/copy") == fx.table(spark, SF001, "orders").count()
+
+
+def test_partition_scoped_merge(spark, tmp_root):
+    from lakeload.sinks.partitioned import merge_into_partitions
+
+    t = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 3)], "id int, v string, p int")
+    t.write.partitionBy("p").parquet(tmp_root)
+    batch = spark.createDataFrame(
+        [(1, "A", 1, False), (2, "B", 1, True), (3, "C", 2, True), (5, "E", 4, False)], "id int, v string, p int, IsDeleted boolean"
+    )
+    m = merge_into_partitions(spark, tmp_root, ["p"], batch, ["id", "p"])
+    got = sorted((r["id"], r["v"], r["p"]) for r in spark.read.parquet(tmp_root).collect())
+    assert got == [(1, "A", 1), (4, "d", 3), (5, "E", 4)]  # partition 2 emptied and removed, 3 untouched
+    assert (m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]) == (1, 1, 2)
+    assert not path_exists(spark, f"{tmp_root}/p=2")
