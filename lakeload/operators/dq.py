@@ -149,16 +149,22 @@ def _rule_metric(rule: Rule) -> tuple[Column, Column, Column]:
     return frac, frac, F.coalesce(frac == F.lit(1.0), F.lit(False))
 
 
-def _rules_for(rules: DataFrame, table_name: str) -> list[Rule]:
-    """Rules of one table, read on the driver (bounded configuration, not data)."""
-    rows = parse_rules(rules).filter(F.col("Table Name") == table_name).collect()
-    return [
-        Rule(
-            key=r["Key"], function=r["Rule Function"], attribute=r["attribute"], kind=r["rule_kind"],
-            condition=r["Condition"], value=r["Value"], values=tuple(r["list_values"] or ()),
+def collect_rules(rules: DataFrame) -> dict[str, list[Rule]]:
+    """All rules by table, read once on the driver (bounded configuration, not data)."""
+    out: dict[str, list[Rule]] = {}
+    for r in parse_rules(rules).collect():
+        out.setdefault(r["Table Name"], []).append(
+            Rule(
+                key=r["Key"], function=r["Rule Function"], attribute=r["attribute"], kind=r["rule_kind"],
+                condition=r["Condition"], value=r["Value"], values=tuple(r["list_values"] or ()),
+            )
         )
-        for r in rows
-    ]
+    return out
+
+
+def _rules_for(rules: DataFrame, table_name: str) -> list[Rule]:
+    """Rules of one table (see ``collect_rules``)."""
+    return collect_rules(rules.filter(F.col("Table Name") == table_name)).get(table_name, [])
 
 
 def _result_struct(key: Column, metric: Column, pass_frac: Column, holds: Column, total: Column) -> Column:
@@ -211,9 +217,12 @@ def _message(metric: Column, holds: Column) -> Column:
     return F.when(holds, F.lit("")).otherwise(F.coalesce(text, F.lit(MESSAGE_PREFIX + "null" + MESSAGE_SUFFIX)))
 
 
-def check_table(df: DataFrame, rules: DataFrame, table_name: str) -> DataFrame | None:
+def check_table(
+    df: DataFrame, rules: DataFrame, table_name: str, parsed: Sequence[Rule] | None = None
+) -> DataFrame | None:
     """Constraint results of one table joined to its rule rows; None without rules."""
-    parsed = _rules_for(rules, table_name)
+    if parsed is None:
+        parsed = _rules_for(rules, table_name)
     if not parsed:
         return None
     res = rule_metrics(df, parsed).select(

@@ -1110,3 +1110,47 @@ def merge_partition_scoped_metrics(spark, sf):
     _, m = _partitioned_merge(spark, sf)
     row = [(m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])]
     return spark.createDataFrame(row, "num_inserted_rows bigint, num_updated_rows bigint, num_deleted_rows bigint")
+
+
+# ---------------------------------------------------------------------------
+# M6. loader with rollback, L2. named SQL registry
+# ---------------------------------------------------------------------------
+
+
+@query(
+    "load_with_rollback",
+    f"SELECT {ORDERS_COLS}, DATE '{AS_OF}' AS ts_load, 4 AS table_version FROM orders",
+)
+def load_with_rollback(spark, sf):
+    """A good load (version 1); a load whose strict cast fails (its partial folder,
+    version 2, is never visible); a load committed as version 3 that fails its
+    validation gate: version 1 is re-committed as version 4."""
+    zones = jobs.Zones.under(work_dir(spark, "lake-rollback"))
+    jobs.write_executions(t(spark, sf, "orders"), f"{zones.raw}/orders", F.year("o_orderdate"))
+    jobs.load_with_rollback(spark, [fx.ORDERS_SPEC], zones, AS_OF).collect()
+    broken = TableSpec("orders", {**fx.ORDERS_SPEC.fields, "o_orderpriority": "int"}, keys=fx.ORDERS_SPEC.keys)
+    jobs.load_with_rollback(spark, [broken], zones, AS_OF).collect()
+
+    def only_final_orders(df):  # a gate this load fails: open orders are present
+        return df.filter(F.col("o_orderstatus") != "F").isEmpty()
+
+    log = jobs.load_with_rollback(spark, [fx.ORDERS_SPEC], zones, AS_OF, validate=only_final_orders).first()
+    table = zones.silver_table(spark, fx.ORDERS_SPEC)
+    return table.read().withColumn("table_version", F.lit(int(log["table_version"])))
+
+
+BILLING_SQL_TEXT = """
+SELECT c.c_name, c.c_mktsegment,
+       CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2)) * CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS billing,
+       CAST(sum(CAST(l.l_discount AS DECIMAL(18,2))) AS DOUBLE) AS discount
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY c.c_name, c.c_mktsegment ORDER BY c.c_name, c.c_mktsegment"""
+
+
+@query("named_sql_billing", SQL_BILLING)
+def named_sql_billing(spark, sf):
+    """The billing query as configured SQL text, run over temp views."""
+    from lakeload.plans.sql_registry import NamedQuery, run_named
+
+    q = NamedQuery("billing_for_each_customer", BILLING_SQL_TEXT, ("orders", "lineitem", "customer"))
+    return run_named(spark, q, _tables(spark, sf, "orders", "lineitem", "customer"))

@@ -67,7 +67,9 @@ class VersionedTable:
         ``metrics`` are aggregate expressions observed on ``df`` during the write
         (rows written is always included as ``rows``).
         """
-        version = (self.latest_version() or 0) + 1
+        # Skip folders of failed writes too (they hold no _SUCCESS but do exist).
+        taken = [int(n.split("=", 1)[1]) for n in list_dirs(self.spark, self.root) if n.startswith(f"{VERSION_COL}=")]
+        version = max(taken, default=0) + 1
         obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
         w = observed.write.mode("errorifexists")

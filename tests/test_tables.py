@@ -144,3 +144,14 @@ def test_partition_scoped_merge(spark, tmp_root):
     assert got == [(1, "A", 1), (4, "d", 3), (5, "E", 4)]  # partition 2 emptied and removed, 3 untouched
     assert (m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]) == (1, 1, 2)
     assert not path_exists(spark, f"{tmp_root}/p=2")
+
+
+def test_failed_write_does_not_block_next_version(spark, tmp_root):
+    table = VersionedTable(spark, tmp_root)
+    table.commit(spark.createDataFrame([(1, "a")], "id int, v string"))
+    bad = spark.createDataFrame([("x",)], "s string").select(F.col("s").cast("int").alias("id"))
+    with pytest.raises(Exception):
+        table.commit(bad.select(F.raise_error(F.lit("boom")).alias("id")))
+    v, _ = table.commit(spark.createDataFrame([(2, "b")], "id int, v string"))
+    assert table.latest_version() == v and table.read().first()["id"] == 2
+    assert table.restore(1) > v and table.read().first()["id"] == 1
