@@ -1,26 +1,76 @@
 """Proven size bounds before a broadcast.
 
-A side is broadcast only after a bounded job has shown that it holds at most
-``max_rows`` rows and about ``max_bytes`` of data.  The check reads at most
-``max_rows + 1`` rows, so it stays cheap when the side turns out to be large;
-beyond the bound the caller keeps the shuffle join.
+A side is broadcast only after it has been shown to hold at most ``max_rows`` rows
+and ``max_bytes`` of data:
+
+1. When the frame reads files, their total size (file-system metadata, no job) is
+   compared with the bound first: more bytes on disk than the bound means the frame
+   is not small, and no data is read at all.
+2. Otherwise one distributed aggregation (partial aggregates per task, a single
+   small row at the end — nothing funnels through one task) measures the exact row
+   count and data size.
+
+Beyond the bound the caller keeps the shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    ShortType,
+    StringType,
+)
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files the frame reads, or None when it reads no files."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def _width(field) -> F.Column:
+    t = field.dataType
+    c = F.col(f"`{field.name}`")
+    if isinstance(t, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(t, (BooleanType, ByteType)):
+        return F.lit(1)
+    if isinstance(t, ShortType):
+        return F.lit(2)
+    if isinstance(t, (IntegerType, DateType)):
+        return F.lit(4)
+    if isinstance(t, DecimalType):
+        return F.lit(8 if t.precision <= 18 else 16)
+    if t.simpleString() in ("bigint", "double", "float", "timestamp", "timestamp_ntz"):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
+
+
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) + F.lit(8) for f in df.schema.fields),
-        F.lit(0),
-    )
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    on_disk = input_bytes(df)
+    if on_disk is not None and on_disk > max_bytes:
+        return False
+    width = sum((_width(f) + F.lit(8) for f in df.schema.fields), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n, b = row["n"], row["b"] or 0
     return n <= max_rows and b <= max_bytes
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions import is_small
 from lakeload.operators import dq as dqmod
 from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, merge, metric_columns
 from lakeload.operators.project import cast_projection
@@ -156,7 +157,9 @@ def apply_collapsed(
         first = typed.filter(F.col(EXECUTION_COL) == wanted[0]).drop(flag, EXECUTION_COL)
         table.commit(first)
     net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
-    result = merge(table.read(), net, spec.keys, spec.load_type, flag=flag)
+    # The net change is never larger than the raw rows: bound it by the (cheaper,
+    # early-stopping) check on the raw batch instead of computing the collapse twice.
+    result = merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=is_small(typed))
     version, m = commit_merge(table, result)
     m["version"] = version
     return m

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from lakeload.functions import is_small
 from lakeload.operators.merge import collapse_changes, merge
 from lakeload.operators.project import cast_projection
 from lakeload.plans.jobs import apply_batch, commit_merge, execution_name
@@ -61,7 +62,8 @@ def stream_cdc_apply(
             if not table.exists():
                 table.commit(typed.filter(F.col(EXECUTION_COL) == ids[0]).drop(flag, EXECUTION_COL))
             net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
-            version, m = commit_merge(table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag))
+            small = is_small(typed)  # bounds the net change (never larger than the raw rows)
+            version, m = commit_merge(table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=small))
             ledger.record_many(spec.name, ids, version, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
             return
         for ex in ids:
