@@ -25,7 +25,7 @@ from lakeload.plans import jobs
 from lakeload.session import work_dir
 from lakeload.sinks import Ledger, VersionedTable, archive_batch, replace_table, save_table
 from lakeload.sinks.versioned import VERSION_COL
-from lakeload.sources import EXECUTION_COL, read_rules, scan_executions, scan_explicit_schema, scan_parquet
+from lakeload.sources import EXECUTION_COL, rules_from_local_csv, scan_executions, scan_explicit_schema, scan_parquet
 from lakeload.specs import CDC, FULL, GoldSpec, TableSpec
 from lakeload.streaming.cdc import stream_cdc_apply
 
@@ -812,7 +812,7 @@ def change_feed_counts(spark, sf):
 
 
 def rules(spark) -> DataFrame:
-    return read_rules(spark, RULES_PATH, "csv")
+    return rules_from_local_csv(spark, RULES_PATH)
 
 
 def dq_tables(spark, sf) -> dict[str, DataFrame]:

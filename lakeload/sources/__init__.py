@@ -6,6 +6,7 @@ from lakeload.sources.files import (
     list_dirs,
     path_exists,
     read_rules,
+    rules_from_local_csv,
     scan_executions,
     scan_explicit_schema,
     scan_parquet,
@@ -18,6 +19,7 @@ __all__ = [
     "list_dirs",
     "path_exists",
     "read_rules",
+    "rules_from_local_csv",
     "scan_executions",
     "scan_explicit_schema",
     "scan_parquet",

@@ -80,6 +80,28 @@ def table_exists(spark: SparkSession, qualified_name: str) -> bool:
     return spark.catalog.tableExists(qualified_name)
 
 
+def rules_from_local_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A rule table shipped with the code (a file only the driver sees).
+
+    Rules are a small, bounded configuration, so they are parsed on the driver and
+    handed to Spark as a DataFrame; empty fields are null, as with the CSV reader.
+    """
+    import csv
+
+    def value(field, text):
+        if text == "":
+            return None
+        return int(text) if field.dataType.simpleString() == "int" else text
+
+    with open(path, newline="", encoding="utf-8") as fh:
+        reader = csv.reader(fh)
+        header = next(reader)
+        if header != RULES_SCHEMA.fieldNames():
+            raise ValueError(f"unexpected rule columns {header}")
+        rows = [tuple(value(f, v) for f, v in zip(RULES_SCHEMA.fields, r)) for r in reader if r]
+    return spark.createDataFrame(rows, RULES_SCHEMA)
+
+
 def read_rules(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Rule table from a CSV (with header), JSON or parquet file, with the fixed schema."""
     reader = spark.read.schema(RULES_SCHEMA)

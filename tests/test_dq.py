@@ -100,3 +100,11 @@ def test_rules_for_table_filter(spark):
     rules = catalog.rules(spark)
     assert rules.filter(F.col("Table Name") == "orders").count() == 3
     assert rules.filter(F.col("Table Name") == "supplier").count() == 0
+
+
+def test_local_rules_equal_spark_csv_reader(spark):
+    from lakeload.sources import read_rules, rules_from_local_csv
+
+    a = sorted(map(tuple, rules_from_local_csv(spark, catalog.RULES_PATH).collect()), key=str)
+    b = sorted(map(tuple, read_rules(spark, catalog.RULES_PATH, "csv").collect()), key=str)
+    assert a == b
