@@ -118,12 +118,14 @@ def full_load(
 # ---------------------------------------------------------------------------
 
 
-def commit_merge(table: VersionedTable, result: MergeResult) -> tuple[int, dict]:
-    """Write the merged rows as the table's next version; metrics ride on the write."""
+def commit_merge(table: VersionedTable, result: MergeResult, batch_ids: Sequence[str] = ()) -> tuple[int, dict]:
+    """Write the merged rows as the table's next version; metrics ride on the write.
+
+    ``batch_ids`` are recorded with the version, atomically with its commit."""
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
     observed = result.tagged.observe(obs, *metric_columns())
     rows = observed.filter(F.col(ACTION).isin(*LIVE_ACTIONS)).select(*[F.col(f"`{c}`") for c in result.columns])
-    version, _ = table.commit(rows)
+    version, _ = table.commit(rows, batch_ids=batch_ids)
     return version, dict(obs.get)
 
 
@@ -134,13 +136,14 @@ def apply_batch(
     batch: DataFrame,
     small_source: bool | None = None,
     flag: str = DELETE_FLAG,
+    batch_ids: Sequence[str] = (),
 ) -> dict:
     """Bootstrap the table from the batch when it is missing, then merge the batch."""
     typed = cast_projection(batch, spec, keep=(flag,))
     if not table.exists():
         table.commit(typed.drop(flag))
     result = merge(table.read(), typed, spec.keys, spec.load_type, flag=flag, small_source=small_source)
-    version, m = commit_merge(table, result)
+    version, m = commit_merge(table, result, batch_ids)
     m["version"] = version
     return m
 
@@ -160,7 +163,7 @@ def apply_collapsed(
     # The net change is never larger than the raw rows: bound it by the (cheaper,
     # early-stopping) check on the raw batch instead of computing the collapse twice.
     result = merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=is_small(typed))
-    version, m = commit_merge(table, result)
+    version, m = commit_merge(table, result, wanted)
     m["version"] = version
     return m
 
@@ -191,11 +194,10 @@ def cdc_load(
             if not path_exists(spark, raw):
                 log.append((spec.name, STATUS_NO_DATA, 0, 0, 0) + ((0, 0) if with_read_counts else ()))
                 continue
-            done = {
-                r[EXECUTION_COL]
-                for r in ledger.read().filter(F.col("table_name") == spec.name).select(EXECUTION_COL).collect()
-            }
             table = zones.silver_table(spark, spec)
+            # Applied batches are recorded with the table versions themselves (atomic
+            # with the commit); the ledger is the readable log of the same facts.
+            done = table.applied_batches()
             last = {"num_inserted_rows": 0, "num_updated_rows": 0, "num_deleted_rows": 0}
             reads = (0, 0)
             if collapse:
@@ -222,7 +224,7 @@ def cdc_load(
                         F.count(F.when(F.col(DELETE_FLAG) == F.lit(False), 1)).alias("u"),
                     ).first()
                     reads = (int(r["d"]), int(r["u"]))
-                last = apply_batch(spark, table, spec, batch)
+                last = apply_batch(spark, table, spec, batch, batch_ids=[ex])
                 ledger.record(spec.name, ex, last["version"], last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
                 if archive:
                     archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)

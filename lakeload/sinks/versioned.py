@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lakeload.sources.files import _fs, list_dirs
 
 VERSION_COL = "version"
+_APPLIED = "_applied"
 
 
 class VersionedTable:
@@ -61,15 +62,32 @@ class VersionedTable:
         paths = [self._path(v) for v in self.versions()]
         return self.spark.read.option("basePath", self.root).parquet(*paths)
 
-    def commit(self, df: DataFrame, metrics: Sequence[Column] = ()) -> tuple[int, dict]:
+    def applied_batches(self) -> set[str]:
+        """Batch ids recorded with committed versions (see ``commit(batch_ids=...)``)."""
+        committed = self.versions()
+        root = f"{self.root}/{_APPLIED}"
+        if not committed or not list_dirs(self.spark, root):
+            return set()
+        df = self.spark.read.option("basePath", root).parquet(root)
+        rows = df.filter(F.col(VERSION_COL).isin(*committed)).select("batch_id").distinct().collect()
+        return {r["batch_id"] for r in rows}
+
+    def commit(
+        self, df: DataFrame, metrics: Sequence[Column] = (), batch_ids: Sequence[str] = ()
+    ) -> tuple[int, dict]:
         """Write ``df`` as the next version; return ``(version, observed metrics)``.
 
         ``metrics`` are aggregate expressions observed on ``df`` during the write
-        (rows written is always included as ``rows``).
+        (rows written is always included as ``rows``).  ``batch_ids`` are recorded
+        with the version *before* its data is written; they count as applied only
+        once the version is committed, so "applied" and "visible" change together.
         """
         # Skip folders of failed writes too (they hold no _SUCCESS but do exist).
         taken = [int(n.split("=", 1)[1]) for n in list_dirs(self.spark, self.root) if n.startswith(f"{VERSION_COL}=")]
         version = max(taken, default=0) + 1
+        if batch_ids:
+            ids = self.spark.createDataFrame([(str(b),) for b in batch_ids], "batch_id string")
+            ids.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{_APPLIED}/{VERSION_COL}={version}")
         obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
         w = observed.write.mode("errorifexists")

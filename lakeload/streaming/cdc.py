@@ -5,7 +5,9 @@ versioned table by ``foreachBatch``.  A micro-batch may hold files of several
 executions, so the batch is folded per execution id in order (as the batch job
 does).  The ledger entry written per applied execution makes a replayed
 micro-batch (after a failure between the table commit and the checkpoint
-commit) a no-op, so the sink is idempotent.
+commit) a no-op, so the sink is idempotent.  The applied execution ids are stored
+with each table version (committed by the same ``_SUCCESS`` marker), so even a
+failure between the table commit and the ledger append cannot re-apply a batch.
 """
 
 from __future__ import annotations
@@ -49,10 +51,7 @@ def stream_cdc_apply(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = {
-            r[EXECUTION_COL]
-            for r in ledger.read().filter(F.col("table_name") == spec.name).select(EXECUTION_COL).collect()
-        }
+        done = table.applied_batches()  # recorded atomically with each table version
         ids = sorted(r[EXECUTION_COL] for r in batch.select(EXECUTION_COL).distinct().collect())
         ids = [ex for ex in ids if ex not in done]
         if not ids:
@@ -63,12 +62,14 @@ def stream_cdc_apply(
                 table.commit(typed.filter(F.col(EXECUTION_COL) == ids[0]).drop(flag, EXECUTION_COL))
             net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
             small = is_small(typed)  # bounds the net change (never larger than the raw rows)
-            version, m = commit_merge(table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=small))
+            version, m = commit_merge(
+                table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=small), ids
+            )
             ledger.record_many(spec.name, ids, version, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
             return
         for ex in ids:
             part = batch.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL)
-            m = apply_batch(spark, table, spec, part, flag=flag)
+            m = apply_batch(spark, table, spec, part, flag=flag, batch_ids=[ex])
             ledger.record(spec.name, ex, m["version"], m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
 
     stream = cdc_stream(spark, source_dir, spec, flag)

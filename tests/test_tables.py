@@ -155,3 +155,14 @@ def test_failed_write_does_not_block_next_version(spark, tmp_root):
     v, _ = table.commit(spark.createDataFrame([(2, "b")], "id int, v string"))
     assert table.latest_version() == v and table.read().first()["id"] == 2
     assert table.restore(1) > v and table.read().first()["id"] == 1
+
+
+def test_applied_batches_commit_with_the_version(spark, tmp_root):
+    table = VersionedTable(spark, tmp_root)
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    table.commit(df, batch_ids=["e1", "e2"])
+    assert table.applied_batches() == {"e1", "e2"}
+    # a failed write records its ids first, but they never count
+    with pytest.raises(Exception):
+        table.commit(df.select(F.raise_error(F.lit("boom")).alias("id")), batch_ids=["e3"])
+    assert table.applied_batches() == {"e1", "e2"}
