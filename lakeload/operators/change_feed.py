@@ -3,10 +3,17 @@
 Rows are tagged ``insert``, ``delete``, ``update_preimage`` and ``update_postimage``
 (an update gives both images; a row whose values did not change gives nothing).
 
-Rows with a complete key are matched by one full outer join and turned into 0-2
-change rows by a single ``explode`` (one pass, no union of four scans).  Rows with
-a null key cannot be matched by key, so they are compared as whole rows with
-``exceptAll`` (a multiset difference) — they never take part in the keyed shuffle.
+Plan (each snapshot is read once; no join ever pairs rows up):
+
+1. ``before ∪ after`` is grouped by the whole row, counting how often the row
+   occurs on each side (map-side combine; identical rows collapse early).  Rows
+   with equal counts are unchanged and drop out; the rest are *removed* or *added*
+   with a multiplicity.
+2. The changed rows (usually a small fraction) are grouped by key: a key with
+   exactly one removed and one added row is an update (pre and post image);
+   anything else is reported as deletes and inserts.  Rows with a null key never
+   pair with anything, so they are deletes / inserts; they are spread over many
+   tasks by a salt instead of meeting in the task that owns ``hash(null)``.
 """
 
 from __future__ import annotations
@@ -16,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.functions import all_not_null, count_if
+from lakeload.functions import all_not_null, count_if, null_key_salt
 
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
@@ -25,32 +32,41 @@ INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_posti
 def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
     cols = list(before.columns)
-    values = [c for c in cols if c not in keys]
-    b = before.filter(all_not_null(keys)).select(*keys, F.struct(*values).alias("__b"), F.lit(True).alias("__in_b"))
-    a = after.select(*cols).filter(all_not_null(keys)).select(
-        *keys, F.struct(*values).alias("__a"), F.lit(True).alias("__in_a")
+    both = before.select(*cols, F.lit(1).alias("__inb"), F.lit(0).alias("__ina")).unionByName(
+        after.select(*cols, F.lit(0).alias("__inb"), F.lit(1).alias("__ina"))
     )
-    j = b.join(a, keys, "full_outer")
-    in_b, in_a = F.col("__in_b").isNotNull(), F.col("__in_a").isNotNull()
-    changed = in_b & in_a & ~F.col("__b").eqNullSafe(F.col("__a"))
-
-    def image(side: str, kind) -> F.Column:
-        return F.struct(*[F.col(side)[v].alias(v) for v in values], kind.alias(CHANGE_TYPE))
-
-    pre = F.when(in_b & ~in_a, image("__b", F.lit(DELETE))).when(changed, image("__b", F.lit(PRE)))
-    post = F.when(in_a & ~in_b, image("__a", F.lit(INSERT))).when(changed, image("__a", F.lit(POST)))
-    keyed = (
-        j.select(*keys, F.explode(F.array(pre, post)).alias("__c"))
-        .filter(F.col("__c").isNotNull())
-        .select(*keys, *[F.col("__c")[v].alias(v) for v in values], F.col("__c")[CHANGE_TYPE].alias(CHANGE_TYPE))
-        .select(*cols, CHANGE_TYPE)
+    rows = (
+        both.groupBy(*cols)
+        .agg(F.sum("__inb").alias("__nb"), F.sum("__ina").alias("__na"))
+        .filter(F.col("__nb") != F.col("__na"))
+        .select(
+            *cols,
+            F.greatest(F.col("__nb") - F.col("__na"), F.lit(0)).alias("__removed"),
+            F.greatest(F.col("__na") - F.col("__nb"), F.lit(0)).alias("__added"),
+        )
     )
-    nb = before.filter(~all_not_null(keys)).select(*cols)
-    na = after.filter(~all_not_null(keys)).select(*cols)
-    unkeyed = nb.exceptAll(na).withColumn(CHANGE_TYPE, F.lit(DELETE)).unionByName(
-        na.exceptAll(nb).withColumn(CHANGE_TYPE, F.lit(INSERT))
+    per_key = (
+        rows.filter(all_not_null(keys))
+        .groupBy(*keys)
+        .agg(F.sum("__removed").alias("__r"), F.sum("__added").alias("__s"))
+        .select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__r", "__s")
+        # 0 for every row (r, s >= 0); written so the optimizer keeps it a join key
+        .withColumn("__salt_k", F.when(F.col("__r") < 0, F.lit(-1)).otherwise(F.lit(0)))
     )
-    return keyed.unionByName(unkeyed)
+    salted = rows.withColumn("__salt", null_key_salt(keys, cols))
+    cond = None
+    for k in keys:
+        c = salted[k] == per_key[f"__k_{k}"]
+        cond = c if cond is None else cond & c
+    cond = cond & (salted["__salt"] == per_key["__salt_k"])
+    labelled = salted.join(per_key, cond, "left")
+    update = (F.col("__r") == 1) & (F.col("__s") == 1)
+    kind = (
+        F.when(F.col("__removed") > 0, F.when(update, F.lit(PRE)).otherwise(F.lit(DELETE)))
+        .otherwise(F.when(update, F.lit(POST)).otherwise(F.lit(INSERT)))
+    )
+    times = F.greatest(F.col("__removed"), F.col("__added")).cast("int")
+    return labelled.select(*cols, kind.alias(CHANGE_TYPE), F.explode(F.array_repeat(F.lit(1), times)).alias("__x")).drop("__x")
 
 
 def change_counts(feed: DataFrame) -> DataFrame:
@@ -65,7 +81,6 @@ def change_counts(feed: DataFrame) -> DataFrame:
 
 def apply_change_feed(before: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``before`` with the feed applied: the inverse of ``change_feed`` (for checks)."""
-    keys = list(keys)
     cols = list(before.columns)
     t = F.col(CHANGE_TYPE)
     removed = feed.filter(t.isin(DELETE, PRE)).select(*cols)

@@ -51,3 +51,15 @@ def test_size_check_has_no_global_limit(spark):
     assert is_small(df)
     assert not is_small(df, max_rows=10)
     assert not is_small(fx.table(spark, SF01, "lineitem"), max_bytes=1024)  # decided from file sizes, no job
+
+
+def test_null_key_salt_spreads_rows(spark):
+    from pyspark.sql import functions as F
+
+    from lakeload.functions import null_key_salt
+
+    df = spark.range(20000).select(F.lit(None).cast("int").alias("k"), F.col("id"))
+    salts = df.select(null_key_salt(["k"], ["k", "id"]).alias("s")).agg(F.min("s"), F.max("s"), F.countDistinct("s")).first()
+    assert salts[0] >= 1 and salts[1] <= 1024 and salts[2] > 900
+    keyed = spark.range(10).select(F.col("id").cast("int").alias("k"))
+    assert {r[0] for r in keyed.select(null_key_salt(["k"], ["k"])).collect()} == {0}

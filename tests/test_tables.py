@@ -166,3 +166,13 @@ def test_applied_batches_commit_with_the_version(spark, tmp_root):
     with pytest.raises(Exception):
         table.commit(df.select(F.raise_error(F.lit("boom")).alias("id")), batch_ids=["e3"])
     assert table.applied_batches() == {"e1", "e2"}
+
+
+def test_change_feed_duplicate_keys_never_pair(spark):
+    before = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x")], "id int, v string")
+    after = spark.createDataFrame([(1, "a"), (1, "c"), (1, "d"), (2, "y")], "id int, v string")
+    feed = cf.change_feed(before, after, ["id"])
+    got = sorted((r["id"], r["v"], r[cf.CHANGE_TYPE]) for r in feed.collect())
+    assert got == [(1, "b", "delete"), (1, "c", "insert"), (1, "d", "insert"), (2, "x", "update_preimage"), (2, "y", "update_postimage")]
+    rebuilt = cf.apply_change_feed(before, feed, ["id"])
+    assert sorted(map(tuple, rebuilt.collect())) == sorted(map(tuple, after.collect()))
