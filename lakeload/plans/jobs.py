@@ -118,14 +118,17 @@ def full_load(
 # ---------------------------------------------------------------------------
 
 
-def commit_merge(table: VersionedTable, result: MergeResult, batch_ids: Sequence[str] = ()) -> tuple[int, dict]:
+def commit_merge(
+    table: VersionedTable, result: MergeResult, batch_ids: Sequence[str] = (), base_version: int | None = None
+) -> tuple[int, dict]:
     """Write the merged rows as the table's next version; metrics ride on the write.
 
-    ``batch_ids`` are recorded with the version, atomically with its commit."""
+    ``batch_ids`` are recorded with the version, atomically with its commit;
+    ``base_version`` (the version the merge read) guards against a concurrent writer."""
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
     observed = result.tagged.observe(obs, *metric_columns())
     rows = observed.filter(F.col(ACTION).isin(*LIVE_ACTIONS)).select(*[F.col(f"`{c}`") for c in result.columns])
-    version, _ = table.commit(rows, batch_ids=batch_ids)
+    version, _ = table.commit(rows, batch_ids=batch_ids, base_version=base_version)
     return version, dict(obs.get)
 
 
@@ -142,8 +145,9 @@ def apply_batch(
     typed = cast_projection(batch, spec, keep=(flag,))
     if not table.exists():
         table.commit(typed.drop(flag))
-    result = merge(table.read(), typed, spec.keys, spec.load_type, flag=flag, small_source=small_source)
-    version, m = commit_merge(table, result, batch_ids)
+    base = table.latest_version()
+    result = merge(table.read(base), typed, spec.keys, spec.load_type, flag=flag, small_source=small_source)
+    version, m = commit_merge(table, result, batch_ids, base_version=base)
     m["version"] = version
     return m
 
@@ -162,8 +166,9 @@ def apply_collapsed(
     net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
     # The net change is never larger than the raw rows: bound it by the (cheaper,
     # early-stopping) check on the raw batch instead of computing the collapse twice.
-    result = merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=is_small(typed))
-    version, m = commit_merge(table, result, wanted)
+    base = table.latest_version()
+    result = merge(table.read(base), net, spec.keys, spec.load_type, flag=flag, small_source=is_small(typed))
+    version, m = commit_merge(table, result, wanted, base_version=base)
     m["version"] = version
     return m
 
@@ -284,8 +289,9 @@ def gold_cdc_load(
             if not table.exists():
                 raise FileNotFoundError(f"gold table {g.name} must exist before a CDC load")
             view = g.build(silver).withColumn(DELETE_FLAG, F.lit(False))
-            result = merge(table.read(), view, g.keys, g.load_type)
-            _, m = commit_merge(table, result)
+            base = table.latest_version()
+            result = merge(table.read(base), view, g.keys, g.load_type)
+            _, m = commit_merge(table, result, base_version=base)
             log.append((g.name, STATUS_LOADED, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]))
         except Exception:  # noqa: BLE001
             log.append((g.name, STATUS_ERROR, 0, 0, 0))

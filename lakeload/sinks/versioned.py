@@ -20,6 +20,10 @@ VERSION_COL = "version"
 _APPLIED = "_applied"
 
 
+class ConcurrentCommitError(RuntimeError):
+    """Another writer moved the table past the version a change was computed from."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
         self.spark = spark
@@ -73,7 +77,11 @@ class VersionedTable:
         return {r["batch_id"] for r in rows}
 
     def commit(
-        self, df: DataFrame, metrics: Sequence[Column] = (), batch_ids: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        metrics: Sequence[Column] = (),
+        batch_ids: Sequence[str] = (),
+        base_version: int | None = None,
     ) -> tuple[int, dict]:
         """Write ``df`` as the next version; return ``(version, observed metrics)``.
 
@@ -81,9 +89,16 @@ class VersionedTable:
         (rows written is always included as ``rows``).  ``batch_ids`` are recorded
         with the version *before* its data is written; they count as applied only
         once the version is committed, so "applied" and "visible" change together.
+        ``base_version`` is the version ``df`` was computed from: if another writer
+        has started or committed a newer version since, the commit is refused
+        (optimistic concurrency) instead of silently dropping that writer's changes.
         """
         # Skip folders of failed writes too (they hold no _SUCCESS but do exist).
         taken = [int(n.split("=", 1)[1]) for n in list_dirs(self.spark, self.root) if n.startswith(f"{VERSION_COL}=")]
+        if base_version is not None and any(v > base_version for v in taken):
+            raise ConcurrentCommitError(
+                f"{self.root}: version(s) {sorted(v for v in taken if v > base_version)} appeared after base {base_version}"
+            )
         version = max(taken, default=0) + 1
         if batch_ids:
             ids = self.spark.createDataFrame([(str(b),) for b in batch_ids], "batch_id string")

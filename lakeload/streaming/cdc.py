@@ -62,8 +62,9 @@ def stream_cdc_apply(
                 table.commit(typed.filter(F.col(EXECUTION_COL) == ids[0]).drop(flag, EXECUTION_COL))
             net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
             small = is_small(typed)  # bounds the net change (never larger than the raw rows)
+            base = table.latest_version()
             version, m = commit_merge(
-                table, merge(table.read(), net, spec.keys, spec.load_type, flag=flag, small_source=small), ids
+                table, merge(table.read(base), net, spec.keys, spec.load_type, flag=flag, small_source=small), ids, base
             )
             ledger.record_many(spec.name, ids, version, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
             return

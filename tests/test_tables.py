@@ -176,3 +176,14 @@ def test_change_feed_duplicate_keys_never_pair(spark):
     assert got == [(1, "b", "delete"), (1, "c", "insert"), (1, "d", "insert"), (2, "x", "update_preimage"), (2, "y", "update_postimage")]
     rebuilt = cf.apply_change_feed(before, feed, ["id"])
     assert sorted(map(tuple, rebuilt.collect())) == sorted(map(tuple, after.collect()))
+
+
+def test_concurrent_commit_is_refused(spark, tmp_root):
+    from lakeload.sinks.versioned import ConcurrentCommitError
+
+    table = VersionedTable(spark, tmp_root)
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    base, _ = table.commit(df)
+    table.commit(df)  # another writer got in first
+    with pytest.raises(ConcurrentCommitError):
+        table.commit(df, base_version=base)
