@@ -47,12 +47,11 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     event_log = os.environ.get("BENCH_EVENT_LOG")  # a scratch folder for stage / task times
+    extra = {}
     if event_log:
-        from pyspark.sql import SparkSession
-
         os.makedirs(event_log, exist_ok=True)
-        SparkSession.builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log}
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus), extra_conf=extra)
     names = sys.argv[1:] or HEADLINE
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):  # JVM / code-generation warm-up on the smallest tables

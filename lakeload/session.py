@@ -17,7 +17,9 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    master: str | None = None, shuffle_partitions: int | None = None, extra_conf: dict[str, str] | None = None
+) -> SparkSession:
     """Return the active session or build a local one with AQE switched on."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -35,6 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "16g")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
