@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str], mode: str):
-    w = df.write.mode(mode)
+    # A replace is a full replace even in sessions that default to dynamic overwrite.
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     cols = [c for c in partition_by if c]
     return w.partitionBy(*cols) if cols else w
 

@@ -187,3 +187,14 @@ def test_concurrent_commit_is_refused(spark, tmp_root):
     table.commit(df)  # another writer got in first
     with pytest.raises(ConcurrentCommitError):
         table.commit(df, base_version=base)
+
+
+def test_partitioned_replace_is_full_even_with_dynamic_default(spark, tmp_root):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, p string")
+        replace_table(a, tmp_root, ["p"])
+        replace_table(a.filter("p = 'x'"), tmp_root, ["p"])
+        assert sorted(r["id"] for r in spark.read.parquet(tmp_root).collect()) == [1]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
