@@ -50,8 +50,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        # Only when the cluster names no shared folder (local tests).
         root = tempfile.mkdtemp(prefix="lakeload-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        try:
+            spark.conf.set(_CHECKPOINT_KEY, root)
+        except Exception:  # noqa: BLE001 - some sessions refuse runtime core settings
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
