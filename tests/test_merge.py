@@ -198,3 +198,34 @@ def test_collapse_equals_fold(spark, target, batches, mode):
     t = spark.createDataFrame(list(target.items()), T_SCHEMA)
     got = rows(merge(t, net, ["id"], mode, small_source=True).rows())
     assert got == state
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    target=st.dictionaries(keys, st.text("abc", min_size=1, max_size=2), max_size=5),
+    source=st.dictionaries(keys, st.tuples(st.text("xyz", min_size=1, max_size=2), flags), max_size=5),
+)
+def test_cdc_reapply_is_idempotent(spark, target, source):
+    src = spark.createDataFrame([(k, v, f) for k, (v, f) in source.items()], S_SCHEMA)
+    t = spark.createDataFrame(list(target.items()), T_SCHEMA)
+    once = merge(t, src, ["id"], "CDC", small_source=True).rows()
+    once_rows = rows(once)
+    twice = merge(spark.createDataFrame(once_rows, T_SCHEMA), src, ["id"], "CDC", small_source=True).rows()
+    assert rows(twice) == once_rows
+
+
+from lakeload.operators import change_feed as cf  # noqa: E402
+
+maybe_keys = st.one_of(st.none(), st.integers(min_value=0, max_value=4))
+row_lists = st.lists(st.tuples(maybe_keys, st.sampled_from(["a", "b", "c"])), max_size=7)
+
+
+@settings(max_examples=12, deadline=None)
+@given(before=row_lists, after=row_lists)
+def test_change_feed_applies_back(spark, before, after):
+    b = spark.createDataFrame(before, T_SCHEMA)
+    a = spark.createDataFrame(after, T_SCHEMA)
+    feed = cf.change_feed(b, a, ["id"])
+    assert rows(cf.apply_change_feed(b, feed, ["id"])) == rows(a)
+    kinds = [r[cf.CHANGE_TYPE] for r in feed.collect()]
+    assert kinds.count(cf.PRE) == kinds.count(cf.POST)
