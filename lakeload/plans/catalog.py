@@ -514,10 +514,10 @@ def merge_multi_batch(spark, sf):
         F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias(EXECUTION_COL),
     )
     table = VersionedTable(spark, work_dir(spark, "multi-batch"))
-    ids = [r[0] for r in e.select(EXECUTION_COL).distinct().orderBy(EXECUTION_COL).collect()]
-    for ex in ids:
-        batch = latest_per_key(e.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL), ["user_id"], ["ts", "event_id"])
-        jobs.apply_batch(spark, table, EVENTS_BY_USER, batch)
+    # one aggregation dedupes every batch (latest event per user and week) ...
+    per_batch = latest_per_key(e, ["user_id", EXECUTION_COL], ["ts", "event_id"])
+    # ... then the batches are merged one after another, in week order
+    jobs.fold_batches(spark, table, EVENTS_BY_USER, per_batch)
     return table.read()
 
 

@@ -251,7 +251,8 @@ def fold_batches(
     ids = [r[EXECUTION_COL] for r in batches.select(EXECUTION_COL).distinct().orderBy(EXECUTION_COL).collect()]
     rows = []
     for ex in ids:
-        m = apply_batch(spark, table, spec, batches.filter(F.col(EXECUTION_COL) == ex), small_source)
+        batch = batches.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL)
+        m = apply_batch(spark, table, spec, batch, small_source, batch_ids=[ex])
         rows.append((ex, m["version"], m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]))
     return spark.createDataFrame(
         rows, f"{EXECUTION_COL} string, table_version bigint, num_inserted_rows bigint, num_updated_rows bigint, num_deleted_rows bigint"
