@@ -245,13 +245,19 @@ def fold_batches(
 ) -> DataFrame:
     """Apply a frame of CDC rows batch by batch, in ``execution_id`` order.
 
-    Each batch is one merge job whose result is written as a version, so the lineage
-    is cut after every batch.  Returns per-batch metrics as a DataFrame.
+    The frame is computed once and written below the shared checkpoint folder,
+    partitioned by execution id; each batch is then a read of one partition
+    folder (no recomputation of the frame per batch, lineage cut).  Each batch is
+    one merge whose result is written as a version.  Returns per-batch metrics.
     """
-    ids = [r[EXECUTION_COL] for r in batches.select(EXECUTION_COL).distinct().orderBy(EXECUTION_COL).collect()]
+    from lakeload.session import work_dir
+
+    staged = work_dir(spark, "fold")
+    batches.write.partitionBy(EXECUTION_COL).parquet(staged)
     rows = []
-    for ex in ids:
-        batch = batches.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL)
+    for folder in list_dirs(spark, staged):
+        ex = execution_name(folder)
+        batch = spark.read.parquet(f"{staged}/{folder}")
         m = apply_batch(spark, table, spec, batch, small_source, batch_ids=[ex])
         rows.append((ex, m["version"], m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]))
     return spark.createDataFrame(
