@@ -68,12 +68,26 @@ def execution_name(folder: str) -> str:
 # ---------------------------------------------------------------------------
 
 
-def execution_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per execution folder from one scan (no column is decoded for a count)."""
-    ex = scan_executions(spark, path).select(
-        F.regexp_replace(F.col(EXECUTION_COL), r"^[^=]*=", "").alias(EXECUTION_COL)
-    )
-    return ex.groupBy(EXECUTION_COL).agg(F.count(F.lit(1)).alias("rows"))
+def execution_counts(
+    spark: SparkSession, path: str, spec: TableSpec | None = None, lenient: bool = False
+) -> DataFrame:
+    """Rows per execution folder from one scan.
+
+    With ``spec`` every row goes through the table's cast projection first, so a
+    value that does not convert (strict mode) or a missing column fails this job:
+    each execution is validated as the reference's per-execution load would be.
+    Without it, no column is decoded for the count.
+    """
+    rows = scan_executions(spark, path)
+    if spec is not None:
+        rows = cast_projection(rows, spec, lenient, keep=(EXECUTION_COL,))
+    exec_id = F.regexp_replace(F.col(EXECUTION_COL), r"^[^=]*=", "").alias(EXECUTION_COL)
+    if spec is None:
+        return rows.select(exec_id).groupBy(EXECUTION_COL).agg(F.count(F.lit(1)).alias("rows"))
+    # Consume every cast column (a hash of them) so that column pruning cannot drop
+    # the casts, and with them the validation.
+    checked = rows.select(exec_id, F.hash(*[F.col(f"`{c}`") for c in spec.fields]).alias("__h"))
+    return checked.groupBy(EXECUTION_COL).agg(F.count(F.lit(1)).alias("rows"), F.max("__h").alias("__check"))
 
 
 def full_load(
@@ -82,8 +96,9 @@ def full_load(
     """Replace each silver table with its latest execution; log every execution.
 
     Executions replace one another, so only the last one (in name order) is
-    written; earlier executions are counted from the same scan and logged with
-    the rows they carry.
+    written.  First one job casts every execution (strict mode fails on a bad
+    value, as a per-execution load would) and counts its rows; if that fails the
+    table logs an error row and its silver table is left as it was.
     """
     log = []
     for spec in specs:
@@ -97,12 +112,12 @@ def full_load(
                 log.append((spec.name, STATUS_NO_DATA, 0, 0))
                 continue
             last = folders[-1]
+            counts = {r[EXECUTION_COL]: r["rows"] for r in execution_counts(spark, raw, spec, lenient).collect()}
             obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
             batch = spark.read.parquet(f"{raw}/{last}").observe(obs, F.count(F.lit(1)).alias("rows"))
             written = replace_table(
                 cast_projection(batch, spec, lenient), f"{zones.silver}/{spec.name}/current", spec.partition_by
             )
-            counts = {r[EXECUTION_COL]: r["rows"] for r in execution_counts(spark, raw).collect()}
             for folder in folders:
                 name = execution_name(folder)
                 n = int(obs.get["rows"]) if folder == last else int(counts.get(name, 0))

@@ -198,3 +198,17 @@ def test_partitioned_replace_is_full_even_with_dynamic_default(spark, tmp_root):
         assert sorted(r["id"] for r in spark.read.parquet(tmp_root).collect()) == [1]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_full_load_validates_every_execution(spark, tmp_root):
+    zones = jobs.Zones.under(tmp_root)
+    good = spark.createDataFrame([("1", "a")], "id string, v string")
+    bad = spark.createDataFrame([("x", "b")], "id string, v string")
+    good.write.parquet(f"{zones.raw}/t/exec=2")       # the last execution is fine
+    bad.write.parquet(f"{zones.raw}/t/exec=1")        # an earlier one holds a bad id
+    spec = TableSpec("t", {"id": "int", "v": "string"})
+    log = jobs.full_load(spark, [spec], zones).collect()
+    assert [(r["TableName"], r["Status"]) for r in log] == [("t", jobs.STATUS_ERROR)]
+    assert not path_exists(spark, f"{zones.silver}/t/current")
+    lenient = jobs.full_load(spark, [spec], zones, lenient=True).collect()
+    assert [r["Rows_Readed"] for r in lenient] == [1, 1]
