@@ -1154,3 +1154,29 @@ def named_sql_billing(spark, sf):
 
     q = NamedQuery("billing_for_each_customer", BILLING_SQL_TEXT, ("orders", "lineitem", "customer"))
     return run_named(spark, q, _tables(spark, sf, "orders", "lineitem", "customer"))
+
+
+ORDERS_BY_YEAR = TableSpec(
+    "orders",
+    {**fx.ORDERS_SPEC.fields, "o_year": "int"},
+    keys=("o_orderkey", "o_year"),
+    partition_by=("o_year",),
+    load_type=CDC,
+)
+
+
+@query(
+    "cdc_load_partitioned",
+    f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM ({SQL_MERGE_CDC}) m",
+)
+def cdc_load_partitioned(spark, sf):
+    """The CDC job on a table partitioned by order year: every execution rewrites
+    only the year partitions it touches."""
+    lake = work_dir(spark, "lake-cdc-part")
+    zones = jobs.Zones.under(lake)
+    year = F.year("o_orderdate").alias("o_year")
+    batch = fx.orders_batch(spark, sf).select("*", year)
+    jobs.write_executions(batch, f"{zones.raw}/orders", F.col("o_year"))
+    fx.orders_before(spark, sf).select("*", year).write.partitionBy("o_year").parquet(jobs.partitioned_path(zones, ORDERS_BY_YEAR))
+    jobs.cdc_load(spark, [ORDERS_BY_YEAR], zones, processed_at=PROCESSED_AT, layout="partitioned").collect()
+    return spark.read.parquet(jobs.partitioned_path(zones, ORDERS_BY_YEAR)).select(*ORDERS_BY_YEAR.fields)

@@ -229,3 +229,27 @@ def test_change_feed_applies_back(spark, before, after):
     assert rows(cf.apply_change_feed(b, feed, ["id"])) == rows(a)
     kinds = [r[cf.CHANGE_TYPE] for r in feed.collect()]
     assert kinds.count(cf.PRE) == kinds.count(cf.POST)
+
+
+def test_skewed_inputs_shuffle_plan(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # target: 3000 keyed rows + 1500 rows with a null key (a third of the table)
+        t = spark.range(3000).select(F.col("id").cast("int").alias("id"), F.lit("t").alias("v")).unionByName(
+            spark.range(1500).select(F.lit(None).cast("int").alias("id"), F.col("id").cast("string").alias("v"))
+        )
+        # source: one hot unmatched key holding a third of the rows, plus updates
+        s = spark.range(1000).select(F.lit(99999).alias("id"), F.col("id").cast("string").alias("v"), F.lit(False).alias("IsDeleted")).unionByName(
+            spark.range(2000).select(F.col("id").cast("int").alias("id"), F.lit("u").alias("v"), F.lit(False).alias("IsDeleted"))
+        )
+        res = merge(t, s, ["id"], "CDC", small_source=False)
+        m = res.metrics().first()
+        assert (m["num_inserted_rows"], m["num_updated_rows"], m["num_kept_rows"]) == (1000, 2000, 2500)
+        out = res.rows()
+        assert out.count() == 5500
+        assert out.filter(F.col("id").isNull()).count() == 1500
+        assert out.filter(F.col("id") == 99999).count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
