@@ -64,3 +64,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh, unique folder below the checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/lakeload/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings that keep shuffle and scan partitions at a size one task can hold.
+
+    The initial shuffle partition count is sized so that the largest shuffle (about
+    the input size) gives ``target_partition_bytes`` per partition, rounded up to a
+    multiple of the cluster's cores; AQE then coalesces small ones and splits skewed
+    ones.  Example: 100 TB on 1000 executors x 8 cores -> 409,600 initial shuffle
+    partitions of ~256 MB, scans split at 256 MB.
+    """
+    per_core_rounds = max(1, -(-input_bytes // (target_partition_bytes * max(total_cores, 1))))
+    partitions = max(total_cores, per_core_rounds * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+    }

@@ -63,3 +63,12 @@ def test_null_key_salt_spreads_rows(spark):
     assert salts[0] >= 1 and salts[1] <= 1024 and salts[2] > 900
     keyed = spark.range(10).select(F.col("id").cast("int").alias("k"))
     assert {r[0] for r in keyed.select(null_key_salt(["k"], ["k"])).collect()} == {0}
+
+
+def test_scale_conf_sizes_partitions():
+    from lakeload.session import scale_conf
+
+    c = scale_conf(100 * 1024**4, 8000)
+    n = int(c["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 100 * 1024**4 / n <= 256 * 1024**2
+    assert int(scale_conf(10 * 1024**2, 8)["spark.sql.shuffle.partitions"]) == 8
