@@ -72,7 +72,7 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     The initial shuffle partition count is sized so that the largest shuffle (about
     the input size) gives ``target_partition_bytes`` per partition, rounded up to a
     multiple of the cluster's cores; AQE then coalesces small ones and splits skewed
-    ones.  Example: 100 TB on 1000 executors x 8 cores -> 409,600 initial shuffle
+    ones.  Example: 100 TB on 1000 executors x 8 cores -> 416,000 initial shuffle
     partitions of ~256 MB, scans split at 256 MB.
     """
     per_core_rounds = max(1, -(-input_bytes // (target_partition_bytes * max(total_cores, 1))))
