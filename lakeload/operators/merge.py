@@ -116,12 +116,19 @@ def merge(
     if small_source is None:
         small_source = is_small(src)
 
-    # One row per complete key: n rows and (any) their values + flag.
+    # One row per complete key: n rows and (any) their values + flag.  In the
+    # shuffle plan the source side also carries the join's salt (0 for every
+    # complete key, written as pmod(hash, 1) so the optimizer cannot fold it away):
+    # grouping by it leaves the aggregate partitioned exactly as the join needs, so
+    # the deduplicated source is shuffled once, not twice.
+    group_cols = [F.col(k) for k in keys]
+    if not small_source:
+        group_cols.append(F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int").alias(_SALT_R))
     by_key = (
         src.filter(all_not_null(keys))
-        .groupBy(*keys)
+        .groupBy(*group_cols)
         .agg(F.count(F.lit(1)).alias(_N), F.any_value(F.struct(*values, _FLAG)).alias(_S))
-        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _S)
+        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _S, *([] if small_source else [_SALT_R]))
     )
     cond = None
     t = target
@@ -132,8 +139,7 @@ def merge(
             cond = c if cond is None else cond & c
     else:
         t = t.withColumn(_SALT, null_key_salt(keys, cols))
-        # n >= 1 always; written so that the optimizer cannot fold it into a constant
-        right = by_key.withColumn(_SALT_R, F.when(F.col(_N) < 0, F.lit(-1)).otherwise(F.lit(0)))
+        right = by_key
         for k in keys:
             c = t[k] == right[f"__s_{k}"]
             cond = c if cond is None else cond & c
