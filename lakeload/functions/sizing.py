@@ -40,10 +40,16 @@ def input_bytes(df: DataFrame) -> int | None:
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
+    wanted: dict[str, set[str]] = {}
     for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+        parent, _, name = f.rpartition("/")
+        wanted.setdefault(parent, set()).add(name)
+    total = 0
+    for parent, names in wanted.items():  # one listing per folder, not one call per file
+        p = jvm.org.apache.hadoop.fs.Path(parent)
+        for st in p.getFileSystem(conf).listStatus(p):
+            if st.getPath().getName() in names:
+                total += st.getLen()
     return total
 
 

@@ -16,7 +16,8 @@ no        true/null   drop                   drop
 Keys compare with plain equality, so a null key never matches.  In CDC mode a
 target row matched by several source rows is an error (raised inside the job).
 
-Plan shape (one pass over the target, no full outer join):
+Plan shape (the target's rows are read and shuffled once — in CDC mode the insert
+side adds a scan of the key columns only; no full outer join):
 
 * target side: ``target LEFT JOIN source_by_key`` where ``source_by_key`` is the
   source reduced to one row per key by an aggregation (map-side combine collapses a

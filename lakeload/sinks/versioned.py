@@ -34,14 +34,16 @@ class VersionedTable:
         return f"{self.root}/{VERSION_COL}={version}"
 
     def versions(self) -> list[int]:
-        """Committed versions, ascending."""
+        """Committed versions, ascending (one glob for all ``_SUCCESS`` markers)."""
+        fs, pattern = _fs(self.spark, f"{self.root}/{VERSION_COL}=*/_SUCCESS")
+        found = fs.globStatus(pattern) or []
         out = []
-        for name in list_dirs(self.spark, self.root):
-            if not name.startswith(f"{VERSION_COL}="):
-                continue
-            fs, marker = _fs(self.spark, f"{self.root}/{name}/_SUCCESS")
-            if fs.exists(marker):
+        for st in found:
+            name = st.getPath().getParent().getName()
+            try:
                 out.append(int(name.split("=", 1)[1]))
+            except ValueError:
+                continue
         return sorted(out)
 
     def exists(self) -> bool:
