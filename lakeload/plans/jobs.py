@@ -242,21 +242,29 @@ def cdc_load(
                         archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)
                 log.append((spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"]) + (reads if with_read_counts else ()))
                 continue
-            for folder in list_dirs(spark, raw):
-                ex = execution_name(folder)
-                if ex in done:
-                    continue
-                batch = spark.read.parquet(f"{raw}/{folder}")
-                if with_read_counts:
-                    r = batch.agg(
-                        F.count(F.when(F.col(DELETE_FLAG) == F.lit(True), 1)).alias("d"),
-                        F.count(F.when(F.col(DELETE_FLAG) == F.lit(False), 1)).alias("u"),
-                    ).first()
-                    reads = (int(r["d"]), int(r["u"]))
-                last = apply_batch(spark, table, spec, batch, batch_ids=[ex])
-                ledger.record(spec.name, ex, last["version"], last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
-                if archive:
-                    archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)
+            applied, applied_folders = [], []
+            try:
+                for folder in list_dirs(spark, raw):
+                    ex = execution_name(folder)
+                    if ex in done:
+                        continue
+                    batch = spark.read.parquet(f"{raw}/{folder}")
+                    if with_read_counts:
+                        r = batch.agg(
+                            F.count(F.when(F.col(DELETE_FLAG) == F.lit(True), 1)).alias("d"),
+                            F.count(F.when(F.col(DELETE_FLAG) == F.lit(False), 1)).alias("u"),
+                        ).first()
+                        reads = (int(r["d"]), int(r["u"]))
+                    last = apply_batch(spark, table, spec, batch, batch_ids=[ex])
+                    applied.append((ex, last["version"], last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"]))
+                    applied_folders.append(f"{raw}/{folder}")
+            finally:
+                # Bookkeeping once per table: the ledger rows and one archive append
+                # for every batch applied in this run (what counts as applied is
+                # recorded atomically with each table version).
+                ledger.record_rows(spec.name, applied)
+                if archive and applied_folders:
+                    archive_batch(spark.read.parquet(*applied_folders), f"{zones.raw}/_processed/{spec.name}", processed_at)
             row = (spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
             log.append(row + (reads if with_read_counts else ()))
         except Exception:  # noqa: BLE001

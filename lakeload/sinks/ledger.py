@@ -44,6 +44,12 @@ class Ledger:
         rows = [(table_name, ex, int(version), int(ins), int(upd), int(dele)) for ex in execution_ids]
         self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
+    def record_rows(self, table_name: str, rows) -> None:
+        """One append for several ``(execution_id, version, ins, upd, del)`` rows."""
+        data = [(table_name, str(ex), int(v), int(i), int(u), int(d)) for ex, v, i, u, d in rows]
+        if data:
+            self.spark.createDataFrame(data, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
     def unprocessed(self, executions: DataFrame, table_name: str) -> DataFrame:
         """Rows of ``executions`` (with ``execution_id``) whose batch is not in the ledger."""
         done = self.read().filter(F.col("table_name") == table_name).select(EXECUTION_COL)
