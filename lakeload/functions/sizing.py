@@ -71,7 +71,21 @@ def _width(field) -> F.Column:
     return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+def _bound(df: DataFrame, key: str, given: int | None, default: int) -> int:
+    if given is not None:
+        return given
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else default
+
+
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    Bounds default to the session settings ``lakeload.broadcast.maxRows`` and
+    ``lakeload.broadcast.maxBytes`` (2,000,000 rows and 64 MB when unset).
+    """
+    max_rows = _bound(df, "lakeload.broadcast.maxRows", max_rows, DEFAULT_MAX_ROWS)
+    max_bytes = _bound(df, "lakeload.broadcast.maxBytes", max_bytes, DEFAULT_MAX_BYTES)
     on_disk = input_bytes(df)
     if on_disk is not None and on_disk > max_bytes:
         return False
@@ -82,7 +96,7 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = D
 
 
 def broadcast_if_small(
-    df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when the bound holds, else ``(df, False)``."""
     if is_small(df, max_rows, max_bytes):

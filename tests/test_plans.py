@@ -72,3 +72,13 @@ def test_scale_conf_sizes_partitions():
     n = int(c["spark.sql.shuffle.partitions"])
     assert n % 8000 == 0 and 100 * 1024**4 / n <= 256 * 1024**2
     assert int(scale_conf(10 * 1024**2, 8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_broadcast_bound_from_session(spark):
+    df = fx.orders_batch(spark, SF01)
+    spark.conf.set("lakeload.broadcast.maxRows", "10")
+    try:
+        assert not is_small(df)
+    finally:
+        spark.conf.unset("lakeload.broadcast.maxRows")
+    assert is_small(df)
