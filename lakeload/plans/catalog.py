@@ -1180,3 +1180,60 @@ def cdc_load_partitioned(spark, sf):
     fx.orders_before(spark, sf).select("*", year).write.partitionBy("o_year").parquet(jobs.partitioned_path(zones, ORDERS_BY_YEAR))
     jobs.cdc_load(spark, [ORDERS_BY_YEAR], zones, processed_at=PROCESSED_AT, layout="partitioned").collect()
     return spark.read.parquet(jobs.partitioned_path(zones, ORDERS_BY_YEAR)).select(*ORDERS_BY_YEAR.fields)
+
+
+# ---------------------------------------------------------------------------
+# The CDC job in FULL mode, with the test log's read counts
+# ---------------------------------------------------------------------------
+
+SQL_CUSTOMER_BATCH = """customer_batch AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1.0 AS c_acctbal, c_mktsegment,
+         CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_acctbal < 0 END AS IsDeleted
+  FROM customer)"""
+
+
+def customer_batch(spark, sf):
+    c = t(spark, sf, "customer")
+    flag = F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("boolean")).otherwise(F.col("c_acctbal") < 0)
+    return c.select(
+        "c_custkey", "c_name", "c_nationkey", (F.col("c_acctbal") + F.lit(1.0)).alias("c_acctbal"), "c_mktsegment",
+        flag.alias("IsDeleted"),
+    )
+
+
+def _full_mode_lake(spark, sf):
+    """customer (FULL load type) loaded whole, then one batch applied by the CDC job."""
+    zones = jobs.Zones.under(work_dir(spark, "lake-full-mode"))
+    jobs.write_executions(customer_batch(spark, sf), f"{zones.raw}/customer", F.lit("0001"))
+    zones.silver_table(spark, fx.CUSTOMER_SPEC).commit(t(spark, sf, "customer"))
+    log = jobs.cdc_load(spark, [fx.CUSTOMER_SPEC], zones, processed_at=PROCESSED_AT, with_read_counts=True)
+    return zones, log
+
+
+@query(
+    "cdc_load_full_mode",
+    f"""WITH {SQL_CUSTOMER_BATCH}
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer_batch WHERE IsDeleted = false""",
+)
+def cdc_load_full_mode(spark, sf):
+    """FULL semantics through the job: every matched row is replaced, so rows with
+    a null flag are lost and rows flagged deleted are removed."""
+    zones, log = _full_mode_lake(spark, sf)
+    log.collect()
+    return zones.silver_table(spark, fx.CUSTOMER_SPEC).read()
+
+
+@query(
+    "load_log_cdc_test",
+    f"""WITH {SQL_CUSTOMER_BATCH}
+    SELECT 'customer' AS TableName, 'Table Sucessfull Loaded' AS Status,
+           count(*) FILTER (WHERE IsDeleted = false) AS num_inserted_rows,
+           CAST(0 AS BIGINT) AS num_updated_rows,
+           count(*) AS num_deleted_rows,
+           count(*) FILTER (WHERE IsDeleted) AS num_read_deleted_regs,
+           count(*) FILTER (WHERE IsDeleted = false) AS num_read_upsert_regs
+    FROM customer_batch""",
+)
+def load_log_cdc_test(spark, sf):
+    """The CDC test log: merge counts plus the batch's read counts per flag."""
+    return _full_mode_lake(spark, sf)[1]
