@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeload.functions import bracket_list, count_if, first_number, impact_class
-from lakeload.sources import RULES_SCHEMA
 
 # Constraint status names and the failure message of a rule.
 SUCCESS, FAILURE = "Success", "Failure"

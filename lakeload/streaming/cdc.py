@@ -19,7 +19,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from lakeload.functions import is_small
 from lakeload.operators.merge import collapse_changes, merge
 from lakeload.operators.project import cast_projection
-from lakeload.plans.jobs import apply_batch, commit_merge, execution_name
+from lakeload.plans.jobs import apply_batch, commit_merge
 from lakeload.sinks import Ledger, VersionedTable
 from lakeload.sources import EXECUTION_COL
 from lakeload.specs import DELETE_FLAG, TableSpec
@@ -83,4 +83,4 @@ def stream_cdc_apply(
         raise RuntimeError(str(q.exception()))
 
 
-__all__ = ["cdc_stream", "stream_cdc_apply", "execution_name"]
+__all__ = ["cdc_stream", "stream_cdc_apply"]
