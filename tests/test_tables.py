@@ -212,3 +212,30 @@ def test_full_load_validates_every_execution(spark, tmp_root):
     assert not path_exists(spark, f"{zones.silver}/t/current")
     lenient = jobs.full_load(spark, [spec], zones, lenient=True).collect()
     assert [r["Rows_Readed"] for r in lenient] == [1, 1]
+
+
+def test_gold_cdc_needs_existing_gold(spark, tmp_root):
+    from lakeload.plans import catalog
+
+    zones = jobs.Zones.under(tmp_root)
+    orders = fx.table(spark, SF001, "orders")
+    log = jobs.gold_cdc_load(spark, [catalog.GOLD_STATUS], {"orders": orders}, zones).collect()
+    assert [(r["TableName"], r["Status"]) for r in log] == [("status_by_campaign", jobs.STATUS_ERROR)]
+    jobs.gold_full_load(spark, [catalog.GOLD_STATUS], {"orders": orders}, zones).collect()
+    log = jobs.gold_cdc_load(spark, [catalog.GOLD_STATUS], {"orders": orders}, zones).first()
+    assert log["Status"] == jobs.STATUS_LOADED and log["num_updated_rows"] == 3 and log["num_inserted_rows"] == 0
+
+
+def test_partitioned_cdc_layout_rerun_is_a_noop(spark, tmp_root):
+    from lakeload.plans import catalog
+
+    zones = jobs.Zones.under(tmp_root)
+    batch = fx.orders_batch(spark, SF001).select("*", F.year("o_orderdate").alias("o_year"))
+    jobs.write_executions(batch, f"{zones.raw}/orders", F.col("o_year"))
+    spec = catalog.ORDERS_BY_YEAR
+    jobs.cdc_load(spark, [spec], zones, layout="partitioned", archive=False).collect()
+    path = jobs.partitioned_path(zones, spec)
+    first = sorted(map(tuple, spark.read.parquet(path).select(*spec.fields).collect()))
+    log = jobs.cdc_load(spark, [spec], zones, layout="partitioned", archive=False).first()
+    assert (log["num_inserted_rows"], log["num_updated_rows"], log["num_deleted_rows"]) == (0, 0, 0)
+    assert sorted(map(tuple, spark.read.parquet(path).select(*spec.fields).collect())) == first
