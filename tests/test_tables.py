@@ -239,3 +239,15 @@ def test_partitioned_cdc_layout_rerun_is_a_noop(spark, tmp_root):
     log = jobs.cdc_load(spark, [spec], zones, layout="partitioned", archive=False).first()
     assert (log["num_inserted_rows"], log["num_updated_rows"], log["num_deleted_rows"]) == (0, 0, 0)
     assert sorted(map(tuple, spark.read.parquet(path).select(*spec.fields).collect())) == first
+
+
+def test_collapsed_stream_bootstrap_equals_batch_fold(spark, tmp_root):
+    zones = jobs.Zones.under(f"{tmp_root}/batch")
+    jobs.write_executions(fx.orders_batch(spark, SF001), f"{zones.raw}/orders", F.year("o_orderdate"))
+    jobs.cdc_load(spark, [fx.ORDERS_SPEC], zones, archive=False).collect()
+    want = sorted(map(tuple, zones.silver_table(spark, fx.ORDERS_SPEC).read().collect()))
+
+    table = VersionedTable(spark, f"{tmp_root}/stream/silver")
+    ledger = Ledger(spark, f"{tmp_root}/stream/ledger")
+    stream_cdc_apply(spark, f"{zones.raw}/orders", fx.ORDERS_SPEC, table, ledger, f"{tmp_root}/stream/ckpt", collapse=True)
+    assert sorted(map(tuple, table.read().collect())) == want
