@@ -134,7 +134,7 @@ def _orders_executions(spark, sf) -> str:
 def scan_by_execution(spark, sf):
     root = _orders_executions(spark, sf)
     df = scan_executions(spark, root)
-    return df.select(*fx.ORDERS_SPEC.fields, F.regexp_replace(EXECUTION_COL, r"^[^=]*=", "").alias(EXECUTION_COL))
+    return df.select(*fx.ORDERS_SPEC.fields, EXECUTION_COL)
 
 
 @query("scan_temp_view", "SELECT * FROM customer")
@@ -586,9 +586,7 @@ def cdc_unprocessed_batches(spark, sf):
     ledger = Ledger(spark, f"{root}/_ledger")
     for ex in ("1997", "1998"):
         ledger.record("orders", ex, 0, 0, 0, 0)
-    rows = scan_executions(spark, f"{root}/orders").withColumn(
-        EXECUTION_COL, F.regexp_replace(EXECUTION_COL, r"^[^=]*=", "")
-    )
+    rows = scan_executions(spark, f"{root}/orders")
     return ledger.unprocessed(rows, "orders").select(*fx.ORDERS_SPEC.fields, "IsDeleted", EXECUTION_COL)
 
 

@@ -81,7 +81,7 @@ def execution_counts(
     rows = scan_executions(spark, path)
     if spec is not None:
         rows = cast_projection(rows, spec, lenient, keep=(EXECUTION_COL,))
-    exec_id = F.regexp_replace(F.col(EXECUTION_COL), r"^[^=]*=", "").alias(EXECUTION_COL)
+    exec_id = F.col(EXECUTION_COL)
     if spec is None:
         return rows.select(exec_id).groupBy(EXECUTION_COL).agg(F.count(F.lit(1)).alias("rows"))
     # Consume every cast column (a hash of them) so that column pruning cannot drop
@@ -171,7 +171,7 @@ def apply_collapsed(
     spark: SparkSession, table: VersionedTable, spec: TableSpec, raw: str, folders: Sequence[str], flag: str = DELETE_FLAG
 ) -> dict:
     """Merge several execution folders as one net change (see ``collapse_changes``)."""
-    rows = scan_executions(spark, raw).withColumn(EXECUTION_COL, F.regexp_replace(EXECUTION_COL, r"^[^=]*=", ""))
+    rows = scan_executions(spark, raw)
     wanted = [execution_name(f) for f in folders]
     rows = rows.filter(F.col(EXECUTION_COL).isin(*wanted))
     typed = cast_projection(rows, spec, keep=(flag, EXECUTION_COL))

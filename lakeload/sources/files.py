@@ -64,16 +64,20 @@ def scan_explicit_schema(spark: SparkSession, path: str, spec: TableSpec) -> Dat
     return spark.read.schema(spec.schema()).parquet(path)
 
 
+def execution_id_of(file_path):
+    """Execution id of a raw file: its folder's name, without a ``key=`` prefix."""
+    folder = F.regexp_extract(file_path, r"/([^/]+)/[^/]+$", 1)
+    return F.regexp_replace(folder, r"^[^=]*=", "")
+
+
 def scan_executions(spark: SparkSession, root: str) -> DataFrame:
     """One scan over every execution directory below ``root``.
 
     Instead of one read per directory, the files of all executions are read in one
-    job and each row keeps the name of its directory in ``execution_id``.
+    job and each row keeps its directory's execution id in ``execution_id``.
     """
     df = spark.read.parquet(f"{root.rstrip('/')}/*")
-    return df.withColumn(
-        EXECUTION_COL, F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
-    )
+    return df.withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path")))
 
 
 def table_exists(spark: SparkSession, qualified_name: str) -> bool:

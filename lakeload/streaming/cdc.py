@@ -22,6 +22,7 @@ from lakeload.operators.project import cast_projection
 from lakeload.plans.jobs import apply_batch, commit_merge
 from lakeload.sinks import Ledger, VersionedTable
 from lakeload.sources import EXECUTION_COL
+from lakeload.sources.files import execution_id_of
 from lakeload.specs import DELETE_FLAG, TableSpec
 
 
@@ -29,8 +30,7 @@ def cdc_stream(spark: SparkSession, source_dir: str, spec: TableSpec, flag: str
     """Streaming frame of the raw CDC rows with their execution id."""
     schema = StructType(spec.schema().fields + [StructField(flag, BooleanType(), True)])
     rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source_dir)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
-    return rows.withColumn(EXECUTION_COL, F.regexp_replace(folder, r"^[^=]*=", ""))
+    return rows.withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path")))
 
 
 def stream_cdc_apply(
