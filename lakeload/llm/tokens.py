@@ -19,7 +19,9 @@ from itertools import chain
 import numpy as np
 
 #: Pieces a worker keeps (about 150 bytes each).
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 600_000
+#: Pieces that go through the library at once.
+ENCODE_PIECES = 4096
 
 #: White space outside ASCII, in UTF-8.
 _OTHER_WHITE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
@@ -100,9 +102,11 @@ class Encoder:
             self.clear()
         got = [self._pieces(t) for t in texts]
         if self.booked:
-            for e in self.lib.encode_batch([p.decode("utf-8", "replace") for p in self.booked], add_special_tokens=False):
-                self.flat.extend(e.ids)
-                self.off.append(len(self.flat))
+            for i in range(0, len(self.booked), ENCODE_PIECES):
+                run = [p.decode("utf-8", "replace") for p in self.booked[i : i + ENCODE_PIECES]]
+                for e in self.lib.encode_batch(run, add_special_tokens=False):
+                    self.flat.extend(e.ids)
+                    self.off.append(len(self.flat))
             self.booked = []
         n = np.fromiter(chain.from_iterable(got), np.int64, sum(map(len, got)))
         doc = np.repeat(np.arange(len(got)), [len(g) for g in got])
