@@ -5,7 +5,7 @@ node, so copies never pair up.  A pair can only link when both sets share one of
 their first ``n - ceil(t n) + 1`` shingles in a common order (prefix filter); the
 order puts shingles that many documents share last, so that boilerplate does not
 gather unlike documents.  Nodes that share such a shingle meet in size-banded tiles:
-a tile holds the sets of one size band and the next smaller one.  In a tile, hashed
+a tile holds the sets of one size band and the next smaller one.  For the pairs of a tile, hashed
 bitmap signatures bound the overlap from above: a bit set in one signature only is
 an element the other set lacks, so ``overlap <= min(|x| - |X & ~Y|, |y| - |Y & ~X|)``.
 Pairs that stay are confirmed by exact intersection of the sorted arrays.
@@ -41,7 +41,7 @@ from lakeload.llm.text import U64, chunks, i64, set_print, shingles
 TILE_ROWS = 2048
 #: Shingles counted as common are sorted last; how many are known only changes the
 #: speed, any list gives the same links.
-COMMON_LOCAL, COMMON_TOTAL, COMMON_LIST = 4, 32, 200_000
+COMMON_LOCAL, COMMON_TOTAL, COMMON_LIST = 2, 3, 1_000_000
 #: Shingles that are counted together before the counts leave a task.
 COUNT_ROWS = 3_000_000
 MIN_BITS, MAX_BITS = 256, 32768
@@ -53,8 +53,8 @@ def need(nx, ny, num: int, den: int):
 
 
 def signature(s: np.ndarray) -> bytes:
-    """Bitmap of ``s``, a power of two of bits, about two for each element."""
-    bits = min(MAX_BITS, max(MIN_BITS, 1 << int(2 * len(s) - 1).bit_length()))
+    """Bitmap of ``s``, a power of two of bits, one to two for each element."""
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << int(len(s) - 1).bit_length()))
     flags = np.zeros(bits, np.uint8)
     flags[(s >> U64(17)) & U64(bits - 1)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
@@ -84,7 +84,7 @@ def _sign(size: int):
     """Task: rows of documents (id, n, fp, sig) and of shingles met often (token, seen)."""
 
     def run(batches):
-        held, rows = [], 0
+        held, rows, prints = [], 0, set()
 
         def count():
             v, c = np.unique(np.concatenate(held), return_counts=True)
@@ -97,22 +97,26 @@ def _sign(size: int):
 
         for ids, sets in _sets(batches, size):
             k = len(sets)
+            fps = [set_print(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_print(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(fps, pa.int64()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
                     pa.nulls(k, pa.int64()),
                     pa.nulls(k, pa.int64()),
                 ],
                 names=["id", "n", "fp", "sig", "token", "seen"],
             )
-            held += sets
-            rows += sum(map(len, sets))
+            for s, p in zip(sets, fps):
+                if p is not None and p not in prints:  # copies count once
+                    prints.add(p)
+                    held.append(s)
+                    rows += len(s)
             if rows >= COUNT_ROWS:
                 yield count()
-                held, rows = [], 0
+                held, rows, prints = [], 0, set()
         if held:
             yield count()
 
@@ -198,51 +202,41 @@ def _intersect(num: int, den: int):
 
 
 def _tile_pairs(num: int, den: int):
-    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile in different classes that the bitmaps allow."""
-
-    def pairs(t: pa.Table):
-        n, fp, cls = (t.column(c).to_numpy() for c in ("n", "fp", "cls"))
-        home, blk = t.column("home").to_numpy(zero_copy_only=False), t.column("blk").to_numpy()
-        bi, bj = t.column("bi")[0].as_py(), t.column("bj")[0].as_py()
-        if len(n) < 2 or (cls == cls[0]).all():
-            return None
-        raw = t.column("sig").to_pylist()
-        w = min(map(len, raw))
-        sig = np.stack([fold(np.frombuffer(x, np.uint8), w) for x in raw]).view(U64)
-        left = np.flatnonzero(blk == bi)
-        right = np.flatnonzero(blk == bj)
+    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile, in different classes, of sizes that can link."""
+    keys = ("token", "tile", "bi", "bj")
+
+    def cut(t: pa.Table, last: bool):
+        col = {c: t.column(c).to_numpy() for c in (*keys, "blk", "fp", "cls", "n")}
+        home = t.column("home").to_numpy(zero_copy_only=False)
+        edge = np.flatnonzero(np.any([col[c][1:] != col[c][:-1] for c in keys], axis=0)) + 1
+        edge = np.concatenate([[0], edge, [t.num_rows]])
+        stop = len(edge) - 1 if last else len(edge) - 2
         out = []
-        for i in left:
-            js = right[right > i] if bi == bj else right
-            js = js[(cls[js] != cls[i]) & (home[i] | home[js])]
-            lo, hi = np.minimum(n[js], n[i]), np.maximum(n[js], n[i])
-            js = js[den * lo >= num * hi]
-            if len(js):
-                js = js[overlap_bound(n[i], sig[i], n[js], sig[js]) >= need(n[i], n[js], num, den)]
-                out.append(np.stack([np.minimum(fp[js], fp[i]), np.maximum(fp[js], fp[i])], 1))
-        return np.concatenate(out) if out else None
+        for k in range(stop):
+            own = slice(edge[k], edge[k + 1])
+            fp, cls, n, blk = (col[c][own] for c in ("fp", "cls", "n", "blk"))
+            if len(fp) < 2:
+                continue
+            bi, bj = col["bi"][edge[k]], col["bj"][edge[k]]
+            left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
+            for i in left:
+                js = right[right > i] if bi == bj else right
+                js = js[(cls[js] != cls[i]) & (home[own][i] | home[own][js])]
+                js = js[den * np.minimum(n[js], n[i]) >= num * np.maximum(n[js], n[i])]
+                if len(js):
+                    out.append(np.stack([np.minimum(fp[js], fp[i]), np.maximum(fp[js], fp[i])], 1))
+        rows = np.unique(np.concatenate(out), axis=0) if out else None
+        made = [] if rows is None else [pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, c])) for c in (0, 1)], names=["a", "b"])]
+        return made, None if last else t.slice(edge[stop])
 
     def run(batches):
         rest = None
         for b in batches:
             t = pa.Table.from_batches([b])
-            if rest is not None:
-                t = pa.concat_tables([rest, t]).combine_chunks()
-            yield from cut(t, False)
-            rest = cut.rest
+            made, rest = cut(t if rest is None else pa.concat_tables([rest, t]), False)
+            yield from made
         if rest is not None and rest.num_rows:
-            yield from cut(rest, True)
-
-    def cut(t, last):
-        key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "tile", "bi", "bj")], 1)
-        edge = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        edge = np.concatenate([[0], edge, [len(key)]])
-        stop = len(edge) - 1 if last else len(edge) - 2
-        found = [p for k in range(stop) if edge[k + 1] - edge[k] > 1 and (p := pairs(t.slice(edge[k], edge[k + 1] - edge[k]))) is not None]
-        cut.rest = None if last else t.slice(edge[stop])
-        if found:
-            rows = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1]))], names=["a", "b"])
+            yield from cut(rest, True)[0]
 
     return run
 
@@ -268,15 +262,14 @@ def jaccard_classes(
     signed = stage(docs.mapInArrow(_sign(size), "id long, n long, fp long, sig binary, token long, seen long"), "jaccard-signed")
     rows = signed.where("token is null").select("id", "n", "fp", "sig")
     met = signed.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= COMMON_TOTAL)
-    top = met.orderBy(F.desc("seen"), "token").limit(COMMON_LIST).toPandas()  # at most COMMON_LIST numbers
-    common = np.ascontiguousarray(top["token"].to_numpy(np.int64)).view(U64)
+    top = met.orderBy(F.desc("seen"), "token").limit(COMMON_LIST).toArrow()  # at most COMMON_LIST numbers
+    common = np.ascontiguousarray(top["token"].to_numpy()).view(U64)
     by = np.argsort(common)
-    common, rank = common[by], top["seen"].to_numpy(np.int64)[by]
+    common, rank = common[by], top["seen"].to_numpy()[by]
 
-    nodes = rows.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.min("n").alias("n"))
-    nodes = stage(nodes, "jaccard-nodes")
-    signs = rows.where("fp is not null").join(nodes.select("fp", "rep"), "fp").where(F.col("id").eqNullSafe(F.col("rep")))
-    signs = stage(signs.dropDuplicates(["fp"]).select("fp", "n", "sig"), "jaccard-signs")
+    signs = rows.where("fp is not null").groupBy("fp").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.first("sig").alias("sig"))
+    signs = stage(signs, "jaccard-signs")
+    nodes = signs.select("fp", "rep", "n")
 
     prefix = docs.mapInArrow(_prefixes(size, num, den, common, rank), "token long, fp long")
     by_token = Window.partitionBy("token")
@@ -285,7 +278,7 @@ def jaccard_classes(
     met = stage(prefix.where("hub < last").select("token", "fp", "hub"), "jaccard-met")
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        x, y = signs.toDF("a", "na", "siga"), signs.toDF("b", "nb", "sigb")
+        x, y = signs.select("fp", "n", "sig").toDF("a", "na", "siga"), signs.select("fp", "n", "sig").toDF("b", "nb", "sigb")
         both = pairs.join(y, "b").join(x, "a").where(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
         return both.select("a", "b", "na", "nb", "siga", "sigb").mapInArrow(_bitmap_filter(num, den), "a long, b long")
 
@@ -296,13 +289,12 @@ def jaccard_classes(
     first = components(spark, links)
 
     # Round two: nodes of one tile in different components.
-    label = met.join(first.toDF("fp", "root"), "fp", "left").select("token", "fp", F.coalesce("root", "fp").alias("cls"))
-    label = label.withColumns({"lo": F.min("cls").over(by_token), "hi": F.max("cls").over(by_token)}).where("lo < hi")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")
-    tiles = label.join(signs, "fp").select("token", "fp", "cls", "n", "sig", band.alias("band"))
-    tiles = tiles.select(
-        "*", F.explode(F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home")))).alias("t")
-    ).select("token", "fp", "cls", "n", "sig", "t.tile", "t.home")
+    known = nodes.join(first.toDF("fp", "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"), F.col("n").cast("int").alias("n"), band.alias("band"))
+    label = met.select("token", "fp").join(known, "fp")
+    label = label.withColumns({"lo": F.min("cls").over(by_token), "hi": F.max("cls").over(by_token)}).where("lo < hi")
+    places = F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home")))
+    tiles = label.select("token", "fp", "cls", "n", F.explode(places).alias("t")).select("token", "fp", "cls", "n", "t.tile", "t.home")
     in_tile = Window.partitionBy("token", "tile")
     tiles = tiles.withColumns(
         {"rows": F.count(F.lit(1)).over(in_tile), "homes": F.max("home").over(in_tile), "lo": F.min("cls").over(in_tile), "hi": F.max("cls").over(in_tile)}
@@ -311,11 +303,11 @@ def jaccard_classes(
     tiles = tiles.withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.select(
-        "token", "tile", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "fp", "cls", "n", "home", "sig"
+        "token", "tile", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "fp", "cls", "n", "home"
     )
     keys = ["token", "tile", "bi", "bj"]
     pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_pairs(num, den), "a long, b long")
-    pairs = stage(pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+    pairs = stage(bounded(pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")), "jaccard-pairs")
     if not pairs.isEmpty():
         links = links.union(stage(_verified(docs, pairs, nodes, size, num, den), "jaccard-links"))
     roots = components(spark, links).toDF("fp", "root")
