@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, token_files
+from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, robust_rules, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +53,22 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.crc32("text").alias("text_crc32"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_rules.quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, places = packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return places.withColumnRenamed("crc", "ids_crc32")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), _fold(5) != 0)
+    held = F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score_documents(docs, model).select("doc_id", held, "score", "predicted")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -67,7 +78,9 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
 
