@@ -81,26 +81,34 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(buckets), np.concatenate(where), doc
 
 
-def telling(bucket: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
+def telling(bags: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     """Buckets whose share of documents differs between the labels beyond chance."""
-    pair = np.unique(doc.astype(np.int64) * BUCKETS + bucket)
-    of, b = label[pair // BUCKETS], pair % BUCKETS
+    in1, both = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for bag, y in zip(bags, label):
+        seen = np.unique(bag)
+        both[seen] += 1
+        in1[seen] += y
     n1, n0 = max(int(label.sum()), 1), max(int((1 - label).sum()), 1)
-    in1 = np.bincount(b, weights=of, minlength=BUCKETS)
-    both = np.bincount(b, minlength=BUCKETS)
     p = both / (n1 + n0)
     error = np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
     z = (in1 / n1 - (both - in1) / n0) / error
     return np.flatnonzero((np.abs(z) >= MIN_Z) & (both >= MIN_DOCS))
 
 
-def fit(bucket: np.ndarray, run: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int = 200, seed: int = 0) -> dict:
-    """Embeddings and softmax for runs of documents (``doc`` is sorted, from 0), classes weighted equally."""
-    kept = telling(bucket, doc[run], label)
-    number = np.full(BUCKETS, -1, np.int64)
+def fit(bags: list[np.ndarray], sizes: list[np.ndarray], label: np.ndarray, steps: int = 200, seed: int = 0) -> dict:
+    """Embeddings and softmax from the bags of documents; ``sizes`` cuts a bag into its runs.  Classes weigh the same."""
+    kept = telling(bags, label)
+    number = np.full(BUCKETS, -1, np.int32)
     number[kept] = np.arange(len(kept))
-    known = number[bucket] >= 0
-    feature, run = number[bucket[known]], run[known]
+    doc = np.repeat(np.arange(len(bags)), [len(x) for x in sizes])
+    features, runs, base = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    for bag, size in zip(bags, sizes):
+        f = number[bag]
+        at = f >= 0
+        features.append(f[at])
+        runs.append(np.repeat(base + np.arange(len(size)), size)[at])
+        base += len(size)
+    feature, run = np.concatenate(features), np.concatenate(runs)
     per = 1.0 / np.maximum(np.bincount(run, minlength=len(doc)), 1)[run]
     begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     y = label.astype(np.float64)
@@ -177,10 +185,7 @@ def _fit_task(batches):
     if label.min() == label.max():
         model = {"constant": float(label[0])}
     else:
-        lens = [np.frombuffer(r[3], np.uint32) for r in rows]
-        bucket = np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows])
-        run = np.repeat(np.arange(sum(map(len, lens))), np.concatenate(lens))
-        model = fit(bucket, run, np.repeat(np.arange(len(rows)), [len(x) for x in lens]), label)
+        model = fit([np.frombuffer(r[2], np.uint32) for r in rows], [np.frombuffer(r[3], np.uint32) for r in rows], label)
         model = {"scalar": model["scalar"], "bias": model["bias"]}
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
