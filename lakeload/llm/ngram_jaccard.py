@@ -2,18 +2,21 @@
 
 Method.  Every document becomes a sorted set of shingle hashes.  Equal sets are one
 node, so copies never pair up.  A pair can only link when both sets share one of
-their first ``n - ceil(t n) + 1`` shingles in a common order (prefix filter); the
-order puts shingles that many documents share last, so that boilerplate does not
-gather unlike documents.  Nodes that share such a shingle meet in size-banded tiles:
+their first ``n - ceil(t n) + 1`` shingles in a common order (prefix filter).  The order
+puts shingles of one set first, then those met again, then those met often; only
+shingles that may have been met again are looked up at all, so boilerplate and
+chance repeats gather no unlike documents.  Which shingles are met again is found
+exactly, by hash range, and kept as a bitmap of ``MAX_MET_BITS`` bits at most; a
+full bitmap would cost speed, never a link.  Nodes that share such a shingle meet in size-banded tiles:
 a tile holds the sets of one size band and the next smaller one.  For the pairs of a tile, hashed
 bitmap signatures bound the overlap from above: a bit set in one signature only is
 an element the other set lacks, so ``overlap <= min(|x| - |X & ~Y|, |y| - |Y & ~X|)``.
 Pairs that stay are confirmed by exact intersection of the sorted arrays.
 
-Skew.  The search runs in two rounds and keeps all links.  Round one links every
-node to the smallest node of its tiles (a star, linear in the rows) and joins the
-confirmed links to components.  Round two compares, tile by tile, only nodes that
-are still in different components; a tile of more than ``TILE_ROWS`` rows is cut
+Skew.  The search runs in rounds and keeps all links.  ``STAR_ROUNDS`` rounds check
+for every node one hub, the smallest node of most of its shingles, and join the
+confirmed links to components (linear in the rows).  The last round compares, tile
+by tile, only nodes that are still in different components; a tile of more than ``TILE_ROWS`` rows is cut
 into blocks and the blocks meet pairwise, so no task holds an unbounded group.
 
 Cases.  Null or empty text, or text without words: no shingles, linked with
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeload.functions.sizing import is_small
+from lakeload.functions.sizing import input_bytes, is_small
 from lakeload.llm.graph import components, stage
 from lakeload.llm.text import U64, chunks, i64, set_print, shingles
 
@@ -41,7 +44,10 @@ from lakeload.llm.text import U64, chunks, i64, set_print, shingles
 TILE_ROWS = 2048
 #: Shingles counted as common are sorted last; how many are known only changes the
 #: speed, any list gives the same links.
-COMMON_LOCAL, COMMON_TOTAL, COMMON_LIST = 2, 3, 1_000_000
+COMMON_LOCAL, COMMON_TOTAL, COMMON_LIST = 3, 8, 200_000
+#: Bitmap of shingles met again: bits at most; input bytes of a hash range.
+MAX_MET_BITS, RANGE_BYTES = 1 << 29, 8 << 20
+STAR_ROUNDS = 2
 #: Shingles that are counted together before the counts leave a task.
 COUNT_ROWS = 3_000_000
 MIN_BITS, MAX_BITS = 256, 32768
@@ -80,34 +86,43 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int):
             yield ids.slice(i, j - i), shingles(data, off, size)
 
 
-def _sign(size: int):
-    """Task: rows of documents (id, n, fp, sig) and of shingles met often (token, seen)."""
+SIGNED = "id long, n long, fp long, sig binary, token long, seen long, range int, tokens binary"
+
+
+def _rows(count: int, **cols) -> pa.RecordBatch:
+    """A batch of ``SIGNED`` rows with the given columns, null elsewhere."""
+    kinds = {"id": pa.int64(), "n": pa.int64(), "fp": pa.int64(), "sig": pa.binary(), "token": pa.int64(), "seen": pa.int64(), "range": pa.int32(), "tokens": pa.binary()}
+    return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(count, t) for c, t in kinds.items()], names=list(kinds))
+
+
+def _sign(size: int, range_bits: int):
+    """Task: rows of documents (id, n, fp, sig), of shingles met often (token, seen), and of
+    the shingles of one hash range (range, the next 32 bits of each)."""
 
     def run(batches):
         held, rows, prints = [], 0, set()
 
         def count():
-            v, c = np.unique(np.concatenate(held), return_counts=True)
-            v, c = v[c >= COMMON_LOCAL], c[c >= COMMON_LOCAL]
-            k = len(v)
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(i64(v)), pa.array(c.astype(np.int64))],
-                names=["id", "n", "fp", "sig", "token", "seen"],
-            )
+            every = np.sort(np.concatenate(held))
+            start = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+            times = np.diff(np.r_[start, len(every)])
+            often = times >= COMMON_LOCAL
+            v, c = every[start[often]], times[often]
+            yield _rows(len(v), token=pa.array(i64(v)), seen=pa.array(c.astype(np.int64)))
+            edge = np.searchsorted(every, np.arange(1 << range_bits, dtype=U64) << U64(64 - range_bits))
+            short = (every >> U64(32 - range_bits)).astype(np.uint32)
+            parts = np.split(short, edge[1:])
+            yield _rows(len(parts), range=pa.array(range(len(parts)), pa.int32()), tokens=pa.array([p.tobytes() for p in parts], pa.binary()))
 
         for ids, sets in _sets(batches, size):
             k = len(sets)
             fps = [set_print(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(fps, pa.int64()),
-                    pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.nulls(k, pa.int64()),
-                    pa.nulls(k, pa.int64()),
-                ],
-                names=["id", "n", "fp", "sig", "token", "seen"],
+            yield _rows(
+                k,
+                id=ids,
+                n=pa.array([len(s) for s in sets], pa.int64()),
+                fp=pa.array(fps, pa.int64()),
+                sig=pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
             )
             for s, p in zip(sets, fps):
                 if p is not None and p not in prints:  # copies count once
@@ -115,16 +130,34 @@ def _sign(size: int):
                     held.append(s)
                     rows += len(s)
             if rows >= COUNT_ROWS:
-                yield count()
+                yield from count()
                 held, rows, prints = [], 0, set()
         if held:
-            yield count()
+            yield from count()
+
+    return run
+
+
+def _met_again(cell_bits: int):
+    """Task: the bitmap of each hash range; a bit stands for the next ``cell_bits`` bits of a shingle met twice."""
+
+    def run(batches):
+        held: dict[int, list[np.ndarray]] = {}
+        for b in batches:
+            for r, t in zip(b.column("range").to_pylist(), b.column("tokens")):
+                held.setdefault(r, []).append(np.frombuffer(t.as_buffer().to_pybytes(), np.uint32))
+        for r, parts in held.items():
+            every = np.sort(np.concatenate(parts))
+            twice = every[1:][every[1:] == every[:-1]]
+            flags = np.zeros(max(8, 1 << cell_bits), np.uint8)
+            flags[twice >> np.uint32(32 - cell_bits)] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([np.packbits(flags[: 1 << cell_bits], bitorder="little").tobytes()], pa.binary())], names=["range", "bits"])
 
     return run
 
 
-def _prefixes(size: int, num: int, den: int, common: np.ndarray, rank: np.ndarray):
-    """Task: distinct (token, fp) of the prefix of each set."""
+def _prefixes(size: int, num: int, den: int, common: np.ndarray, rank: np.ndarray, met: np.ndarray, met_bits: int):
+    """Task: distinct (token, fp) of the prefix of each set, without shingles of one set only."""
 
     def run(batches):
         for _, sets in _sets(batches, size):
@@ -134,20 +167,22 @@ def _prefixes(size: int, num: int, den: int, common: np.ndarray, rank: np.ndarra
                 if not n:
                     continue
                 p = n - -(-num * n // den) + 1
+                cell = s >> U64(64 - met_bits)
+                again = (met[(cell >> U64(3)).astype(np.int64)] >> (cell & U64(7)).astype(np.uint8)) & 1 == 1
+                room = p - int((~again).sum())
+                if room <= 0:
+                    continue  # the prefix holds nothing that another set has
+                head = s[again]
                 if len(common):
-                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    hot = common[at] == s
-                    head = s[~hot][:p]
-                    if len(head) < p:
-                        h = s[hot]
-                        head = np.concatenate([head, h[np.argsort(rank[at[hot]], kind="stable")][: p - len(head)]])
-                else:
-                    head = s[:p]
+                    at = np.minimum(np.searchsorted(common, head), len(common) - 1)
+                    often = np.where(common[at] == head, rank[at], 0)
+                    head = head[np.argsort(often, kind="stable")]
+                head = head[:room]
                 tokens.append(head)
                 prints.append(np.full(len(head), set_print(s), np.int64))
             if tokens:
-                rows = np.unique(np.stack([i64(np.concatenate(tokens)), np.concatenate(prints)], 1), axis=0) if len(set(int(x[0]) for x in prints)) < len(prints) else np.stack([i64(np.concatenate(tokens)), np.concatenate(prints)], 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1]))], names=["token", "fp"])
+                rows = np.unique(np.stack([i64(np.concatenate(tokens)), np.concatenate(prints)], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, c])) for c in (0, 1)], names=["token", "fp"])
 
     return run
 
@@ -259,8 +294,16 @@ def jaccard_classes(
     """Per document: id, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = stage(docs.mapInArrow(_sign(size), "id long, n long, fp long, sig binary, token long, seen long"), "jaccard-signed")
-    rows = signed.where("token is null").select("id", "n", "fp", "sig")
+    bytes_in = input_bytes(documents) or 0
+    range_bits = min(20, max(4, int(bytes_in // RANGE_BYTES).bit_length()))
+    met_bits = max(range_bits + 3, min(MAX_MET_BITS.bit_length() - 1, max(16, int(bytes_in // 4).bit_length())))
+    signed = stage(docs.mapInArrow(_sign(size, range_bits), SIGNED), "jaccard-signed")
+    rows = signed.where("token is null and range is null").select("id", "n", "fp", "sig")
+    ranges = signed.where("range is not null").select("range", "tokens").repartition(1 << range_bits, "range")
+    bits = np.zeros((1 << range_bits, 1 << (met_bits - range_bits - 3)), np.uint8)
+    for r in ranges.mapInArrow(_met_again(met_bits - range_bits), "range int, bits binary").collect():  # MAX_MET_BITS in all
+        bits[r["range"]] = np.frombuffer(r["bits"], np.uint8)
+    again = bits.ravel()
     met = signed.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= COMMON_TOTAL)
     top = met.orderBy(F.desc("seen"), "token").limit(COMMON_LIST).toArrow()  # at most COMMON_LIST numbers
     common = np.ascontiguousarray(top["token"].to_numpy()).view(U64)
@@ -271,7 +314,7 @@ def jaccard_classes(
     signs = stage(signs, "jaccard-signs")
     nodes = signs.select("fp", "rep", "n")
 
-    prefix = docs.mapInArrow(_prefixes(size, num, den, common, rank), "token long, fp long")
+    prefix = docs.mapInArrow(_prefixes(size, num, den, common, rank, again, met_bits), "token long, fp long")
     by_token = Window.partitionBy("token")
     prefix = prefix.repartition("token").dropDuplicates(["token", "fp"])
     prefix = prefix.withColumns({"hub": F.min("fp").over(by_token), "last": F.max("fp").over(by_token)})
@@ -282,13 +325,24 @@ def jaccard_classes(
         both = pairs.join(y, "b").join(x, "a").where(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
         return both.select("a", "b", "na", "nb", "siga", "sigb").mapInArrow(_bitmap_filter(num, den), "a long, b long")
 
-    # Round one: each node and the smallest node it meets.
-    stars = bounded(met.where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct())
-    stars = stage(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-stars")
-    links = stage(_verified(docs, stars, nodes, size, num, den), "jaccard-links")
+    # Each node and the smallest node that most of its shingles meet, as long as their components differ.
+    links, tried = None, None
+    for _ in range(STAR_ROUNDS):
+        if links is None:
+            shared = met.where("fp <> hub")
+        else:
+            roots = components(spark, links).toDF("fp", "root")
+            cls = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"))
+            shared = met.where("fp <> hub").join(cls, "fp").join(cls.toDF("hub", "hub_cls"), "hub").where("cls <> hub_cls")
+            shared = shared.join(tried.select(F.col("a").alias("hub"), F.col("b").alias("fp")), ["hub", "fp"], "left_anti")
+        best = shared.groupBy("fp", "hub").agg(F.count(F.lit(1)).alias("n")).groupBy("fp").agg(F.max(F.struct("n", "hub")).alias("m"))
+        asked = stage(best.select(F.col("m.hub").alias("a"), F.col("fp").alias("b")), "jaccard-asked")
+        found = stage(_verified(docs, stage(bounded(asked), "jaccard-stars"), nodes, size, num, den), "jaccard-links")
+        links = found if links is None else links.union(found)
+        tried = asked if tried is None else tried.union(asked)
     first = components(spark, links)
 
-    # Round two: nodes of one tile in different components.
+    # The rest: nodes of one tile in different components.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")
     known = nodes.join(first.toDF("fp", "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"), F.col("n").cast("int").alias("n"), band.alias("band"))
     label = met.select("token", "fp").join(known, "fp")
@@ -307,7 +361,7 @@ def jaccard_classes(
     )
     keys = ["token", "tile", "bi", "bj"]
     pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_pairs(num, den), "a long, b long")
-    pairs = stage(bounded(pairs.distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")), "jaccard-pairs")
+    pairs = stage(bounded(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")), "jaccard-pairs")
     if not pairs.isEmpty():
         links = links.union(stage(_verified(docs, pairs, nodes, size, num, den), "jaccard-links"))
     roots = components(spark, links).toDF("fp", "root")
@@ -327,5 +381,9 @@ def drop_near_copies(documents: DataFrame, **options) -> DataFrame:
     """
     id_col = options.get("id_col", "doc_id")
     classes = jaccard_classes(documents, **options)
-    kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_kept")).distinct()
-    return documents.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, options.get("text_col", "text")])
+    kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias("_kept")).agg(F.count(F.lit(1)).alias("_times"))
+    kept = stage(kept, "jaccard-kept")
+    out = documents.join(kept.select("_kept"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    if kept.where("_times > 1").isEmpty():
+        return out
+    return out.dropDuplicates([id_col, options.get("text_col", "text")])
