@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, robust_rules, token_files, toxicity
+from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, quality_lm, robust_rules, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.crc32("text").alias("text_crc32"))
@@ -77,6 +81,7 @@ QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_lm": op4_quality_lm,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
