@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, quality_lm, robust_rules, token_files, toxicity
+from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, quality_lm, robust_rules, secret_scan, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.crc32("text").alias("text_crc32"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_lm": op4_quality_lm,
     "op5_line_dedup": op5_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
