@@ -8,7 +8,7 @@ shingles that may have been met again are looked up at all, so boilerplate and
 chance repeats gather no unlike documents.  Which shingles are met again is found
 exactly, by hash range, and kept as a bitmap of ``MAX_MET_BITS`` bits at most; a
 full bitmap would cost speed, never a link.  Nodes that share such a shingle meet in size-banded tiles:
-a tile holds the sets of one size band and the next smaller one.  For the pairs of a tile, hashed
+a tile holds the sets of one size band and the next smaller one.  In a tile, hashed
 bitmap signatures bound the overlap from above: a bit set in one signature only is
 an element the other set lacks, so ``overlap <= min(|x| - |X & ~Y|, |y| - |Y & ~X|)``.
 Pairs that stay are confirmed by exact intersection of the sorted arrays.
@@ -237,10 +237,11 @@ def _intersect(num: int, den: int):
 
 
 def _tile_pairs(num: int, den: int):
-    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile, in different classes, of sizes that can link."""
+    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile, in different classes, that sizes and bitmaps allow."""
     keys = ("token", "tile", "bi", "bj")
 
     def cut(t: pa.Table, last: bool):
+        t = t.combine_chunks()
         col = {c: t.column(c).to_numpy() for c in (*keys, "blk", "fp", "cls", "n")}
         home = t.column("home").to_numpy(zero_copy_only=False)
         edge = np.flatnonzero(np.any([col[c][1:] != col[c][:-1] for c in keys], axis=0)) + 1
@@ -252,6 +253,9 @@ def _tile_pairs(num: int, den: int):
             fp, cls, n, blk = (col[c][own] for c in ("fp", "cls", "n", "blk"))
             if len(fp) < 2:
                 continue
+            raw = t.column("sig").slice(edge[k], len(fp)).to_pylist()
+            width = min(map(len, raw))
+            sig = np.stack([fold(np.frombuffer(x, np.uint8), width) for x in raw]).view(U64)
             bi, bj = col["bi"][edge[k]], col["bj"][edge[k]]
             left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
             for i in left:
@@ -259,6 +263,7 @@ def _tile_pairs(num: int, den: int):
                 js = js[(cls[js] != cls[i]) & (home[own][i] | home[own][js])]
                 js = js[den * np.minimum(n[js], n[i]) >= num * np.maximum(n[js], n[i])]
                 if len(js):
+                    js = js[overlap_bound(n[i], sig[i], n[js], sig[js]) >= need(n[i], n[js], num, den)]
                     out.append(np.stack([np.minimum(fp[js], fp[i]), np.maximum(fp[js], fp[i])], 1))
         rows = np.unique(np.concatenate(out), axis=0) if out else None
         made = [] if rows is None else [pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, c])) for c in (0, 1)], names=["a", "b"])]
@@ -360,8 +365,9 @@ def jaccard_classes(
         "token", "tile", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "fp", "cls", "n", "home"
     )
     keys = ["token", "tile", "bi", "bj"]
+    tiles = tiles.join(signs.select("fp", "sig"), "fp")
     pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_pairs(num, den), "a long, b long")
-    pairs = stage(bounded(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")), "jaccard-pairs")
+    pairs = stage(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
     if not pairs.isEmpty():
         links = links.union(stage(_verified(docs, pairs, nodes, size, num, den), "jaccard-links"))
     roots = components(spark, links).toDF("fp", "root")
