@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -181,14 +182,14 @@ def train(findings: DataFrame, per_label: int = 3000) -> list:
 def _words(batches):
     """Task: lower-case words of 3 to 12 letters with counts."""
     for b in batches:
+        met: Counter[bytes] = Counter()
         for _, _, data, _ in chunks(b.column(0)):
-            w, c = np.unique(np.array([m for m in _LETTERS.findall(data.tobytes().lower()) if 3 <= len(m) <= 12] or [b""], dtype="S12"), return_counts=True)
-            w, c = w[c > 1], c[c > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in w.tolist()], pa.string()), pa.array(c.astype(np.int64))], names=["word", "n"])
+            met.update(m for m in _LETTERS.findall(data.tobytes().lower()) if 3 <= len(m) <= 12)
+        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in met], pa.string()), pa.array(list(met.values()), pa.int64())], names=["word", "n"])
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> frozenset[bytes]:
-    """The most frequent words of all texts; counts are summed per task first, words met once in a chunk of text left out."""
+    """The most frequent words of all texts; counts are summed per task first."""
     top = docs.select("text").mapInArrow(_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return frozenset(r["word"].encode() for r in top.orderBy(F.desc("n"), "word").limit(size).collect() if r["word"])
 
