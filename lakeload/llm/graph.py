@@ -53,3 +53,27 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         mark = now
         e = stage(_small_star(_large_star(e)), "cc")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def settle(spark: SparkSession, links: DataFrame, pairs: DataFrame, verify, rounds: int = 2) -> DataFrame:
+    """``links`` plus the confirmed ones of ``pairs`` (a, b) that join components.
+
+    Some rounds verify one pair for each two components, since one link is enough to
+    join them; the last round verifies every pair whose ends are still apart, so no
+    link that matters is lost.
+    """
+    for last in [False] * rounds + [True]:
+        if pairs.isEmpty():
+            break
+        roots = components(spark, links)
+        x, y = roots.toDF("a", "ra"), roots.toDF("b", "rb")
+        apart = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
+        if last:
+            chosen = apart.select("a", "b")
+        else:
+            ends = apart.groupBy(F.least("ra", "rb").alias("lo"), F.greatest("ra", "rb").alias("hi")).agg(F.min(F.struct("a", "b")).alias("p"))
+            chosen = ends.select("p.a", "p.b")
+        chosen = stage(chosen, "cc-chosen")
+        links = links.union(stage(verify(chosen), "cc-links"))
+        pairs = stage(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "cc-pairs")
+    return links

@@ -11,7 +11,7 @@ shorter lines are only matched exactly.
 
 Equal lines are one node from the start, so copies never pair up.  The search runs
 in two rounds and loses no link: round one checks each line against the smallest
-line of its keys (linear in the rows); round two compares only lines of one key
+line of most of its keys (linear in the rows); round two compares only lines of one key
 that are still in different classes, block by block where a key is frequent.
 
 A line is the text between newlines without white space at its ends; lines without
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
-from lakeload.llm.graph import components, stage
+from lakeload.llm.graph import components, settle, stage
 from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, mix, span_hash, words
 
 #: Rows of a key that are compared at once.
@@ -246,7 +246,9 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
         both = pairs.join(y, "b").join(x, "a").where(F.abs(F.length("x") - F.length("y")) <= tau)
         return both.select("a", "b", "x", "y").mapInArrow(_check(tau), "a long, b long")
 
-    stars = met.where("h <> hub").select(F.col("hub").alias("a"), F.col("h").alias("b")).distinct()
+    # One hub for each line: the smallest line of most of its keys.
+    best = met.where("h <> hub").groupBy("h", "hub").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max(F.struct("n", "hub")).alias("m"))
+    stars = stage(best.select(F.col("m.hub").alias("a"), F.col("h").alias("b")), "lines-stars")
     links = stage(checked(stars), "lines-links")
     label = met.join(components(spark, links).toDF("h", "root"), "h", "left").select("key", "h", F.coalesce("root", "h").alias("cls"))
     label = label.withColumns({"lo": F.min("cls").over(by_key), "hi": F.max("cls").over(by_key), "n": F.count(F.lit(1)).over(by_key)}).where("lo < hi and n > 2")
@@ -254,11 +256,11 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
     label = label.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     label = label.select("key", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "h", "cls")
     keys = ["key", "bi", "bj"]
-    sized = label.join(texts.select("h", F.length("line").cast("int").alias("size")), "h")
+    traits = texts.mapInArrow(_traits, "h long, size int, tally binary")
+    sized = label.join(traits, "h")
     pairs = sized.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_pairs(tau), "a long, b long").distinct()
     pairs = stage(pairs.join(stars, ["a", "b"], "left_anti"), "lines-pairs")
-    if not pairs.isEmpty():
-        links = links.union(stage(checked(pairs), "lines-links"))
+    links = settle(spark, links, pairs, checked)
     roots = components(spark, links).toDF("h", "root")
     named = first.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     least = named.groupBy("root").agg(F.min("f").alias("keep"))
@@ -266,8 +268,23 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
     return seen, stage(classes, "lines-classes")
 
 
+def _traits(batches):
+    """Task: (h, size, tally): length in characters and counts of characters by their code modulo 32."""
+    for b in batches:
+        sizes, tallies = [], []
+        for line in b.column("line").to_pylist():
+            points = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+            sizes.append(len(points))
+            tallies.append(np.bincount(points & np.uint32(31), minlength=32).astype("<u4").tobytes())
+        yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(sizes, pa.int32()), pa.array(tallies, pa.binary())], names=["h", "size", "tally"])
+
+
 def _pairs(tau: int):
-    """Task over rows sorted by (key, bi, bj): pairs in different classes whose lengths allow a link."""
+    """Task over rows sorted by (key, bi, bj): pairs in different classes that lengths and tallies allow.
+
+    One edit changes a tally by two at most, so lines within ``tau`` edits differ by
+    at most twice ``tau``.
+    """
 
     def run(batches):
         rest = None
@@ -290,11 +307,13 @@ def _pairs(tau: int):
             if z - a < 2:
                 continue
             h, cls, size, blk = (col[c][a:z] for c in ("h", "cls", "size", "blk"))
+            tally = np.stack([np.frombuffer(x, "<u4") for x in t.column("tally").slice(a, z - a).to_pylist()]).astype(np.int64)
             left, right = np.flatnonzero(blk == col["bi"][a]), np.flatnonzero(blk == col["bj"][a])
             for i in left:
                 js = right[right > i] if col["bi"][a] == col["bj"][a] else right
                 js = js[(cls[js] != cls[i]) & (np.abs(size[js] - size[i]) <= tau)]
                 if len(js):
+                    js = js[np.abs(tally[js] - tally[i]).sum(axis=1) <= 2 * tau]
                     out.append(np.stack([np.minimum(h[js], h[i]), np.maximum(h[js], h[i])], 1))
         rows = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
         made = [pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1]))], names=["a", "b"])] if out else []
