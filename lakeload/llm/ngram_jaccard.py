@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import input_bytes, is_small
-from lakeload.llm.graph import components, stage
+from lakeload.llm.graph import components, settle, stage
 from lakeload.llm.text import U64, chunks, i64, set_print, shingles
 
 #: Rows of a tile that are compared at once.
@@ -368,8 +368,7 @@ def jaccard_classes(
     tiles = tiles.join(signs.select("fp", "sig"), "fp")
     pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_pairs(num, den), "a long, b long")
     pairs = stage(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
-    if not pairs.isEmpty():
-        links = links.union(stage(_verified(docs, pairs, nodes, size, num, den), "jaccard-links"))
+    links = settle(spark, links, pairs, lambda p: _verified(docs, p, nodes, size, num, den))
     roots = components(spark, links).toDF("fp", "root")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
