@@ -81,9 +81,9 @@ def base_counts(documents: DataFrame, id_col: str, text_col: str, keep: list[Col
 
 
 def _vector() -> list[Column]:
-    words = F.col("n_words").cast("double")
+    words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return [
-        F.log(F.col("word_chars") / words).alias("x0"),
+        F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words).alias("x0"),
         F.log1p(100.0 * F.col("n_symbols") / words).alias("x1"),
         (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)).cast("double")).alias("x2"),
         (F.col("n_repeat_words") / words).alias("x3"),
