@@ -15,6 +15,8 @@ Beyond the bound the caller keeps the shuffle join.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -42,7 +44,7 @@ def input_bytes(df: DataFrame) -> int | None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     wanted: dict[str, set[str]] = {}
     for f in files:
-        parent, _, name = f.rpartition("/")
+        parent, _, name = unquote(f).rpartition("/")  # file names come URL-encoded
         wanted.setdefault(parent, set()).add(name)
     total = 0
     for parent, names in wanted.items():  # one listing per folder, not one call per file

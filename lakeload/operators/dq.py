@@ -240,7 +240,7 @@ def results_frame(results: DataFrame) -> DataFrame:
     return results.select(
         "Table Name", "Attribute Name", "Rule Definition", "Domain", "DQ Dimension",
         "Constraint Status", "Constraint Message",
-        F.col("Key").cast("int").alias("Row Num"), F.col("total_rows").cast("int").alias("Total Rows"),
+        F.col("Key").cast("int").alias("Row Num"), F.col("total_rows").cast("long").alias("Total Rows"),
         "metric_value", "pass_fraction",
     )
 
@@ -254,7 +254,7 @@ def empty_results(spark: SparkSession) -> DataFrame:
                 for n, t in [
                     ("Table Name", "string"), ("Attribute Name", "string"), ("Rule Definition", "string"),
                     ("Domain", "string"), ("DQ Dimension", "string"), ("Constraint Status", "string"),
-                    ("Constraint Message", "string"), ("Row Num", "integer"), ("Total Rows", "integer"),
+                    ("Constraint Message", "string"), ("Row Num", "integer"), ("Total Rows", "long"),
                     ("metric_value", "double"), ("pass_fraction", "double"),
                 ]
             ],

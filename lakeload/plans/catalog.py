@@ -890,7 +890,7 @@ SELECT meta.tn AS "Table Name", meta.attr AS "Attribute Name", meta.def AS "Rule
        meta.dim AS "DQ Dimension",
        CASE WHEN met.holds THEN 'Success' ELSE 'Failure' END AS "Constraint Status",
        CASE WHEN met.holds THEN '' ELSE 'Value: ' || coalesce(CAST(round(met.m, 6) AS VARCHAR), 'null') || ' does not meet the constraint requirement!' END AS "Constraint Message",
-       CAST(met.k AS INTEGER) AS "Row Num", CAST(met.total AS INTEGER) AS "Total Rows",
+       CAST(met.k AS INTEGER) AS "Row Num", CAST(met.total AS BIGINT) AS "Total Rows",
        met.m AS metric_value, met.p AS pass_fraction
 FROM met JOIN meta ON met.tn = meta.tn AND met.k = meta.k"""
 

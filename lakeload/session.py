@@ -50,7 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        # Only when the cluster names no shared folder (local tests).
+        # Executors of a cluster do not see this machine's folders.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lakeload-ckpt-")
         try:
             spark.conf.set(_CHECKPOINT_KEY, root)

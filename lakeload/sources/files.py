@@ -65,8 +65,12 @@ def scan_explicit_schema(spark: SparkSession, path: str, spec: TableSpec) -> Dat
 
 
 def execution_id_of(file_path):
-    """Execution id of a raw file: its folder's name, without a ``key=`` prefix."""
+    """Execution id of a raw file: its folder's name, without a ``key=`` prefix.
+
+    ``_metadata.file_path`` is URL-encoded; a plus sign in it is a plus sign.
+    """
     folder = F.regexp_extract(file_path, r"/([^/]+)/[^/]+$", 1)
+    folder = F.url_decode(F.regexp_replace(folder, r"\+", "%2B"))
     return F.regexp_replace(folder, r"^[^=]*=", "")
 
 

@@ -251,3 +251,15 @@ def test_collapsed_stream_bootstrap_equals_batch_fold(spark, tmp_root):
     ledger = Ledger(spark, f"{tmp_root}/stream/ledger")
     stream_cdc_apply(spark, f"{zones.raw}/orders", fx.ORDERS_SPEC, table, ledger, f"{tmp_root}/stream/ckpt", collapse=True)
     assert sorted(map(tuple, table.read().collect())) == want
+
+
+def test_execution_folder_names_are_decoded(spark, tmp_root):
+    from lakeload.functions.sizing import input_bytes
+    from lakeload.sources import scan_executions
+
+    names = ["run 1", "a+b", "c%20d"]
+    for n in names:
+        spark.range(3).write.parquet(f"{tmp_root}/{n}")
+    df = scan_executions(spark, tmp_root)
+    assert {r["execution_id"] for r in df.select("execution_id").distinct().collect()} == set(names)
+    assert input_bytes(df) > 0
