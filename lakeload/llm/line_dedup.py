@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
 from lakeload.llm.graph import components, settle, stage
-from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, mix, span_hash, words
+from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, mix, span_hash, value_hash, words
 
 #: Rows of a key that are compared at once.
 KEY_ROWS = 512
@@ -65,16 +65,6 @@ def _occurrences(batches):
             yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int64)), pa.array(h)], names=["id", "pos", "h"])
 
 
-def _point_hash(points: np.ndarray):
-    """Prefix sums that hash any span of code points; ``of(start, end)`` gives the hashes."""
-    raw = points.view(np.uint8)
-
-    def of(start, end):
-        return span_hash(raw, start * 4, end * 4)
-
-    return of
-
-
 def line_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     """``(line, key)`` of all index segments and probe substrings of lines given as code-point spans."""
     size = end - start
@@ -98,7 +88,7 @@ def line_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int)
                 tag.append((length[ok].astype(U64) << U64(8)) + U64(seg))
     a, b, line, tag = (np.concatenate(x) for x in (spans_a, spans_b, line, tag))
     with np.errstate(over="ignore"):
-        key = mix(_point_hash(points)(a, b) + mix(tag))
+        key = mix(value_hash(mix(points.astype(U64) + U64(1)), a, b) + mix(tag))
     return line, i64(key)
 
 

@@ -76,8 +76,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+#: Powers kept by a worker: enough for a chunk; a longer text makes its own for the time of use.
+_KEPT_POWERS = 1 << 21
+
+
+def _make_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2^64."""
     up, down = np.full(size, _MULT, U64), np.full(size, _INV, U64)
     up[0] = down[0] = 1
@@ -85,22 +88,31 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
         return np.cumprod(up), np.cumprod(down)
 
 
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _make_powers(_KEPT_POWERS)
+
+
 @lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(np.arange(1, 257, dtype=U64) * U64(_MULT))
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; equal bytes give equal hashes wherever they stand."""
-    size = 1 << max(16, int(len(data) + 1).bit_length())
-    up, down = _powers(size)
+def value_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of 64-bit values; equal spans give equal hashes wherever they stand."""
+    up, down = _kept_powers() if len(values) < _KEPT_POWERS else _make_powers(len(values) + 1)
     with np.errstate(over="ignore"):
-        acc = np.zeros(len(data) + 1, U64)
-        np.cumsum(_byte_values()[data] * up[: len(data)], out=acc[1:])
+        acc = np.zeros(len(values) + 1, U64)
+        np.cumsum(values * up[: len(values)], out=acc[1:])
         return mix((acc[end] - acc[start]) * down[start] + (end - start).astype(U64))
 
 
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``value_hash`` of byte spans."""
+    return value_hash(_byte_values()[data], start, end)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(start, end, doc)`` of each maximal run of bytes outside ``breaks``, cut at document ends."""
     if not len(data):

@@ -19,7 +19,7 @@ from itertools import chain
 import numpy as np
 
 #: Pieces a worker keeps (about 150 bytes each).
-CACHE_PIECES = 600_000
+CACHE_PIECES = 450_000
 #: Pieces that go through the library at once.
 ENCODE_PIECES = 4096
 
