@@ -17,7 +17,6 @@ Only the id and text columns are read.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -189,13 +188,6 @@ def _place(slot: dict[str, np.ndarray]):
     return run
 
 
-def _digest(batches):
-    for b in batches:
-        crc = pa.array([zlib.crc32(x.as_buffer()) for x in b.column("ids")], pa.int64())
-        names = ["part", "doc_id", "piece", "start", "length", "place"]
-        yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [crc], names=[*names, "crc"])
-
-
 def pack_documents(
     documents: DataFrame,
     tokenizer_path: str,
@@ -220,7 +212,7 @@ def pack_documents(
     base = stage(base, "pack-base")
     counts = {r["length"]: r["n"] for r in base.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     plan = slots(reduce_and_fit(counts, capacity))
-    small = pieces.mapInArrow(_digest, "part int, doc_id long, piece int, start long, length long, place long, crc long")
+    small = pieces.select("part", "doc_id", "piece", "start", "length", "place", F.crc32("ids").alias("crc"))
     places = small.join(base.select("length", "part", "base"), ["length", "part"])
     places = places.mapInArrow(_place(plan), "doc_id long, piece int, start long, length long, crc long, sequence_id long, offset long")
     return pieces, places
