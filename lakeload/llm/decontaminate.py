@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.text import LOWER, NOT_ALNUM, U64, chunks, mix, span_hash, words
+from lakeload.llm.text import LOWER, NOT_ALNUM, U64, chunks, mix, span_hash, words, lean
 
 #: Words that one lane starts in; longer documents are several lanes.
 LANE = 256
@@ -196,7 +196,7 @@ def find_items(
     parts = []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()  # one block, bounded by block_words
-        parts.append(docs.mapInArrow(_scan(window_tables([(r["item"], r["text"]) for r in rows], window)), _ROW))
+        parts.append(docs.mapInArrow(lean(_scan(window_tables([(r["item"], r["text"]) for r in rows], window))), _ROW))
     out = parts[0]
     if blocks > 1:
         hits = parts[0].where("size(items) > 0")
@@ -210,7 +210,7 @@ def find_items(
         out = base.join(hits, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
         empty = F.array().cast("array<struct<first: long, last: long>>")
         out = out.select("id", "n_words", F.coalesce("spans", empty).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), "key")
-        out = out.mapInArrow(_merge_rows, _ROW)
+        out = out.mapInArrow(lean(_merge_rows), _ROW)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"])
     return out.select(F.col("id").alias(id_col), "n_words", "spans", "items", n_hit.alias("n_hit"))
 

@@ -23,9 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.graph import stage
-from lakeload.llm.text import byte_set, chunks, has_letter
+from lakeload.llm.text import byte_set, chunks, has_letter, lean
 
 FEATURES = 4096
+#: Documents whose features are made at once (8 bytes a feature).
+FEATURE_ROWS = 256
 #: Bytes that count as one blank: controls, digits and ASCII punctuation.
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
@@ -103,7 +105,7 @@ def decode(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def _feature_rows(batches):
     for b in batches:
-        for i, j, data, off in chunks(b.column(0)):
+        for i, j, data, off in chunks(b.column(0), rows=FEATURE_ROWS):
             x = features(data, off).astype(np.float16)
             yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
 
@@ -124,15 +126,15 @@ def train(documents: DataFrame, may_learn: Column, text_col: str = "text", lang_
     if not counts:
         return None
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n) * 1e6)])
-    sample = rows.where(F.col("draw") < share[F.col("lang")]).select("text", "lang").mapInArrow(_feature_rows, "lang string, x binary")
-    made = stage(sample, "language-sample").repartition(1).mapInArrow(_fit_task, "model binary").first()
+    sample = rows.where(F.col("draw") < share[F.col("lang")]).select("text", "lang").mapInArrow(lean(_feature_rows), "lang string, x binary")
+    made = stage(sample, "language-sample").repartition(1).mapInArrow(lean(_fit_task), "model binary").first()
     return pickle.loads(made["model"]) if made else None
 
 
 def _predict(model: dict | None, min_gap: float):
     def run(batches):
         for b in batches:
-            for i, j, data, off in chunks(b.column(1)):
+            for i, j, data, off in chunks(b.column(1), rows=FEATURE_ROWS):
                 n = j - i
                 lang, score, unsure = ["und"] * n, np.zeros(n), np.zeros(n, bool)
                 if model is not None:
@@ -148,7 +150,7 @@ def _predict(model: dict | None, min_gap: float):
 def identify(documents: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", min_gap: float = 0.05) -> DataFrame:
     """Per document: id, ``lang_pred``, ``score``, ``ambiguous`` (the two best codewords differ by less than ``min_gap`` in loss)."""
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = docs.mapInArrow(_predict(model, min_gap), "id long, lang_pred string, score double, ambiguous boolean")
+    out = docs.mapInArrow(lean(_predict(model, min_gap)), "id long, lang_pred string, score double, ambiguous boolean")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -169,4 +171,4 @@ def _clear(model: dict | None, min_gap: float):
 def keep_clear(documents: DataFrame, model: dict | None, text_col: str = "text", min_gap: float = 0.05) -> DataFrame:
     """``documents`` without those of no or of ambiguous language."""
     wide = documents.withColumn("_text", F.col(text_col).cast("string"))
-    return wide.mapInArrow(_clear(model, min_gap), documents.schema)
+    return wide.mapInArrow(lean(_clear(model, min_gap)), documents.schema)

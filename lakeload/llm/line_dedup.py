@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
 from lakeload.llm.graph import components, settle, stage
-from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, mix, span_hash, value_hash, words
+from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, lean, mix, span_hash, value_hash, words
 
 #: Rows of a key that are compared at once.
 KEY_ROWS = 512
@@ -218,23 +218,23 @@ def _check(tau: int):
 def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
     """``(occurrences (id, pos, h), classes (h, keep_id, keep_pos))`` of the lines of (id, text) rows."""
     spark = docs.sparkSession
-    seen = stage(docs.mapInArrow(_occurrences, "id long, pos long, h long"), "lines-seen")
+    seen = stage(docs.mapInArrow(lean(_occurrences), "id long, pos long, h long"), "lines-seen")
     first = stage(seen.groupBy("h").agg(F.min(F.struct("id", "pos")).alias("f")), "lines-first")
 
     by_key = Window.partitionBy("key")
-    met = docs.select("text").mapInArrow(_keys(tau, min_chars), "key long, h long")
+    met = docs.select("text").mapInArrow(lean(_keys(tau, min_chars)), "key long, h long")
     met = met.repartition("key").dropDuplicates(["key", "h"]).withColumns({"lo": F.min("h").over(by_key), "hi": F.max("h").over(by_key)})
     met = stage(met.where("lo < hi").select("key", "h", F.col("lo").alias("hub")), "lines-met")
 
     wanted = stage(first.join(met.select("h").distinct(), "h", "left_semi").select(F.col("f.id").alias("want")).distinct(), "lines-docs")
     ids = F.broadcast(wanted) if is_small(wanted) else wanted
-    texts = docs.join(ids, docs["id"].eqNullSafe(ids["want"]), "left_semi").select("text").mapInArrow(_line_rows, "h long, line string")
+    texts = docs.join(ids, docs["id"].eqNullSafe(ids["want"]), "left_semi").select("text").mapInArrow(lean(_line_rows), "h long, line string")
     texts = stage(texts.join(met.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"]), "lines-text")
 
     def checked(pairs: DataFrame) -> DataFrame:
         x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
         both = pairs.join(y, "b").join(x, "a").where(F.abs(F.length("x") - F.length("y")) <= tau)
-        return both.select("a", "b", "x", "y").mapInArrow(_check(tau), "a long, b long")
+        return both.select("a", "b", "x", "y").mapInArrow(lean(_check(tau)), "a long, b long")
 
     # One hub for each line: the smallest line of most of its keys.
     best = met.where("h <> hub").groupBy("h", "hub").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.max(F.struct("n", "hub")).alias("m"))
@@ -246,9 +246,9 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
     label = label.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     label = label.select("key", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "h", "cls")
     keys = ["key", "bi", "bj"]
-    traits = texts.mapInArrow(_traits, "h long, size int, tally binary")
+    traits = texts.mapInArrow(lean(_traits), "h long, size int, tally binary")
     sized = label.join(traits, "h")
-    pairs = sized.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_pairs(tau), "a long, b long").distinct()
+    pairs = sized.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_pairs(tau)), "a long, b long").distinct()
     pairs = stage(pairs.join(stars, ["a", "b"], "left_anti"), "lines-pairs")
     links = settle(spark, links, pairs, checked)
     roots = components(spark, links).toDF("h", "root")

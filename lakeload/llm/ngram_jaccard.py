@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import input_bytes, is_small
 from lakeload.llm.graph import components, settle, stage
-from lakeload.llm.text import U64, chunks, i64, set_print, shingles
+from lakeload.llm.text import U64, chunks, i64, lean, set_print, shingles
 
 #: Rows of a tile that are compared at once.
 TILE_ROWS = 2048
@@ -287,10 +287,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, size: int, nu
     reps = stage(nodes.join(wanted, "fp", "left_semi").select("rep"), "jaccard-reps")
     ids = F.broadcast(reps) if is_small(reps) else reps
     texts = docs.join(ids, docs["id"].eqNullSafe(ids["rep"]), "left_semi")
-    sets = texts.mapInArrow(_set_rows(size), "fp long, items binary")
+    sets = texts.mapInArrow(lean(_set_rows(size)), "fp long, items binary")
     sets = stage(sets.dropDuplicates(["fp"]), "jaccard-sets")
     x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
-    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_intersect(num, den), "a long, b long")
+    return pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(lean(_intersect(num, den)), "a long, b long")
 
 
 def jaccard_classes(
@@ -302,11 +302,11 @@ def jaccard_classes(
     bytes_in = input_bytes(documents) or 0
     range_bits = min(20, max(4, int(bytes_in // RANGE_BYTES).bit_length()))
     met_bits = max(range_bits + 3, min(MAX_MET_BITS.bit_length() - 1, max(16, int(bytes_in // 4).bit_length())))
-    signed = stage(docs.mapInArrow(_sign(size, range_bits), SIGNED), "jaccard-signed")
+    signed = stage(docs.mapInArrow(lean(_sign(size, range_bits)), SIGNED), "jaccard-signed")
     rows = signed.where("token is null and range is null").select("id", "n", "fp", "sig")
     ranges = signed.where("range is not null").select("range", "tokens").repartition(1 << range_bits, "range")
     bits = np.zeros((1 << range_bits, 1 << (met_bits - range_bits - 3)), np.uint8)
-    for r in ranges.mapInArrow(_met_again(met_bits - range_bits), "range int, bits binary").collect():  # MAX_MET_BITS in all
+    for r in ranges.mapInArrow(lean(_met_again(met_bits - range_bits)), "range int, bits binary").collect():  # MAX_MET_BITS in all
         bits[r["range"]] = np.frombuffer(r["bits"], np.uint8)
     again = bits.ravel()
     met = signed.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= COMMON_TOTAL)
@@ -319,7 +319,7 @@ def jaccard_classes(
     signs = stage(signs, "jaccard-signs")
     nodes = signs.select("fp", "rep", "n")
 
-    prefix = docs.mapInArrow(_prefixes(size, num, den, common, rank, again, met_bits), "token long, fp long")
+    prefix = docs.mapInArrow(lean(_prefixes(size, num, den, common, rank, again, met_bits)), "token long, fp long")
     by_token = Window.partitionBy("token")
     prefix = prefix.repartition("token").dropDuplicates(["token", "fp"])
     prefix = prefix.withColumns({"hub": F.min("fp").over(by_token), "last": F.max("fp").over(by_token)})
@@ -328,7 +328,7 @@ def jaccard_classes(
     def bounded(pairs: DataFrame) -> DataFrame:
         x, y = signs.select("fp", "n", "sig").toDF("a", "na", "siga"), signs.select("fp", "n", "sig").toDF("b", "nb", "sigb")
         both = pairs.join(y, "b").join(x, "a").where(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-        return both.select("a", "b", "na", "nb", "siga", "sigb").mapInArrow(_bitmap_filter(num, den), "a long, b long")
+        return both.select("a", "b", "na", "nb", "siga", "sigb").mapInArrow(lean(_bitmap_filter(num, den)), "a long, b long")
 
     # Each node and the smallest node that most of its shingles meet, as long as their components differ.
     links, tried = None, None
@@ -366,7 +366,7 @@ def jaccard_classes(
     )
     keys = ["token", "tile", "bi", "bj"]
     tiles = tiles.join(signs.select("fp", "sig"), "fp")
-    pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_pairs(num, den), "a long, b long")
+    pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_tile_pairs(num, den)), "a long, b long")
     pairs = stage(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
     links = settle(spark, links, pairs, lambda p: _verified(docs, p, nodes, size, num, den))
     roots = components(spark, links).toDF("fp", "root")

@@ -7,6 +7,7 @@ size of an Arrow batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -55,17 +56,40 @@ def buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
-def chunks(col, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield ``(first, last, bytes, offsets)`` for runs of whole documents; offsets start at 0."""
+def chunks(col, limit: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yield ``(first, last, bytes, offsets)`` for runs of at most ``rows`` whole documents; offsets start at 0."""
     data, offsets = buffers(col)
     n, i = len(offsets) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
-        j = min(j, n)
+        j = min(j, n, i + rows)
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that hands free memory back; nothing where it has none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return int
+
+
+def lean(task):
+    """``task`` (over Arrow batches) that hands freed memory back to the system when it ends.
+
+    Workers live on between tasks and stages; without it each keeps the peak of all of them.
+    """
+
+    def run(batches):
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer (xor-shift and multiply)."""
     x = x ^ (x >> U64(30))
@@ -77,7 +101,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 #: Powers kept by a worker: enough for a chunk; a longer text makes its own for the time of use.
-_KEPT_POWERS = 1 << 21
+_KEPT_POWERS = CHUNK_BYTES + 1
 
 
 def _make_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
