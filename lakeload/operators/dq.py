@@ -14,6 +14,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -176,18 +177,37 @@ def _result_struct(key: Column, metric: Column, pass_frac: Column, holds: Column
     )
 
 
+def rule_error(df: DataFrame, rule: Rule) -> str | None:
+    """Why a rule cannot run on this table (unknown column, function or text); None if it can."""
+    if rule.attribute not in df.columns and rule.function != "satisfies":
+        return f"Input data does not include column {rule.attribute}!"
+    if rule.function == "isUnique":
+        return None
+    try:
+        df.agg(*_rule_metric(rule))  # analysis only
+    except (AnalysisException, KeyError, ValueError) as e:
+        return str(e).split("\n")[0]
+    return None
+
+
+def _failed() -> tuple[Column, Column, Column]:
+    return F.lit(None).cast("double"), F.lit(0.0), F.lit(False)
+
+
 def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: Key, metric_value, pass_fraction, holds, total_rows.
 
     Rules that share the table scan are fused into a single aggregation; each
-    uniqueness rule adds one group-by (map-side combined) over its column.
+    uniqueness rule adds one group-by (map-side combined) over its column.  A rule
+    that cannot run fails alone: no metric, pass fraction 0.
     """
-    shared = [r for r in rules if r.function != "isUnique"]
+    broken = {r.key for r in rules if rule_error(df, r) is not None}
+    shared = [r for r in rules if r.function != "isUnique" or r.key in broken]
     parts = []
     if shared:
         cols = []
         for i, r in enumerate(shared):
-            m, p, h = _rule_metric(r)
+            m, p, h = _failed() if r.key in broken else _rule_metric(r)
             cols += [m.alias(f"m{i}"), p.alias(f"p{i}"), h.alias(f"h{i}")]
         agg = df.agg(F.count(F.lit(1)).alias("__total"), *cols)
         structs = [
@@ -196,7 +216,7 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         ]
         parts.append(agg.select(F.inline(F.array(*structs))))
     for r in rules:
-        if r.function != "isUnique":
+        if r.function != "isUnique" or r.key in broken:
             continue
         c = F.col(f"`{r.attribute}`")
         freq = df.groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
@@ -224,10 +244,15 @@ def check_table(
         parsed = _rules_for(rules, table_name)
     if not parsed:
         return None
+    message = _message(F.col("metric_value"), F.col("holds"))
+    for r in parsed:
+        error = rule_error(df, r)
+        if error is not None:
+            message = F.when(F.col("Key") == r.key, F.lit(error)).otherwise(message)
     res = rule_metrics(df, parsed).select(
         "*",
         F.when(F.col("holds"), F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("Constraint Status"),
-        _message(F.col("metric_value"), F.col("holds")).alias("Constraint Message"),
+        message.alias("Constraint Message"),
         F.lit(table_name).alias("table_name"),
     )
     table_rules = rules.filter(F.col("Table Name") == table_name)

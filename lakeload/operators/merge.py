@@ -249,6 +249,12 @@ def update_step(target: DataFrame, source: DataFrame, keys: Sequence[str], flag:
     return src.join(target.select(*keys), list(keys), "left_semi").select(*target.columns)
 
 
+def repeats_keys(batches: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> bool:
+    """Whether one batch (``order_by``) holds a complete key more than once."""
+    rows = batches.filter(all_not_null(keys)).groupBy(*keys, *order_by).agg(F.count(F.lit(1)).alias(_N))
+    return not rows.filter(F.col(_N) > 1).isEmpty()
+
+
 def collapse_changes(
     batches: DataFrame,
     keys: Sequence[str],

@@ -8,6 +8,7 @@ checkpoint directory and return the re-read result.
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -720,7 +721,7 @@ SELECT 'customer', 'Table Sucessfull Loaded', count(*), count(*) FROM customer""
 def full_load_silver(spark, sf):
     zones, log = _full_lake(spark, sf)
     log.collect()
-    return spark.read.parquet(f"{zones.silver}/orders/current")
+    return zones.silver_table(spark, fx.ORDERS_SPEC).read()
 
 
 @query(
@@ -1075,6 +1076,34 @@ def catalog_table_exists(spark, sf):
     return gold.union_all(parts)
 
 
+def _loaded_lake(spark, sf, name):
+    """Silver orders fully loaded (the table before the change), change executions pending."""
+    zones = jobs.Zones.under(work_dir(spark, name))
+    spec = replace(fx.ORDERS_SPEC, path="orders_full", path_cdc="orders_cdc")
+    jobs.write_executions(fx.orders_before(spark, sf), f"{zones.raw}/orders_full", F.lit("0001"))
+    jobs.write_executions(fx.orders_batch(spark, sf), f"{zones.raw}/orders_cdc", F.year("o_orderdate"))
+    jobs.full_load(spark, [spec], zones).collect()
+    return zones, spec
+
+
+@query("full_then_cdc", SQL_MERGE_CDC)
+def full_then_cdc(spark, sf):
+    """A full load, then the CDC job on the same silver table."""
+    zones, spec = _loaded_lake(spark, sf, "lake-full-cdc")
+    jobs.cdc_load(spark, [spec], zones, processed_at=PROCESSED_AT, collapse=True).collect()
+    return zones.silver_table(spark, spec).read()
+
+
+@query("end_to_end_cdc_load", ORACLE_SQL["gold_cdc_merge"])
+def end_to_end_cdc_load(spark, sf):
+    """Databases, CDC silver, data quality, CDC gold: the gold table from the catalog."""
+    zones, spec = _loaded_lake(spark, sf, "lake-e2e-cdc")
+    jobs.gold_full_load(spark, [GOLD_STATUS], {"orders": zones.silver_table(spark, spec).read()}, zones).collect()
+    dbs = {"raw": "lakeload_raw", "silver": "lakeload_silver_e2e_cdc", "gold": "lakeload_gold_cdc"}
+    jobs.run_cdc_pipeline(spark, [spec], [GOLD_STATUS], zones, rules(spark), AS_OF, dbs, processed_at=PROCESSED_AT, collapse=True)
+    return spark.table("lakeload_gold_cdc.status_by_campaign")
+
+
 # ---------------------------------------------------------------------------
 # Partition-scoped merge (rewrites only the partitions a batch touches)
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ DataFrames built from the counts the jobs observed while writing.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -17,12 +18,14 @@ from pyspark.sql import functions as F
 
 from lakeload.functions import is_small
 from lakeload.operators import dq as dqmod
-from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, merge, metric_columns
+from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, merge, metric_columns, repeats_keys
 from lakeload.operators.project import cast_projection
-from lakeload.sinks import Ledger, VersionedTable, archive_batch, replace_table
+from lakeload.sinks import Ledger, VersionedTable, archive_batch
 from lakeload.sources import EXECUTION_COL, list_dirs, path_exists, scan_executions
 from lakeload.specs import DELETE_FLAG, GoldSpec, TableSpec
 
+LOG = logging.getLogger(__name__)
+
 # Status texts of the load logs (kept verbatim).
 STATUS_LOADED = "Table Sucessfull Loaded"
 STATUS_NO_DATA = "Don't exist data for the table"
@@ -95,6 +98,9 @@ def full_load(
 ) -> DataFrame:
     """Replace each silver table with its latest execution; log every execution.
 
+    The load commits the next version of the same table that ``cdc_load`` merges
+    into, so changes apply to what was loaded and a crash leaves the old version.
+
     Executions replace one another, so only the last one (in name order) is
     written.  First one job casts every execution (strict mode fails on a bad
     value, as a per-execution load would) and counts its rows; if that fails the
@@ -115,15 +121,15 @@ def full_load(
             counts = {r[EXECUTION_COL]: r["rows"] for r in execution_counts(spark, raw, spec, lenient).collect()}
             obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
             batch = spark.read.parquet(f"{raw}/{last}").observe(obs, F.count(F.lit(1)).alias("rows"))
-            written = replace_table(
-                cast_projection(batch, spec, lenient), f"{zones.silver}/{spec.name}/current", spec.partition_by
-            )
+            _, m = zones.silver_table(spark, spec).commit(cast_projection(batch, spec, lenient))
+            written = int(m["rows"])
             for folder in folders:
                 name = execution_name(folder)
                 n = int(obs.get["rows"]) if folder == last else int(counts.get(name, 0))
                 loaded = written if folder == last else n
                 log.append((spec.name, STATUS_LOADED, loaded, n))
         except Exception:  # noqa: BLE001 - one table's failure must not stop the others
+            LOG.exception("%s: full load failed", spec.name)
             log.append((spec.name, STATUS_ERROR, 0, 0))
     return spark.createDataFrame(log, FULL_LOG_SCHEMA)
 
@@ -170,11 +176,19 @@ def apply_batch(
 def apply_collapsed(
     spark: SparkSession, table: VersionedTable, spec: TableSpec, raw: str, folders: Sequence[str], flag: str = DELETE_FLAG
 ) -> dict:
-    """Merge several execution folders as one net change (see ``collapse_changes``)."""
+    """Merge several execution folders as one net change (see ``collapse_changes``).
+
+    When one of them holds a key twice they are applied one by one instead, as the
+    batch-by-batch job does.
+    """
     rows = scan_executions(spark, raw)
     wanted = [execution_name(f) for f in folders]
     rows = rows.filter(F.col(EXECUTION_COL).isin(*wanted))
     typed = cast_projection(rows, spec, keep=(flag, EXECUTION_COL))
+    if repeats_keys(typed, spec.keys, [EXECUTION_COL]):
+        for folder in folders:  # no net change exists: batch by batch
+            m = apply_batch(spark, table, spec, spark.read.parquet(f"{raw}/{folder}"), flag=flag, batch_ids=[execution_name(folder)])
+        return m
     if not table.exists():
         first = typed.filter(F.col(EXECUTION_COL) == wanted[0]).drop(flag, EXECUTION_COL)
         table.commit(first)
@@ -268,6 +282,7 @@ def cdc_load(
             row = (spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
             log.append(row + (reads if with_read_counts else ()))
         except Exception:  # noqa: BLE001
+            LOG.exception("%s: load failed", spec.name)
             log.append((spec.name, STATUS_ERROR, 0, 0, 0) + ((0, 0) if with_read_counts else ()))
     return spark.createDataFrame(log, CDC_TEST_LOG_SCHEMA if with_read_counts else CDC_LOG_SCHEMA)
 
@@ -312,6 +327,7 @@ def _cdc_load_partitioned(
                     archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)
             log.append((spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"]))
         except Exception:  # noqa: BLE001
+            LOG.exception("%s: load failed", spec.name)
             log.append((spec.name, STATUS_ERROR, 0, 0, 0))
     return spark.createDataFrame(log, CDC_LOG_SCHEMA)
 
@@ -357,6 +373,7 @@ def gold_full_load(
             _, m = table.commit(g.build(silver))
             log.append((g.name, STATUS_LOADED, int(m["rows"]), int(m["rows"])))
         except Exception:  # noqa: BLE001
+            LOG.exception("%s: load failed", g.name)
             log.append((g.name, STATUS_ERROR, 0, 0))
     return spark.createDataFrame(log, FULL_LOG_SCHEMA)
 
@@ -377,6 +394,7 @@ def gold_cdc_load(
             _, m = commit_merge(table, result, base_version=base)
             log.append((g.name, STATUS_LOADED, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"]))
         except Exception:  # noqa: BLE001
+            LOG.exception("%s: load failed", g.name)
             log.append((g.name, STATUS_ERROR, 0, 0, 0))
     return spark.createDataFrame(log, CDC_LOG_SCHEMA)
 
@@ -466,6 +484,44 @@ def register_external(spark: SparkSession, qualified_name: str, path: str) -> No
     spark.sql(f"CREATE TABLE {qualified_name} USING parquet LOCATION '{path}'")
 
 
+def create_zone_databases(spark: SparkSession, zones: Zones, databases: Mapping[str, str]) -> None:
+    for zone, db in databases.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{getattr(zones, zone, zones.meta)}/_db_{db}'")
+
+
+def register_current(spark: SparkSession, db: str, tables: Mapping[str, VersionedTable]) -> dict[str, DataFrame]:
+    """Catalog tables over the latest version of each table that has one."""
+    out = {}
+    for name, table in tables.items():
+        if table.exists():
+            register_external(spark, f"{db}.{name}", table.path())
+            out[name] = spark.table(f"{db}.{name}")
+    return out
+
+
+def run_cdc_pipeline(
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    golds: Sequence[GoldSpec],
+    zones: Zones,
+    rules: DataFrame,
+    as_of: str,
+    databases: Mapping[str, str],
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Apply pending changes to silver, check it, merge the gold views; (load log, DQ report).
+
+    ``options`` go to ``cdc_load``.  Silver and gold are in the catalog afterwards.
+    """
+    create_zone_databases(spark, zones, databases)
+    log = cdc_load(spark, specs, zones, **options)
+    present = register_current(spark, databases["silver"], {s.name: zones.silver_table(spark, s) for s in specs})
+    report = dq_job(spark, present, rules, as_of)
+    gold_log = gold_cdc_load(spark, golds, present, zones)
+    register_current(spark, databases["gold"], {g.name: zones.gold_table(spark, g) for g in golds})
+    return log.unionByName(gold_log), report
+
+
 def run_full_pipeline(
     spark: SparkSession,
     specs: Sequence[TableSpec],
@@ -482,17 +538,12 @@ def run_full_pipeline(
     quality sweep checks every configured table that exists there; gold builders
     read the silver tables from the catalog.  Returns (load log, DQ report).
     """
-    for zone, db in databases.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{getattr(zones, zone, zones.meta)}/_db_{db}'")
-    silver_db = databases["silver"]
+    create_zone_databases(spark, zones, databases)
     log = full_load(spark, specs, zones)
-    for spec in specs:
-        path = f"{zones.silver}/{spec.name}/current"
-        if path_exists(spark, path):
-            register_external(spark, f"{silver_db}.{spec.name}", path)
-    present = {s.name: spark.table(f"{silver_db}.{s.name}") for s in specs if spark.catalog.tableExists(f"{silver_db}.{s.name}")}
+    present = register_current(spark, databases["silver"], {s.name: zones.silver_table(spark, s) for s in specs})
     report = dq_job(spark, present, rules, as_of)
     gold_log = gold_full_load(spark, golds, present, zones)
+    register_current(spark, databases["gold"], {g.name: zones.gold_table(spark, g) for g in golds})
     return log.unionByName(gold_log), report
 
 
@@ -537,8 +588,12 @@ def load_with_rollback(
                 raise RuntimeError(f"{spec.name}: version {version} failed validation")
             log.append((spec.name, STATUS_LOADED, int(loaded), int(version)))
         except Exception:  # noqa: BLE001
-            current = good
-            if good is not None and table.latest_version() != good:
-                current = table.restore(good)
+            LOG.exception("%s: load failed", spec.name)
+            current, bad = good, table.latest_version()
+            if bad != good:
+                if good is None:  # a first load: nothing to go back to, so nothing stays readable
+                    table.retract(bad)
+                else:
+                    current = table.restore(good)
             log.append((spec.name, STATUS_ROLLED_BACK, 0, int(current or 0)))
     return spark.createDataFrame(log, "TableName string, Status string, Rows_Loaded bigint, table_version bigint")

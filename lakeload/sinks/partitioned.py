@@ -35,13 +35,6 @@ def _partition_filter(partition_by: Sequence[str], values: list[tuple]):
     return cond
 
 
-def _partition_dir(partition_by: Sequence[str], vals: tuple) -> str:
-    parts = []
-    for col, v in zip(partition_by, vals):
-        parts.append(f"{col}=__HIVE_DEFAULT_PARTITION__" if v is None else f"{col}={v}")
-    return "/".join(parts)
-
-
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
@@ -60,11 +53,15 @@ def merge_into_partitions(
     touched = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
     if not touched:
         return {"num_inserted_rows": 0, "num_updated_rows": 0, "num_deleted_rows": 0, "num_dropped_rows": 0}
+    # The batch's schema, so that partition values are not typed by their looks.
+    schema, folders = batch.drop(flag).schema, []
     if path_exists(spark, path):
-        target = spark.read.parquet(path).filter(_partition_filter(partition_by, touched))
+        target = spark.read.schema(schema).parquet(path).filter(_partition_filter(partition_by, touched))
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1).alias("folder")
+        folders = [r["folder"] for r in target.select(folder).distinct().collect()]  # of the touched partitions
         target = target.select(*[c for c in target.columns if c not in partition_by], *partition_by)
     else:
-        target = spark.createDataFrame([], batch.drop(flag).schema)
+        target = spark.createDataFrame([], schema)
     cols = target.columns
     result = merge(target, batch.select(*cols, flag), keys, mode, flag=flag)
     obs = Observation(f"pmerge_{uuid.uuid4().hex[:8]}")
@@ -77,14 +74,17 @@ def merge_into_partitions(
     rows.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
     metrics = dict(obs.get)
     # Swap: replace the partitions present in staging, remove the ones left empty.
-    staged = spark.read.parquet(staging)
+    staged = spark.read.schema(rows.schema).parquet(staging).select(*cols)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    fs, _ = _fs(spark, staging)
-    for vals in touched:
-        sub = _partition_dir(partition_by, vals)
-        if not fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging}/{sub}")):
-            tfs, tp = _fs(spark, f"{path.rstrip('/')}/{sub}")
-            if tfs.exists(tp):
-                tfs.delete(tp, True)
-    fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging), True)
+    fs, staging_path = _fs(spark, staging)
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        old = at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))  # the path is URL-encoded
+        names = []
+        for _ in partition_by:
+            names.insert(0, at.getName())
+            at = at.getParent()
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{staging}/{'/'.join(names)}")):
+            fs.delete(old, True)
+    fs.delete(staging_path, True)
     return metrics

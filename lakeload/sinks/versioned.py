@@ -33,6 +33,10 @@ class VersionedTable:
     def _path(self, version: int) -> str:
         return f"{self.root}/{VERSION_COL}={version}"
 
+    def path(self, version: int | None = None) -> str:
+        """Folder of a version (default: latest committed)."""
+        return self._path(self.latest_version() if version is None else version)
+
     def versions(self) -> list[int]:
         """Committed versions, ascending (one glob for all ``_SUCCESS`` markers)."""
         fs, pattern = _fs(self.spark, f"{self.root}/{VERSION_COL}=*/_SUCCESS")
@@ -113,6 +117,11 @@ class VersionedTable:
         w.parquet(self._path(version))
         return version, dict(obs.get)
 
+    def retract(self, version: int) -> None:
+        """Take back a committed version: without its marker it is never read again."""
+        fs, marker = _fs(self.spark, f"{self._path(version)}/_SUCCESS")
+        fs.delete(marker, False)
+
     def restore(self, version: int) -> int:
         """Make ``version`` current again by committing it as a new version."""
         new_version, _ = self.commit(self.read(version))

@@ -3,21 +3,22 @@
 Raw execution folders are a file stream; each micro-batch is merged into the
 versioned table by ``foreachBatch``.  A micro-batch may hold files of several
 executions, so the batch is folded per execution id in order (as the batch job
-does).  The ledger entry written per applied execution makes a replayed
-micro-batch (after a failure between the table commit and the checkpoint
-commit) a no-op, so the sink is idempotent.  The applied execution ids are stored
-with each table version (committed by the same ``_SUCCESS`` marker), so even a
-failure between the table commit and the ledger append cannot re-apply a batch.
+does).  The stream's checkpoint decides which files are new, so files of one
+execution may arrive in any number of micro-batches.  What a version has applied is
+stored with it (stream, micro-batch number, execution; committed by the same
+``_SUCCESS`` marker), so a micro-batch replayed after a failure is a no-op.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lakeload.functions import is_small
-from lakeload.operators.merge import collapse_changes, merge
+from lakeload.operators.merge import collapse_changes, merge, repeats_keys
 from lakeload.operators.project import cast_projection
 from lakeload.plans.jobs import apply_batch, commit_merge
 from lakeload.sinks import Ledger, VersionedTable
@@ -26,11 +27,13 @@ from lakeload.sources.files import execution_id_of
 from lakeload.specs import DELETE_FLAG, TableSpec
 
 
-def cdc_stream(spark: SparkSession, source_dir: str, spec: TableSpec, flag: str = DELETE_FLAG) -> DataFrame:
-    """Streaming frame of the raw CDC rows with their execution id."""
+def cdc_stream(spark: SparkSession, source_dir: str, spec: TableSpec, flag: str = DELETE_FLAG, max_files: int | None = None) -> DataFrame:
+    """Streaming frame of the raw CDC rows with their execution id; at most ``max_files`` files a micro-batch."""
     schema = StructType(spec.schema().fields + [StructField(flag, BooleanType(), True)])
-    rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source_dir)
-    return rows.withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path")))
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(source_dir).withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path")))
 
 
 def stream_cdc_apply(
@@ -53,30 +56,30 @@ def stream_cdc_apply(
     def apply(batch: DataFrame, batch_id: int) -> None:
         done = table.applied_batches()  # recorded atomically with each table version
         ids = sorted(r[EXECUTION_COL] for r in batch.select(EXECUTION_COL).distinct().collect())
-        ids = [ex for ex in ids if ex not in done]
+        marks = {ex: f"{stream_id}/{batch_id}/{ex}" for ex in ids}
+        ids = [ex for ex in ids if marks[ex] not in done]
         if not ids:
             return
-        if collapse:
-            typed = cast_projection(batch.filter(F.col(EXECUTION_COL).isin(*ids)), spec, keep=(flag, EXECUTION_COL))
+        typed = cast_projection(batch.filter(F.col(EXECUTION_COL).isin(*ids)), spec, keep=(flag, EXECUTION_COL))
+        if collapse and not repeats_keys(typed, spec.keys, [EXECUTION_COL]):
             if not table.exists():
                 table.commit(typed.filter(F.col(EXECUTION_COL) == ids[0]).drop(flag, EXECUTION_COL))
             net = collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type, flag).drop(EXECUTION_COL)
             small = is_small(typed)  # bounds the net change (never larger than the raw rows)
             base = table.latest_version()
             version, m = commit_merge(
-                table, merge(table.read(base), net, spec.keys, spec.load_type, flag=flag, small_source=small), ids, base
+                table, merge(table.read(base), net, spec.keys, spec.load_type, flag=flag, small_source=small), list(marks.values()), base
             )
             ledger.record_many(spec.name, ids, version, m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
             return
         for ex in ids:
             part = batch.filter(F.col(EXECUTION_COL) == ex).drop(EXECUTION_COL)
-            m = apply_batch(spark, table, spec, part, flag=flag, batch_ids=[ex])
+            m = apply_batch(spark, table, spec, part, flag=flag, batch_ids=[marks[ex]])
             ledger.record(spec.name, ex, m["version"], m["num_inserted_rows"], m["num_updated_rows"], m["num_deleted_rows"])
 
-    stream = cdc_stream(spark, source_dir, spec, flag)
+    stream_id = "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    stream = cdc_stream(spark, source_dir, spec, flag, max_files_per_trigger)
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if max_files_per_trigger:
-        writer = writer.option("maxFilesPerTrigger", max_files_per_trigger)
     q = writer.start()
     q.awaitTermination()
     if q.exception() is not None:

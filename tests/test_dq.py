@@ -108,3 +108,19 @@ def test_local_rules_equal_spark_csv_reader(spark):
     a = sorted(map(tuple, rules_from_local_csv(spark, catalog.RULES_PATH).collect()), key=str)
     b = sorted(map(tuple, read_rules(spark, catalog.RULES_PATH, "csv").collect()), key=str)
     assert a == b
+
+
+def test_a_rule_that_cannot_run_fails_alone(spark):
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    rules = rule_rows(
+        spark,
+        [
+            ("t", "id", "", "", "", 1, "isComplete", None, None, None),
+            ("t", "nope", "", "", "", 2, "isComplete", None, None, None),
+            ("t", "nope", "", "", "", 3, "isUnique", None, None, None),
+            ("t", "id", "", "", "", 4, "noSuchRule", None, None, None),
+        ],
+    )
+    res = {r["Row Num"]: r for r in dq.results_frame(dq.check_table(df, rules, "t")).collect()}
+    assert [res[k]["Constraint Status"] for k in (1, 2, 3, 4)] == [dq.SUCCESS, dq.FAILURE, dq.FAILURE, dq.FAILURE]
+    assert "nope" in res[2]["Constraint Message"] and "noSuchRule" in res[4]["Constraint Message"]

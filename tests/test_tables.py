@@ -209,7 +209,7 @@ def test_full_load_validates_every_execution(spark, tmp_root):
     spec = TableSpec("t", {"id": "int", "v": "string"})
     log = jobs.full_load(spark, [spec], zones).collect()
     assert [(r["TableName"], r["Status"]) for r in log] == [("t", jobs.STATUS_ERROR)]
-    assert not path_exists(spark, f"{zones.silver}/t/current")
+    assert not zones.silver_table(spark, spec).exists()
     lenient = jobs.full_load(spark, [spec], zones, lenient=True).collect()
     assert [r["Rows_Readed"] for r in lenient] == [1, 1]
 
@@ -263,3 +263,46 @@ def test_execution_folder_names_are_decoded(spark, tmp_root):
     df = scan_executions(spark, tmp_root)
     assert {r["execution_id"] for r in df.select("execution_id").distinct().collect()} == set(names)
     assert input_bytes(df) > 0
+
+
+def test_partition_merge_escaped_values_and_emptied_partitions(spark, tmp_root):
+    from lakeload.sinks.partitioned import merge_into_partitions
+
+    schema = "id int, p string"
+    spark.createDataFrame([(1, "a:b"), (2, "01"), (3, "1"), (4, None)], schema).write.partitionBy("p").parquet(tmp_root)
+    gone = spark.createDataFrame([(1, "a:b", True), (2, "01", True)], schema + ", IsDeleted boolean")
+    m = merge_into_partitions(spark, tmp_root, ["p"], gone, ["id", "p"])
+    assert m["num_deleted_rows"] == 2
+    left = spark.read.schema(schema).parquet(tmp_root).collect()
+    assert sorted((r["id"], r["p"]) for r in left) == [(3, "1"), (4, None)]
+
+
+def test_first_load_that_fails_its_check_leaves_no_table(spark, tmp_root):
+    zones = jobs.Zones.under(tmp_root)
+    jobs.write_executions(spark.range(5).select("id", F.lit("a").alias("v")), f"{zones.raw}/t", F.lit("1"))
+    spec = TableSpec("t", {"id": "bigint", "v": "string"}, keys=("id",))
+    log = jobs.load_with_rollback(spark, [spec], zones, "2024-01-31", validate=lambda df: False).first()
+    assert log["Status"] == jobs.STATUS_ROLLED_BACK and not zones.silver_table(spark, spec).exists()
+
+
+def test_collapse_with_repeated_keys_equals_fold(spark, tmp_root):
+    rows = "id int, v string, IsDeleted boolean, e string"
+    batch = spark.createDataFrame([(1, "x", False, "1"), (1, "y", False, "1"), (2, "z", False, "2")], rows)
+    got = []
+    for collapse in (False, True):
+        zones = jobs.Zones.under(f"{tmp_root}/{collapse}")
+        jobs.write_executions(batch, f"{zones.raw}/t", F.col("e"))
+        zones.silver_table(spark, SPEC).commit(spark.createDataFrame([(9, "old")], "id int, v string"))
+        jobs.cdc_load(spark, [SPEC], zones, collapse=collapse, archive=False).collect()
+        got.append(sorted(map(tuple, zones.silver_table(spark, SPEC).read().collect())))
+    assert got[0] == got[1] == [(1, "x"), (1, "y"), (2, "z"), (9, "old")]
+
+
+def test_stream_keeps_late_files_of_an_execution(spark, tmp_root):
+    schema = "id int, v string, IsDeleted boolean"
+    table, ledger = VersionedTable(spark, f"{tmp_root}/silver"), Ledger(spark, f"{tmp_root}/ledger")
+    table.commit(spark.createDataFrame([(0, "old")], "id int, v string"))
+    for i in (1, 2):
+        spark.createDataFrame([(i, "new", False)], schema).write.mode("append").parquet(f"{tmp_root}/raw/exec=1")
+        stream_cdc_apply(spark, f"{tmp_root}/raw", SPEC, table, ledger, f"{tmp_root}/ckpt", max_files_per_trigger=1)
+    assert sorted(r["id"] for r in table.read().collect()) == [0, 1, 2]
