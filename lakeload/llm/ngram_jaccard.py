@@ -50,7 +50,8 @@ MAX_MET_BITS, RANGE_BYTES = 1 << 29, 8 << 20
 STAR_ROUNDS = 2
 #: Shingles that are counted together before the counts leave a task.
 COUNT_ROWS = 3_000_000
-MIN_BITS, MAX_BITS = 256, 32768
+#: Bits of a signature: four to eight for each element; past ``MAX_BITS`` the bound is only weaker.
+BITS_EACH, MIN_BITS, MAX_BITS = 4, 256, 131072
 
 
 def need(nx, ny, num: int, den: int):
@@ -59,8 +60,8 @@ def need(nx, ny, num: int, den: int):
 
 
 def signature(s: np.ndarray) -> bytes:
-    """Bitmap of ``s``, a power of two of bits, one to two for each element."""
-    bits = min(MAX_BITS, max(MIN_BITS, 1 << int(len(s) - 1).bit_length()))
+    """Bitmap of ``s``, a power of two of bits, at least ``BITS_EACH`` for each element."""
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << int(BITS_EACH * len(s) - 1).bit_length()))
     flags = np.zeros(bits, np.uint8)
     flags[(s >> U64(17)) & U64(bits - 1)] = 1
     return np.packbits(flags, bitorder="little").tobytes()
