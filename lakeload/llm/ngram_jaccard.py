@@ -15,8 +15,10 @@ Pairs that stay are confirmed by exact intersection of the sorted arrays.
 
 Skew.  The search runs in rounds and keeps all links.  ``STAR_ROUNDS`` rounds check
 for every node one hub, the smallest node of most of its shingles, and join the
-confirmed links to components (linear in the rows).  The last round compares, tile
-by tile, only nodes that are still in different components; a tile of more than ``TILE_ROWS`` rows is cut
+confirmed links to components (linear in the rows).  The tile rounds compare, tile
+by tile, only nodes that are still in different components: ``TILE_ROUNDS`` of them keep
+the most promising pair of each component in a tile (linear too), the last one keeps
+every pair that is left.  A tile of more than ``TILE_ROWS`` rows is cut
 into blocks and the blocks meet pairwise, so no task holds an unbounded group.
 
 Cases.  Null or empty text, or text without words: no shingles, linked with
@@ -48,6 +50,8 @@ COMMON_LOCAL, COMMON_TOTAL, COMMON_LIST = 3, 8, 200_000
 #: Bitmap of shingles met again: bits at most; input bytes of a hash range.
 MAX_MET_BITS, RANGE_BYTES = 1 << 29, 8 << 20
 STAR_ROUNDS = 2
+#: Tile rounds that keep one pair of each component in a tile, before the round that keeps all.
+TILE_ROUNDS = 1
 #: Shingles that are counted together before the counts leave a task.
 COUNT_ROWS = 3_000_000
 #: Bits of a signature: four to eight for each element; past ``MAX_BITS`` the bound is only weaker.
@@ -237,8 +241,18 @@ def _intersect(num: int, den: int):
     return run
 
 
-def _tile_pairs(num: int, den: int):
-    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile, in different classes, that sizes and bitmaps allow."""
+def _best_of_class(pairs: np.ndarray) -> np.ndarray:
+    """Rows (a, b, class of a, class of b, margin): the row of the largest margin for each class."""
+    ends = np.concatenate([pairs, pairs])
+    of = np.concatenate([pairs[:, 2], pairs[:, 3]])
+    by = np.lexsort((ends[:, 1], ends[:, 0], -ends[:, 4], of))
+    first = np.r_[True, of[by][1:] != of[by][:-1]]
+    return ends[by[first]]
+
+
+def _tile_pairs(num: int, den: int, whole: bool):
+    """Task over rows sorted by (token, tile, bi, bj): pairs of one tile, in different classes, that
+    sizes and bitmaps allow; all of them, or the best one for each class."""
     keys = ("token", "tile", "bi", "bj")
 
     def cut(t: pa.Table, last: bool):
@@ -259,13 +273,21 @@ def _tile_pairs(num: int, den: int):
             sig = np.stack([fold(np.frombuffer(x, np.uint8), width) for x in raw]).view(U64)
             bi, bj = col["bi"][edge[k]], col["bj"][edge[k]]
             left, right = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
+            held = []
             for i in left:
                 js = right[right > i] if bi == bj else right
                 js = js[(cls[js] != cls[i]) & (home[own][i] | home[own][js])]
                 js = js[den * np.minimum(n[js], n[i]) >= num * np.maximum(n[js], n[i])]
                 if len(js):
-                    js = js[overlap_bound(n[i], sig[i], n[js], sig[js]) >= need(n[i], n[js], num, den)]
-                    out.append(np.stack([np.minimum(fp[js], fp[i]), np.maximum(fp[js], fp[i])], 1))
+                    margin = overlap_bound(n[i], sig[i], n[js], sig[js]) - need(n[i], n[js], num, den)
+                    js, margin = js[margin >= 0], margin[margin >= 0]
+                    pair = np.stack([np.minimum(fp[js], fp[i]), np.maximum(fp[js], fp[i])], 1)
+                    if whole:
+                        out.append(pair)
+                    elif len(js):
+                        held.append(_best_of_class(np.column_stack([pair, np.full(len(js), cls[i]), cls[js], margin])))
+            if held:
+                out.append(_best_of_class(np.concatenate(held))[:, :2])
         rows = np.unique(np.concatenate(out), axis=0) if out else None
         made = [] if rows is None else [pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, c])) for c in (0, 1)], names=["a", "b"])]
         return made, None if last else t.slice(edge[stop])
@@ -346,30 +368,36 @@ def jaccard_classes(
         found = stage(_verified(docs, stage(bounded(asked), "jaccard-stars"), nodes, size, num, den), "jaccard-links")
         links = found if links is None else links.union(found)
         tried = asked if tried is None else tried.union(asked)
-    first = components(spark, links)
-
     # The rest: nodes of one tile in different components.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")
-    known = nodes.join(first.toDF("fp", "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"), F.col("n").cast("int").alias("n"), band.alias("band"))
-    label = met.select("token", "fp").join(known, "fp")
-    label = label.withColumns({"lo": F.min("cls").over(by_token), "hi": F.max("cls").over(by_token)}).where("lo < hi")
     places = F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home")))
-    tiles = label.select("token", "fp", "cls", "n", F.explode(places).alias("t")).select("token", "fp", "cls", "n", "t.tile", "t.home")
     in_tile = Window.partitionBy("token", "tile")
-    tiles = tiles.withColumns(
-        {"rows": F.count(F.lit(1)).over(in_tile), "homes": F.max("home").over(in_tile), "lo": F.min("cls").over(in_tile), "hi": F.max("cls").over(in_tile)}
-    ).where("rows > 1 and homes and lo < hi")
-    tiles = tiles.withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
-    tiles = tiles.withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select(
-        "token", "tile", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "fp", "cls", "n", "home"
-    )
     keys = ["token", "tile", "bi", "bj"]
-    tiles = tiles.join(signs.select("fp", "sig"), "fp")
-    pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_tile_pairs(num, den)), "a long, b long")
-    pairs = stage(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
-    links = settle(spark, links, pairs, lambda p: _verified(docs, p, nodes, size, num, den))
+
+    def candidates(whole: bool) -> DataFrame:
+        roots = components(spark, links).toDF("fp", "root")
+        known = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls"), F.col("n").cast("int").alias("n"), band.alias("band"))
+        label = met.select("token", "fp").join(known, "fp")
+        label = label.withColumns({"lo": F.min("cls").over(by_token), "hi": F.max("cls").over(by_token)}).where("lo < hi")
+        tiles = label.select("token", "fp", "cls", "n", F.explode(places).alias("t")).select("token", "fp", "cls", "n", "t.tile", "t.home")
+        tiles = tiles.withColumns(
+            {"rows": F.count(F.lit(1)).over(in_tile), "homes": F.max("home").over(in_tile), "lo": F.min("cls").over(in_tile), "hi": F.max("cls").over(in_tile)}
+        ).where("rows > 1 and homes and lo < hi")
+        tiles = tiles.withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+        tiles = tiles.withColumn("blk", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tiles = tiles.select(
+            "token", "tile", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "fp", "cls", "n", "home"
+        )
+        tiles = tiles.join(signs.select("fp", "sig"), "fp")
+        pairs = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(_tile_pairs(num, den, whole)), "a long, b long")
+        return stage(pairs.distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+
+    for _ in range(TILE_ROUNDS):
+        asked = candidates(False)
+        links = links.union(stage(_verified(docs, asked, nodes, size, num, den), "jaccard-links"))
+        tried = tried.union(asked)
+    links = settle(spark, links, candidates(True), lambda p: _verified(docs, p, nodes, size, num, den))
     roots = components(spark, links).toDF("fp", "root")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
