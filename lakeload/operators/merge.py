@@ -13,8 +13,11 @@ no        false       insert                 insert
 no        true/null   drop                   drop
 ========  ==========  =====================  ===========================
 
-Keys compare with plain equality, so a null key never matches.  In CDC mode a
-target row matched by several source rows is an error (raised inside the job).
+Keys compare with plain equality, so a null key never matches.  CDC mode deletes
+first, then updates and inserts: a key with one true row and further rows in the same
+batch is deleted, and its false rows are inserted again (its null rows are dropped).
+Several true rows for one target row, or several rows without a true one, are an
+error (raised inside the job).
 
 Plan shape (the target's rows are read and shuffled once — in CDC mode the insert
 side adds a scan of the key columns only; no full outer join):
@@ -51,6 +54,8 @@ LIVE_ACTIONS = (KEEP, UPDATE, INSERT)
 
 _FLAG = "__flag"
 _N = "__n"
+_N_TRUE = "__n_true"
+_GONE = "__gone"
 _S = "__src"
 _SALT = "__salt"
 _SALT_R = "__salt_r"
@@ -128,8 +133,8 @@ def merge(
     by_key = (
         src.filter(all_not_null(keys))
         .groupBy(*group_cols)
-        .agg(F.count(F.lit(1)).alias(_N), F.any_value(F.struct(*values, _FLAG)).alias(_S))
-        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _S, *([] if small_source else [_SALT_R]))
+        .agg(F.count(F.lit(1)).alias(_N), count_if(F.col(_FLAG)).alias(_N_TRUE), F.any_value(F.struct(*values, _FLAG)).alias(_S))
+        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _N_TRUE, _S, *([] if small_source else [_SALT_R]))
     )
     cond = None
     t = target
@@ -148,12 +153,11 @@ def merge(
     joined = t.join(right, cond, "left")
 
     matched = F.col(_N).isNotNull()
-    sflag = F.col(_S)[_FLAG]
     if mode == CDC:
         action = (
             F.when(~matched, F.lit(KEEP))
-            .when(F.col(_N) > 1, F.raise_error(F.lit(MULTI_MATCH_ERROR)).cast("string"))
-            .when(sflag, F.lit(DELETE))
+            .when((F.col(_N_TRUE) > 1) | ((F.col(_N_TRUE) == 0) & (F.col(_N) > 1)), F.raise_error(F.lit(MULTI_MATCH_ERROR)).cast("string"))
+            .when(F.col(_N_TRUE) == 1, F.lit(DELETE))
             .otherwise(F.lit(UPDATE))
         )
         out_cols = [
@@ -169,15 +173,20 @@ def merge(
     if mode == FULL:
         insert_side = src.select(*cols, insert_action.alias(ACTION))
     else:
+        # A target key that the batch deletes stands in the way of its true row only.
         target_keys = target.select(*keys).filter(all_not_null(keys))
+        src_keys = src.filter(all_not_null(keys)).groupBy(*keys).agg(F.coalesce(F.bool_or(_FLAG), F.lit(False)).alias(_GONE))
         if small_source:
-            src_keys = src.select(*keys).filter(all_not_null(keys)).distinct()
-            matched_keys = target_keys.join(F.broadcast(src_keys), keys, "left_semi").distinct()
-            unmatched = src.join(F.broadcast(matched_keys), keys, "left_anti")
+            tk = target_keys.join(F.broadcast(src_keys), keys).distinct()
+            s, on = src, keys
         else:
-            s = src.withColumn(_SALT, null_key_salt(keys, cols + [_FLAG]))
-            tk = target_keys.withColumn(_SALT, null_key_salt(keys, keys))
-            unmatched = s.join(tk, keys + [_SALT], "left_anti")
+            tk = target_keys.join(src_keys.filter(_GONE), keys, "left").withColumn(_SALT, null_key_salt(keys, keys))
+            s, on = src.withColumn(_SALT, null_key_salt(keys, cols + [_FLAG])), keys + [_SALT]
+        tk = tk.select(*[F.col(k).alias(f"__t_{k}") for k in on], F.coalesce(F.col(_GONE), F.lit(False)).alias(_GONE))
+        stands = F.coalesce(s[_FLAG], F.lit(False)) | ~tk[_GONE]
+        for k in on:
+            stands = (s[k] == tk[f"__t_{k}"]) & stands
+        unmatched = s.join(F.broadcast(tk) if small_source else tk, stands, "left_anti")
         insert_side = unmatched.select(*cols, insert_action.alias(ACTION))
 
     tagged = target_side.unionByName(insert_side)

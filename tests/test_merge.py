@@ -77,6 +77,19 @@ def test_multi_match_raises(spark, small):
         merge(t, s, ["id"], "CDC", small_source=small).rows().collect()
 
 
+def test_delete_and_reinsert_of_one_key(spark, small):
+    t, s = frames(spark, [(1, "a"), (2, "b")], [(1, "old", True), (1, "new", False), (1, "lost", None), (3, "x", True), (3, "y", False)])
+    res = merge(t, s, ["id"], "CDC", small_source=small)
+    assert rows(res.rows()) == [(1, "new"), (2, "b"), (3, "y")]
+    assert metrics(res) == (2, 0, 1, 2, 1)
+
+
+def test_two_deletes_of_one_row_raise(spark, small):
+    t, s = frames(spark, [(1, "a")], [(1, "x", True), (1, "y", True)])
+    with pytest.raises(PySparkException):
+        merge(t, s, ["id"], "CDC", small_source=small).rows().collect()
+
+
 def test_unmatched_duplicates_are_all_inserted(spark, small):
     t, s = frames(spark, [(1, "a")], [(2, "x", False), (2, "y", False)])
     res = merge(t, s, ["id"], "CDC", small_source=small)
