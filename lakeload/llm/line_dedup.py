@@ -11,8 +11,8 @@ shorter lines are only matched exactly.
 
 Equal lines are one node from the start, so copies never pair up.  The search runs
 in two rounds and loses no link: round one checks each line against the smallest
-line of most of its keys (linear in the rows); round two compares only lines of one key
-that are still in different classes, block by block where a key is frequent.
+line of most of its keys (linear in the rows); round two compares the lines of every key,
+also of two lines, that are still in different classes, block by block where a key is frequent.
 
 A line is the text between newlines without white space at its ends; lines without
 a word are never removed.  The first occurrence of a class, by document id and line
@@ -241,7 +241,7 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
     stars = stage(best.select(F.col("m.hub").alias("a"), F.col("h").alias("b")), "lines-stars")
     links = stage(checked(stars), "lines-links")
     label = met.join(components(spark, links).toDF("h", "root"), "h", "left").select("key", "h", F.coalesce("root", "h").alias("cls"))
-    label = label.withColumns({"lo": F.min("cls").over(by_key), "hi": F.max("cls").over(by_key), "n": F.count(F.lit(1)).over(by_key)}).where("lo < hi and n > 2")
+    label = label.withColumns({"lo": F.min("cls").over(by_key), "hi": F.max("cls").over(by_key), "n": F.count(F.lit(1)).over(by_key)}).where("lo < hi")
     label = label.withColumn("blocks", F.ceil(F.col("n") / KEY_ROWS).cast("int")).withColumn("blk", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
     label = label.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     label = label.select("key", F.least("blk", "other").cast("int").alias("bi"), F.greatest("blk", "other").cast("int").alias("bj"), "blk", "h", "cls")

@@ -155,6 +155,35 @@ def test_line_dedup_cases(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_classes_against_brute_force(spark):
+    r = random.Random(12)
+
+    def word(n):
+        return "".join(r.choice("abcdefghij") for _ in range(n))
+
+    def edit(s, at):
+        return s[:at] + r.choice(["", "#", s[at] + "#"]) + s[at + 1 :]
+
+    head = word(20)
+    lines = [head + word(40) for _ in range(40)]  # one prefix, hot in its key
+    lines += [edit(edit(s, r.randrange(20)), r.randrange(20, 60)) for s in lines]
+    for _ in range(20):  # chains with the edits of each step in other thirds
+        s = word(60)
+        for step in range(4):
+            lines.append(s)
+            s = edit(edit(s, (step % 3) * 20 + r.randrange(18)), ((step + 1) % 3) * 20 + r.randrange(18))
+    r.shuffle(lines)
+    root = list(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if root[i] != root[j] and abs(len(x) - len(lines[j])) <= 2 and line_dedup._plain(x, lines[j]) <= 2:
+                low, high = sorted((root[i], root[j]))
+                root = [low if k == high else k for k in root]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = {x["doc_id"] for x in line_dedup.dedup_lines(docs).where("n_removed = 0").collect()}
+    assert kept == set(root) and len(kept) == 60
+
+
 @pytest.mark.parametrize("name,spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_cached_ids_equal_the_library(name, spaced):
     lib, own = Tokenizer.from_file(public_tokenizers.path(name)), Encoder(public_tokenizers.path(name), spaced)
