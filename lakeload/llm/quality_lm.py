@@ -1,22 +1,24 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Method.  The model is over byte n-grams of order ``ORDER``.  Counts of all trusted
-texts are summed across tasks; lower orders use continuation counts, the number of
-distinct bytes before an n-gram.  Every order has its three discounts from its own
-counts of counts, and is interpolated with the order below, down to a uniform
-distribution.  Count and context tables are sharded by n-gram and joined in Spark:
+Method.  The model is over word n-grams of order ``WORD_ORDER`` (hashes of runs without
+white space).  Counts of all trusted texts are summed in each task and then across
+tasks; lower orders use continuation counts, the number of distinct words before an
+n-gram.  Every order has its three discounts from its own counts of counts, and is
+interpolated with the order below, down to a uniform distribution over the words and
+one unknown word.  Count and context tables are sharded by n-gram and joined in Spark:
 the distinct n-grams of all documents are joined to them and get their log
-probability, an unseen one through the weights of its contexts.  A document's
-perplexity is the exponential of its mean negative log probability.  One in
+probability, an unseen one through the weights of its contexts.  The n-grams of each
+document are joined to these and summed, all in Spark.  A document's perplexity is
+the exponential of its mean negative log probability a word.  One in
 ``HELD_OUT`` trusted texts, by a hash of its id, is left out of the counts and only
 sets the thresholds, since a text that was counted looks more likely than it is.
 Documents above ``slack`` times the ``upper`` quantile of these texts in their
 language (in all languages where there is none) are rejected.
 
-The scored n-grams go to the tasks in shards of at most ``SHARD_ROWS``; with several
-shards each document's sums are added up by Spark.
+Log probabilities are summed as multiples of 1 / ``UNIT``, so the order of rows has no
+effect.  ``model_tables`` and ``log_probabilities`` are the same model over bytes.
 
-Cases.  Null or empty text: no perplexity, not kept.  No trusted text: no
+Cases.  Null text or text without a word: no perplexity, not kept.  No trusted text: no
 perplexity, all texts with bytes are kept.  Null language is a language of its own.
 Repeated rows get equal results.  Empty table: empty result.  A null id is never
 trusted.  Only the named columns are read.
@@ -24,8 +26,6 @@ trusted.  Only the named columns are read.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
 from lakeload.llm.graph import stage
-from lakeload.llm.text import chunks
+from lakeload.llm.text import U64, WHITE, chunks, i64, lean, mix, span_hash, words
 
 ORDER = 4
-SHARD_ROWS = 8_000_000
+WORD_ORDER = 3
+UNIT = 1 << 32
 HELD_OUT = 5
 #: n-grams held before a task sums them up.
 HELD = 4_000_000
@@ -142,44 +143,144 @@ def log_probabilities(wanted: DataFrame, probs: list[DataFrame], weights: list[D
     return out.select("g", F.log(p).alias("lp"))
 
 
-def _score(g: np.ndarray, lp: np.ndarray, order: int):
-    """Task: id, lang, key, bytes and summed log probability (of the n-grams of this shard)."""
+def word_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """``(n-gram ending at each word, its words, document)``; words before a document count as zero."""
+    start, end, doc = words(data, offsets, WHITE)
+    own = span_hash(data, start, end)
+    cols = []
+    for k in range(order - 1, 0, -1):
+        before = np.zeros(len(own), U64)
+        same = doc[k:] == doc[: len(doc) - k]
+        before[k:][same] = own[: len(own) - k][same]
+        cols.append(before)
+    cols.append(own)
+    g = np.zeros(len(own), U64)
+    for c in cols:
+        g = mix(mix(g) + c)
+    return i64(g), [i64(c) for c in cols], doc
+
+
+def _names(order: int) -> list[str]:
+    return [f"w{k}" for k in range(1, order + 1)]
+
+
+def _count_words(order: int):
+    """Task: distinct word n-grams of some texts (g, the words, count)."""
+    names = ["g", *_names(order), "c"]
+
+    def rows(held):
+        cols = [np.concatenate(x) for x in zip(*held)]
+        g, first, at = np.unique(cols[0], return_index=True, return_inverse=True)
+        c = np.bincount(at, weights=cols[-1]).astype(np.int64)
+        return [g, *(x[first] for x in cols[1:-1]), c]
 
     def run(batches):
+        held, size = [], 0
         for b in batches:
-            for i, j, data, off in chunks(b.column(1)):
-                own, doc = grams(data, off, order)
-                total = np.zeros(j - i)
-                if len(own) and len(g):
-                    u, at = np.unique(own, return_inverse=True)
-                    place = np.minimum(np.searchsorted(g, u), len(g) - 1)
-                    value = np.where(g[place] == u, lp[place], 0.0)
-                    total = np.bincount(doc, weights=value[at], minlength=j - i)
-                cols = [b.column(c).slice(i, j - i) for c in (0, 2, 3)] + [pa.array(np.diff(off)), pa.array(total.astype(np.float64))]
-                yield pa.RecordBatch.from_arrays(cols, names=["id", "lang", "key", "n_bytes", "lp"])
+            for _, _, data, off in chunks(b.column(0)):
+                g, cols, _ = word_grams(data, off, order)
+                if len(g):
+                    held.append(rows([[g, *cols, np.ones(len(g), np.int64)]]))
+                    size += len(held[-1][0])
+                if size > HELD // 4:
+                    yield from send(rows(held))
+                    held, size = [], 0
+        if held:
+            yield from send(rows(held))
 
-    return run
+    def send(cols):
+        for i in range(0, len(cols[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in cols], names=names)
+
+    return lean(run)
+
+
+def _count_fields(order: int) -> str:
+    return ", ".join(f"{n} long" for n in ["g", *_names(order), "c"])
+
+
+def _document_words(order: int):
+    """Task: (key, g, c) of the word n-grams of each text, summed within it."""
+
+    def run(batches):
+        for b in batches:
+            for i, j, data, off in chunks(b.column(0)):
+                g, _, doc = word_grams(data, off, order)
+                if not len(g):
+                    continue
+                by = np.lexsort((g, doc))
+                g, doc = g[by], doc[by]
+                first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])]))
+                c = np.diff(np.append(first, len(g))).astype(np.int32)
+                key = b.column(1).slice(i, j - i).take(pa.array(doc[first]))
+                yield pa.RecordBatch.from_arrays([key, pa.array(g[first]), pa.array(c)], names=["key", "g", "c"])
+
+    return lean(run)
+
+
+def _near(t: DataFrame) -> DataFrame:
+    return F.broadcast(t) if is_small(t) else t
+
+
+def word_tables(trusted: DataFrame, order: int = WORD_ORDER) -> tuple[list[DataFrame], list[DataFrame], float] | None:
+    """``(probabilities (words, p) of orders 1.., context weights (words, w) of orders 2.., p of an unknown word)``; None without a word."""
+    names = _names(order)
+    found = trusted.select("text").mapInArrow(_count_words(order), _count_fields(order))
+    counts = {order: stage(found.groupBy(names).agg(F.sum("c").alias("c")), "lm-counts")}
+    for k in range(order - 1, 0, -1):
+        counts[k] = stage(counts[k + 1].groupBy(names[-k:]).agg(F.count(F.lit(1)).alias("c")), "lm-counts")
+    of_counts = None
+    for k, t in counts.items():
+        row = t.agg(F.lit(k).alias("k"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)], F.count(F.lit(1)).alias("n"), F.sum("c").alias("total"))
+        of_counts = row if of_counts is None else of_counts.union(row)
+    stats = {r["k"]: r for r in of_counts.collect()}  # one row for each order
+    if not stats[1]["n"]:
+        return None
+    probs, weights, unknown = [], [], 0.0
+    for k in range(1, order + 1):
+        r = stats[k]
+        cut = discounts(r["n1"], r["n2"], r["n3"], r["n4"])
+        t = counts[k].withColumn("d", _discount(F.col("c"), cut))
+        if k == 1:
+            off = cut[0] * r["n1"] + cut[1] * r["n2"] + cut[2] * (r["n"] - r["n1"] - r["n2"])
+            unknown = off / r["total"] / (r["n"] + 1)
+            p = (F.col("c") - F.col("d")) / F.lit(r["total"]) + F.lit(unknown)
+        else:
+            ctx = stage(t.groupBy(names[-k:-1]).agg(F.sum("c").alias("total"), F.sum("d").alias("off")), "lm-contexts")
+            weights.append(ctx.select(*names[-k:-1], (F.col("off") / F.col("total")).alias("w")))
+            t = t.join(_near(ctx), names[-k:-1]).join(_near(probs[-1].withColumnRenamed("p", "below")), names[-k + 1 :])
+            p = (F.col("c") - F.col("d")) / F.col("total") + F.col("off") / F.col("total") * F.col("below")
+        probs.append(stage(t.select(*names[-k:], p.alias("p")), "lm-probabilities"))
+    return probs, weights, unknown
+
+
+def word_log_probabilities(wanted: DataFrame, tables: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
+    """``wanted`` (words and more) with ``lp``: sharded joins with the tables of every order."""
+    probs, weights, unknown = tables
+    order = len(probs)
+    names, out, p = _names(order), wanted, F.lit(unknown)
+    for k in range(order, 0, -1):
+        out = out.join(_near(probs[k - 1].withColumnRenamed("p", f"p{k}")), names[-k:], "left")
+        if k > 1:
+            out = out.join(_near(weights[k - 2].withColumnRenamed("w", f"b{k}")), names[-k:-1], "left")
+    for k in range(1, order + 1):
+        p = F.coalesce(F.col(f"p{k}"), F.coalesce(F.col(f"b{k}"), F.lit(1.0)) * p if k > 1 else p)
+    return out.select(*wanted.columns, F.log(p).alias("lp"))
 
 
-def perplexities(docs: DataFrame, tables: tuple[list[DataFrame], list[DataFrame]], shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``(id, lang, n_bytes, lp)`` of (id, text, lang) rows."""
-    docs = docs.select("id", "text", "lang", F.xxhash64("text", "lang").alias("key"))
+def perplexities(docs: DataFrame, tables: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
+    """``(id, lang, n_bytes, perplexity)`` of (id, text, lang) rows."""
     order = len(tables[0])
-    wanted = docs.select("text").mapInArrow(_count(order, False), "g long").distinct()
-    scored = stage(log_probabilities(wanted, *tables), "lm-scored")
-    shards = max(1, math.ceil(scored.count() / shard_rows))
-    parts = None
-    for k in range(shards):
-        t = scored.where(F.pmod(F.xxhash64("g"), F.lit(shards)) == k).toArrow()  # about shard_rows rows
-        g, lp = t["g"].to_numpy(), t["lp"].to_numpy()
-        by = np.argsort(g)
-        part = docs.mapInArrow(_score(g[by], lp[by], order), "id long, lang string, key long, n_bytes long, lp double")
-        parts = part if parts is None else parts.union(part)
-    if shards > 1:  # equal rows are summed as one and come back as often as they were
-        n = F.count(F.lit(1))
-        parts = parts.groupBy("id", "lang", "key", "n_bytes").agg((F.sum("lp") * shards / n).alias("lp"), F.round(n / shards).cast("int").alias("times"))
-        parts = parts.withColumn("nth", F.explode(F.sequence(F.lit(1), "times")))
-    return parts.select("id", "lang", "n_bytes", "lp")
+    keyed = docs.select("id", "text", "lang", F.xxhash64("text").alias("key"))
+    wanted = docs.select("text").mapInArrow(_count_words(order), _count_fields(order)).drop("c").dropDuplicates(["g"])
+    scored = stage(word_log_probabilities(wanted, tables).select("g", F.round(F.col("lp") * UNIT).cast("long").alias("lp")), "lm-scored")
+    own = keyed.select("text", "key").mapInArrow(_document_words(order), "key long, g long, c int")
+    # Copies share a key: sums and words grow alike, their ratio stays.
+    mean = own.join(_near(scored), "g").groupBy("key").agg((F.sum(F.col("c") * F.col("lp")) / F.sum("c") / UNIT).alias("mean"))
+    mean = stage(mean, "lm-means")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    rows = keyed.select("id", "lang", "key", size).join(_near(mean), "key", "left")
+    return rows.select("id", "lang", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
 
 
 def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.999, slack: float = 1.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
@@ -189,19 +290,18 @@ def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.999, s
     good = stage(good, "lm-trusted")
     small = F.broadcast(good) if is_small(good) else good
     held = F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(HELD_OUT)) == 0
-    tables = model_tables(docs.join(small.where(~held), F.col("id") == F.col("_id"), "left_semi").where("length(text) > 0"))
+    tables = word_tables(docs.join(small.where(~held), F.col("id") == F.col("_id"), "left_semi").where("length(text) > 0"))
     if tables is None:
         size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
         none = F.lit(None).cast("double")
         out = docs.select(F.col("id").alias(id_col), "lang", size.alias("n_bytes"), none.alias("perplexity"), none.alias("threshold"))
         return out.withColumn("kept", F.col("n_bytes") > 0)
-    scored = perplexities(docs, tables).withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.exp(-F.col("lp") / F.col("n_bytes"))))
-    scored = stage(scored, "lm-perplexity")
+    scored = stage(perplexities(docs, tables), "lm-perplexity")
     known = scored.join(small.where(held), F.col("id") == F.col("_id"), "left_semi").where("perplexity is not null")
     edge = (slack * F.percentile_approx("perplexity", upper, 10_000)).alias("threshold")
     by_lang = known.groupBy(F.col("lang").alias("_lang")).agg(edge)
     every = known.agg(edge.alias("every"))
     out = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(F.broadcast(every))  # one row
     out = out.withColumn("threshold", F.coalesce("threshold", "every"))
-    kept = (F.col("n_bytes") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+    kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return out.select(F.col("id").alias(id_col), "lang", "n_bytes", "perplexity", "threshold", kept.alias("kept"))

@@ -266,6 +266,30 @@ def test_quality_lm(spark):
     assert abs(total - 1) < 1e-9
 
 
+def test_quality_lm_tells_word_salad(spark):
+    r = random.Random(8)
+    follow = {w: r.sample(WORDS, 2) for w in WORDS}
+
+    def text():
+        out = [r.choice(WORDS)]
+        while len(out) < 80:
+            out.append(r.choice(follow[out[-1]]))
+        return out
+
+    good = [text() for _ in range(120)]
+    salad = [r.sample(t, len(t)) for t in good[:20]]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(good + salad)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(120)], "doc_id long, quality int")
+    rows = {x["doc_id"]: x for x in quality_lm.classify(docs, labels).collect()}
+    assert not any(rows[i]["kept"] for i in range(120, 140))
+    assert sum(rows[i]["kept"] for i in range(120)) >= 110
+    tables = quality_lm.word_tables(docs.where("doc_id < 50").select("text"))
+    one = tables[0][1].first()  # (w2, w3, p)
+    every = tables[0][0].select(F.lit(0).cast("long").alias("w1"), F.lit(one["w2"]).alias("w2"), "w3").union(spark.createDataFrame([(0, one["w2"], 5)], "w1 long, w2 long, w3 long"))
+    total = quality_lm.word_log_probabilities(every, tables).agg(F.sum(F.exp("lp"))).first()[0]
+    assert abs(total - 1) < 1e-9
+
+
 def test_secret_scan(spark):
     r = random.Random(4)
     secret = ["password=" + "".join(r.choice("0123456789abcdef") for _ in range(18)) for _ in range(30)]
