@@ -12,8 +12,9 @@ document are joined to these and summed, all in Spark.  A document's perplexity
 the exponential of its mean negative log probability a word.  One in
 ``HELD_OUT`` trusted texts, by a hash of its id, is left out of the counts and only
 sets the thresholds, since a text that was counted looks more likely than it is.
-Documents above ``slack`` times the ``upper`` quantile of these texts in their
-language (in all languages where there is none) are rejected.
+Documents above the ``upper`` quantile of these texts in their language are rejected;
+a language with fewer than ``1 / (1 - upper)`` of them, too few for that quantile,
+takes the quantile of all languages together.
 
 Log probabilities are summed as multiples of 1 / ``UNIT``, so the order of rows has no
 effect.  ``model_tables`` and ``log_probabilities`` are the same model over bytes.
@@ -283,7 +284,7 @@ def perplexities(docs: DataFrame, tables: tuple[list[DataFrame], list[DataFrame]
     return rows.select("id", "lang", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
 
 
-def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.999, slack: float = 1.25, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
+def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.95, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
     """Per document: id, lang, ``n_bytes``, ``perplexity``, ``threshold``, ``kept``."""
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct()
@@ -298,8 +299,9 @@ def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.999, s
         return out.withColumn("kept", F.col("n_bytes") > 0)
     scored = stage(perplexities(docs, tables), "lm-perplexity")
     known = scored.join(small.where(held), F.col("id") == F.col("_id"), "left_semi").where("perplexity is not null")
-    edge = (slack * F.percentile_approx("perplexity", upper, 10_000)).alias("threshold")
-    by_lang = known.groupBy(F.col("lang").alias("_lang")).agg(edge)
+    edge = F.percentile_approx("perplexity", upper, 10_000).alias("threshold")
+    enough = F.count(F.lit(1)) * (1 - upper) > 1 - 1e-9
+    by_lang = known.groupBy(F.col("lang").alias("_lang")).agg(edge, enough.alias("enough")).where("enough").drop("enough")
     every = known.agg(edge.alias("every"))
     out = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(F.broadcast(every))  # one row
     out = out.withColumn("threshold", F.coalesce("threshold", "every"))

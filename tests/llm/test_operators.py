@@ -290,6 +290,24 @@ def test_quality_lm_tells_word_salad(spark):
     assert abs(total - 1) < 1e-9
 
 
+def test_quality_lm_threshold_is_a_quantile(spark):
+    r = random.Random(10)
+    texts = [" ".join(r.choice(WORDS) for _ in range(60)) for _ in range(200)] + [" ".join(f"odd{i}x{k}" for k in range(60)) for i in range(4)]
+    docs = spark.createDataFrame([(i, t, "en" if i % 40 else "few") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id long, quality int")
+    rows = quality_lm.classify(docs, labels).collect()
+    held = {x["doc_id"] for x in docs.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(quality_lm.HELD_OUT)) == 0).collect()}
+
+    def quantile(own):
+        own = sorted(own)
+        return own[-(-95 * len(own) // 100) - 1]
+
+    en = quantile([x["perplexity"] for x in rows if x["doc_id"] in held and x["lang"] == "en"])
+    every = quantile([x["perplexity"] for x in rows if x["doc_id"] in held])
+    assert {(x["lang"], x["threshold"]) for x in rows} == {("en", en), ("few", every)}
+    assert all(x["kept"] == (x["perplexity"] <= x["threshold"]) for x in rows)
+
+
 def test_secret_scan(spark):
     r = random.Random(4)
     secret = ["password=" + "".join(r.choice("0123456789abcdef") for _ in range(18)) for _ in range(30)]
