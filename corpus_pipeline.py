@@ -48,7 +48,7 @@ STAGES = [
     ("best_fit_packing", packed),
 ]
 
-#: Trained classifiers and tokenizers have no SQL form; tests/llm compares run() with a brute-force version.
+#: Trained classifiers and tokenizers have no SQL form; tests/llm compares run() with the stages called one by one.
 ORACLE_SQL = None
 
 
