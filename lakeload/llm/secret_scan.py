@@ -170,8 +170,9 @@ def _fit_task(batches):
 
 
 def train(findings: DataFrame, per_label: int = 3000) -> list:
-    """A forest from a bounded sample of labelled findings (features, value, label 0 or 1)."""
-    known = findings.where("label in (0, 1)").select("features", "label", F.pmod(F.xxhash64("value", F.lit("secret")), F.lit(1_000_000)).alias("draw"))
+    """A forest from a bounded sample of the distinct labelled findings (features, value, label 0 or 1)."""
+    known = findings.where("label in (0, 1)").select("value", "features", "label").distinct()
+    known = known.withColumn("draw", F.pmod(F.xxhash64("value", "features", F.lit("secret")), F.lit(1_000_000)))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     limit = {k: min(1.0, per_label / n) * 1e6 for k, n in counts.items()}
     picked = known.where(F.col("draw") < F.when(F.col("label") == 1, limit.get(1, 0.0)).otherwise(limit.get(0, 0.0)))

@@ -318,6 +318,14 @@ def test_secret_scan(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_secret_sample_ignores_copies(spark):
+    r = random.Random(14)
+    rows = [(f"value{i}", [r.random() + i % 2 for _ in secret_scan.FEATURES], i % 2) for i in range(600)]
+    once = spark.createDataFrame(rows, "value string, features array<double>, label int")
+    copies = spark.createDataFrame(rows + rows[:4] * 500, once.schema)
+    assert secret_scan.train(copies, per_label=100) == secret_scan.train(once, per_label=100)
+
+
 def test_toxicity(spark):
     r = random.Random(6)
     docs = [(i, " ".join([r.choice(WORDS) for _ in range(200)] + (["zzbadword" + r.choice("abc")] if i % 2 else [])), i % 2) for i in range(120)]
