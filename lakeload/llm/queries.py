@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard, packing, quality_lm, robust_rules, secret_scan, token_files, toxicity
+from lakeload.llm import collocations, decontaminate, language_id, line_dedup, ngram_jaccard, packing, prefix_trie, quality_lm, robust_rules, secret_scan, simhash, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_classes(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = prefix_trie.turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.grafted(told))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
@@ -93,6 +107,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: Contract of op3 in SQL: every window of every item, looked up in every document.
@@ -117,4 +134,72 @@ SELECT doc.doc_id, CAST(len(doc.w) AS BIGINT) AS n_words, coalesce(hit.n_hit, 0)
 FROM doc LEFT JOIN hit ON doc.rid = hit.rid LEFT JOIN its ON doc.rid = its.rid
 """
 
-ORACLE_SQL = {"op3_benchmark_decontamination": _OP3_SQL}
+#: Contract of op12 in SQL: every phrase of every piece, counted as text.
+_OP12_SQL = """
+WITH piece AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents)),
+pos AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece WHERE len(w) > 0),
+gram AS (
+  SELECT lang, 1 AS m, w[i] AS k FROM pos
+  UNION ALL SELECT lang, 2, array_to_string(w[i:i + 1], ' ') FROM pos WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, array_to_string(w[i:i + 2], ' ') FROM pos WHERE i + 2 <= len(w)),
+f AS (SELECT lang, m, k, count(*) AS c FROM gram GROUP BY lang, m, k),
+total AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, k, c AS a, string_split(k, ' ') AS w FROM f WHERE m > 1 AND c >= 10),
+cut AS (SELECT lang, m, k, a, i, array_to_string(w[1:i], ' ') AS kl, array_to_string(w[i + 1:m], ' ') AS kr
+        FROM (SELECT cand.*, unnest(range(1, m)) AS i FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.m, cut.k, cut.a, cut.i, x.c AS l, y.c AS r,
+         (1000000::HUGEINT * cut.a::HUGEINT * cut.a::HUGEINT) // (x.c::HUGEINT * y.c::HUGEINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.k = cut.kl JOIN f y ON y.lang = cut.lang AND y.k = cut.kr),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, k ORDER BY score, i) AS o FROM scored) WHERE o = 1),
+inner_of AS (
+  SELECT lang, k2, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS k2 FROM cand WHERE m = 3) GROUP BY lang, k2),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN inner_of ON best.m = 2 AND inner_of.lang = best.lang AND inner_of.k2 = best.k
+  WHERE inner_of.longer IS NULL OR 100 * inner_of.longer < 50 * best.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, k) AS rank FROM kept)
+SELECT ranked.lang, ranked.rank, ranked.k AS phrase, ranked.a, ranked.l, ranked.r, total.n, CAST(ranked.score AS BIGINT) AS score
+FROM ranked JOIN total ON total.lang = ranked.lang WHERE ranked.rank <= 2000
+"""
+
+#: Contract of op13 in SQL: every prefix of every rebuilt conversation, sums over subtrees by the prefixes of a member.
+_OP13_SQL = """
+WITH RECURSIVE tab(b, k, v) AS (
+  SELECT b, 0, b FROM range(256) t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tab WHERE k < 8),
+crc(conv_id, s, i, c) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), 0, 4294967295 FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL SELECT conv_id, s, i + 1, xor(c >> 8, tab.v) FROM crc JOIN tab ON tab.k = 8 AND tab.b = xor(c & 255, CAST(ascii(s[i + 1]) AS BIGINT)) WHERE i < len(s)),
+conv AS (SELECT conv_id, xor(c, 4294967295) % 6 AS h, conv_id - conv_id % 100 AS base FROM crc WHERE i = len(s)),
+own AS (
+  SELECT conv_id, role, text, len(text) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t FROM conversations WHERE conv_id IS NOT NULL)),
+part AS (
+  SELECT conv.conv_id, 0 AS late, own.i, own.role, own.text, own.chars FROM conv JOIN own ON own.conv_id = conv.base AND own.i <= conv.h
+  UNION ALL SELECT conv.conv_id, 1, own.i, own.role, own.text, own.chars FROM conv JOIN own ON own.conv_id = conv.conv_id AND own.i > conv.h),
+seq AS (SELECT conv_id, chars, sha256(len(role) || ':' || role || text) AS t, row_number() OVER (PARTITION BY conv_id ORDER BY late, i) AS d FROM part),
+m AS (
+  SELECT conv_id, d, chars, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p FROM seq
+  UNION ALL SELECT conv_id, 0, 0, '' FROM conv),
+size AS (SELECT conv_id, max(d) AS n FROM m GROUP BY conv_id),
+node AS (
+  SELECT m.d, m.p, min(m.conv_id) AS conv_id, count(*) AS n_convs, max(m.chars) AS chars,
+         string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) FILTER (WHERE size.n = m.d) AS ends
+  FROM m JOIN size ON size.conv_id = m.conv_id GROUP BY m.d, m.p),
+child AS (SELECT d - 1 AS d, p[1:64 * (d - 1)] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2),
+sums AS (
+  SELECT up.d, up.p, count(*) FILTER (WHERE child.n IS NULL) AS n_leaves, sum((node.n_convs - 1) * node.chars) AS saved
+  FROM node JOIN m up ON up.conv_id = node.conv_id AND up.d <= node.d LEFT JOIN child ON child.d = node.d AND child.p = node.p GROUP BY up.d, up.p)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(child.n, 0) AS n_children,
+       sums.n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN sums ON sums.d = node.d AND sums.p = node.p
+LEFT JOIN child ON child.d = node.d AND child.p = node.p
+LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.p = node.p[1:64 * (node.d - 1)] AND node.d > 0
+"""
+
+ORACLE_SQL = {"op3_benchmark_decontamination": _OP3_SQL, "op12_phrase_collocations": _OP12_SQL, "op13_prefix_trie": _OP13_SQL}
