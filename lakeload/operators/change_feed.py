@@ -14,6 +14,9 @@ Plan (each snapshot is read once; no join ever pairs rows up):
    anything else is reported as deletes and inserts.  Rows with a null key never
    pair with anything, so they are deletes / inserts; they are spread over many
    tasks by a salt instead of meeting in the task that owns ``hash(null)``.
+
+``feed_of_merge`` starts from a merge's tagged frame with images instead: kept rows never
+leave their task, so only what the merge touched is grouped, and no snapshot is read again.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.functions import all_not_null, count_if, null_key_salt
+from lakeload.operators import merge as mg
 
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
@@ -35,6 +39,26 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     both = before.select(*cols, F.lit(1).alias("__inb"), F.lit(0).alias("__ina")).unionByName(
         after.select(*cols, F.lit(0).alias("__inb"), F.lit(1).alias("__ina"))
     )
+    return _labelled(both, cols, keys)
+
+
+def feed_of_merge(tagged: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The change feed of a merge from its tagged frame (``merge(..., images=True)``), staged or not.
+
+    Equal to ``change_feed`` of the tables before and after: removed and added rows of
+    equal values cancel, and a key deleted and inserted again is an update.
+    """
+    keys, cols = list(keys), list(columns)
+    action = F.col(mg.ACTION)
+    touched = tagged.filter(action.isin(mg.UPDATE, mg.DELETE, mg.INSERT))
+    old = F.struct(*[F.col(mg.OLD)[c].alias(c) for c in cols], F.lit(1).alias("__inb"), F.lit(0).alias("__ina"))
+    new = F.struct(*[F.col(f"`{c}`") for c in cols], F.lit(0).alias("__inb"), F.lit(1).alias("__ina"))
+    sides = F.when(action == mg.UPDATE, F.array(old, new)).when(action == mg.DELETE, F.array(old)).otherwise(F.array(new))
+    return _labelled(touched.select(F.inline(sides)), cols, keys)
+
+
+def _labelled(both: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
+    """Change rows from removed (``__inb``) and added (``__ina``) rows."""
     rows = (
         both.groupBy(*cols)
         .agg(F.sum("__inb").alias("__nb"), F.sum("__ina").alias("__na"))

@@ -25,16 +25,21 @@ side adds a scan of the key columns only; no full outer join):
 * target side: ``target LEFT JOIN source_by_key`` where ``source_by_key`` is the
   source reduced to one row per key by an aggregation (map-side combine collapses a
   hot key before the shuffle).  Target rows with a null key are spread over many
-  shuffle partitions by a salt column; they can never match.
+  shuffle partitions by a salt column; they can never match.  Keys that hold a large
+  share of the target (``heavy_keys``) are salted too, and only their source rows are
+  repeated, once for each salt.
 * insert side: ``source LEFT ANTI target_keys`` (CDC; only the key columns of the
-  target are read) — AQE can split a skewed source partition of this join.  FULL
+  target are read) — AQE can split a skewed source partition of this join.  The
+  target's keys and the keys the batch deletes are one aggregation, so a hot key is a
+  few rows by then and four shuffles and two joins make the whole merge.  FULL
   needs no join here: every source row with flag false is inserted.
 * When the source is proven small, it is broadcast and the target is never
   shuffled; the insert side then uses the (small) set of matched keys.
 
 The result is a *tagged* frame (target columns + ``_action``); table rows and
 insert / update / delete / drop counts both come from it, so a write with observed
-metrics gives everything in one job.
+metrics gives everything in one job.  With ``images`` it also carries ``_old``, the
+target row before the merge, which is all a change feed needs.
 """
 
 from __future__ import annotations
@@ -49,6 +54,7 @@ from lakeload.functions import all_not_null, count_if, is_small, null_key_salt
 from lakeload.specs import CDC, DELETE_FLAG, FULL
 
 ACTION = "_action"
+OLD = "_old"
 KEEP, UPDATE, DELETE, INSERT, DROP = "keep", "update", "delete", "insert", "drop"
 LIVE_ACTIONS = (KEEP, UPDATE, INSERT)
 
@@ -56,10 +62,19 @@ _FLAG = "__flag"
 _N = "__n"
 _N_TRUE = "__n_true"
 _GONE = "__gone"
+_HERE = "__here"
 _S = "__src"
 _SALT = "__salt"
 _SALT_R = "__salt_r"
 
+#: Counters of the sketch that finds heavy target keys, and the most it reports.
+HEAVY_TRACKED = 4096
+HEAVY_KEYS = 256
+#: Salts for each even share of rows a heavy key holds (more than one, so that hashing fills the partitions
+#: evenly), and the most salts.
+SALTS_PER_SHARE = 8
+HEAVY_SALTS = 65_536
+
 MULTI_MATCH_ERROR = "MERGE: several source rows match the same target row"
 
 
@@ -96,6 +111,42 @@ def _source_frame(target: DataFrame, source: DataFrame, flag: str) -> DataFrame:
     return source.select(*cols, F.col(f"`{flag}`").cast("boolean").alias(_FLAG))
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Hashes of the keys that hold more than a shuffle partition's share, and their salts."""
+
+    hashes: tuple[int, ...] = ()
+    salts: int = 1
+
+    def among(self, keys: Sequence[str]) -> Column:
+        return _key_hash(keys).isin(*self.hashes) if self.hashes else F.lit(False)
+
+
+def heavy_keys(target: DataFrame, keys: Sequence[str], partitions: int | None = None) -> HeavyKeys:
+    """Keys with at least twice the rows of an even shuffle partition.
+
+    One aggregation over the key columns keeps ``HEAVY_TRACKED`` counters a task (a
+    frequent-items sketch of key hashes, whose estimates are never low by more than
+    rows / ``HEAVY_TRACKED``); at most ``HEAVY_KEYS`` hashes reach the driver.  A wrong or missing
+    entry costs speed, never a row.
+    """
+    spark = target.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = target.filter(all_not_null(keys)).agg(
+        F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k", _key_hash(keys), F.lit(HEAVY_KEYS), F.lit(HEAVY_TRACKED)).alias("top")
+    ).first()
+    even = found["n"] / max(1, partitions)
+    heavy = [(r["item"], r["count"]) for r in found["top"] or [] if r["count"] >= 2 * even and r["count"] > 1]
+    if not heavy or partitions < 2:
+        return HeavyKeys()
+    salts = min(HEAVY_SALTS, max(2, -(-max(n for _, n in heavy) * SALTS_PER_SHARE // max(1, int(even)))))
+    return HeavyKeys(tuple(h for h, _ in heavy), int(salts))
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -103,11 +154,15 @@ def merge(
     mode: str = CDC,
     flag: str = DELETE_FLAG,
     small_source: bool | None = None,
+    heavy: HeavyKeys | None = None,
+    images: bool = False,
 ) -> MergeResult:
     """Tag every target and source row with what the merge does to it.
 
     ``small_source`` forces (True) or forbids (False) the broadcast plan; by default a
-    bounded job checks the source size first.
+    bounded job checks the source size first.  ``heavy`` (see ``heavy_keys``) splits hot
+    target keys in the shuffle plan.  ``images`` adds ``_old``, the target row before the
+    merge (null for source rows).
     """
     mode = mode.upper()
     if mode not in (CDC, FULL):
@@ -127,29 +182,37 @@ def merge(
     # complete key, written as pmod(hash, 1) so the optimizer cannot fold it away):
     # grouping by it leaves the aggregate partitioned exactly as the join needs, so
     # the deduplicated source is shuffled once, not twice.
+    heavy = heavy or HeavyKeys()
+    no_salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
+    # Keys that cannot be null need no salt: the planner would drop it on one side only.
+    salt_target = not small_source and bool(heavy.hashes or any(target.schema[k].nullable for k in keys))
+    salt_source = not small_source and any(src.schema[k].nullable for k in keys)
+    complete = src.filter(all_not_null(keys))
     group_cols = [F.col(k) for k in keys]
-    if not small_source:
-        group_cols.append(F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int").alias(_SALT_R))
+    if salt_target:
+        if heavy.hashes:  # a heavy key's source rows meet every salt of its target rows
+            salts = F.when(heavy.among(keys), F.sequence(F.lit(0), F.lit(heavy.salts - 1))).otherwise(F.array(no_salt))
+            complete = complete.select("*", F.explode(salts).alias(_SALT_R))
+            group_cols.append(F.col(_SALT_R))
+        else:
+            group_cols.append(no_salt.alias(_SALT_R))
     by_key = (
-        src.filter(all_not_null(keys))
-        .groupBy(*group_cols)
+        complete.groupBy(*group_cols)
         .agg(F.count(F.lit(1)).alias(_N), count_if(F.col(_FLAG)).alias(_N_TRUE), F.any_value(F.struct(*values, _FLAG)).alias(_S))
-        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _N_TRUE, _S, *([] if small_source else [_SALT_R]))
+        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], _N, _N_TRUE, _S, *([_SALT_R] if salt_target else []))
     )
-    cond = None
     t = target
-    if small_source:
-        right = F.broadcast(by_key)
-        for k in keys:
-            c = t[k] == right[f"__s_{k}"]
-            cond = c if cond is None else cond & c
-    else:
-        t = t.withColumn(_SALT, null_key_salt(keys, cols))
-        right = by_key
-        for k in keys:
-            c = t[k] == right[f"__s_{k}"]
-            cond = c if cond is None else cond & c
-        cond = cond & (t[_SALT] == right[_SALT_R])
+    if salt_target:
+        salt = null_key_salt(keys, cols)
+        if heavy.hashes:
+            # by content, so that a task that runs again deals its rows out alike
+            dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(heavy.salts)).cast("int")
+            salt = F.when(heavy.among(keys) & all_not_null(keys), dealt).otherwise(salt)
+        t = t.withColumn(_SALT, salt)
+    right = F.broadcast(by_key) if small_source else by_key
+    cond = t[_SALT] == right[_SALT_R] if salt_target else F.lit(True)
+    for k in keys:
+        cond = (t[k] == right[f"__s_{k}"]) & cond
     joined = t.join(right, cond, "left")
 
     matched = F.col(_N).isNotNull()
@@ -167,27 +230,34 @@ def merge(
     else:
         action = F.when(~matched, F.lit(KEEP)).otherwise(F.lit(DELETE))
         out_cols = [t[f"`{c}`"].alias(c) for c in cols]
-    target_side = joined.select(*out_cols, action.alias(ACTION))
+    old = [F.struct(*[t[f"`{c}`"].alias(c) for c in cols]).alias(OLD)] if images else []
+    target_side = joined.select(*out_cols, action.alias(ACTION), *old)
 
     insert_action = F.when(F.col(_FLAG) == F.lit(False), F.lit(INSERT)).otherwise(F.lit(DROP))
+    none = [F.lit(None).cast(target.select(*[F.col(f"`{c}`") for c in cols]).schema).alias(OLD)] if images else []
     if mode == FULL:
-        insert_side = src.select(*cols, insert_action.alias(ACTION))
+        insert_side = src.select(*cols, insert_action.alias(ACTION), *none)
     else:
         # A target key that the batch deletes stands in the way of its true row only.
         target_keys = target.select(*keys).filter(all_not_null(keys))
-        src_keys = src.filter(all_not_null(keys)).groupBy(*keys).agg(F.coalesce(F.bool_or(_FLAG), F.lit(False)).alias(_GONE))
         if small_source:
+            src_keys = src.filter(all_not_null(keys)).groupBy(*keys).agg(F.coalesce(F.bool_or(_FLAG), F.lit(False)).alias(_GONE))
             tk = target_keys.join(F.broadcast(src_keys), keys).distinct()
             s, on = src, keys
         else:
-            tk = target_keys.join(src_keys.filter(_GONE), keys, "left").withColumn(_SALT, null_key_salt(keys, keys))
-            s, on = src.withColumn(_SALT, null_key_salt(keys, cols + [_FLAG])), keys + [_SALT]
+            deleted = src.filter(F.col(_FLAG) & all_not_null(keys)).select(*keys, F.lit(False).alias(_HERE), F.lit(True).alias(_GONE))
+            both = target_keys.select(*keys, F.lit(True).alias(_HERE), F.lit(False).alias(_GONE)).unionByName(deleted)
+            by = [no_salt.alias(_SALT)] if salt_source else []
+            tk = both.groupBy(*keys, *by).agg(F.bool_or(_HERE).alias(_HERE), F.bool_or(_GONE).alias(_GONE)).filter(_HERE)
+            s, on = src, keys
+            if salt_source:
+                s, on = src.withColumn(_SALT, null_key_salt(keys, cols + [_FLAG])), keys + [_SALT]
         tk = tk.select(*[F.col(k).alias(f"__t_{k}") for k in on], F.coalesce(F.col(_GONE), F.lit(False)).alias(_GONE))
         stands = F.coalesce(s[_FLAG], F.lit(False)) | ~tk[_GONE]
         for k in on:
             stands = (s[k] == tk[f"__t_{k}"]) & stands
         unmatched = s.join(F.broadcast(tk) if small_source else tk, stands, "left_anti")
-        insert_side = unmatched.select(*cols, insert_action.alias(ACTION))
+        insert_side = unmatched.select(*cols, insert_action.alias(ACTION), *none)
 
     tagged = target_side.unionByName(insert_side)
     return MergeResult(tagged=tagged, columns=cols, mode=mode, broadcast=bool(small_source))

@@ -18,17 +18,19 @@ from lakeload.functions import NUMBER_PATTERN
 from lakeload.operators import change_feed as cf
 from lakeload.operators import dq as dqmod
 from lakeload.operators import gold
-from lakeload.operators.merge import bootstrap_target, collapse_changes, duplicate_keys, latest_per_key, merge
+from lakeload.operators.dq_states import DqStates
+from lakeload.operators.merge import bootstrap_target, collapse_changes, duplicate_keys, heavy_keys, latest_per_key, merge
 from lakeload.operators.merge import delete_step, insert_step, update_step
 from lakeload.operators.project import cast_projection, filter_load_date, load_stamp
 from lakeload.plans import fixtures as fx
 from lakeload.plans import jobs
 from lakeload.session import work_dir
 from lakeload.sinks import Ledger, VersionedTable, archive_batch, replace_table, save_table
+from lakeload.sinks.ledger import FileLedger
 from lakeload.sinks.versioned import VERSION_COL
-from lakeload.sources import EXECUTION_COL, rules_from_local_csv, scan_executions, scan_explicit_schema, scan_parquet
+from lakeload.sources import EXECUTION_COL, RULES_SCHEMA, rules_from_local_csv, scan_executions, scan_explicit_schema, scan_parquet
 from lakeload.specs import CDC, FULL, GoldSpec, TableSpec
-from lakeload.streaming.cdc import stream_cdc_apply
+from lakeload.streaming.cdc import current_rows, stream_cdc_apply, stream_cdc_ordered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -425,15 +427,15 @@ def merge_update_only(spark, sf):
     return update_step(fx.orders_before(spark, sf), fx.orders_batch(spark, sf), ["o_orderkey"])
 
 
-SQL_BOOT = f"WITH {fx.SQL_ORDERS_BATCH}"
+SQL_BOOT = f"WITH {fx.SQL_ORDERS_CHANGES}"
 
 
 @query(
     "merge_bootstrap",
-    f"""{SQL_BOOT} SELECT {ORDERS_COLS} FROM orders_batch WHERE IsDeleted IS NOT TRUE""",
+    f"""{SQL_BOOT} SELECT {ORDERS_COLS} FROM orders_changes WHERE IsDeleted IS NOT TRUE""",
 )
 def merge_bootstrap(spark, sf):
-    batch = fx.orders_batch(spark, sf)
+    batch = fx.orders_changes(spark, sf)
     return merge(bootstrap_target(batch), batch, ["o_orderkey"], CDC).rows()
 
 
@@ -442,10 +444,10 @@ def merge_bootstrap(spark, sf):
     f"""{SQL_BOOT} SELECT CAST(0 AS BIGINT) AS num_inserted_rows,
         count(*) FILTER (WHERE IsDeleted IS NOT TRUE) AS num_updated_rows,
         count(*) FILTER (WHERE IsDeleted) AS num_deleted_rows,
-        CAST(0 AS BIGINT) AS num_dropped_rows, CAST(0 AS BIGINT) AS num_kept_rows FROM orders_batch""",
+        CAST(0 AS BIGINT) AS num_dropped_rows, CAST(0 AS BIGINT) AS num_kept_rows FROM orders_changes""",
 )
 def merge_bootstrap_metrics(spark, sf):
-    batch = fx.orders_batch(spark, sf)
+    batch = fx.orders_changes(spark, sf)
     return merge(bootstrap_target(batch), batch, ["o_orderkey"], CDC).metrics()
 
 
@@ -540,11 +542,11 @@ def merge_collapsed_batches(spark, sf):
 
 @query(
     "cdc_read_counts",
-    f"""WITH {fx.SQL_ORDERS_BATCH} SELECT count(*) FILTER (WHERE IsDeleted) AS num_read_deleted_regs,
-        count(*) FILTER (WHERE IsDeleted = false) AS num_read_upsert_regs FROM orders_batch""",
+    f"""WITH {fx.SQL_ORDERS_CHANGES} SELECT count(*) FILTER (WHERE IsDeleted) AS num_read_deleted_regs,
+        count(*) FILTER (WHERE IsDeleted = false) AS num_read_upsert_regs FROM orders_changes""",
 )
 def cdc_read_counts(spark, sf):
-    b = fx.orders_batch(spark, sf)
+    b = fx.orders_changes(spark, sf)
     return b.agg(
         F.count_if(F.col("IsDeleted")).alias("num_read_deleted_regs"),
         F.count_if(~F.col("IsDeleted")).alias("num_read_upsert_regs"),
@@ -578,12 +580,13 @@ def _batch_executions(spark, sf) -> str:
 
 @query(
     "cdc_unprocessed_batches",
-    f"""WITH {fx.SQL_ORDERS_BATCH} SELECT {ORDERS_COLS}, IsDeleted, CAST(year(o_orderdate) AS VARCHAR) AS execution_id
-        FROM orders_batch WHERE year(o_orderdate) >= 1999""",
+    f"""WITH {fx.SQL_ORDERS_CHANGES} SELECT {ORDERS_COLS}, IsDeleted, CAST(year(o_orderdate) AS VARCHAR) AS execution_id
+        FROM orders_changes WHERE year(o_orderdate) NOT IN (1997, 1998)""",
 )
 def cdc_unprocessed_batches(spark, sf):
     """Executions 1997 and 1998 are in the ledger; the rows of the others are pending."""
-    root = _batch_executions(spark, sf)
+    root = work_dir(spark, "raw-cdc")
+    jobs.write_executions(fx.orders_changes(spark, sf), f"{root}/orders", F.year("o_orderdate"))
     ledger = Ledger(spark, f"{root}/_ledger")
     for ex in ("1997", "1998"):
         ledger.record("orders", ex, 0, 0, 0, 0)
@@ -593,12 +596,12 @@ def cdc_unprocessed_batches(spark, sf):
 
 @query(
     "cdc_archive_layout",
-    f"""WITH {fx.SQL_ORDERS_BATCH} SELECT {ORDERS_COLS}, IsDeleted,
-        2024 AS year, 1 AS month, 31 AS day, 10 AS hour, 15 AS minute FROM orders_batch""",
+    f"""WITH {fx.SQL_ORDERS_CHANGES} SELECT {ORDERS_COLS}, IsDeleted,
+        2024 AS year, 1 AS month, 31 AS day, 10 AS hour, 15 AS minute FROM orders_changes""",
 )
 def cdc_archive_layout(spark, sf):
     root = work_dir(spark, "archive")
-    archive_batch(fx.orders_batch(spark, sf), root, PROCESSED_AT)
+    archive_batch(fx.orders_changes(spark, sf), root, PROCESSED_AT)
     return spark.read.parquet(root)
 
 
@@ -1264,3 +1267,194 @@ def cdc_load_full_mode(spark, sf):
 def load_log_cdc_test(spark, sf):
     """The CDC test log: merge counts plus the batch's read counts per flag."""
     return _full_mode_lake(spark, sf)[1]
+
+
+# ---------------------------------------------------------------------------
+# Incremental forms: bucketed layout, feed out of the merge, delta views, heavy keys
+# ---------------------------------------------------------------------------
+
+
+@query("cdc_load_bucketed", SQL_MERGE_CDC)
+def cdc_load_bucketed(spark, sf):
+    """The CDC job on a table in hash buckets of its key: every execution rewrites only
+    the buckets its keys fall into."""
+    zones = jobs.Zones.under(work_dir(spark, "lake-cdc-buckets"))
+    jobs.write_executions(fx.orders_batch(spark, sf), f"{zones.raw}/orders", F.year("o_orderdate"))
+    table = jobs.bucketed_table(spark, zones, fx.ORDERS_SPEC)
+    table.create(cast_projection(fx.orders_before(spark, sf), fx.ORDERS_SPEC), buckets=16)
+    jobs.cdc_load(spark, [fx.ORDERS_SPEC], zones, processed_at=PROCESSED_AT, layout="bucketed", collapse=True).collect()
+    return table.read()
+
+
+@query("change_feed_from_merge", SQL_CHANGE_FEED)
+def change_feed_from_merge(spark, sf):
+    """The feed of the merge itself: table and feed from one staged write, no snapshot compared."""
+    _, feed, _ = jobs.apply_with_feed(spark, fx.orders_before(spark, sf), fx.orders_batch(spark, sf), ["o_orderkey"], work_dir(spark, "feed"))
+    return feed
+
+
+@query("gold_status_incremental", SQL_AFTER_STATUS)
+def gold_status_incremental(spark, sf):
+    """Status counts of the table before the change, kept up by the signed rows of the merge's feed."""
+    before = fx.orders_before(spark, sf)
+    _, feed, _ = jobs.apply_with_feed(spark, before, fx.orders_batch(spark, sf), ["o_orderkey"], work_dir(spark, "feed-status"))
+    counts = gold.status_count(before, "o_orderstatus")
+    return gold.apply_count_delta(counts, gold.status_delta(feed, "o_orderstatus"))
+
+
+_GOLD_CANDIDATE_COLUMNS = dict(
+    cand_id="p_partkey", cand_name="p_name", cand_company="p_brand", lead_id="l_partkey", campaign_id="l_suppkey",
+    bridge_status="l_returnflag", camp_id="s_suppkey", camp_name="s_name", camp_start=None, camp_end=None,
+)
+
+
+@query(
+    "gold_candidate_incremental",
+    """WITH s AS (SELECT s_suppkey, s_name || ' renamed' AS s_name FROM supplier WHERE s_acctbal >= 0),
+    l AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01')
+    SELECT p.p_partkey AS LeadId, s.s_suppkey AS CampaignId, p.p_name AS Candidate, p.p_brand AS Company, l.l_returnflag AS Status,
+           s.s_name AS Campaign, CAST(NULL AS DATE) AS StartDateCampaign, CAST(NULL AS DATE) AS EndDateCampaign
+    FROM part p JOIN l ON p.p_partkey = l.l_partkey JOIN s ON l.l_suppkey = s.s_suppkey""",
+)
+def gold_candidate_incremental(spark, sf):
+    """The bridge join kept up by delta joins: old line items leave and new ones come (feed of
+    two snapshots), suppliers are renamed or deleted by a merge (its own feed)."""
+    day = [F.lit(d).cast("timestamp_ntz") for d in ("1996-01-01", "2001-01-01")]
+    items, parts, supplier = t(spark, sf, "lineitem"), t(spark, sf, "part"), t(spark, sf, "supplier")
+    old_items, new_items = items.filter(F.col("l_shipdate") < day[1]), items.filter(F.col("l_shipdate") >= day[0])
+    batch = supplier.withColumn("s_name", F.concat("s_name", F.lit(" renamed"))).withColumn("IsDeleted", F.col("s_acctbal") < 0)
+    new_supplier, supplier_feed, _ = jobs.apply_with_feed(spark, supplier, batch, ["s_suppkey"], work_dir(spark, "feed-supplier"))
+    bridge = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]
+    item_feed = cf.change_feed(old_items.select(*bridge), new_items.select(*bridge), ["l_orderkey", "l_linenumber"])
+    old = {"candidate": parts, "bridge": old_items, "campaign": supplier}
+    new = {"candidate": parts, "bridge": new_items, "campaign": new_supplier}
+    view = gold.candidate_by_campaign(**old, **_GOLD_CANDIDATE_COLUMNS)
+    delta = gold.candidate_delta(old, new, {"bridge": item_feed, "campaign": supplier_feed}, **_GOLD_CANDIDATE_COLUMNS)
+    return gold.apply_row_delta(view, delta, ["LeadId", "CampaignId"])
+
+
+@query(
+    "merge_hot_key",
+    f"""WITH {fx.SQL_HOT_EVENTS},
+    s AS (SELECT event_id, ts, user_id, event_type, -value AS value, user_id > 0 AND user_id % 5 = 0 AS IsDeleted FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM hot_events) x WHERE rn = 1 AND event_type <> 'view')
+    SELECT t.* FROM hot_events t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.user_id = t.user_id)
+    UNION ALL SELECT s.event_id, s.ts, s.user_id, s.event_type, s.value FROM s JOIN hot_events t ON s.user_id = t.user_id WHERE NOT s.IsDeleted""",
+)
+def merge_hot_key(spark, sf):
+    """Nine of ten target rows have one key: its rows are dealt over many tasks, only its source row is repeated."""
+    target = fx.hot_events(spark, sf)
+    last = latest_per_key(target, ["user_id"], ["ts", "event_id"]).filter("event_type <> 'view'")
+    batch = last.withColumn("value", -F.col("value")).withColumn("IsDeleted", (F.col("user_id") > 0) & (F.col("user_id") % 5 == 0))
+    return merge(target, batch, ["user_id"], CDC, small_source=False, heavy=heavy_keys(target, ["user_id"])).rows()
+
+
+@query(
+    "merge_delete_reinsert",
+    f"""{PAIR}, s AS (SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders_batch WHERE IsDeleted) AS gone FROM orders_batch)
+    SELECT t.* FROM orders_before t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+    UNION ALL SELECT {ORDERS_COLS} FROM s WHERE (NOT gone AND EXISTS (SELECT 1 FROM orders_before t WHERE t.o_orderkey = s.o_orderkey))
+      OR (NOT gone AND IsDeleted = false AND NOT EXISTS (SELECT 1 FROM orders_before t WHERE t.o_orderkey = s.o_orderkey))
+    UNION ALL SELECT o_orderkey, o_custkey, 'new', o_totalprice, o_orderdate, o_orderpriority FROM s WHERE gone""",
+)
+def merge_delete_reinsert(spark, sf):
+    """Every deleted order comes again in the same batch, as a new row: delete first, then insert."""
+    batch = fx.orders_batch(spark, sf)
+    again = batch.filter("IsDeleted").withColumn("o_orderstatus", F.lit("new")).withColumn("IsDeleted", F.lit(False))
+    return merge(fx.orders_before(spark, sf), batch.unionByName(again), ["o_orderkey"], CDC, small_source=False).rows()
+
+
+@query(
+    "load_reconcile_files",
+    """SELECT 'orders' AS TableName, (SELECT count(*) FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)) AS Rows_Readed,
+              (SELECT count(*) FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)) AS Rows_Written, true AS ok
+       UNION ALL SELECT 'customer', count(*), count(*), true FROM customer""",
+)
+def load_reconcile_files(spark, sf):
+    """Rows read and written by the full load, both counted in the files' footers."""
+    zones, log = _full_lake(spark, sf)
+    log.collect()
+    return jobs.load_reconcile_files(spark, [fx.ORDERS_SPEC, fx.CUSTOMER_SPEC], zones)
+
+
+@query(
+    "cdc_pending_files",
+    f"""WITH {fx.SQL_ORDERS_CHANGES} SELECT {ORDERS_COLS}, IsDeleted, CAST(year(o_orderdate) AS VARCHAR) AS execution_id
+        FROM orders_changes WHERE o_orderpriority = '1-URGENT' OR year(o_orderdate) >= 1998""",
+)
+def cdc_pending_files(spark, sf):
+    """The files of the years before 1998 are booked; urgent orders then arrive late in every folder."""
+    root = f"{work_dir(spark, 'raw-files')}/orders"
+    rows = fx.orders_changes(spark, sf).withColumn("exec", F.year("o_orderdate").cast("string"))
+    late = F.col("o_orderpriority") == "1-URGENT"
+    rows.filter(~F.coalesce(late, F.lit(False))).write.partitionBy("exec").parquet(root)
+    ledger = FileLedger(spark, f"{root}/../_files")
+    _, paths = ledger.scan(root, "orders")
+    ledger.record(root, "orders", [p for p in paths if p.split("exec=")[1][:4] < "1998"])
+    rows.filter(late).write.mode("append").partitionBy("exec").parquet(root)
+    pending, _ = ledger.scan(root, "orders")
+    return pending.select(*fx.ORDERS_SPEC.fields, "IsDeleted", EXECUTION_COL)
+
+
+@query("stream_cdc_out_of_order", ORACLE_SQL["merge_multi_batch"])
+def stream_cdc_out_of_order(spark, sf):
+    """The weekly batches of ``merge_multi_batch`` arrive last week first, a file a micro-batch;
+    older executions never overwrite newer ones."""
+    e = t(spark, sf, "events").select(
+        *EVENTS_BY_USER.fields, (F.col("event_type") == "error").alias("IsDeleted"),
+        F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week"),
+    )
+    root = work_dir(spark, "stream-late")
+    batches = latest_per_key(e, ["user_id", "week"], ["ts", "event_id"])
+    weeks = sorted((r["week"] for r in batches.select("week").distinct().collect()), reverse=True)  # folder names
+    states = VersionedTable(spark, f"{root}/states")
+    for week in weeks:
+        batches.filter(F.col("week") == week).drop("week").write.parquet(f"{root}/raw/exec={week}")
+        stream_cdc_ordered(spark, f"{root}/raw", EVENTS_BY_USER, states, f"{root}/_checkpoint", archive_dir=f"{root}/archive")
+    return current_rows(states.read(), EVENTS_BY_USER)
+
+
+@query("dq_report_incremental", SQL_DQ_REPORT)
+def dq_report_incremental(spark, sf):
+    """The report from states of executions, added in two runs; the second reads new executions only."""
+    root = work_dir(spark, "dq-states")
+    parts = {"customer": "c_mktsegment", "orders": "o_orderpriority", "lineitem": "l_returnflag", "pages": None}
+    states, roots = DqStates(spark, f"{root}/states"), {n: f"{root}/raw/{n}" for n in parts}
+    for n, by in parts.items():
+        rows = t(spark, sf, n)
+        jobs.write_executions(rows, f"{roots[n]}", F.coalesce(F.col(by), F.lit("none")) if by else F.lit("all"))
+    first = {n: roots[n] for n in ("customer", "orders")}
+    jobs.dq_job_incremental(spark, first, rules(spark), AS_OF, states).collect()
+    return jobs.dq_job_incremental(spark, roots, rules(spark), AS_OF, states)
+
+
+# Rules of which each of the first four cannot run, for its own reason.
+_BAD_RULES = [
+    ("customer", "c_nope", "Unknown column", "Customer", "Validity", 1, "isComplete", None, None, None),
+    ("customer", "c_name", "Text that is no number", "Customer", "Validity", 2, "satisfies", "cast(c_name AS int) > 0", 1, "yes"),
+    ("customer", "c_name", "No such check", "Customer", "Validity", 3, "hasNoSuchCheck", None, None, None),
+    ("customer", "c_acctbal", "Division by zero", "Customer", "Validity", 4, "satisfies", "1 / (c_custkey - c_custkey) > 0", 1, "yes"),
+    ("customer", "c_name", "Text as a number", "Customer", "Validity", 5, "isNonNegative", None, None, None),
+    ("customer", "c_name", "No card number", "Customer", "Privacy", 6, "containsCreditCardNumber", None, None, None),
+    ("customer", "c_name", "No social security number", "Customer", "Privacy", 7, "containsSocialSecurityNumber", None, None, None),
+    ("lineitem", "l_orderkey", "Order and line are the key", "Lineitem", "Uniqueness", 1, "isPrimaryKey", "[l_linenumber]", None, None),
+]
+
+
+@query(
+    "dq_report_bad_rule",
+    f"""WITH c AS (SELECT count(*) AS n FROM customer), l AS (SELECT count(*) AS n FROM lineitem),
+    u AS (SELECT count(*) FILTER (WHERE k = 1) AS n FROM (SELECT count(*) AS k FROM lineitem GROUP BY l_orderkey, l_linenumber) g),
+    r AS (SELECT 'customer' AS tn, i AS k, CASE WHEN i = 5 THEN c.n ELSE 0 END AS ok, c.n AS total,
+                 CASE WHEN i = 6 THEN (SELECT count(*) FILTER (WHERE regexp_matches(c_name, '{dqmod.CARD_PATTERN}')) FROM customer)
+                      WHEN i = 7 THEN (SELECT count(*) FILTER (WHERE regexp_matches(c_name, '{dqmod.SSN_PATTERN}')) FROM customer) ELSE 0 END AS found
+          FROM c, range(1, 8) x(i)
+          UNION ALL SELECT 'lineitem', 1, u.n, l.n, 0 FROM u, l)
+    SELECT tn AS "Table Name", CAST(k AS INTEGER) AS "Row Num", CASE WHEN ok + found = total THEN 'Success' ELSE 'Failure' END AS "Constraint Status",
+           total AS "Total Rows", CAST(ok + found AS DOUBLE) / CAST(total AS DOUBLE) AS pass_fraction FROM r""",
+)
+def dq_report_bad_rule(spark, sf):
+    """Rules that cannot run (unknown column or check, values that fail at run time) cost their own rows only."""
+    tables = _tables(spark, sf, "customer", "lineitem")
+    found = jobs.dq_results(spark, tables, spark.createDataFrame(_BAD_RULES, RULES_SCHEMA))
+    return found.select("Table Name", "Row Num", "Constraint Status", "Total Rows", "pass_fraction")

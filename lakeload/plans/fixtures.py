@@ -91,6 +91,18 @@ def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a CDC row (flag as in ``orders_batch``)."""
+    flag = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit(None).cast("boolean")).otherwise(F.col("o_orderstatus") == "F")
+    return table(spark, sf_dir, "orders").select(*ORDERS_SPEC.fields, flag.alias("IsDeleted"))
+
+
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event, nine of ten under one user (-1): a target with a hot key."""
+    hot = F.when(F.col("event_id") % 10 < 9, F.lit(-1).cast("bigint")).otherwise(F.col("user_id"))
+    return table(spark, sf_dir, "events").select("event_id", "ts", hot.alias("user_id"), "event_type", "value")
+
+
 def events_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").filter(F.col("ts") < F.lit(EVENTS_TABLE_BEFORE).cast("timestamp_ntz"))
 
@@ -101,16 +113,6 @@ def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "ts", "user_id", "event_type", (-F.col("value")).alias("value"), "props", flag.alias("IsDeleted"))
 
 
-def events_daily_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a CDC row, with its day as the execution id."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
-        "*",
-        (F.col("event_type") == "error").alias("IsDeleted"),
-        F.date_format("ts", "yyyy-MM-dd").alias("execution_id"),
-    )
-
-
 # SQL twins (DuckDB) of the derived inputs, as common table expressions.
 SQL_ORDERS_BEFORE = f"""orders_before AS (
   SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{ORDERS_TABLE_BEFORE}')"""
@@ -118,6 +120,11 @@ SQL_ORDERS_BATCH = f"""orders_batch AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice, o_orderdate, o_orderpriority,
          CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o_orderstatus = 'F' END AS IsDeleted
   FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_BATCH_FROM}')"""
+SQL_ORDERS_CHANGES = """orders_changes AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+         CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o_orderstatus = 'F' END AS IsDeleted FROM orders)"""
+SQL_HOT_EVENTS = """hot_events AS (
+  SELECT event_id, ts, CASE WHEN event_id % 10 < 9 THEN -1 ELSE user_id END AS user_id, event_type, value FROM events)"""
 SQL_EVENTS_BEFORE = f"""events_before AS (
   SELECT * FROM events WHERE ts < TIMESTAMP '{EVENTS_TABLE_BEFORE}')"""
 SQL_EVENTS_BATCH = f"""events_batch AS (

@@ -17,12 +17,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions import is_small
+from lakeload.functions.sizing import input_bytes
 from lakeload.operators import dq as dqmod
-from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, merge, metric_columns, repeats_keys
+from lakeload.operators.dq_states import DqStates
+from lakeload.operators import change_feed as cf
+from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, heavy_keys, merge, metric_columns, repeats_keys
 from lakeload.operators.project import cast_projection
 from lakeload.sinks import Ledger, VersionedTable, archive_batch
+from lakeload.sinks.bucketed import BucketedTable
 from lakeload.sources import EXECUTION_COL, list_dirs, path_exists, scan_executions
-from lakeload.specs import DELETE_FLAG, GoldSpec, TableSpec
+from lakeload.sources.files import execution_id_of
+from lakeload.specs import CDC, DELETE_FLAG, EXECUTION, GoldSpec, TableSpec
 
 LOG = logging.getLogger(__name__)
 
@@ -167,7 +172,10 @@ def apply_batch(
     if not table.exists():
         table.commit(typed.drop(flag))
     base = table.latest_version()
-    result = merge(table.read(base), typed, spec.keys, spec.load_type, flag=flag, small_source=small_source)
+    target = table.read(base)
+    small = is_small(typed) if small_source is None else small_source
+    heavy = None if small else heavy_keys(target, spec.keys)
+    result = merge(target, typed, spec.keys, spec.load_type, flag=flag, small_source=small, heavy=heavy)
     version, m = commit_merge(table, result, batch_ids, base_version=base)
     m["version"] = version
     return m
@@ -223,11 +231,15 @@ def cdc_load(
     ``layout="partitioned"`` keeps the silver table as a plain parquet folder
     partitioned by ``spec.partition_by`` (columns of the key) and merges each batch
     into only the partitions it touches (``sinks.partitioned``); applied batches
-    are then tracked by the ledger (re-applying a CDC batch with unique keys leaves
-    the table unchanged, so a replay after a crash is harmless).
+    are then tracked by the ledger (a batch applied again leaves the table as it was, so a
+    replay after a crash is harmless).
+
+    ``layout="bucketed"`` is the same for tables without a partition column: hash buckets
+    of the key (``sinks.bucketed``), of which a batch rewrites those its keys fall into.
+    ``collapse`` works for it too.
     """
-    if layout == "partitioned":
-        return _cdc_load_partitioned(spark, specs, zones, processed_at, archive)
+    if layout in ("partitioned", "bucketed"):
+        return _cdc_load_in_place(spark, specs, zones, processed_at, archive, layout, collapse)
     processed_at = processed_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     ledger = Ledger(spark, f"{zones.meta}/ledger")
     log = []
@@ -291,40 +303,67 @@ def partitioned_path(zones: Zones, spec: TableSpec) -> str:
     return f"{zones.silver}/{spec.name}/partitioned"
 
 
-def _cdc_load_partitioned(
-    spark: SparkSession, specs: Sequence[TableSpec], zones: Zones, processed_at: str | None, archive: bool
-) -> DataFrame:
+def bucketed_table(spark: SparkSession, zones: Zones, spec: TableSpec) -> BucketedTable:
+    return BucketedTable(spark, f"{zones.silver}/{spec.name}/bucketed", spec)
+
+
+def _apply_partitioned(spark: SparkSession, zones: Zones, spec: TableSpec, batch: DataFrame, executions: Sequence[str]) -> dict:
     from lakeload.sinks.partitioned import merge_into_partitions
 
+    (execution,) = executions
+    path = partitioned_path(zones, spec)
+    typed = cast_projection(batch, spec, keep=(DELETE_FLAG,))
+    if not path_exists(spark, path):  # bootstrap from the whole first batch
+        typed.drop(DELETE_FLAG).withColumn(EXECUTION, F.lit(execution)).write.partitionBy(*spec.partition_by).parquet(path)
+    return merge_into_partitions(spark, path, spec.partition_by, typed, spec.keys, spec.load_type, execution=execution)
+
+
+def _apply_bucketed(spark: SparkSession, zones: Zones, spec: TableSpec, batch: DataFrame, executions: Sequence[str]) -> dict:
+    table = bucketed_table(spark, zones, spec)
+    if not table.exists():  # bootstrap from the whole first batch
+        typed = cast_projection(batch, spec, keep=(DELETE_FLAG,))
+        table.create(typed.drop(DELETE_FLAG), executions[0], table_bytes=input_bytes(batch))
+    return table.apply(batch, executions)
+
+
+def _collapsed_batch(spark: SparkSession, spec: TableSpec, raw: str, folders: Sequence[str]) -> DataFrame | None:
+    """Pending executions as one net change, each row with its (last) execution; None where one of them repeats a key."""
+    rows = scan_executions(spark, raw).filter(F.col(EXECUTION_COL).isin(*[execution_name(f) for f in folders]))
+    typed = cast_projection(rows, spec, keep=(DELETE_FLAG, EXECUTION_COL)).withColumn(EXECUTION, F.col(EXECUTION_COL))
+    if repeats_keys(typed, spec.keys, [EXECUTION_COL]):
+        return None
+    return collapse_changes(typed, spec.keys, [EXECUTION_COL], spec.load_type).drop(EXECUTION_COL)
+
+
+def _cdc_load_in_place(
+    spark: SparkSession, specs: Sequence[TableSpec], zones: Zones, processed_at: str | None, archive: bool, layout: str, collapse: bool
+) -> DataFrame:
     processed_at = processed_at or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     ledger = Ledger(spark, f"{zones.meta}/ledger")
+    apply = _apply_partitioned if layout == "partitioned" else _apply_bucketed
     log = []
     for spec in specs:
         raw = f"{zones.raw}/{spec.path_cdc or spec.name}"
         try:
-            if not spec.partition_by or not set(spec.partition_by) <= set(spec.keys):
+            if layout == "partitioned" and not (spec.partition_by and set(spec.partition_by) <= set(spec.keys)):
                 raise ValueError(f"{spec.name}: partitioned layout needs partition columns inside the key")
             if not path_exists(spark, raw):
                 log.append((spec.name, STATUS_NO_DATA, 0, 0, 0))
                 continue
-            done = {
-                r[EXECUTION_COL]
-                for r in ledger.read().filter(F.col("table_name") == spec.name).select(EXECUTION_COL).collect()
-            }
-            path = partitioned_path(zones, spec)
+            done = ledger.applied(spec.name)
+            pending = [f for f in list_dirs(spark, raw) if execution_name(f) not in done]
+            groups = [[f] for f in pending]
+            if collapse and layout == "bucketed" and len(pending) > 1 and bucketed_table(spark, zones, spec).exists():
+                net = _collapsed_batch(spark, spec, raw, pending)
+                groups = groups if net is None else [pending]
             last = {"num_inserted_rows": 0, "num_updated_rows": 0, "num_deleted_rows": 0}
-            for folder in list_dirs(spark, raw):
-                ex = execution_name(folder)
-                if ex in done:
-                    continue
-                batch = spark.read.parquet(f"{raw}/{folder}")
-                typed = cast_projection(batch, spec, keep=(DELETE_FLAG,))
-                if not path_exists(spark, path):  # bootstrap from the whole first batch
-                    typed.drop(DELETE_FLAG).write.partitionBy(*spec.partition_by).parquet(path)
-                last = merge_into_partitions(spark, path, spec.partition_by, typed, spec.keys, spec.load_type)
-                ledger.record(spec.name, ex, 0, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
+            for folders in groups:
+                batch = net if len(folders) > 1 else spark.read.parquet(f"{raw}/{folders[0]}")
+                names = [execution_name(f) for f in folders]
+                last = apply(spark, zones, spec, batch, names)
+                ledger.record_many(spec.name, names, 0, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"])
                 if archive:
-                    archive_batch(batch, f"{zones.raw}/_processed/{spec.name}", processed_at)
+                    archive_batch(spark.read.parquet(*[f"{raw}/{f}" for f in folders]), f"{zones.raw}/_processed/{spec.name}", processed_at)
             log.append((spec.name, STATUS_LOADED, last["num_inserted_rows"], last["num_updated_rows"], last["num_deleted_rows"]))
         except Exception:  # noqa: BLE001
             LOG.exception("%s: load failed", spec.name)
@@ -332,6 +371,23 @@ def _cdc_load_partitioned(
     return spark.createDataFrame(log, CDC_LOG_SCHEMA)
 
 
+def apply_with_feed(spark: SparkSession, target: DataFrame, batch: DataFrame, keys: Sequence[str], path: str, mode: str = CDC) -> tuple[DataFrame, DataFrame, dict]:
+    """Merge and keep the change feed: ``(table, feed, counts)`` from one staged job.
+
+    The tagged rows, with the images from before the merge, are written once, partitioned by
+    action.  The table is the live partitions of that write and the feed comes from the
+    changed ones, so kept rows are neither compared nor shuffled for it.
+    """
+    small = is_small(batch)
+    result = merge(target, batch, keys, mode, small_source=small, heavy=None if small else heavy_keys(target, keys), images=True)
+    obs = Observation(f"feed_{uuid.uuid4().hex[:8]}")
+    result.tagged.observe(obs, *metric_columns()).write.partitionBy(ACTION).parquet(path)
+    schema = result.tagged.schema
+    staged = spark.read.schema(schema).parquet(path)
+    rows = MergeResult(staged, result.columns, mode, result.broadcast).rows()
+    return rows, cf.feed_of_merge(staged, result.columns, keys), dict(obs.get)
+
+
 def fold_batches(
     spark: SparkSession, table: VersionedTable, spec: TableSpec, batches: DataFrame, small_source: bool | None = None
 ) -> DataFrame:
@@ -405,28 +461,75 @@ def gold_cdc_load(
 
 
 def dq_results(spark: SparkSession, tables: Mapping[str, DataFrame], rules: DataFrame) -> DataFrame:
-    """Constraint results of every table that has rules (tables without are skipped)."""
-    parts = []
-    by_table = dqmod.collect_rules(rules)
-    for name, df in tables.items():
-        r = dqmod.check_table(df, rules, name, by_table.get(name, []))
-        if r is not None:
-            parts.append(dqmod.results_frame(r))
-    out = dqmod.empty_results(spark)
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    """Constraint results of every table that has rules (tables without are skipped).
+
+    The metrics (one row per rule) are computed when this is called, so that a rule that fails
+    at run time ends neither the other rules nor the report.
+    """
+    rows = dqmod.metric_rows(tables, dqmod.collect_rules(rules))
+    if not rows:
+        return dqmod.empty_results(spark)
+    return dqmod.results_frame(dqmod.with_rules(spark.createDataFrame(rows, dqmod.METRIC_ROWS), rules))
 
 
 def dq_job(spark: SparkSession, tables: Mapping[str, DataFrame], rules: DataFrame, as_of: str) -> DataFrame:
     return dqmod.report(dq_results(spark, tables, rules), as_of)
 
 
+def dq_job_incremental(spark: SparkSession, roots: Mapping[str, str], rules: DataFrame, as_of: str, states: DqStates) -> DataFrame:
+    """The report over raw execution folders, reading only executions without a stored state.
+
+    ``roots`` maps table to raw folder.  States of all executions are summed, so the report
+    equals that of the whole tables.
+    """
+    rows = []
+    for name, parsed in dqmod.collect_rules(rules).items():
+        if name not in roots:
+            continue
+        done = states.executions(name, parsed)
+        new = [f for f in list_dirs(spark, roots[name]) if execution_name(f) not in done]
+        if new:
+            states.refresh(name, spark.read.parquet(*[f"{roots[name]}/{f}" for f in new]).withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path"))), parsed)
+        rows += states.metric_rows(name, parsed)
+    if not rows:
+        return dqmod.report(dqmod.empty_results(spark), as_of)
+    return dqmod.report(dqmod.results_frame(dqmod.with_rules(spark.createDataFrame(rows, dqmod.METRIC_ROWS), rules)), as_of)
+
+
 # ---------------------------------------------------------------------------
 # Reconciliation
 # ---------------------------------------------------------------------------
 
 
+def file_rows(spark: SparkSession, path: str) -> int:
+    """Rows of the parquet files below ``path`` by their footers.
+
+    The columnar reader answers the count from file statistics (aggregate push-down),
+    so no page is read whatever the size of the table.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+
+
+def load_reconcile_files(spark: SparkSession, specs: Sequence[TableSpec], zones: Zones) -> DataFrame:
+    """Rows read against rows written for each full-loaded table, both counted in the files themselves.
+
+    Independent of the load's own log: the raw files of the last execution against
+    the files of the current silver version.
+    """
+    out = []
+    for spec in specs:
+        raw = f"{zones.raw}/{spec.path or spec.name}"
+        folders = list_dirs(spark, raw)
+        table = zones.silver_table(spark, spec)
+        read = file_rows(spark, f"{raw}/{folders[-1]}") if folders else None
+        written = file_rows(spark, table.path()) if table.exists() else None
+        out.append((spec.name, read, written, read is not None and read == written))
+    return spark.createDataFrame(out, "TableName string, Rows_Readed bigint, Rows_Written bigint, ok boolean")
+
+
 def load_reconcile(log: DataFrame) -> DataFrame:
     """Per full-load log row: did every row read get written?"""
     return log.select(

@@ -4,6 +4,10 @@ Instead of deleting consumed raw input, every applied ``(table, execution_id)``
 appended to a small parquet table.  Unprocessed batches are the executions that
 have no ledger entry (a left anti join), so a re-run after a failure applies each
 batch exactly once and the input is never destroyed.
+
+``FileLedger`` books files (path, length, time) instead: pending input is a listing minus the
+ledger, found before any data is read, and a file that arrives late in the
+folder of an applied execution is pending too.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakeload.sources.files import EXECUTION_COL, path_exists
+from lakeload.sources.files import EXECUTION_COL, execution_id_of, path_exists
 
 LEDGER_SCHEMA = StructType(
     [
@@ -36,6 +40,11 @@ class Ledger:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 
+    def applied(self, table_name: str) -> set[str]:
+        """Names of the executions applied to a table (folder names, one an execution)."""
+        rows = self.read().filter(F.col("table_name") == table_name).select(EXECUTION_COL).distinct()
+        return {r[EXECUTION_COL] for r in rows.collect()}
+
     def record(self, table_name: str, execution_id: str, version: int, ins: int, upd: int, dele: int) -> None:
         self.record_many(table_name, [execution_id], version, ins, upd, dele)
 
@@ -54,3 +63,49 @@ class Ledger:
         """Rows of ``executions`` (with ``execution_id``) whose batch is not in the ledger."""
         done = self.read().filter(F.col("table_name") == table_name).select(EXECUTION_COL)
         return executions.join(done, EXECUTION_COL, "left_anti")
+
+
+FILES_SCHEMA = "table_name string, path string, length bigint, modificationTime timestamp"
+_FILE = ["path", "length", "modificationTime"]
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, length, modificationTime)`` of the parquet files below ``root``; no content is read."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], FILES_SCHEMA).select(*_FILE)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return reader.load(root).select(*_FILE)
+
+
+class FileLedger:
+    """Files applied to each table."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self) -> DataFrame:
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], FILES_SCHEMA)
+        return self.spark.read.schema(FILES_SCHEMA).parquet(self.path)
+
+    def pending(self, root: str, table_name: str) -> DataFrame:
+        """Files below ``root`` that are not booked for the table as they are now."""
+        done = self.read().filter(F.col("table_name") == table_name).select(*_FILE)
+        return list_files(self.spark, root).join(done, _FILE, "left_anti")
+
+    def scan(self, root: str, table_name: str) -> tuple[DataFrame | None, list[str]]:
+        """Rows of the pending files with their ``execution_id``, and the files; only those files are opened.
+
+        The names go through the driver, as those of any file scan do.
+        """
+        paths = sorted(r["path"] for r in self.pending(root, table_name).select("path").collect())
+        if not paths:
+            return None, []
+        rows = self.spark.read.parquet(*paths)
+        return rows.withColumn(EXECUTION_COL, execution_id_of(F.col("_metadata.file_path"))), paths
+
+    def record(self, root: str, table_name: str, paths: list[str]) -> None:
+        """Book files as applied, with the length and time they have now."""
+        names = self.spark.createDataFrame([(p,) for p in paths], "path string")
+        rows = list_files(self.spark, root).join(names, "path", "left_semi").select(F.lit(table_name).alias("table_name"), *_FILE)
+        rows.coalesce(1).write.mode("append").parquet(self.path)

@@ -19,9 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeload.functions import any_null
 from lakeload.operators.merge import ACTION, LIVE_ACTIONS, merge, metric_columns
 from lakeload.sources.files import _fs, path_exists
-from lakeload.specs import CDC, DELETE_FLAG
+from lakeload.specs import CDC, DELETE_FLAG, EXECUTION
 
 
 def _partition_filter(partition_by: Sequence[str], values: list[tuple]):
@@ -44,9 +45,16 @@ def merge_into_partitions(
     mode: str = CDC,
     flag: str = DELETE_FLAG,
     staging_root: str | None = None,
+    execution: str | None = None,
 ) -> dict:
-    """Merge ``batch`` into the partitioned parquet table at ``path``; return metrics."""
+    """Merge ``batch`` into the partitioned parquet table at ``path``; return metrics.
+
+    With ``execution`` every row carries the execution that wrote it, and a batch applied
+    again first drops its own null-key rows, so a replay leaves the table as it was.
+    """
     partition_by = list(partition_by)
+    if execution is not None:
+        batch = batch.withColumn(EXECUTION, F.lit(execution))
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
     # The touched partition values: one row per partition, not per data row.
@@ -60,6 +68,8 @@ def merge_into_partitions(
         folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]+$", 1).alias("folder")
         folders = [r["folder"] for r in target.select(folder).distinct().collect()]  # of the touched partitions
         target = target.select(*[c for c in target.columns if c not in partition_by], *partition_by)
+        if execution is not None:
+            target = target.filter(~(any_null(keys) & F.coalesce(F.col(EXECUTION) == execution, F.lit(False))))
     else:
         target = spark.createDataFrame([], schema)
     cols = target.columns

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 FULL = "FULL"
 CDC = "CDC"
 DELETE_FLAG = "IsDeleted"
+# Column of the incremental layouts: the execution that wrote a row.
+EXECUTION = "_execution"
 
 
 def spark_type(type_name: str):
