@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.llm.graph import fresh
 from lakeload.llm.text import LOWER, NOT_ALNUM, U64, chunks, mix, span_hash, words, lean
 
 #: Words that one lane starts in; longer documents are several lanes.
@@ -226,6 +227,6 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **options) ->
     Rows are matched by id; a null id is matched with null ids.  Ids that occur more
     than once go together.
     """
-    id_col = options.get("id_col", "doc_id")
-    bad = find_items(documents, benchmark, **options).where(contaminated()).select(F.col(id_col).alias("_bad")).distinct()
-    return documents.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    id_col, bad_id = options.get("id_col", "doc_id"), fresh(documents, "bad_id")
+    bad = find_items(documents, benchmark, **options).where(contaminated()).select(F.col(id_col).alias(bad_id)).distinct()
+    return documents.join(bad, F.col(id_col).eqNullSafe(F.col(bad_id)), "left_anti")

@@ -16,6 +16,7 @@ equal predictions.  Empty table: empty result.  Only the named columns are read.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,20 +156,20 @@ def identify(documents: DataFrame, model: dict | None, id_col: str = "doc_id", t
 
 
 def _clear(model: dict | None, min_gap: float):
-    """Task: the rows whose language is clear, all columns kept as they are."""
+    """Arrow function: whether the language of a text is clear."""
     predict = _predict(model, min_gap)
 
-    def run(batches):
-        for b in batches:
-            ids = pa.nulls(b.num_rows, pa.int64())
-            two = pa.RecordBatch.from_arrays([ids, b.column("_text")], names=["id", "text"])
-            keep = [lang != "und" and not unsure for p in predict([two]) for lang, unsure in zip(p.column(1).to_pylist(), p.column(3).to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_())).drop_columns(["_text"])
+    def rows(texts: pa.Array) -> Iterator[bool]:
+        two = pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.int64()), texts], names=["id", "text"])
+        for p in predict([two]):
+            yield from (lang != "und" and not unsure for lang, unsure in zip(p.column(1).to_pylist(), p.column(3).to_pylist()))
 
-    return run
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return lean(lambda texts: (pa.array(rows(t), pa.bool_()) for t in texts))(batches)
+
+    return F.arrow_udf(run, "boolean")
 
 
 def keep_clear(documents: DataFrame, model: dict | None, text_col: str = "text", min_gap: float = 0.05) -> DataFrame:
-    """``documents`` without those of no or of ambiguous language."""
-    wide = documents.withColumn("_text", F.col(text_col).cast("string"))
-    return wide.mapInArrow(lean(_clear(model, min_gap)), documents.schema)
+    """``documents`` without those of no or of ambiguous language; only texts leave the JVM."""
+    return documents.where(_clear(model, min_gap)(F.col(text_col).cast("string")))

@@ -28,11 +28,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
-from lakeload.llm.graph import components, settle, stage
+from lakeload.llm.graph import components, fresh, settle, stage
 from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, lean, mix, span_hash, value_hash, words
 
 #: Rows of a key that are compared at once.
@@ -312,29 +312,37 @@ def _pairs(tau: int):
     return run
 
 
-def dedup_lines(documents: DataFrame, *, tau: int = 2, min_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``documents`` with repeated lines cut from the text, plus ``n_lines`` and ``n_removed`` (lines with a word)."""
+def _without_repeats(documents: DataFrame, tau: int, min_chars: int, id_col: str, text_col: str) -> tuple[DataFrame, Column, Column, Column]:
+    """``(documents with the lines to cut, text without them, lines with a word, lines cut)``."""
     if min_chars <= 2 * tau:
         raise ValueError("min_chars must be over twice tau")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     seen, classes = line_classes(docs, tau, min_chars)
     gone = seen.join(classes, "h").where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("pos") == F.col("keep_pos"))))
-    cut = stage(gone.groupBy(F.col("id").alias("_id")).agg(F.collect_set("pos").alias("_cut")), "lines-cut")  # the lines of one document
+    own, lines = fresh(documents, "cut_id"), fresh(documents, "cut_lines")
+    cut = stage(gone.groupBy(F.col("id").alias(own)).agg(F.collect_set("pos").alias(lines)), "lines-cut")  # the lines of one document
     small = F.broadcast(cut) if is_small(cut) else cut
-    wide = documents.join(small, F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left")
+    wide = documents.join(small, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left")
     parts = F.split(F.col(text_col), "\n", -1)
     inked = F.size(F.filter(parts, lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    numbers = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(parts).cast("long") - 1), F.col("_cut"))
+    numbers = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(parts).cast("long") - 1), F.col(lines))
     kept = F.array_join(F.transform(numbers, lambda i: F.get(parts, i.cast("int"))), "\n")
-    return wide.select(
-        *[F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in documents.columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(inked).cast("long").alias("n_lines"),
-        F.when(F.col("_cut").isNull(), 0).otherwise(F.size("_cut")).cast("long").alias("n_removed"),
-    )
+    text = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(kept).alias(text_col)
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(inked).cast("long")
+    return wide, text, n_lines, F.when(F.col(lines).isNull(), 0).otherwise(F.size(lines)).cast("long")
+
+
+def dedup_lines(documents: DataFrame, *, tau: int = 2, min_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``documents`` with repeated lines cut from the text, plus ``n_lines`` and ``n_removed`` (lines with a word).
+
+    Columns of these two names in ``documents`` are replaced.
+    """
+    wide, text, n_lines, n_removed = _without_repeats(documents, tau, min_chars, id_col, text_col)
+    own = [text if c == text_col else F.col(f"`{c}`") for c in documents.columns if c.lower() not in ("n_lines", "n_removed")]
+    return wide.select(*own, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
-def drop_repeated_lines(documents: DataFrame, **options) -> DataFrame:
+def drop_repeated_lines(documents: DataFrame, *, tau: int = 2, min_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` with repeated lines cut; a document goes when it had lines and lost them all."""
-    text_col = options.get("text_col", "text")
-    out = dedup_lines(documents, **options)
-    return out.where("n_removed = 0 or n_removed < n_lines").select(*[F.col(f"`{c}`") for c in documents.columns])
+    wide, text, n_lines, n_removed = _without_repeats(documents, tau, min_chars, id_col, text_col)
+    return wide.where((n_removed == 0) | (n_removed < n_lines)).select(*[text if c == text_col else F.col(f"`{c}`") for c in documents.columns])

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import input_bytes, is_small
-from lakeload.llm.graph import components, settle, stage
+from lakeload.llm.graph import components, fresh, settle, stage
 from lakeload.llm.text import U64, chunks, i64, lean, set_print, shingles
 
 #: Rows of a tile that are compared at once.
@@ -413,11 +413,11 @@ def drop_near_copies(documents: DataFrame, **options) -> DataFrame:
     Rows with equal id and text are repeats of one document and all but one go;
     documents without words are in no class and stay.
     """
-    id_col = options.get("id_col", "doc_id")
+    id_col, kept_id = options.get("id_col", "doc_id"), fresh(documents, "kept_id")
     classes = jaccard_classes(documents, **options)
-    kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias("_kept")).agg(F.count(F.lit(1)).alias("_times"))
+    kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias(kept_id)).agg(F.count(F.lit(1)).alias("times"))
     kept = stage(kept, "jaccard-kept")
-    out = documents.join(kept.select("_kept"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-    if kept.where("_times > 1").isEmpty():
+    out = documents.join(kept.select(kept_id), F.col(id_col).eqNullSafe(F.col(kept_id)), "left_semi")
+    if kept.where("times > 1").isEmpty():
         return out
     return out.dropDuplicates([id_col, options.get("text_col", "text")])

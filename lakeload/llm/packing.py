@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.graph import stage
 from lakeload.llm.text import lean
-from lakeload.llm.tokens import encoded
+from lakeload.llm.tokens import KEPT, encoded
 
 PIECES = "part int, doc_id long, piece int, start long, length long, place long, ids binary"
 
@@ -206,7 +206,7 @@ def pack_documents(
     crc32 of its ids.
     """
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    pieces = stage(docs.mapInArrow(lean(_tokenize(tokenizer_path, spaced, end_id, capacity)), PIECES), "pack-pieces")
+    pieces = stage(docs.mapInArrow(lean(_tokenize(tokenizer_path, spaced, end_id, capacity), keeps=KEPT), PIECES), "pack-pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_part.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long"))

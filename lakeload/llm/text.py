@@ -76,13 +76,30 @@ def _trim():
         return int
 
 
-def lean(task):
+#: What a worker keeps between tasks: name -> how to drop it.
+_KEPT: dict[str, object] = {}
+
+
+def keep_between_tasks(name: str, drop) -> None:
+    _KEPT[name] = drop
+
+
+def _drop_all_but(keeps: str | None) -> None:
+    for name, drop in _KEPT.items():
+        if name != keeps:
+            drop()
+
+
+def lean(task, keeps: str | None = None):
     """``task`` (over Arrow batches) that hands freed memory back to the system when it ends.
 
     Workers live on between tasks and stages; without it each keeps the peak of all of them.
+    What an earlier stage kept in the worker (``keep_between_tasks``) goes at the start, except
+    ``keeps``, which this task uses too.
     """
 
     def run(batches):
+        _drop_all_but(keeps)
         yield from task(batches)
         pa.default_memory_pool().release_unused()
         _trim()(0)

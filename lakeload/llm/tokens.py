@@ -2,10 +2,11 @@
 
 Both vocabularies split a text into independent pieces at white space, and a full
 stop or comma after a letter or digit is a piece of its own, so the ids of a text
-are the ids of its pieces in order.  A worker keeps the pieces it has met
-(``CACHE_PIECES`` at most, then it starts anew); new pieces go through the
-tokenizers library.  Texts with white space outside ASCII, whose runs the split
-does not follow, are encoded whole.
+are the ids of its pieces in order.  A worker keeps the short pieces it has met
+(``CACHE_PIECES`` and ``CACHE_BYTES`` at most, then it starts anew); new pieces go through the
+tokenizers library.  Longer pieces (scripts without blanks) and texts with white space
+outside ASCII, whose runs the split does not follow, are encoded for the one call
+that needs them and not kept.
 """
 
 from __future__ import annotations
@@ -18,8 +19,15 @@ from itertools import chain
 
 import numpy as np
 
+from lakeload.llm.text import keep_between_tasks
+
 #: Pieces a worker keeps (about 150 bytes each).
 CACHE_PIECES = 450_000
+#: Bytes a worker's pieces, ids and their table entries may take, checked before each run of texts.
+CACHE_BYTES = 96 * 1024 * 1024
+#: A piece's entry: dictionary slot, bytes object, number and offset; and the most bytes of a kept piece.
+PIECE_BYTES = 200
+LONGEST_KEPT = 64
 #: Pieces that go through the library at once.
 ENCODE_PIECES = 4096
 
@@ -31,8 +39,9 @@ _UNITS = re.compile(rb"[\x09-\x0d\x20]*[^\x09-\x0d\x20]+|[\x09-\x0d\x20]+")
 _ODD = (b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b" \n", b"\n ", b"\n\n")
 _TAILS = b".,"
 _WORDLIKE = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
-#: Room for the tail's number above the piece's number.
+#: Room for the tail's number above the piece's number; pieces that are not kept have a number range of their own.
 _TAIL_BIT = 40
+_PASSING = 1 << 39
 
 
 class _Pieces(dict):
@@ -61,18 +70,32 @@ class Encoder:
     def clear(self) -> None:
         self.flat, self.off = array("I"), array("q", [0])
         self.booked: list[bytes] = []
+        self.passing: list[bytes] = []
+        self.held = 0
         self.units = _Pieces(self._unit)
         self.after_space = _Pieces(self._after_space)
         self.tails = np.array([0, *(self._book(bytes([t])) for t in _TAILS)], np.int64)
 
+    def kept_bytes(self) -> int:
+        """About what the kept pieces take."""
+        return self.held + 4 * len(self.flat) + 8 * len(self.off)
+
     def _book(self, piece: bytes) -> int:
         self.booked.append(piece)
+        self.held += len(piece) + PIECE_BYTES
         return len(self.off) - 2 + len(self.booked)
 
+    def _pass(self, piece: bytes) -> int:
+        """A piece for this call only."""
+        self.passing.append(piece)
+        return _PASSING + len(self.passing) - 1
+
     def _unit(self, piece: bytes) -> int:
         tail = _TAILS.find(piece[-1:])
         if tail >= 0 and len(piece) > 1 and piece[-2] in _WORDLIKE:
             return self.units[piece[:-1]] | (tail + 1) << _TAIL_BIT
+        if len(piece) > LONGEST_KEPT:
+            return self._pass(piece)
         n = self.units[piece] = self._book(piece)
         return n
 
@@ -81,7 +104,10 @@ class Encoder:
         tail = _TAILS.find(piece[-1:])
         if tail >= 0 and len(piece) > 1 and piece[-2] in _WORDLIKE:
             return self.after_space[piece[:-1]] | (tail + 1) << _TAIL_BIT
-        n = self.after_space[piece] = self._book(piece if piece[0] == 10 else b" " + piece)
+        spelled = piece if piece[0] == 10 else b" " + piece
+        if len(piece) > LONGEST_KEPT:
+            return self._pass(spelled)
+        n = self.after_space[piece] = self._book(spelled)
         return n
 
     def _pieces(self, text: bytes) -> list[int]:
@@ -90,7 +116,7 @@ class Encoder:
         if not self.spaced:
             return list(map(self.units.__getitem__, text.lower().split()))
         if not text.isascii() and (any(w in text for w in _OTHER_WHITE) or b"\xe2\x80" in text and _OTHER_BLANK.search(text)):
-            return [self._book(text)]
+            return [self._pass(text)]
         if text[0] in b" \n" or text[-1] in b" \n" or any(w in text for w in _ODD):
             return list(map(self.units.__getitem__, _UNITS.findall(text)))
         first, *rest = text.replace(b"\n", b" \n").split(b" ")
@@ -98,16 +124,14 @@ class Encoder:
 
     def encode_many(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of some texts, ids end to end."""
-        if len(self.units) + len(self.after_space) > CACHE_PIECES:
+        if len(self.units) + len(self.after_space) > CACHE_PIECES or self.kept_bytes() > CACHE_BYTES:
             self.clear()
         got = [self._pieces(t) for t in texts]
-        if self.booked:
-            for i in range(0, len(self.booked), ENCODE_PIECES):
-                run = [p.decode("utf-8", "replace") for p in self.booked[i : i + ENCODE_PIECES]]
-                for e in self.lib.encode_batch(run, add_special_tokens=False):
-                    self.flat.extend(e.ids)
-                    self.off.append(len(self.flat))
-            self.booked = []
+        self._encode(self.booked, self.flat, self.off)
+        self.booked = []
+        passing_flat, passing_off = array("I"), array("q", [0])
+        self._encode(self.passing, passing_flat, passing_off)
+        self.passing = []
         n = np.fromiter(chain.from_iterable(got), np.int64, sum(map(len, got)))
         doc = np.repeat(np.arange(len(got)), [len(g) for g in got])
         tail = n >> _TAIL_BIT
@@ -117,6 +141,11 @@ class Encoder:
             n, doc, last = np.repeat(n & ((1 << _TAIL_BIT) - 1), both), np.repeat(doc, both), tail > 0
             n[place[last]] = self.tails[tail[last]]
         flat, off = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.off, np.int64)
+        if len(passing_off) > 1:  # their ids stand after the kept ones for this call
+            flat = np.concatenate([flat, np.frombuffer(passing_flat, np.uint32)])
+            own = np.frombuffer(passing_off, np.int64) + off[-1]
+            n = np.where(n & _PASSING, (n & (_PASSING - 1)) + len(off), n)
+            off = np.concatenate([off, own])
         first = off[n]
         size = off[n + 1] - first
         stop = np.cumsum(size)
@@ -124,6 +153,13 @@ class Encoder:
         ends = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=size, minlength=len(got)))]).astype(np.int64)
         return ids, ends
 
+    def _encode(self, pieces: list[bytes], flat: array, off: array) -> None:
+        for i in range(0, len(pieces), ENCODE_PIECES):
+            run = [p.decode("utf-8", "replace") for p in pieces[i : i + ENCODE_PIECES]]
+            for e in self.lib.encode_batch(run, add_special_tokens=False):
+                flat.extend(e.ids)
+                off.append(len(flat))
+
     def encode(self, text: bytes) -> np.ndarray:
         return self.encode_many([text])[0]
 
@@ -135,6 +171,11 @@ def encoder(path: str, spaced: bool) -> Encoder:
     return Encoder(path, spaced)
 
 
+#: Tasks that encode name this as what they keep.
+KEPT = "tokens"
+keep_between_tasks(KEPT, encoder.cache_clear)
+
+
 def encoded(path: str, spaced: bool, texts, chunk_bytes: int = 1 << 20):
     """Yield ``(first, ids, offsets)`` for runs of the texts (an Arrow binary array, null as empty)."""
     enc, run, held, first = encoder(path, spaced), [], 0, 0

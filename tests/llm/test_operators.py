@@ -240,12 +240,81 @@ def test_token_files(spark, tmp_root):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert [r["doc_id"] for r in rows] == [None, *sorted([d["doc_id"] for d in docs.collect() if d["doc_id"] is not None])]
-    reader, _ = token_files.read_range(tmp_root, made.first()["part"])
+    reader, _ = token_files.read_range(token_files.arrow_uri(spark, tmp_root), made.first()["attempt"])
     ids, mask = token_files.row(reader, 0)
-    assert len(ids) == len(mask) == 16
+    assert len(ids) == len(mask) == 16 and not ids.flags.owndata and not mask.flags.owndata
+    assert set(mask.tolist()) <= {0, 1}
     assert token_files.round_trip(docs.limit(0), path).count() == 0
 
 
+def test_token_files_of_equal_ids_are_ordered_by_text(spark, tmp_root):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [f"text number {i}" for i in range(40)] + [None, ""]
+    found = []
+    for n in range(2):
+        docs = spark.createDataFrame([(7, t) for t in random.Random(n).sample(texts, len(texts))], "doc_id long, text string").repartition(3)
+        found.append([(r["start"], r["ids_crc32"]) for r in token_files.round_trip(docs, path).orderBy("start").collect()])
+    assert found[0] == found[1] and len(found[0]) == 42
+
+
+def test_token_file_systems(spark):
+    named = token_files._arrow_name
+    assert named("s3a", "bucket", "/a/b c") == "s3://bucket/a/b%20c"
+    assert named("hdfs", "host:8020", "/a") == "hdfs://host:8020/a"
+    assert named("dbfs", None, "/lake/x") == "file:///dbfs/lake/x"
+    assert token_files.arrow_uri(spark, "/a/b") == token_files.arrow_uri(spark, "file:/a/b") == "file:///a/b"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://host:8020")
+        assert token_files.arrow_uri(spark, "/a/b") == "hdfs://host:8020/a/b"
+    finally:
+        conf.set("fs.defaultFS", old)
+    with pytest.raises(ValueError, match="wasb"):
+        named("wasb", "x", "/a")
+
+
+@pytest.mark.parametrize("kind", ["no-break spaces", "no blanks"])
+def test_token_cache_stays_bounded(monkeypatch, kind):
+    from lakeload.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 2_000_000)
+    r = random.Random(9)
+    blank, words = ("\u00a0" if kind == "no-break spaces" else ""), ["été", "中文", "word", "über"]
+    own = Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    most = 0
+    for _ in range(20):
+        texts = [blank.join(r.choice(words) + str(r.random()) for _ in range(30)) for _ in range(100)]
+        ids, off = own.encode_many([t.encode() for t in texts])
+        most = max(most, own.kept_bytes())
+    assert most <= 2_000_000 and not own.passing
+    assert ids[off[3] : off[4]].tolist() == lib.encode(texts[3], add_special_tokens=False).ids
+
+
+def test_token_cache_is_dropped_by_other_tasks():
+    from lakeload.llm import tokens
+    from lakeload.llm.text import lean
+
+    tokens.encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    list(lean(iter, keeps=tokens.KEPT)([]))
+    assert tokens.encoder.cache_info().currsize
+    list(lean(iter)([]))
+    assert not tokens.encoder.cache_info().currsize
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ["_id", "cut_id", "cut_lines", "n_removed", "n_lines", "_kept", "kept_id", "times", "_bad", "bad_id", "_text", "rep", "h"]
+    text = "alpha beta gamma delta eps zeta\n" * 2
+    docs = spark.createDataFrame([(i, text + str(i), *names) for i in range(3)], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    bench = spark.createDataFrame([("b", "quite another text")], "item_id string, text string")
+    lines = line_dedup.drop_repeated_lines(docs)
+    for out in (lines, ngram_jaccard.drop_near_copies(docs), decontaminate.drop_contaminated(docs, bench), language_id.keep_clear(docs, None)):
+        assert out.schema.names == docs.schema.names
+        assert all(r[n] == n for r in out.collect() for n in names)
+    assert {"n_lines", "n_removed"} <= set(line_dedup.dedup_lines(docs).columns)
+
+
 def test_quality_rules(spark):
     rows = {r["doc_id"]: r for r in robust_rules.quality_rules(_docs(spark)).collect()}
     assert rows[0]["n_words"] == 0 and rows[0]["base_failed"] and not rows[0]["kept"]
