@@ -14,8 +14,20 @@ from lakeload.llm import decontaminate, language_id, line_dedup, ngram_jaccard,
 from lakeload.llm.graph import stage
 
 
+#: Rows of an Arrow batch: whole documents go to Python, and both sides hold a batch or two.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that stages hand to Python, unless the session says otherwise."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) == 10_000:  # Spark's own default
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of no or of ambiguous language."""
+    small_batches(spark)
     return language_id.keep_clear(docs, queries.language_model(docs))
 
 
