@@ -6,17 +6,66 @@ round is written to the shared checkpoint folder, which cuts the lineage.
 
 from __future__ import annotations
 
+import gc
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.session import work_dir
 
+_SCOPE = threading.local()
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a work table below the checkpoint folder and read it back."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    for made in getattr(_SCOPE, "open", ()):
+        made.append(path)
+    out.work_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete work tables that nothing will read again (frames that are no work tables are left alone)."""
+    for t in tables:
+        path = getattr(t, "work_path", None)
+        if path:
+            _delete(t.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Work tables made inside (by this thread) are deleted at the end, but for those given to ``keep``.
+
+    For operators whose result depends on a few written tables only: ``with scratch(spark) as keep: ...``.
+    """
+    made: list[str] = []
+    kept: set[str] = set()
+    _SCOPE.open = [*getattr(_SCOPE, "open", []), made]
+    try:
+        yield lambda *tables: kept.update(t.work_path for t in tables)
+    finally:
+        _SCOPE.open = [m for m in _SCOPE.open if m is not made]
+        for path in made:
+            if path not in kept:
+                _delete(spark, path)
+        free_shuffles(spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished rounds: its cleaner waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -59,14 +108,16 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         if now["n"] == 0 or now == mark:
             break
         mark = now
-        e = stage(_small_star(_large_star(e)), "cc")
+        before, e = e, stage(_small_star(_large_star(e)), "cc")
+        release(before)
+    free_shuffles(spark)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def settle(spark: SparkSession, links: DataFrame, pairs: DataFrame, verify, rounds: int = 2) -> DataFrame:
     """``links`` plus the confirmed ones of ``pairs`` (a, b) that join components.
 
-    Some rounds verify one pair for each two components, since one link is enough to
+    ``pairs`` is used up: a work table is deleted once it has been read.  Some rounds verify one pair for each two components, since one link is enough to
     join them; the last round verifies every pair whose ends are still apart, so no
     link that matters is lost.
     """
@@ -83,5 +134,6 @@ def settle(spark: SparkSession, links: DataFrame, pairs: DataFrame, verify, roun
             chosen = ends.select("p.a", "p.b")
         chosen = stage(chosen, "cc-chosen")
         links = links.union(stage(verify(chosen), "cc-links"))
-        pairs = stage(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "cc-pairs")
+        before, pairs = pairs, stage(apart.select("a", "b").join(chosen, ["a", "b"], "left_anti"), "cc-pairs")
+        release(before, chosen)
     return links

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.graph import stage
+from lakeload.llm.graph import scratch, stage
 from lakeload.llm.text import byte_set, chunks, has_letter, lean
 
 FEATURES = 4096
@@ -128,7 +128,8 @@ def train(documents: DataFrame, may_learn: Column, text_col: str = "text", lang_
         return None
     share = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n) * 1e6)])
     sample = rows.where(F.col("draw") < share[F.col("lang")]).select("text", "lang").mapInArrow(lean(_feature_rows), "lang string, x binary")
-    made = stage(sample, "language-sample").repartition(1).mapInArrow(lean(_fit_task), "model binary").first()
+    with scratch(documents.sparkSession):
+        made = stage(sample, "language-sample").repartition(1).mapInArrow(lean(_fit_task), "model binary").first()
     return pickle.loads(made["model"]) if made else None
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
-from lakeload.llm.graph import components, fresh, settle, stage
+from lakeload.llm.graph import components, fresh, scratch, settle, stage
 from lakeload.llm.text import U64, WHITE, byte_set, chunks, i64, lean, mix, span_hash, value_hash, words
 
 #: Rows of a key that are compared at once.
@@ -317,10 +317,12 @@ def _without_repeats(documents: DataFrame, tau: int, min_chars: int, id_col: str
     if min_chars <= 2 * tau:
         raise ValueError("min_chars must be over twice tau")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    seen, classes = line_classes(docs, tau, min_chars)
-    gone = seen.join(classes, "h").where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("pos") == F.col("keep_pos"))))
     own, lines = fresh(documents, "cut_id"), fresh(documents, "cut_lines")
-    cut = stage(gone.groupBy(F.col("id").alias(own)).agg(F.collect_set("pos").alias(lines)), "lines-cut")  # the lines of one document
+    with scratch(documents.sparkSession) as keep:
+        seen, classes = line_classes(docs, tau, min_chars)
+        gone = seen.join(classes, "h").where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("pos") == F.col("keep_pos"))))
+        cut = stage(gone.groupBy(F.col("id").alias(own)).agg(F.collect_set("pos").alias(lines)), "lines-cut")  # the lines of one document
+        keep(cut)
     small = F.broadcast(cut) if is_small(cut) else cut
     wide = documents.join(small, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left")
     parts = F.split(F.col(text_col), "\n", -1)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import input_bytes, is_small
-from lakeload.llm.graph import components, fresh, settle, stage
+from lakeload.llm.graph import components, fresh, scratch, settle, stage
 from lakeload.llm.text import U64, chunks, i64, lean, set_print, shingles
 
 #: Rows of a tile that are compared at once.
@@ -320,6 +320,17 @@ def jaccard_classes(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 3, den: int = 4
 ) -> DataFrame:
     """Per document: id, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
+    with scratch(documents.sparkSession) as keep:
+        rows, classes = _classes(documents, id_col, text_col, size, num, den)
+        keep(rows, classes)
+    rows = rows.where("token is null and range is null").select("id", "n", "fp")
+    return rows.join(classes, "fp", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def _classes(documents: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The written signatures (one row a document among others) and ``(fp, component_id)``."""
     spark = documents.sparkSession
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     bytes_in = input_bytes(documents) or 0
@@ -401,10 +412,7 @@ def jaccard_classes(
     roots = components(spark, links).toDF("fp", "root")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = stage(named.join(least, "root").select("fp", "component_id"), "jaccard-classes")
-    return rows.join(classes, "fp", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    return signed, stage(named.join(least, "root").select("fp", "component_id"), "jaccard-classes")
 
 
 def drop_near_copies(documents: DataFrame, **options) -> DataFrame:
@@ -414,9 +422,11 @@ def drop_near_copies(documents: DataFrame, **options) -> DataFrame:
     documents without words are in no class and stay.
     """
     id_col, kept_id = options.get("id_col", "doc_id"), fresh(documents, "kept_id")
-    classes = jaccard_classes(documents, **options)
-    kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias(kept_id)).agg(F.count(F.lit(1)).alias("times"))
-    kept = stage(kept, "jaccard-kept")
+    with scratch(documents.sparkSession) as keep:
+        classes = jaccard_classes(documents, **options)
+        kept = classes.where(F.col("component_id").eqNullSafe(F.col(id_col))).groupBy(F.col(id_col).alias(kept_id)).agg(F.count(F.lit(1)).alias("times"))
+        kept = stage(kept, "jaccard-kept")
+        keep(kept)
     out = documents.join(kept.select(kept_id), F.col(id_col).eqNullSafe(F.col(kept_id)), "left_semi")
     if kept.where("times > 1").isEmpty():
         return out

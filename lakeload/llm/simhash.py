@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeload.llm.graph import components, stage
+from lakeload.llm.graph import components, scratch, stage
 from lakeload.llm.text import lean
 
 SEED = 42
@@ -137,11 +137,18 @@ def links(prints: DataFrame) -> DataFrame:
 
 def simhash_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
     """Per row: id, ``fp`` and ``component_id``, the smallest id reachable by links (its own fingerprint included)."""
+    with scratch(documents.sparkSession) as keep:
+        docs, named = _named(documents, id_col, text_col, size)
+        keep(docs, named)
+    return docs.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _named(documents: DataFrame, id_col: str, text_col: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """Written ``(id, fp)`` and ``(fp, component_id)``."""
     spark = documents.sparkSession
     docs = stage(fingerprints(documents, id_col, text_col, size), "simhash-prints")
     nodes = stage(docs.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     roots = stage(components(spark, links(nodes)).withColumnRenamed("node", "fp"), "simhash-roots")
     rooted = stage(nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(rooted.select("fp", "root").join(stage(names, "simhash-names"), "root").select("fp", "component_id"), "simhash-named")
-    return docs.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return docs, stage(rooted.select("fp", "root").join(stage(names, "simhash-names"), "root").select("fp", "component_id"), "simhash-named")
