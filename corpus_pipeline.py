@@ -2,7 +2,14 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on every row its predecessor kept and
 returns a DataFrame; ``run`` writes each result as Parquet and rereads it for the next.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``.  A stage deletes the work tables
+its result does not depend on.
+
+Cases.  Null or empty text, or text without a letter: of no language, dropped by the first
+stage.  Long texts are worked on whole by every stage and cut into pieces by the last.  Ties:
+the smallest id (then line number) of a class stays.  Rows of equal id and text are repeats and
+one stays; rows of equal id and different text stay or go together where a stage decides by id.
+Empty table: no rows.  Other columns pass through whatever their names.
 """
 
 from __future__ import annotations
