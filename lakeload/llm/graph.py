@@ -76,20 +76,28 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+#: Edges a task of a star step works on, and the tasks a step has at least: a step over few edges
+#: runs as few tasks, whatever the number of shuffle partitions.
+TASK_EDGES = 200_000
+LEAST_TASKS = 8
+
+
+def _large_star(e: DataFrame, tasks: int) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").coalesce(tasks)
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, tasks: int) -> DataFrame:
     least = e.groupBy("u").agg(F.min("v").alias("m"))
     return (
-        e.join(least, "u")
+        e.join(least.hint("merge"), "u")
         .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
         .select("x.u", "x.v")
         .where("u <> v")
+        .coalesce(tasks)
         .distinct()
+        .coalesce(tasks)
     )
 
 
@@ -108,7 +116,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         if now["n"] == 0 or now == mark:
             break
         mark = now
-        before, e = e, stage(_small_star(_large_star(e)), "cc")
+        tasks = max(LEAST_TASKS, now["n"] // TASK_EDGES)
+        before, e = e, stage(_small_star(_large_star(e, tasks), tasks), "cc")
         release(before)
     free_shuffles(spark)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
