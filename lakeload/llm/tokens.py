@@ -22,9 +22,9 @@ import numpy as np
 from lakeload.llm.text import keep_between_tasks
 
 #: Pieces a worker keeps (about 150 bytes each).
-CACHE_PIECES = 450_000
+CACHE_PIECES = 600_000
 #: Bytes a worker's pieces, ids and their table entries may take, checked before each run of texts.
-CACHE_BYTES = 96 * 1024 * 1024
+CACHE_BYTES = 160 * 1024 * 1024
 #: A piece's entry: dictionary slot, bytes object, number and offset; and the most bytes of a kept piece.
 PIECE_BYTES = 200
 LONGEST_KEPT = 64
