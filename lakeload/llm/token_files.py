@@ -3,7 +3,7 @@
 Format.  Documents are ordered by id and cut into ranges, one pair of Arrow IPC
 files for each range.  ``ids-N.arrow`` holds batches of two fixed-size-list
 columns: ``ids`` (``seq_len`` ids; 16-bit when the vocabulary allows, else 32-bit)
-and ``mask`` (``seq_len`` bytes, 1 for an id and 0 on the padding of the last row), so row r
+and ``mask`` (``seq_len`` bits, false on the padding of the last row), so row r
 is found at a known place and a memory map reads both without copying.
 ``docs-N.arrow`` holds the documents of the range: id, place of the first id in the
 range, number of ids.  Every document ends with ``end_id``.
@@ -77,7 +77,7 @@ class _Writer:
 
     def __init__(self, sink, seq_len: int, kind):
         self.seq_len, self.kind = seq_len, kind
-        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+        self.schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.held: list[np.ndarray] = []
         self.size = 0
@@ -96,7 +96,7 @@ class _Writer:
         rows = -(-len(flat) // self.seq_len)
         ids = np.zeros(rows * self.seq_len, self.kind)
         ids[: len(flat)] = flat
-        mask = pa.array((np.arange(len(ids)) < len(flat)).astype(np.uint8))
+        mask = pa.array(np.arange(len(ids)) < len(flat))
         cols = [pa.FixedSizeListArray.from_arrays(pa.array(ids), self.seq_len), pa.FixedSizeListArray.from_arrays(mask, self.seq_len)]
         self.out.write_batch(pa.RecordBatch.from_arrays(cols, schema=self.schema))
 
@@ -184,13 +184,13 @@ def read_range(folder: str, attempt: str):
     return ids, docs
 
 
-def row(reader: pa.ipc.RecordBatchFileReader, r: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of row ``r`` of an open ids file: views of the mapped file."""
+def row(reader: pa.ipc.RecordBatchFileReader, r: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of row ``r`` of an open ids file: views of the mapped file (the mask as Arrow's bits)."""
     b = reader.get_batch(r // BATCH_ROWS)
     ids, mask = b.column(0), b.column(1)
     n = ids.type.list_size
     at = r % BATCH_ROWS
-    return tuple(x.values.to_numpy()[at * n : (at + 1) * n] for x in (ids, mask))
+    return ids.values.to_numpy()[at * n : (at + 1) * n], mask.values.slice(at * n, n)
 
 
 def _read(folder: str):
