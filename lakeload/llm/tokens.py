@@ -141,18 +141,27 @@ class Encoder:
             n, doc, last = np.repeat(n & ((1 << _TAIL_BIT) - 1), both), np.repeat(doc, both), tail > 0
             n[place[last]] = self.tails[tail[last]]
         flat, off = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.off, np.int64)
-        if len(passing_off) > 1:  # their ids stand after the kept ones for this call
-            flat = np.concatenate([flat, np.frombuffer(passing_flat, np.uint32)])
-            own = np.frombuffer(passing_off, np.int64) + off[-1]
-            n = np.where(n & _PASSING, (n & (_PASSING - 1)) + len(off), n)
-            off = np.concatenate([off, own])
-        first = off[n]
-        size = off[n + 1] - first
+        passing = (n & _PASSING) > 0
+        first, size = self._spans(np.where(passing, 0, n), off)
+        if passing.any():  # the kept ids stay where they are
+            own_first, own_size = self._spans(n[passing] & (_PASSING - 1), np.frombuffer(passing_off, np.int64))
+            first[passing], size[passing] = own_first, own_size
         stop = np.cumsum(size)
-        ids = flat[np.repeat(first - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        at = np.repeat(first - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)
+        if passing.any():
+            other = np.repeat(passing, size)
+            ids = np.empty(len(at), np.uint32)
+            ids[~other], ids[other] = flat[at[~other]], np.frombuffer(passing_flat, np.uint32)[at[other]]
+        else:
+            ids = flat[at]
         ends = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=size, minlength=len(got)))]).astype(np.int64)
         return ids, ends
 
+    @staticmethod
+    def _spans(n: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First id and number of ids of each piece."""
+        return off[n], off[n + 1] - off[n]
+
     def _encode(self, pieces: list[bytes], flat: array, off: array) -> None:
         for i in range(0, len(pieces), ENCODE_PIECES):
             run = [p.decode("utf-8", "replace") for p in pieces[i : i + ENCODE_PIECES]]
