@@ -3,8 +3,8 @@
 Both vocabularies split a text into independent pieces at white space, and a full
 stop or comma after a letter or digit is a piece of its own, so the ids of a text
 are the ids of its pieces in order.  A worker keeps the short pieces it has met
-(``CACHE_PIECES`` and ``CACHE_BYTES`` at most, then it starts anew); new pieces go through the
-tokenizers library.  Longer pieces (scripts without blanks) and texts with white space
+(``CACHE_PIECES`` and ``CACHE_BYTES`` at most; then those met once go, and all where the others
+fill over half); new pieces go through the tokenizers library, many in one call as words split beforehand.  Longer pieces (scripts without blanks) and texts with white space
 outside ASCII, whose runs the split does not follow, are encoded for the one call
 that needs them and not kept.
 """
@@ -29,7 +29,7 @@ CACHE_BYTES = 160 * 1024 * 1024
 PIECE_BYTES = 200
 LONGEST_KEPT = 64
 #: Pieces that go through the library at once.
-ENCODE_PIECES = 4096
+ENCODE_PIECES = 1024
 
 #: White space outside ASCII, in UTF-8.
 _OTHER_WHITE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
@@ -72,13 +72,40 @@ class Encoder:
         self.booked: list[bytes] = []
         self.passing: list[bytes] = []
         self.held = 0
+        #: How often each piece was met.
+        self.hits = np.zeros(0, np.int64)
         self.units = _Pieces(self._unit)
         self.after_space = _Pieces(self._after_space)
         self.tails = np.array([0, *(self._book(bytes([t])) for t in _TAILS)], np.int64)
 
     def kept_bytes(self) -> int:
         """About what the kept pieces take."""
-        return self.held + 4 * len(self.flat) + 8 * len(self.off)
+        return self.held + 4 * len(self.flat) + 16 * len(self.off)
+
+    def _full(self, share: float = 1.0) -> bool:
+        return len(self.units) + len(self.after_space) > share * CACHE_PIECES or self.kept_bytes() > share * CACHE_BYTES
+
+    def _renew(self) -> None:
+        """Keep the pieces met more than once since the last time, none if they fill over half of the room."""
+        often = self.hits > 1
+        kept = [[(p, n) for p, n in t.items() if not n >> _TAIL_BIT and often[n]] for t in (self.units, self.after_space)]
+        flat, off = np.array(self.flat, np.uint32), np.array(self.off, np.int64)
+        tails = len(_TAILS)
+        old = np.concatenate([np.arange(tails), *(np.array([n for _, n in k], np.int64) for k in kept)])
+        self.clear()
+        self.booked = []  # the tails come first and are encoded already
+        first, size = self._spans(old, off)
+        stop = np.cumsum(size)
+        self.flat.frombytes(flat[np.repeat(first - (stop - size), size) + np.arange(int(stop[-1]))].tobytes())
+        self.off.frombytes(stop.astype(np.int64).tobytes())
+        self.hits = np.ones(len(old), np.int64)
+        at = tails
+        for table, own in zip((self.units, self.after_space), kept):
+            table.update(zip((p for p, _ in own), range(at, at + len(own))))
+            at += len(own)
+            self.held += sum(len(p) + PIECE_BYTES for p, _ in own)
+        if self._full(0.5):
+            self.clear()
 
     def _book(self, piece: bytes) -> int:
         self.booked.append(piece)
@@ -90,10 +117,18 @@ class Encoder:
         self.passing.append(piece)
         return _PASSING + len(self.passing) - 1
 
+    def _tailed(self, table: _Pieces, piece: bytes, tail: int) -> int:
+        """A piece with a tail: the number of the piece before it and the tail, kept as the piece is."""
+        n = table[piece[:-1]] | tail << _TAIL_BIT
+        if not n & _PASSING:
+            table[piece] = n
+            self.held += len(piece) + PIECE_BYTES
+        return n
+
     def _unit(self, piece: bytes) -> int:
         tail = _TAILS.find(piece[-1:])
         if tail >= 0 and len(piece) > 1 and piece[-2] in _WORDLIKE:
-            return self.units[piece[:-1]] | (tail + 1) << _TAIL_BIT
+            return self._tailed(self.units, piece, tail + 1)
         if len(piece) > LONGEST_KEPT:
             return self._pass(piece)
         n = self.units[piece] = self._book(piece)
@@ -103,7 +138,7 @@ class Encoder:
         """A piece between blanks; one that starts with a newline has no blank before it."""
         tail = _TAILS.find(piece[-1:])
         if tail >= 0 and len(piece) > 1 and piece[-2] in _WORDLIKE:
-            return self.after_space[piece[:-1]] | (tail + 1) << _TAIL_BIT
+            return self._tailed(self.after_space, piece, tail + 1)
         spelled = piece if piece[0] == 10 else b" " + piece
         if len(piece) > LONGEST_KEPT:
             return self._pass(spelled)
@@ -124,8 +159,8 @@ class Encoder:
 
     def encode_many(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of some texts, ids end to end."""
-        if len(self.units) + len(self.after_space) > CACHE_PIECES or self.kept_bytes() > CACHE_BYTES:
-            self.clear()
+        if self._full():
+            self._renew()
         got = [self._pieces(t) for t in texts]
         self._encode(self.booked, self.flat, self.off)
         self.booked = []
@@ -142,6 +177,9 @@ class Encoder:
             n[place[last]] = self.tails[tail[last]]
         flat, off = np.frombuffer(self.flat, np.uint32), np.frombuffer(self.off, np.int64)
         passing = (n & _PASSING) > 0
+        met = np.bincount(n[~passing], minlength=len(off) - 1)
+        met[: len(self.hits)] += self.hits
+        self.hits = met
         first, size = self._spans(np.where(passing, 0, n), off)
         if passing.any():  # the kept ids stay where they are
             own_first, own_size = self._spans(n[passing] & (_PASSING - 1), np.frombuffer(passing_off, np.int64))
@@ -165,9 +203,10 @@ class Encoder:
     def _encode(self, pieces: list[bytes], flat: array, off: array) -> None:
         for i in range(0, len(pieces), ENCODE_PIECES):
             run = [p.decode("utf-8", "replace") for p in pieces[i : i + ENCODE_PIECES]]
-            for e in self.lib.encode_batch(run, add_special_tokens=False):
-                flat.extend(e.ids)
-                off.append(len(flat))
+            found = self.lib.encode(run, is_pretokenized=True, add_special_tokens=False)
+            size = np.bincount(np.array(found.word_ids, np.int64), minlength=len(run))
+            off.frombytes((len(flat) + np.cumsum(size)).astype(np.int64).tobytes())
+            flat.extend(found.ids)
 
     def encode(self, text: bytes) -> np.ndarray:
         return self.encode_many([text])[0]

@@ -293,6 +293,25 @@ def test_token_cache_stays_bounded(monkeypatch, kind):
     assert ids[off[3] : off[4]].tolist() == lib.encode(texts[3], add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_token_cache_keeps_what_is_met_again(monkeypatch, name, spaced):
+    from lakeload.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 300)
+    r, path = random.Random(4), public_tokenizers.path(name)
+    own, lib = Encoder(path, spaced), Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    renewed = []
+    monkeypatch.setattr(own, "_renew", lambda: (Encoder._renew(own), renewed.append(len(own.units) + len(own.after_space))))
+    common = ["the", "word,", "word", "Over.", "don't", "x\ty", "été.", "中文", "<|endoftext|>", "...", "a" * 80 + ",", "\n"]
+    for _ in range(30):
+        texts = [" ".join(r.choice([*common, f"{r.random()},"]) for _ in range(40)) for _ in range(20)] + ["", " ", "a\u00a0b  c"]
+        ids, off = own.encode_many([t.encode() for t in texts])
+        for i, t in enumerate(texts):
+            assert ids[off[i] : off[i + 1]].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert len(renewed) > 5 and 5 <= min(renewed) and max(renewed) <= 150
+
+
 def test_token_cache_is_dropped_by_other_tasks():
     from lakeload.llm import tokens
     from lakeload.llm.text import lean
