@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from lakeload.operators.change_feed import CHANGE_TYPE, INSERT, POST
 
@@ -93,24 +94,30 @@ def billing_per_customer(
 ) -> DataFrame:
     """sum(quantity * list_price) as billing, sum(discount) as discount per customer.
 
-    Sums are exact: amounts are taken as whole numbers of 10^-decimals units
-    (cents by default) and summed as ``bigint`` (ANSI mode fails on overflow rather
-    than wrap), then scaled back to double once per output row.  This equals exact
-    decimal arithmetic for amounts with at most ``decimals`` places and keeps the
-    aggregation on fixed-width, code-generated long arithmetic.
+    Sums are exact: amounts are taken as whole numbers of their smallest unit, summed
+    as ``bigint`` (ANSI mode fails on overflow rather than wrap) and scaled back to
+    double once per output row.  A decimal column counts in units of its own scale, so
+    nothing is rounded; decimals too wide for a ``bigint`` product are summed as
+    ``decimal(38,0)``.  Other columns count in units of 10^-decimals (cents by default).
 
     The plan aggregates eagerly: line items are summed per order before the join
     with orders, and per customer id before the join with customers, so the big
     shuffles carry partial sums instead of rows; a final group-by on the output
     columns keeps the result exact when several customer ids share a name.
     """
-    unit = 10 ** decimals
+    kinds = {c: items.schema[c].dataType for c in (quantity, list_price, discount)}
+    unit = {c: 10 ** (k.scale if isinstance(k, DecimalType) else decimals) for c, k in kinds.items()}
 
-    def units(c: str):
-        return F.round(F.col(c) * unit).cast("bigint")
+    def units(c: str, *others: str):
+        k = kinds[c]
+        if not isinstance(k, DecimalType):
+            return F.round(F.col(c) * unit[c]).cast("bigint")
+        digits = sum(kinds[x].precision if isinstance(kinds[x], DecimalType) else 0 for x in (c, *others))
+        scaled = F.col(c).cast(f"decimal(38,{k.scale})") * F.lit(unit[c]).cast(f"decimal({k.scale + 1},0)") if digits > 18 else F.col(c) * F.lit(unit[c])
+        return scaled.cast("decimal(38,0)" if digits > 18 else "bigint")
 
     per_order = items.groupBy(F.col(item_order).alias("__oid")).agg(
-        F.sum(units(quantity) * units(list_price)).alias("__bill"),
+        F.sum(units(quantity, list_price) * units(list_price, quantity)).alias("__bill"),
         F.sum(units(discount)).alias("__disc"),
     )
     o = orders.select(F.col(order_id).alias("__oid"), F.col(order_customer).alias("__cust"))
@@ -124,8 +131,8 @@ def billing_per_customer(
         per_customer.join(cust, "__cust", "inner")
         .groupBy(*group_cols)
         .agg(
-            (F.sum("__bill").cast("double") / float(unit * unit)).alias("billing"),
-            (F.sum("__disc").cast("double") / float(unit)).alias("discount"),
+            (F.sum("__bill").cast("double") / float(unit[quantity] * unit[list_price])).alias("billing"),
+            (F.sum("__disc").cast("double") / float(unit[discount])).alias("discount"),
         )
     )
     return out.orderBy(*order_cols)

@@ -21,7 +21,8 @@ from lakeload.operators import gold
 from lakeload.operators.dq_states import DqStates
 from lakeload.operators.merge import bootstrap_target, collapse_changes, duplicate_keys, heavy_keys, latest_per_key, merge
 from lakeload.operators.merge import delete_step, insert_step, update_step
-from lakeload.operators.project import cast_projection, filter_load_date, load_stamp
+from lakeload.operators.project import LOAD_STAMP_COL, cast_projection, filter_load_date, load_stamp
+from lakeload.operators.unique import unique_metrics
 from lakeload.plans import fixtures as fx
 from lakeload.plans import jobs
 from lakeload.session import work_dir
@@ -112,6 +113,31 @@ def billing_for_each_customer(spark, sf):
     )
 
 
+@query(
+    "billing_decimal_scales",
+    """
+SELECT c.c_name, c.c_mktsegment,
+       CAST(sum(CAST(l.l_quantity / 8 AS DECIMAL(10,3)) * CAST(l.l_extendedprice AS DECIMAL(10,2))) AS DOUBLE) AS billing,
+       CAST(sum(CAST(l.l_discount / 4 AS DECIMAL(6,4))) AS DOUBLE) AS discount
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY c.c_name, c.c_mktsegment ORDER BY c.c_name, c.c_mktsegment""",
+)
+def billing_decimal_scales(spark, sf):
+    """The billing view over decimal columns of three and four places, nothing rounded."""
+    items = t(spark, sf, "lineitem").select(
+        "l_orderkey",
+        (F.col("l_quantity") / 8).cast("decimal(10,3)").alias("l_quantity"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("l_extendedprice"),
+        (F.col("l_discount") / 4).cast("decimal(6,4)").alias("l_discount"),
+    )
+    return gold.billing_per_customer(
+        t(spark, sf, "orders"), items, t(spark, sf, "customer"),
+        order_id="o_orderkey", order_customer="o_custkey", item_order="l_orderkey",
+        quantity="l_quantity", list_price="l_extendedprice", discount="l_discount",
+        customer_id="c_custkey", group_cols=["c_name", "c_mktsegment"], order_cols=["c_name", "c_mktsegment"],
+    )
+
+
 # ---------------------------------------------------------------------------
 # A. scans
 # ---------------------------------------------------------------------------
@@ -256,6 +282,14 @@ def filter_load_date_q(spark, sf):
     return filter_load_date(stamped, AS_OF).agg(F.count(F.lit(1)).alias("regs"))
 
 
+@query("filter_load_date_stored", "SELECT count(*) AS regs FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-01-02'")
+def filter_load_date_stored(spark, sf):
+    """Rows of one load day, from a stored table whose rows carry the days they were loaded on."""
+    path = work_dir(spark, "stamped-orders")
+    t(spark, sf, "orders").withColumn(LOAD_STAMP_COL, F.to_date("o_orderdate")).write.parquet(path)
+    return filter_load_date(spark.read.parquet(path), "1996-01-02").agg(F.count(F.lit(1)).alias("regs"))
+
+
 @query("count_rows", "SELECT count(*) AS regs FROM lineitem")
 def count_rows(spark, sf):
     return t(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("regs"))
@@ -945,6 +979,28 @@ def dq_metrics(spark, sf):
     return dqmod.rule_metrics(t(spark, sf, "customer"), parsed)
 
 
+def _unique_sql(key: int, columns: str) -> str:
+    some = " OR ".join(f"{c} IS NOT NULL" for c in columns.split(", "))
+    return f"""SELECT CAST({key} AS INTEGER) AS "Key", CAST(once AS DOUBLE) / base AS metric_value, CAST(once AS DOUBLE) / base AS pass_fraction,
+       coalesce(once = base, false) AS holds, total AS total_rows
+FROM (SELECT CAST(sum(CASE WHEN met AND n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS once, CAST(sum(CASE WHEN met THEN n END) AS BIGINT) AS base, CAST(sum(n) AS BIGINT) AS total
+      FROM (SELECT ({some}) AS met, count(*) AS n FROM lineitem GROUP BY {columns}) g) s"""
+
+
+_LARGE_UNIQUE = {1: ("l_orderkey", ("l_linenumber",)), 2: ("l_orderkey", ("l_partkey",)), 3: ("l_orderkey", ("l_shipdate", "l_quantity"))}
+
+
+@query("dq_is_unique_large", " UNION ALL ".join(_unique_sql(k, ", ".join([a, *more])) for k, (a, more) in _LARGE_UNIQUE.items()))
+def dq_is_unique_large(spark, sf):
+    """Composite keys of ``lineitem`` checked by hash first, by value only where a hash is met again."""
+    out = None
+    for k, (attribute, more) in _LARGE_UNIQUE.items():
+        rule = dqmod.Rule(k, "isPrimaryKey", attribute, "list", None, None, more)
+        row = unique_metrics(t(spark, sf, "lineitem"), rule)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("dq_results_numbered", _dq_results_sql(_CUSTOMER_KEYS))
 def dq_results_numbered(spark, sf):
     return dqmod.results_frame(dqmod.check_table(t(spark, sf, "customer"), rules(spark), "customer"))
