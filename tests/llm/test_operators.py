@@ -426,3 +426,42 @@ def test_toxicity(spark):
     odd = {x["doc_id"]: x["score"] for x in toxicity.score_documents(_docs(spark), model).collect()}
     assert odd[0] == odd[1] == odd[2] == 0.0
     assert toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic").limit(0), F.lit(True)) is None
+
+
+def test_secret_labels_have_causes_that_are_no_features(spark):
+    r = random.Random(20)
+    text = " ".join(r.choice(WORDS) for _ in range(4000))
+    words = secret_scan.dictionary(spark.createDataFrame([(1, text)], "id long, text string"))
+    odds = secret_scan.pair_odds(words)
+    hexa = "".join(r.choice("0123456789abcdef") for _ in range(40)).encode()
+
+    def label(before, value):
+        return secret_scan.labelled(value, secret_scan.describe(before + value, len(before), len(before) + len(value), frozenset(words)), odds)
+
+    assert label(b"", b"AKIA" + b"Z" * 16) == 1
+    assert label(b"token = \"", hexa) == 2 and label(b"see ", hexa) is None
+    assert label(b"token" + b" " * 5000 + b"= ", hexa) == 2
+    assert label(b"", b"4111111111111111") == 0 and label(b"", b"4111111111111112") is None
+    assert label(b"", b"alphagammathetaomega") == 0 and label(b"password=", b"alphagammathetaomega") is None
+    x = secret_scan.blank(np.ones((2, 13)), np.array([2, 1]))
+    assert x[0, 9:].sum() == 0 and x[0, :9].sum() == 9 and x[1].sum() == 13
+
+
+def test_secret_kind_not_learned_is_found(spark):
+    r = random.Random(21)
+    prose = [" ".join(r.choice(WORDS) for _ in range(60)) for _ in range(40)]
+    compound = ["".join(r.choice(WORDS) for _ in range(7)) for _ in range(40)]
+    key = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(44)) for _ in range(30)]
+    docs = [(i, f"{p} {c} {p}") for i, (p, c) in enumerate(zip(prose, compound))]
+    docs += [(100 + i, f"{prose[i]} token = \"{r.getrandbits(160):040x}\" {prose[i]}") for i in range(40)]
+    docs += [(200 + i, f"{prose[i]} {k} {prose[i]}") for i, k in enumerate(key)]
+    docs += [(300 + i, f"{prose[i]} {r.choice(WORDS)}/{r.choice(WORDS)}/{r.choice(WORDS)}/{r.choice(WORDS)}/{r.choice(WORDS)} {r.randrange(10**15, 10**16)}") for i in range(40)]
+    found, words = secret_scan.find(spark.createDataFrame(docs, "doc_id long, text string"))
+    forest = secret_scan.train(found, words=words, kinds=("hex", "base62"))
+    rows = found.collect()
+    p = secret_scan.probability(forest, np.array([x["features"] for x in rows])) >= 0.5
+    kinds = [x["id"] // 100 for x in rows]
+    hit = [sum(bool(q) for q, k in zip(p, kinds) if k == w) for w in range(4)]
+    assert hit[0] == 0 and hit[1] == 40 and hit[2] >= 27 and hit[3] == 0
+    told = {(x["label"], x["is_secret"]): x["n"] for x in secret_scan.held_out_counts(found, forest).collect()}
+    assert (0, True) not in told and (2, False) not in told and told[2, True] > 0
