@@ -112,6 +112,27 @@ QUERIES = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
+#: Contract of op1 in SQL: shingle sets as text, intersections by a join of equal shingles, components by a recursive union.
+_OP1_SQL = """
+WITH RECURSIVE low AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+doc AS (
+  SELECT rid, doc_id, list_sort(list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM low),
+same AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM doc WHERE len(s) > 0 GROUP BY s),
+tok AS (SELECT rep, n, unnest(s) AS t FROM same),
+link AS (
+  SELECT a.rep AS x, b.rep AS y FROM tok a JOIN tok b ON a.t = b.t AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+step AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(rep, root) AS (SELECT rep, rep FROM same UNION SELECT step.y, reach.root FROM reach JOIN step ON step.x = reach.rep),
+comp AS (SELECT rep, min(root) AS root FROM reach GROUP BY rep)
+SELECT doc.doc_id, CAST(len(doc.s) AS BIGINT) AS n_shingles, coalesce(comp.root, doc.doc_id) AS component_id
+FROM doc LEFT JOIN same ON same.s = doc.s LEFT JOIN comp ON comp.rep = same.rep
+"""
+
 #: Contract of op3 in SQL: every window of every item, looked up in every document.
 _OP3_SQL = """
 WITH low AS (
@@ -202,4 +223,4 @@ LEFT JOIN child ON child.d = node.d AND child.p = node.p
 LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.p = node.p[1:64 * (node.d - 1)] AND node.d > 0
 """
 
-ORACLE_SQL = {"op3_benchmark_decontamination": _OP3_SQL, "op12_phrase_collocations": _OP12_SQL, "op13_prefix_trie": _OP13_SQL}
+ORACLE_SQL = {"op1_ngram_jaccard_join": _OP1_SQL, "op3_benchmark_decontamination": _OP3_SQL, "op12_phrase_collocations": _OP12_SQL, "op13_prefix_trie": _OP13_SQL}
