@@ -1,5 +1,6 @@
 """Operators against brute force and on awkward rows: nulls, empty and long texts, ties, repeats, empty tables, extra columns."""
 
+import math
 import random
 import re
 import zlib
@@ -465,3 +466,65 @@ def test_secret_kind_not_learned_is_found(spark):
     assert hit[0] == 0 and hit[1] == 40 and hit[2] >= 27 and hit[3] == 0
     told = {(x["label"], x["is_secret"]): x["n"] for x in secret_scan.held_out_counts(found, forest).collect()}
     assert (0, True) not in told and (2, False) not in told and told[2, True] > 0
+
+
+def _rule_counts(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    lines = [x for x in (t or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    triples = list(zip(w, w[1:], w[2:]))
+    met = {}
+    for x in triples:
+        met[x] = met.get(x, 0) + 1
+    covered = {i + k for i, x in enumerate(triples) if met[x] > 1 for k in range(3)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(covered), len(lines)
+
+
+def _brute_estimate(x):
+    """Concentration steps from two starts, the smaller determinant wins."""
+
+    def rank(v, p):
+        return np.sort(v)[max(0, math.ceil(p * len(v)) - 1)]
+
+    floors, found = np.array(robust_rules.FLOORS), []
+    off = np.abs(x - [rank(c, 0.5) for c in x.T])
+    spread = np.array([rank(c, 0.5) for c in off.T])
+    start = ((off / np.maximum(1.4826 * spread, floors)) ** 2).sum(1)
+    for share in (0.5, robust_rules.SHARE):
+        d, part = start, share
+        for _ in range(robust_rules.STEPS):
+            near = x[d <= rank(d, part)]
+            mean, cov = near.mean(0), np.cov(near.T, bias=True) * robust_rules.SCALE + np.diag(floors**2)
+            d, part = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean), robust_rules.SHARE
+        found.append((np.linalg.slogdet(cov)[1], mean, np.linalg.inv(cov)))
+    return min(found, key=lambda f: f[0])[1:]
+
+
+def test_quality_rules_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {x["doc_id"]: x for x in docs.collect()}
+    rows = robust_rules.quality_rules(docs).collect()
+    assert len(rows) == len(texts)
+    vectors = {}
+    for r in rows:
+        n, chars, symbols, dup, repeat, lines = _rule_counts(texts[r["doc_id"]]["text"])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, dup, repeat)
+        assert r["base_failed"] == (n < 50 or 100 * repeat > 50 * n)
+        if not r["base_failed"]:
+            vectors[r["doc_id"]] = [math.log(max(chars, 1) / n), math.log1p(100 * symbols / n), dup / max(lines, 1), repeat / n]
+    of = {i: (texts[i]["lang"] or "", texts[i]["source"] or "") for i in vectors}
+    estimates = {}
+    for r in rows:
+        i = r["doc_id"]
+        if r["base_failed"]:
+            assert r["distance"] is None and not r["kept"]
+            continue
+        sizes = [(level, [k for k in vectors if of[k][:level] == of[i][:level]]) for level in (2, 1, 0)]
+        level, members = next(((lv, m) for lv, m in sizes if len(m) >= robust_rules.MIN_GROUP), sizes[-1])
+        group = of[i][:level]
+        if group not in estimates:
+            estimates[group] = _brute_estimate(np.array([vectors[k] for k in members]))
+        mean, inverse = estimates[group]
+        d = (np.array(vectors[i]) - mean) @ inverse @ (np.array(vectors[i]) - mean)
+        assert abs(r["distance"] - d) < 1e-6 * max(1.0, d)
+        assert r["kept"] == (d <= robust_rules.CUTOFF)
+    assert any(r["kept"] for r in rows) and any(not r["kept"] and not r["base_failed"] for r in rows)
