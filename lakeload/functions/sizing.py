@@ -95,12 +95,3 @@ def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None =
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     n, b = row["n"], row["b"] or 0
     return n <= max_rows and b <= max_bytes
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when the bound holds, else ``(df, False)``."""
-    if is_small(df, max_rows, max_bytes):
-        return F.broadcast(df), True
-    return df, False

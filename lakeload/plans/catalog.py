@@ -325,6 +325,28 @@ def gold_candidate_by_campaign_cdc(spark, sf):
     return spark.sql("SELECT * FROM candidate_by_campaign_view")
 
 
+SQL_CANDIDATE_DATES = """
+SELECT p.p_partkey AS LeadId, o.o_orderkey AS CampaignId, p.p_name AS Candidate, p.p_brand AS Company, l.l_returnflag AS Status,
+       o.o_orderpriority AS Campaign, CAST(o.o_orderdate AS DATE) AS StartDateCampaign,
+       CASE WHEN o.o_orderstatus = 'O' THEN NULL ELSE CAST(o.o_orderdate AS DATE) + 90 END AS EndDateCampaign
+FROM part p JOIN lineitem l ON p.p_partkey = l.l_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+
+@query("gold_candidate_dates", SQL_CANDIDATE_DATES)
+def gold_candidate_dates(spark, sf):
+    """The bridge join with campaign dates: orders stand in for campaigns, open ones have no end."""
+    start = F.to_date("o_orderdate")
+    campaign = t(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", start.alias("starts"), F.when(F.col("o_orderstatus") != "O", F.date_add(start, 90)).alias("ends")
+    )
+    return gold.candidate_by_campaign(
+        t(spark, sf, "part"), t(spark, sf, "lineitem"), campaign,
+        cand_id="p_partkey", cand_name="p_name", cand_company="p_brand",
+        lead_id="l_partkey", campaign_id="l_orderkey", bridge_status="l_returnflag",
+        camp_id="o_orderkey", camp_name="o_orderpriority", camp_start="starts", camp_end="ends",
+    )
+
+
 SQL_STATUS = "SELECT o_orderstatus AS status, count(*) AS cnt_status_campaign FROM orders GROUP BY o_orderstatus"
 
 
@@ -376,6 +398,23 @@ UNION ALL
 SELECT {ORDERS_COLS} FROM orders_batch s
 WHERE s.IsDeleted = false AND NOT EXISTS (SELECT 1 FROM orders_before t WHERE t.o_orderkey = s.o_orderkey)"""
 
+SQL_SNAPSHOT_SUMS = f"""{PAIR}, after AS ({SQL_MERGE_CDC.replace(PAIR, '')}),
+both_versions AS (SELECT 1 AS version, * FROM orders_before UNION ALL SELECT 2, * FROM after)
+SELECT version, max(version) OVER () AS latest_version, n_rows, sum_price FROM (
+  SELECT version, count(*) AS n_rows, round(sum(o_totalprice), 2) AS sum_price FROM both_versions GROUP BY version) x"""
+
+
+@query("snapshot_sums", SQL_SNAPSHOT_SUMS)
+def snapshot_sums(spark, sf):
+    """Every committed version as it was: rows and sum, and which one is the latest."""
+    table = _orders_snapshots(spark, sf)
+    sums = None
+    for v in table.versions():
+        own = table.read(v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("sum_price"))
+        sums = own if sums is None else sums.unionByName(own)
+    return sums.withColumn("latest_version", F.lit(table.latest_version()))
+
+
 SQL_MERGE_CDC_METRICS = f"""{PAIR}
 SELECT
   (SELECT count(*) FROM orders_batch s WHERE s.IsDeleted = false

@@ -23,7 +23,7 @@ from lakeload.operators.dq_states import DqStates
 from lakeload.operators import change_feed as cf
 from lakeload.operators.merge import ACTION, LIVE_ACTIONS, MergeResult, collapse_changes, heavy_keys, merge, metric_columns, repeats_keys
 from lakeload.operators.project import cast_projection
-from lakeload.sinks import Ledger, VersionedTable, archive_batch
+from lakeload.sinks import Ledger, VersionedTable, archive_batch, create_databases, drop_table
 from lakeload.sinks.bucketed import BucketedTable
 from lakeload.sources import EXECUTION_COL, list_dirs, path_exists, scan_executions
 from lakeload.sources.files import execution_id_of
@@ -583,13 +583,12 @@ def cdc_reconcile(batch: DataFrame, result: MergeResult, flag: str = DELETE_FLAG
 
 def register_external(spark: SparkSession, qualified_name: str, path: str) -> None:
     """(Re)register a parquet folder as a catalog table without rewriting it."""
-    spark.sql(f"DROP TABLE IF EXISTS {qualified_name}")
+    drop_table(spark, qualified_name)
     spark.sql(f"CREATE TABLE {qualified_name} USING parquet LOCATION '{path}'")
 
 
 def create_zone_databases(spark: SparkSession, zones: Zones, databases: Mapping[str, str]) -> None:
-    for zone, db in databases.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{getattr(zones, zone, zones.meta)}/_db_{db}'")
+    create_databases(spark, {db: f"{getattr(zones, zone, zones.meta)}/_db_{db}" for zone, db in databases.items()})
 
 
 def register_current(spark: SparkSession, db: str, tables: Mapping[str, VersionedTable]) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ and the rows written are known after one job, without a second count query.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +46,10 @@ def drop_table(spark: SparkSession, qualified_name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {qualified_name}")
 
 
-def create_databases(spark: SparkSession, names: Iterable[str]) -> None:
-    for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_databases(spark: SparkSession, locations: Mapping[str, str]) -> None:
+    """Create the databases that are missing, each at its folder."""
+    for name, folder in locations.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
 
 
 def archive_batch(batch: DataFrame, archive_root: str, processed_at: str) -> int:
