@@ -34,7 +34,9 @@ side adds a scan of the key columns only; no full outer join):
   few rows by then and four shuffles and two joins make the whole merge.  FULL
   needs no join here: every source row with flag false is inserted.
 * When the source is proven small, it is broadcast and the target is never
-  shuffled; the insert side then uses the (small) set of matched keys.
+  shuffled; the insert side then uses the (small) set of matched keys.  Otherwise both
+  joins stay sort-merge joins: adaptive execution would broadcast any side whose shuffle
+  files are small, and keys compress so well that 10 MB of them are over 30 MB on the driver.
 
 The result is a *tagged* frame (target columns + ``_action``); table rows and
 insert / update / delete / drop counts both come from it, so a write with observed
@@ -209,7 +211,7 @@ def merge(
             dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(heavy.salts)).cast("int")
             salt = F.when(heavy.among(keys) & all_not_null(keys), dealt).otherwise(salt)
         t = t.withColumn(_SALT, salt)
-    right = F.broadcast(by_key) if small_source else by_key
+    right = F.broadcast(by_key) if small_source else by_key.hint("merge")
     cond = t[_SALT] == right[_SALT_R] if salt_target else F.lit(True)
     for k in keys:
         cond = (t[k] == right[f"__s_{k}"]) & cond
@@ -256,7 +258,7 @@ def merge(
         stands = F.coalesce(s[_FLAG], F.lit(False)) | ~tk[_GONE]
         for k in on:
             stands = (s[k] == tk[f"__t_{k}"]) & stands
-        unmatched = s.join(F.broadcast(tk) if small_source else tk, stands, "left_anti")
+        unmatched = s.join(F.broadcast(tk) if small_source else tk.hint("merge"), stands, "left_anti")
         insert_side = unmatched.select(*cols, insert_action.alias(ACTION), *none)
 
     tagged = target_side.unionByName(insert_side)

@@ -29,6 +29,15 @@ def test_small_source_merge_never_shuffles_target(spark):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
+def test_shuffle_merge_broadcasts_nothing(spark):
+    """Also not by adaptive execution, for which every side of this merge is small."""
+    res = merge(fx.orders_before(spark, SF01), fx.orders_batch(spark, SF01), ["o_orderkey"], "CDC", small_source=False)
+    rows = res.rows()
+    assert len(rows.collect()) > 0
+    p = plan(rows).split("Initial Plan")[0]
+    assert p.count("SortMergeJoin") == 2 and "Broadcast" not in p
+
+
 def test_billing_aggregates_before_joins_and_prunes_columns(spark):
     df = catalog.billing_for_each_customer(spark, SF01)
     df.write.format("noop").mode("overwrite").save()
