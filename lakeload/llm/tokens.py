@@ -4,7 +4,8 @@ Both vocabularies split a text into independent pieces at white space, and a ful
 stop or comma after a letter or digit is a piece of its own, so the ids of a text
 are the ids of its pieces in order.  A worker keeps the short pieces it has met
 (``CACHE_PIECES`` and ``CACHE_BYTES`` at most; then those met once go, and all where the others
-fill over half); new pieces go through the tokenizers library, many in one call as words split beforehand.  Longer pieces (scripts without blanks) and texts with white space
+fill over half); new pieces go through the tokenizers library, many in one call, as one text with a mark after each or as
+words split beforehand.  Longer pieces (scripts without blanks) and texts with white space
 outside ASCII, whose runs the split does not follow, are encoded for the one call
 that needs them and not kept.
 """
@@ -30,6 +31,8 @@ PIECE_BYTES = 200
 LONGEST_KEPT = 64
 #: Pieces that go through the library at once.
 ENCODE_PIECES = 1024
+#: Stands after each of these where blanks do not count, so that they are one plain text (the library's fastest way).
+MARK = "\x01"
 
 #: White space outside ASCII, in UTF-8.
 _OTHER_WHITE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
@@ -65,6 +68,8 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
         self.spaced = spaced
+        mark = self.lib.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if not spaced and len(mark) == 1 else None
         self.clear()
 
     def clear(self) -> None:
@@ -203,10 +208,23 @@ class Encoder:
     def _encode(self, pieces: list[bytes], flat: array, off: array) -> None:
         for i in range(0, len(pieces), ENCODE_PIECES):
             run = [p.decode("utf-8", "replace") for p in pieces[i : i + ENCODE_PIECES]]
-            found = self.lib.encode(run, is_pretokenized=True, add_special_tokens=False)
-            size = np.bincount(np.array(found.word_ids, np.int64), minlength=len(run))
+            ids, size = self._marked(run) or self._listed(run)
             off.frombytes((len(flat) + np.cumsum(size)).astype(np.int64).tobytes())
-            flat.extend(found.ids)
+            flat.frombytes(ids.tobytes())
+
+    def _listed(self, run: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and their number in each piece, of pieces given as words split beforehand."""
+        found = self.lib.encode(run, is_pretokenized=True, add_special_tokens=False)
+        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(run))
+
+    def _marked(self, run: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same of pieces given as one text; None where it holds further marks or cannot be marked."""
+        if self.mark is None:
+            return None
+        text = f" {MARK} ".join([*run, ""])
+        ids = np.array(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(ids == self.mark)
+        return (np.delete(ids, at), np.diff(at, prepend=-1) - 1) if len(at) == len(run) else None
 
     def encode(self, text: bytes) -> np.ndarray:
         return self.encode_many([text])[0]

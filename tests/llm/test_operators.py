@@ -528,3 +528,19 @@ def test_quality_rules_against_brute_force(spark):
         assert abs(r["distance"] - d) < 1e-6 * max(1.0, d)
         assert r["kept"] == (d <= robust_rules.CUTOFF)
     assert any(r["kept"] for r in rows) and any(not r["kept"] and not r["base_failed"] for r in rows)
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_new_pieces_go_as_one_text(monkeypatch, name, spaced):
+    path = public_tokenizers.path(name)
+    own, lib = Encoder(path, spaced), Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    listed = []
+    monkeypatch.setattr(own, "_listed", lambda run: (listed.append(len(run)), Encoder._listed(own, run))[1])
+    plain = [f"Wort{i}a's l’été x{i} ΑΣ {i}́e ​".encode() for i in range(1500)]
+    odd = ["a\x01b \x01 \x01! z", "q\x01", "́ ́\x01 y　w \x85 k", " \x01 \x01  ", ""]
+    for texts, words_listed in ((plain, spaced), ([x.encode() for x in odd], True)):
+        ids, off = own.encode_many(texts)
+        for d, text in enumerate(texts):
+            assert ids[off[d] : off[d + 1]].tolist() == lib.encode(text.decode(), add_special_tokens=False).ids
+        assert bool(listed) == words_listed
