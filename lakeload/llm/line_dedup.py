@@ -93,7 +93,7 @@ def line_keys(points: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int)
 
 
 def _keys(tau: int, min_chars: int):
-    """Task: distinct (key, h) of the lines long enough to differ by edits."""
+    """Task: (key, h) of the lines long enough to differ by edits; most repeats are left out."""
 
     def run(batches):
         for b in batches:
@@ -107,8 +107,10 @@ def _keys(tau: int, min_chars: int):
                 long = e - s >= min_chars
                 if long.any():
                     line, key = line_keys(points, s[long], e[long], tau)
-                    rows = np.unique(np.stack([key, h[long][line]], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1]))], names=["key", "h"])
+                    by = np.argsort(key)
+                    key, own = key[by], h[long][line][by]
+                    new = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])]) if len(key) else by.astype(bool)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(own[new])], names=["key", "h"])
 
     return run
 
@@ -223,8 +225,9 @@ def line_classes(docs: DataFrame, tau: int, min_chars: int) -> tuple[DataFrame,
 
     by_key = Window.partitionBy("key")
     met = docs.select("text").mapInArrow(lean(_keys(tau, min_chars)), "key long, h long")
-    met = met.repartition("key").dropDuplicates(["key", "h"]).withColumns({"lo": F.min("h").over(by_key), "hi": F.max("h").over(by_key)})
-    met = stage(met.where("lo < hi").select("key", "h", F.col("lo").alias("hub")), "lines-met")
+    met = met.withColumns({"lo": F.min("h").over(by_key), "hi": F.max("h").over(by_key)})
+    # Few keys have two lines: repeats go after this filter.
+    met = stage(met.where("lo < hi").select("key", "h", F.col("lo").alias("hub")).dropDuplicates(["key", "h"]), "lines-met")
 
     wanted = stage(first.join(met.select("h").distinct(), "h", "left_semi").select(F.col("f.id").alias("want")).distinct(), "lines-docs")
     ids = F.broadcast(wanted) if is_small(wanted) else wanted
@@ -324,8 +327,11 @@ def _without_repeats(documents: DataFrame, tau: int, min_chars: int, id_col: str
         cut = stage(gone.groupBy(F.col("id").alias(own)).agg(F.collect_set("pos").alias(lines)), "lines-cut")  # the lines of one document
         keep(cut)
     small = F.broadcast(cut) if is_small(cut) else cut
+    # A column of its own: inside the lambda below the split would run once for each line.
+    split = fresh(documents, "cut_parts")
+    parts = F.col(split)
     wide = documents.join(small, F.col(id_col).cast("long").eqNullSafe(F.col(own)), "left")
-    parts = F.split(F.col(text_col), "\n", -1)
+    wide = wide.withColumn(split, F.split(F.col(text_col), "\n", -1))
     inked = F.size(F.filter(parts, lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
     numbers = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(parts).cast("long") - 1), F.col(lines))
     kept = F.array_join(F.transform(numbers, lambda i: F.get(parts, i.cast("int"))), "\n")

@@ -544,3 +544,12 @@ def test_new_pieces_go_as_one_text(monkeypatch, name, spaced):
         for d, text in enumerate(texts):
             assert ids[off[d] : off[d + 1]].tolist() == lib.encode(text.decode(), add_special_tokens=False).ids
         assert bool(listed) == words_listed
+
+
+def test_texts_are_split_once_for_all_their_lines(spark):
+    """Not once for each line that stays: that grows with the square of a document's lines."""
+    lines = [f"line number {i} of a long document" for i in range(300)]
+    docs = spark.createDataFrame([(0, "\n".join(lines)), (1, "\n".join([*lines[:200], "x", "", "x"])), (2, None)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs, tau=0)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(0, "\n".join(lines), 300, 0), (1, "x\n", 202, 201), (2, None, 0, 0)]
