@@ -5,10 +5,8 @@ white space).  Counts of all trusted texts are summed in each task and then acro
 tasks; lower orders use continuation counts, the number of distinct words before an
 n-gram.  Every order has its three discounts from its own counts of counts, and is
 interpolated with the order below, down to a uniform distribution over the words and
-one unknown word.  Count and context tables are sharded by n-gram and joined in Spark:
-the distinct n-grams of all documents are joined to them and get their log
-probability, an unseen one through the weights of its contexts.  The n-grams of each
-document are joined to these and summed, all in Spark.  A document's perplexity is
+one unknown word.  An n-gram that was not counted gets its probability through the
+weights of its contexts.  A document's perplexity is
 the exponential of its mean negative log probability a word.  One in
 ``HELD_OUT`` trusted texts, by a hash of its id, is left out of the counts and only
 sets the thresholds, since a text that was counted looks more likely than it is.
@@ -16,6 +14,16 @@ Documents above the ``upper`` quantile of these texts in their language are reje
 a language with fewer than ``1 / (1 - upper)`` of them, too few for that quantile,
 takes the quantile of all languages together.
 
+Passes.  The n-grams of all texts are larger than the texts, so they are worked on in up
+to ``PASSES`` passes, each for the n-grams whose middle word has a hash of its range; the
+texts are read again and the tables of a pass are deleted before the next.  A pass keeps
+together what shares a middle word: counts, contexts, the order below and the n-grams of
+the documents meet in one bucket and are summed for each document.  A middle word of more
+than ``SLICE_WORDS`` occurrences is spread over several buckets by the word before, and
+the order below goes to each of these.  Words whose pair was never counted meet the
+unigrams in a join.  ``word_tables`` and ``word_log_probabilities`` are the same model in
+whole tables.
+
 Log probabilities are summed as multiples of 1 / ``UNIT``, so the order of rows has no
 effect.  ``model_tables`` and ``log_probabilities`` are the same model over bytes.
 
@@ -33,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.functions.sizing import is_small
-from lakeload.llm.graph import stage
+from lakeload.llm.graph import free_shuffles, release, stage
 from lakeload.llm.text import U64, WHITE, chunks, i64, lean, mix, span_hash, words
 
 ORDER = 4
@@ -42,6 +50,14 @@ UNIT = 1 << 32
 HELD_OUT = 5
 #: n-grams held before a task sums them up.
 HELD = 4_000_000
+#: Passes over the texts at most, and words that are worth a pass of their own.
+PASSES = 10
+PASS_WORDS = 2_000_000
+#: Words of all documents in a bucket of a pass, and occurrences of a middle word in one bucket.
+BUCKET_WORDS = 600_000
+SLICE_WORDS = 4_000_000
+#: n-grams of documents held before a task sends them to their buckets.
+SENT = 500_000
 
 
 def _mask(k: int) -> int:
@@ -144,8 +160,8 @@ def log_probabilities(wanted: DataFrame, probs: list[DataFrame], weights: list[D
     return out.select("g", F.log(p).alias("lp"))
 
 
-def word_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """``(n-gram ending at each word, its words, document)``; words before a document count as zero."""
+def word_columns(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """``(the words of the n-gram ending at each word, document)``; words before a document count as zero."""
     start, end, doc = words(data, offsets, WHITE)
     own = span_hash(data, start, end)
     cols = []
@@ -155,34 +171,46 @@ def word_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.nd
         before[k:][same] = own[: len(own) - k][same]
         cols.append(before)
     cols.append(own)
-    g = np.zeros(len(own), U64)
+    return cols, doc
+
+
+def gram_hash(cols: list[np.ndarray]) -> np.ndarray:
+    g = np.zeros(len(cols[0]), U64)
     for c in cols:
         g = mix(mix(g) + c)
-    return i64(g), [i64(c) for c in cols], doc
+    return g
+
+
+def pass_of(middle: np.ndarray, passes: int) -> np.ndarray:
+    """The pass that works on the n-grams of a middle word."""
+    return (middle >> U64(33)) % U64(passes)
 
 
 def _names(order: int) -> list[str]:
     return [f"w{k}" for k in range(1, order + 1)]
 
 
-def _count_words(order: int):
-    """Task: distinct word n-grams of some texts (g, the words, count)."""
-    names = ["g", *_names(order), "c"]
+def _count_words(order: int, part: int = 0, passes: int = 1):
+    """Task: distinct word n-grams of some texts (the words, count), those of a pass."""
+    names = [*_names(order), "c"]
 
     def rows(held):
         cols = [np.concatenate(x) for x in zip(*held)]
-        g, first, at = np.unique(cols[0], return_index=True, return_inverse=True)
+        _, first, at = np.unique(gram_hash(cols[:-1]), return_index=True, return_inverse=True)
         c = np.bincount(at, weights=cols[-1]).astype(np.int64)
-        return [g, *(x[first] for x in cols[1:-1]), c]
+        return [*(x[first] for x in cols[:-1]), c]
 
     def run(batches):
         held, size = [], 0
         for b in batches:
             for _, _, data, off in chunks(b.column(0)):
-                g, cols, _ = word_grams(data, off, order)
-                if len(g):
-                    held.append(rows([[g, *cols, np.ones(len(g), np.int64)]]))
-                    size += len(held[-1][0])
+                cols, _ = word_columns(data, off, order)
+                if passes > 1:
+                    own = np.flatnonzero(pass_of(cols[-2], passes) == part)
+                    cols = [x[own] for x in cols]
+                if len(cols[0]):
+                    held.append([*cols, np.ones(len(cols[0]), np.int64)])
+                    size += len(cols[0])
                 if size > HELD // 4:
                     yield from send(rows(held))
                     held, size = [], 0
@@ -190,6 +218,7 @@ def _count_words(order: int):
             yield from send(rows(held))
 
     def send(cols):
+        cols = [*map(i64, cols[:-1]), cols[-1]]
         for i in range(0, len(cols[0]), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in cols], names=names)
 
@@ -197,26 +226,7 @@ def _count_words(order: int):
 
 
 def _count_fields(order: int) -> str:
-    return ", ".join(f"{n} long" for n in ["g", *_names(order), "c"])
-
-
-def _document_words(order: int):
-    """Task: (key, g, c) of the word n-grams of each text, summed within it."""
-
-    def run(batches):
-        for b in batches:
-            for i, j, data, off in chunks(b.column(0)):
-                g, _, doc = word_grams(data, off, order)
-                if not len(g):
-                    continue
-                by = np.lexsort((g, doc))
-                g, doc = g[by], doc[by]
-                first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])]))
-                c = np.diff(np.append(first, len(g))).astype(np.int32)
-                key = b.column(1).slice(i, j - i).take(pa.array(doc[first]))
-                yield pa.RecordBatch.from_arrays([key, pa.array(g[first]), pa.array(c)], names=["key", "g", "c"])
-
-    return lean(run)
+    return ", ".join(f"{n} long" for n in [*_names(order), "c"])
 
 
 def _near(t: DataFrame) -> DataFrame:
@@ -269,18 +279,304 @@ def word_log_probabilities(wanted: DataFrame, tables: tuple[list[DataFrame], lis
     return out.select(*wanted.columns, F.log(p).alias("lp"))
 
 
-def perplexities(docs: DataFrame, tables: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
-    """``(id, lang, n_bytes, perplexity)`` of (id, text, lang) rows."""
-    order = len(tables[0])
+def _census():
+    """Task: (word, count) of the words that are at least one in 4,000 of a chunk, and with a null word the count of all."""
+
+    def run(batches):
+        for b in batches:
+            for _, _, data, off in chunks(b.column(0)):
+                start, end, _ = words(data, off, WHITE)
+                w, c = np.unique(span_hash(data, start, end), return_counts=True)
+                often = c * 4000 >= len(start)
+                yield pa.RecordBatch.from_arrays([pa.array([None, *i64(w[often]).tolist()], pa.int64()), pa.array([len(start), *c[often].tolist()], pa.int64())], names=["w", "c"])
+
+    return lean(run)
+
+
+class Buckets:
+    """Where the n-grams of a middle word meet: one bucket, or several by the word before where the word is frequent."""
+
+    def __init__(self, count: int, frequent: dict[int, int]):
+        self.count = count
+        self.words = np.array(sorted(frequent), U64)
+        self.slices = np.array([min(frequent[w], count) for w in sorted(frequent)], U64)
+
+    def spread(self, middle: np.ndarray) -> np.ndarray:
+        """Number of buckets of each middle word."""
+        out = np.ones(len(middle), U64)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, middle), len(self.words) - 1)
+            own = self.words[at] == middle
+            out[own] = self.slices[at[own]]
+        return out
+
+    def of(self, middle: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """The bucket of slice ``k``."""
+        return ((middle >> U64(13)) + k) % U64(self.count)
+
+    def place(self, before: np.ndarray, middle: np.ndarray) -> np.ndarray:
+        return self.of(middle, mix(before) % self.spread(middle))
+
+
+#: Kinds of rows in a bucket, and the columns of each.
+DOCUMENT, COUNT, PAIR, WORD = range(4)
+PACKED = "bucket int, kind int, data binary"
+SCORED = pa.schema([("key", pa.int64()), ("w3", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("share", pa.float64())])
+
+
+def _split(bucket: np.ndarray, middle: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """``(order by bucket and middle word, (bucket, first, end) of each bucket in it)``."""
+    by = np.argsort((bucket << U64(40)) | (middle >> U64(24)))
+    bucket = bucket[by]
+    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist()
+    return by, [(int(bucket[i]), i, j) for i, j in zip(edge[:-1], edge[1:])]
+
+
+def _packed(kind: int, rows: list[tuple[int, list[np.ndarray]]]) -> pa.RecordBatch:
+    """One row for each bucket: its columns, one after the other."""
+    data = pa.array([b"".join(c.tobytes() for c in cols) for _, cols in rows], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([kind] * len(rows), pa.int32()), data], names=["bucket", "kind", "data"])
+
+
+def _code_type(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _pack_documents(buckets: Buckets, middle: np.ndarray, before: np.ndarray, last: np.ndarray, doc: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """In each bucket words and documents are coded by their places in its lists of them, and equal middle words are told once."""
+    by, spans = _split(buckets.place(before, middle), middle)
+    rows = []
+    for bucket, i, j in spans:
+        own = by[i:j]
+        vocabulary, code = np.unique(np.concatenate([before[own], last[own]]), return_inverse=True)
+        docs, at = np.unique(doc[own], return_inverse=True)
+        m = middle[own]
+        run = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+        head = np.array([j - i, len(docs), len(vocabulary), len(run)], np.int64)
+        times = np.diff(np.append(run, j - i)).astype(np.uint32)
+        rows.append((bucket, [head, keys[docs], vocabulary, m[run], times, code.astype(_code_type(len(vocabulary))), at.astype(_code_type(len(docs)))]))
+    return _packed(DOCUMENT, rows)
+
+
+def _unpack_documents(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(middle, before, last, document, keys)``."""
+    n, docs, size, runs = np.frombuffer(data, np.int64, 4).tolist()
+    at, out = 32, []
+    for t, k in ((np.int64, docs), (U64, size), (U64, runs), (np.uint32, runs), (_code_type(size), 2 * n), (_code_type(docs), n)):
+        out.append(np.frombuffer(data, t, k, at))
+        at += out[-1].nbytes
+    keys, vocabulary, middle, times, code, doc = out
+    return np.repeat(middle, times), vocabulary[code[:n]], vocabulary[code[n:]], doc.astype(np.int64), keys
+
+
+def _document_grams(part: int, passes: int, buckets: Buckets):
+    """Task: the 3-grams of each text (text, key) that belong to a pass, by bucket; a text met again in the task is left out."""
+
+    def run(batches):
+        held, keys, size, met = [], [], 0, set()
+
+        def send():
+            return _pack_documents(buckets, *(np.concatenate(x) for x in zip(*held)), np.concatenate(keys))
+
+        for b in batches:
+            key = b.column(1).to_numpy()
+            new = np.zeros(len(key), bool)
+            for d, k in enumerate(key.tolist()):
+                new[d] = k not in met
+                met.add(k)
+            if not new.any():
+                continue
+            texts = b.column(0)
+            if not new.all():
+                texts, key = texts.filter(pa.array(new)), key[new]
+            for i, j, data, off in chunks(texts):
+                (before, middle, last), doc = word_columns(data, off, WORD_ORDER)
+                own = np.flatnonzero(pass_of(middle, passes) == part)
+                if len(own):
+                    held.append([middle[own], before[own], last[own], doc[own] + sum(map(len, keys))])
+                    keys.append(key[i:j])
+                    size += len(own)
+                if size > SENT:
+                    yield send()
+                    held, keys, size = [], [], 0
+        if held:
+            yield send()
+
+    return lean(run)
+
+
+def _model_rows(kind: int, buckets: Buckets):
+    """Task: rows of counts (w2, w1, w3, c), of pairs (w2, w3, p) or of words (w2, weight), by bucket; below the 3-grams, to every slice of the middle word."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [c.to_numpy() for c in b.columns]
+            cols = [c.view(U64) if c.dtype == np.int64 else c for c in cols]
+            if kind == COUNT:
+                bucket = buckets.place(cols[1], cols[0])
+            else:
+                times = buckets.spread(cols[0]).astype(np.int64)
+                at = np.repeat(np.arange(len(times)), times)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                cols = [c[at] for c in cols]
+                bucket = buckets.of(cols[0], nth.astype(U64))
+            by, spans = _split(bucket, cols[0])
+            yield _packed(kind, [(k, [np.array([j - i], np.int64), *(c[by[i:j]] for c in cols)]) for k, i, j in spans])
+
+    return lean(run)
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(which of wanted are known, their places in known)``; ``known`` is sorted."""
+    if not len(known):
+        return np.zeros(len(wanted), bool), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    hit = known[at] == wanted
+    return hit, at[hit]
+
+
+def _read(rows: list[bytes], types: list) -> list[np.ndarray]:
+    parts = []
+    for r in rows:
+        n, at, own = int(np.frombuffer(r, np.int64, 1)[0]), 8, []
+        for t in types:
+            own.append(np.frombuffer(r, t, n, at))
+            at += n * np.dtype(t).itemsize
+        parts.append(own)
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, t) for t in types]
+
+
+def _log_units(p: np.ndarray) -> np.ndarray:
+    return np.round(np.log(p) * UNIT).astype(np.int64)
+
+
+def _score_bucket(cut: tuple[float, float, float]):
+    """Group: the ``SCORED`` rows of a bucket: words and summed log probabilities of each document (w3 null), and the words that only the unigrams can tell, with the weight of these."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds = table.column("kind").to_numpy()
+        rows = table.column("data").to_pylist()
+        of = [[r for r, k in zip(rows, kinds) if k == kind] for kind in range(4)]
+        middle, before, last, c = _read(of[COUNT], [U64, U64, U64, np.int64])
+        context, at = np.unique(gram_hash([before, middle]), return_inverse=True)
+        d = np.where(c == 1, cut[0], np.where(c == 2, cut[1], cut[2]))
+        total, off = np.bincount(at, c, len(context)), np.bincount(at, d, len(context))
+        two, last2, p2 = _read(of[PAIR], [U64, U64, np.float64])
+        pair = gram_hash([two, last2])
+        by = np.argsort(pair)
+        pair, p2 = pair[by], p2[by]
+        _, below = _find(pair, gram_hash([middle, last]))
+        p3 = (c - d) / total[at] + off[at] / total[at] * p2[below]
+        gram = gram_hash([before, middle, last])
+        by = np.argsort(gram)
+        gram, lp3 = gram[by], _log_units(p3[by])
+        weight = off / total
+        word, w = _read(of[WORD], [U64, np.float64])
+        by = np.argsort(word)
+        word, w = word[by], w[by]
+
+        out = []
+        for r in of[DOCUMENT]:
+            middle, before, last, doc, key = _unpack_documents(r)
+            docs = len(key)
+            s = np.zeros(len(doc), np.int64)
+            known, place = _find(gram, gram_hash([before, middle, last]))
+            s[known] = lp3[place]
+            rest = np.flatnonzero(~known)
+            share = np.ones(len(rest))
+            known, place = _find(context, gram_hash([before[rest], middle[rest]]))
+            share[known] = weight[place]
+            known, place = _find(pair, gram_hash([middle[rest], last[rest]]))
+            s[rest[known]] = _log_units(share[known] * p2[place])
+            rest, share = rest[~known], share[~known]
+            known, place = _find(word, middle[rest])
+            share[known] *= w[place]
+            sums = np.zeros(docs, np.int64)
+            np.add.at(sums, doc, s)
+            out.append(pa.table([pa.array(key), pa.nulls(docs, pa.int64()), pa.array(np.bincount(doc, minlength=docs)), pa.array(sums), pa.nulls(docs, pa.float64())], schema=SCORED))
+            none = np.zeros(len(rest), np.int64)
+            out.append(pa.table([pa.array(key[doc[rest]]), pa.array(i64(last[rest])), pa.array(none), pa.array(none), pa.array(share)], schema=SCORED))
+        return pa.concat_tables(out) if out else SCORED.empty_table()
+
+    return lambda table: list(lean(lambda t: [run(t)])(table))[0]
+
+
+def _unigrams(trusted: DataFrame, passes: int) -> tuple[DataFrame, list[dict]]:
+    """``(words (w3, c) by continuation count, counts of counts of orders 1 to 3)``."""
+    parts, few = [], range(1, 5)
+    for r in range(passes):
+        found = trusted.select("text").mapInArrow(_count_words(WORD_ORDER, r, passes), _count_fields(WORD_ORDER))
+        grams = found.repartition("w2", "w3").groupBy("w1", "w2", "w3").agg(F.sum("c").alias("c"))
+        pairs = grams.groupBy("w2", "w3").agg(F.count(F.lit(1)).alias("c"), *[F.count_if(F.col("c") == i).alias(f"t{i}") for i in few])
+        own = pairs.groupBy("w3").agg(F.count(F.lit(1)).alias("c"), *[F.sum(f"t{i}").alias(f"t{i}") for i in few], *[F.count_if(F.col("c") == i).alias(f"p{i}") for i in few])
+        parts.append(stage(own, "lm-counts"))
+        free_shuffles(trusted.sparkSession)
+    every = parts[0]
+    for t in parts[1:]:
+        every = every.union(t)
+    row = every.agg(*[F.coalesce(F.sum(f"{k}{i}"), F.lit(0)).alias(f"{k}{i}") for k in "tp" for i in few]).first()
+    unigrams = stage(every.groupBy("w3").agg(F.sum("c").alias("c")), "lm-words")
+    first = unigrams.agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in few], F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("total")).first()
+    release(*parts)
+    return unigrams, [first.asDict(), {f"n{i}": row[f"p{i}"] for i in few}, {f"n{i}": row[f"t{i}"] for i in few}]
+
+
+def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame | None:
+    """``(id, lang, n_bytes, perplexity)`` of (id, text, lang) rows under the model of the trusted (text) rows; None where these have no word."""
+    spark = docs.sparkSession
+    census = docs.select("text").mapInArrow(_census(), "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    census = {r["w"]: r["c"] for r in census.where(F.col("w").isNull() | (F.col("c") > SLICE_WORDS)).collect()}  # a row for each frequent word
+    size = census.pop(None, 0)
+    passes = max(1, min(PASSES, size // PASS_WORDS))
+    frequent = {w % (1 << 64): -(-c // SLICE_WORDS) for w, c in census.items()}
+    buckets = Buckets(max(8, size // passes // BUCKET_WORDS), frequent)
+    unigrams, stats = _unigrams(trusted, -(-passes // 4))
+    first = stats[0]
+    if not first["n"]:
+        return None
+    cuts = [discounts(*(s[f"n{i}"] for i in range(1, 5))) for s in stats]
+    unknown = (cuts[0][0] * first["n1"] + cuts[0][1] * first["n2"] + cuts[0][2] * (first["n"] - first["n1"] - first["n2"])) / first["total"] / (first["n"] + 1)
+    p1 = (F.col("c") - _discount(F.col("c"), cuts[0])) / F.lit(first["total"]) + F.lit(unknown)
+    words_p = stage(unigrams.select("w3", p1.alias("p1")), "lm-probabilities")
+    release(unigrams)
+    alone_lp = F.round(F.log(F.col("share") * F.coalesce("p1", F.lit(unknown))) * UNIT).cast("long")
+
     keyed = docs.select("id", "text", "lang", F.xxhash64("text").alias("key"))
-    wanted = docs.select("text").mapInArrow(_count_words(order), _count_fields(order)).drop("c").dropDuplicates(["g"])
-    scored = stage(word_log_probabilities(wanted, tables).select("g", F.round(F.col("lp") * UNIT).cast("long").alias("lp")), "lm-scored")
-    own = keyed.select("text", "key").mapInArrow(_document_words(order), "key long, g long, c int")
+    parts = []
+    for r in range(passes):
+        found = trusted.select("text").mapInArrow(_count_words(WORD_ORDER, r, passes), _count_fields(WORD_ORDER))
+        grams = stage(found.groupBy("w1", "w2", "w3").agg(F.sum("c").alias("c")), "lm-counts")
+        pairs = stage(grams.groupBy("w2", "w3").agg(F.count(F.lit(1)).alias("c")).withColumn("d", _discount(F.col("c"), cuts[1])), "lm-counts")
+        context = stage(pairs.groupBy("w2").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("w")), "lm-contexts")
+        p2 = (F.col("c") - F.col("d")) / F.col("total") + F.col("w") * F.col("p1")
+        pair_p = stage(pairs.join(context, "w2").join(words_p, "w3").select("w2", "w3", p2.alias("p")), "lm-probabilities")
+        release(pairs)
+        free_shuffles(spark)
+        rows = [
+            keyed.select("text", "key").mapInArrow(_document_grams(r, passes, buckets), PACKED),
+            grams.select("w2", "w1", "w3", "c").mapInArrow(_model_rows(COUNT, buckets), PACKED),
+            pair_p.mapInArrow(_model_rows(PAIR, buckets), PACKED),
+            context.select("w2", "w").mapInArrow(_model_rows(WORD, buckets), PACKED),
+        ]
+        packed = rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+        out = stage(packed.groupBy("bucket").applyInArrow(_score_bucket(cuts[2]), "key long, w3 long, n long, s long, share double"), "lm-scored")
+        release(grams, pair_p, context)
+        free_shuffles(spark)
+        alone = out.where("w3 is not null").join(words_p, "w3", "left").select("key", "n", alone_lp.alias("s"))
+        sums = out.where("w3 is null").select("key", "n", "s").union(alone).groupBy("key").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        parts.append(stage(sums, "lm-sums"))
+        release(out)
+        free_shuffles(spark)
+    every = parts[0]
+    for t in parts[1:]:
+        every = every.union(t)
     # Copies share a key: sums and words grow alike, their ratio stays.
-    mean = own.join(_near(scored), "g").groupBy("key").agg((F.sum(F.col("c") * F.col("lp")) / F.sum("c") / UNIT).alias("mean"))
-    mean = stage(mean, "lm-means")
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    rows = keyed.select("id", "lang", "key", size).join(_near(mean), "key", "left")
+    mean = stage(every.groupBy("key").agg((F.sum("s") / F.sum("n") / UNIT).alias("mean")), "lm-means")
+    release(*parts, words_p)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    rows = keyed.select("id", "lang", "key", n_bytes).join(_near(mean), "key", "left")
     return rows.select("id", "lang", "n_bytes", F.exp(-F.col("mean")).alias("perplexity"))
 
 
@@ -291,13 +587,14 @@ def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.95, id
     good = stage(good, "lm-trusted")
     small = F.broadcast(good) if is_small(good) else good
     held = F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(HELD_OUT)) == 0
-    tables = word_tables(docs.join(small.where(~held), F.col("id") == F.col("_id"), "left_semi").where("length(text) > 0"))
-    if tables is None:
+    trusted = docs.join(small.where(~held), F.col("id") == F.col("_id"), "left_semi").where("length(text) > 0")
+    found = perplexities(docs, trusted)
+    if found is None:
         size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
         none = F.lit(None).cast("double")
         out = docs.select(F.col("id").alias(id_col), "lang", size.alias("n_bytes"), none.alias("perplexity"), none.alias("threshold"))
         return out.withColumn("kept", F.col("n_bytes") > 0)
-    scored = stage(perplexities(docs, tables), "lm-perplexity")
+    scored = stage(found, "lm-perplexity")
     known = scored.join(small.where(held), F.col("id") == F.col("_id"), "left_semi").where("perplexity is not null")
     edge = F.percentile_approx("perplexity", upper, 10_000).alias("threshold")
     enough = F.count(F.lit(1)) * (1 - upper) > 1 - 1e-9

@@ -399,6 +399,47 @@ def test_quality_lm_threshold_is_a_quantile(spark):
     assert all(x["kept"] == (x["perplexity"] <= x["threshold"]) for x in rows)
 
 
+def test_quality_lm_works_in_passes(spark, monkeypatch):
+    """The work tables that exist at a time have fewer rows than the documents have 3-grams; same perplexities as from whole tables."""
+    for name, value in (("PASS_WORDS", 2000), ("BUCKET_WORDS", 1000), ("SLICE_WORDS", 700)):
+        monkeypatch.setattr(quality_lm, name, value, raising=False)
+    live, most, real_stage, real_release = {}, [0], quality_lm.stage, getattr(quality_lm, "release", None)
+
+    def stage(df, name):
+        out = real_stage(df, name)
+        live[out.work_path] = out.count()
+        most[0] = max(most[0], sum(live.values()))
+        return out
+
+    def release(*tables):
+        for t in tables:
+            live.pop(t.work_path)
+        real_release(*tables)
+
+    monkeypatch.setattr(quality_lm, "stage", stage)
+    monkeypatch.setattr(quality_lm, "release", release, raising=False)
+    r = random.Random(31)
+    texts = [" ".join("the" if r.random() < 0.3 else f"w{int(r.paretovariate(0.6)) % 3000}" for _ in range(1500)) for _ in range(40)]
+    texts += [texts[3], "one", "w1 the", "", None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)], "doc_id long, quality int")
+    got = {x["doc_id"]: x["perplexity"] for x in quality_lm.classify(docs, labels).collect()}
+
+    grams = []
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        cols, _ = quality_lm.word_columns(data, np.array([0, len(data)]), 3)
+        grams.append([tuple(g) for g in np.stack([c.view(np.int64) for c in cols], 1).tolist()])
+    distinct = sorted({g for gs in grams for g in gs})
+    assert most[0] < len(distinct)
+    held = {x["doc_id"] for x in docs.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(quality_lm.HELD_OUT)) == 0).collect()}
+    tables = quality_lm.word_tables(docs.where(F.col("doc_id").isin([i for i in range(0, 40, 2) if i not in held])).select("text"))
+    lp = {(x["w1"], x["w2"], x["w3"]): x["lp"] for x in quality_lm.word_log_probabilities(spark.createDataFrame(distinct, "w1 long, w2 long, w3 long"), tables).collect()}
+    for i, gs in enumerate(grams):
+        want = math.exp(-sum(lp[g] for g in gs) / len(gs)) if gs else None
+        assert got[i] is None if want is None else abs(got[i] / want - 1) < 1e-8
+
+
 def test_secret_scan(spark):
     r = random.Random(4)
     secret = ["password=" + "".join(r.choice("0123456789abcdef") for _ in range(18)) for _ in range(30)]
