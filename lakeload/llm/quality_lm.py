@@ -585,10 +585,16 @@ def classify(documents: DataFrame, labels: DataFrame, *, upper: float = 0.95, id
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct()
     good = stage(good, "lm-trusted")
-    small = F.broadcast(good) if is_small(good) else good
+    near = is_small(good)
+    small = F.broadcast(good) if near else good
     held = F.pmod(F.xxhash64("_id", F.lit("quality")), F.lit(HELD_OUT)) == 0
     trusted = docs.join(small.where(~held), F.col("id") == F.col("_id"), "left_semi").where("length(text) > 0")
+    if not near:  # the join sends all texts along: once, not in each pass
+        trusted = stage(trusted.select("text"), "lm-trusted-texts")
+        free_shuffles(docs.sparkSession)
     found = perplexities(docs, trusted)
+    if not near:
+        release(trusted)
     if found is None:
         size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
         none = F.lit(None).cast("double")

@@ -399,10 +399,13 @@ def test_quality_lm_threshold_is_a_quantile(spark):
     assert all(x["kept"] == (x["perplexity"] <= x["threshold"]) for x in rows)
 
 
-def test_quality_lm_works_in_passes(spark, monkeypatch):
+@pytest.mark.parametrize("near", [True, False])
+def test_quality_lm_works_in_passes(spark, monkeypatch, near):
     """The work tables that exist at a time have fewer rows than the documents have 3-grams; same perplexities as from whole tables."""
     for name, value in (("PASS_WORDS", 2000), ("BUCKET_WORDS", 1000), ("SLICE_WORDS", 700)):
         monkeypatch.setattr(quality_lm, name, value, raising=False)
+    if not near:
+        monkeypatch.setattr(quality_lm, "is_small", lambda t: False)
     live, most, real_stage, real_release = {}, [0], quality_lm.stage, getattr(quality_lm, "release", None)
 
     def stage(df, name):
