@@ -4,12 +4,16 @@ Method.  Texts are lower-cased (A-Z), split at punctuation and line ends into pi
 blanks into words.  A chunk (some texts of one language) keeps its words once, as a local
 dictionary, and its tokens as places in it.  Words with ``min_count`` occurrences in
 their language get a global id: no phrase of a rarer word can be a candidate.  A chunk is
-then a shard: its n-grams of frequent words, packed as word ids, go into a
+then a shard, where its tokens meet the ids of its words: its n-grams of frequent words, packed as word ids, go into a
 counting quotient filter (``quotient_filter``), cut into blocks by the leading bits of the
 permuted keys.  The sorted filters of a block are merged across shards, and what reaches
 ``min_count`` is read back exactly from quotient and remainder.  Scores are whole-number
 divisions of decimals, so they are exact beyond 64 bits.
 
+Memory.  A row is a word of a chunk or a run of its tokens, never a whole chunk, and texts come in
+batches of few rows: neither the JVM's heap nor its buffers hold more than that of a chunk,
+however many chunks a partition has.  A task of Python holds a chunk and what is short of one.
+
 Skew.  Permuted keys are dealt out evenly whatever the language or phrase, and a
 phrase has one entry a shard; blocks are made for about ``BLOCK_ENTRIES`` entries each.  A word
 has one dictionary row a chunk, and every table joined by word is a written one, so
@@ -24,15 +28,18 @@ language columns are read, so other columns may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeload.llm import quotient_filter as qf
 from lakeload.llm.graph import stage
-from lakeload.llm.text import LOWER, byte_set, chunks, lean, words
+from lakeload.llm.text import LOWER, byte_set, chunks, lean, trim, words
 
 #: Characters that end a piece: ``[.,;:!?\x0A-\x0D]``.
 SPLITTERS = byte_set((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -40,12 +47,19 @@ SPLITTERS = byte_set((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
 BREAKS = SPLITTERS | byte_set((0x20, 0x20), (0x09, 0x09))
 #: Text bytes of a chunk.
 CHUNK_BYTES = 2 << 20
+#: Text bytes that a task keeps over all languages until they fill a chunk.
+HELD_BYTES = 8 * CHUNK_BYTES
+#: Tokens of a row.
+RUN_TOKENS = 1 << 16
+#: Rows and bytes of a batch of texts, each with Spark's own default.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("1000", "10000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("8388608b", "67108864b")}
 #: Filter entries a merging task is meant to hold.
 BLOCK_ENTRIES = 1 << 20
 #: Number ranges of word ids that are counted side by side.
 ID_RANGES = 256
 
-_CHUNKS = "chunk long, lang string, n_tokens long, tokens array<int>, words array<binary>, counts array<long>"
+#: A word (its place in the chunk, its occurrences) or a run of tokens (its number, how many they are).
+_CHUNKS = "chunk long, lang string, place int, n long, word binary, tokens binary"
 
 
 def _local(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array] | None:
@@ -64,26 +78,51 @@ def _local(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.Array]
     return np.where(first, -tokens, tokens).astype(np.int32), spelled.dictionary
 
 
-def _listed(values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
-def _chunk_task(batches):
-    made = TaskContext.get().partitionId() << 32
+def _texts(batches) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """``(lang, bytes, offsets)`` of each chunk; what does not fill one waits for the next batch."""
+    held: dict[str, pa.Array] = {}
     for b in batches:
         lang, text = b.column(0).dictionary_encode(), b.column(1)
         code = lang.indices.to_numpy()
         for k, name in enumerate(lang.dictionary.to_pylist()):
             own = text.take(pa.array(np.flatnonzero(code == k)))
-            for _, _, data, offsets in chunks(own, CHUNK_BYTES):
-                found = _local(data, offsets)
-                if found is None:
-                    continue
-                tokens, spelled = found
-                counts = np.bincount(np.abs(tokens) - 1, minlength=len(spelled))
-                cols = [pa.array([made]), pa.array([name]), pa.array([len(tokens)]), _listed(pa.array(tokens)), _listed(spelled.cast(pa.binary())), _listed(pa.array(counts))]
-                yield pa.RecordBatch.from_arrays(cols, names=["chunk", "lang", "n_tokens", "tokens", "words", "counts"])
-                made += 1
+            own = pa.concat_arrays([held[name], own]) if name in held else own
+            *full, last = chunks(own, CHUNK_BYTES)
+            for _, _, data, offsets in full:
+                yield name, data, offsets
+            held[name] = pa.concat_arrays([own.slice(last[0])])
+        if sum(x.nbytes for x in held.values()) > HELD_BYTES:
+            yield from _rest(held)
+            held = {}
+    yield from _rest(held)
+
+
+def _rest(held: dict[str, pa.Array]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    for name, own in held.items():
+        for _, _, data, offsets in chunks(own, CHUNK_BYTES):
+            yield name, data, offsets
+
+
+def _rows(chunk: int, lang: str, **cols) -> pa.RecordBatch:
+    n = len(cols["place"])
+    schema = pa.schema({"chunk": pa.int64(), "lang": pa.string(), "place": pa.int32(), "n": pa.int64(), "word": pa.binary(), "tokens": pa.binary()})
+    cols |= {"chunk": pa.repeat(pa.scalar(chunk), n), "lang": pa.repeat(lang, n)}
+    return pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+
+def _chunk_task(batches):
+    made = TaskContext.get().partitionId() << 32
+    for lang, data, offsets in _texts(batches):
+        found = _local(data, offsets)
+        if found is None:
+            continue
+        tokens, spelled = found
+        counts = np.bincount(np.abs(tokens) - 1, minlength=len(spelled))
+        yield _rows(made, lang, place=pa.array(np.arange(len(spelled))), n=pa.array(counts), word=spelled)
+        runs = np.split(tokens, range(RUN_TOKENS, len(tokens), RUN_TOKENS))
+        packed = pa.array([pa.compress(np.ascontiguousarray(x, "<i4"), "zstd", asbytes=True) for x in runs], pa.binary())
+        yield _rows(made, lang, place=pa.array(np.arange(len(runs))), n=pa.array([len(x) for x in runs]), tokens=packed)
+        made += 1
 
 
 def _grams(tokens: np.ndarray, ids: np.ndarray, bits: int) -> qf.Keys:
@@ -99,19 +138,21 @@ def _grams(tokens: np.ndarray, ids: np.ndarray, bits: int) -> qf.Keys:
 
 def _filters(bits: int, block_bits: int):
     h = qf.half_bits(bits)
-
-    def run(batches):
-        for b in batches:
-            for row in range(b.num_rows):
-                tokens, place, ids = (b.column(c)[row].values.to_numpy() for c in ("tokens", "place", "id"))
-                lut = np.zeros(b.column("n_words")[row].as_py(), np.int64)
-                lut[place] = ids
-                hi, lo, n = qf.tally(*qf.permute(*_grams(tokens, lut, bits), h), None, h)
-                found = list(qf.split(hi, lo, n, h, block_bits))
-                if found:
-                    block, _, blob = zip(*found)
-                    lang = pa.array([b.column("lang")[row].as_py()] * len(found))
-                    yield pa.RecordBatch.from_arrays([lang, pa.array(block, pa.int32()), pa.array(blob, pa.binary())], names=["lang", "block", "filter"])
+    schema = pa.schema({"lang": pa.string(), "block": pa.int32(), "filter": pa.binary()})
+
+    def run(runs: pa.Table, known: pa.Table) -> pa.Table:
+        runs = runs.sort_by("place").combine_chunks()
+        packed = zip(runs.column("tokens"), runs.column("n").to_pylist())
+        tokens = np.concatenate([np.zeros(0, "<i4"), *(np.frombuffer(pa.decompress(x.as_buffer(), 4 * n, "zstd"), "<i4") for x, n in packed)])
+        lut = np.zeros(np.abs(tokens).max(initial=0), np.int64)
+        lut[known.column("place").to_numpy()] = known.column("id").to_numpy()
+        hi, lo, n = qf.tally(*qf.permute(*_grams(tokens, lut, bits), h), None, h)
+        found = list(qf.split(hi, lo, n, h, block_bits))
+        out = {"lang": [runs.column("lang")[0].as_py()] * len(found) if found else [], "block": [x[0] for x in found], "filter": [x[2] for x in found]}
+        out = pa.table(out, schema)
+        del hi, lo, n, found, tokens, lut
+        trim()
+        return out
 
     return run
 
@@ -130,6 +171,19 @@ def _merge(bits: int, block_bits: int, min_count: int):
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of texts are those of ``BATCH`` meanwhile, unless the session says otherwise."""
+    changed = [k for k, (_, default) in BATCH.items() if spark.conf.get(k, default) == default]
+    try:
+        for k in changed:
+            spark.conf.set(k, BATCH[k][0])
+        yield
+    finally:
+        for k in changed:
+            spark.conf.unset(k)
+
+
 def _score(a: Column, left: Column, right: Column) -> Column:
     """``floor(1000000 a a / (left right))`` in whole decimals."""
     a, left, right = (x.cast("decimal(19,0)") for x in (a, left, right))
@@ -147,10 +201,11 @@ def collocations(documents: DataFrame, *, min_count: int = 10, top: int = 2000,
     ``absorb_percent`` of its occurrences.
     """
     docs = documents.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    table = stage(docs.where(F.length("text") > 0).mapInArrow(lean(_chunk_task), _CHUNKS), "phrase-chunks")
-    totals = stage(table.groupBy("lang").agg(F.sum("n_tokens").alias("n")), "phrase-totals")
-    met = table.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
-    met = met.select("chunk", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    with _small_batches(documents.sparkSession):
+        table = stage(docs.where(F.length("text") > 0).mapInArrow(lean(_chunk_task), _CHUNKS), "phrase-chunks")
+    runs = table.where("tokens IS NOT NULL").select("chunk", "lang", "place", "n", "tokens")
+    totals = stage(runs.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    met = table.where("word IS NOT NULL").select("chunk", "lang", "place", "word", "n")
     often = met.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     often = often.withColumn("range", F.pmod(F.xxhash64("word"), F.lit(ID_RANGES)))
     place = F.row_number().over(Window.partitionBy("lang", "range").orderBy("word"))
@@ -164,12 +219,10 @@ def collocations(documents: DataFrame, *, min_count: int = 10, top: int = 2000,
     block_bits = min(qf.half_bits(bits), max(0, (2 * int(tokens) // BLOCK_ENTRIES).bit_length()))
 
     ids = met.select("chunk", "lang", "place", "word").join(known.select("lang", "word", "id"), ["lang", "word"])
-    ids = ids.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    shards = table.select("chunk", "lang", "tokens", F.size("words").alias("n_words")).join(ids, "chunk")
-    shards = shards.select("lang", "tokens", "n_words", F.col("known.place").alias("place"), F.col("known.id").alias("id"))
-    filters = shards.mapInArrow(lean(_filters(bits, block_bits)), "lang string, block int, filter binary")
+    ids = ids.select(F.col("chunk").alias("shard"), F.col("place").alias("place"), "id")
+    filters = runs.groupBy("chunk").cogroup(ids.groupBy("shard")).applyInArrow(_filters(bits, block_bits), "lang string, block int, filter binary")
     grams = filters.groupBy("lang", "block").applyInArrow(_merge(bits, block_bits, min_count), "lang string, w1 long, w2 long, w3 long, a long")
-    grams = stage(grams, "phrase-grams")
+    grams = stage(grams.hint("rebalance", "w1", "w2", "w3"), "phrase-grams")  # a file for some MB, not one for each merging task
 
     pairs, triples = grams.where("w3 = 0"), grams.where("w3 > 0")
     inside = triples.select("lang", "a", F.explode(F.array(F.struct("w1", "w2"), F.struct(F.col("w2").alias("w1"), F.col("w3").alias("w2")))).alias("p"))

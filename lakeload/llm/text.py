@@ -90,6 +90,12 @@ def _drop_all_but(keeps: str | None) -> None:
             drop()
 
 
+def trim() -> None:
+    """Hand freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def lean(task, keeps: str | None = None):
     """``task`` (over Arrow batches) that hands freed memory back to the system when it ends.
 
@@ -101,8 +107,7 @@ def lean(task, keeps: str | None = None):
     def run(batches):
         _drop_all_but(keeps)
         yield from task(batches)
-        pa.default_memory_pool().release_unused()
-        _trim()(0)
+        trim()
 
     return run
 

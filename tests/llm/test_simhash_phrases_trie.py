@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -173,6 +174,47 @@ def test_collocations_against_brute_force(spark, monkeypatch, entries):
     assert got
 
 
+def test_collocations_rows_and_batches_stay_small(spark, monkeypatch):
+    """No row holds a whole chunk, whatever a partition has, and texts come in batches of few rows."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def spy(df, name, stage=collocations.stage):
+        seen.append((name, out := stage(df, name), spark.conf.get(key)))
+        return out
+
+    monkeypatch.setattr(collocations, "stage", spy)
+    before, r = spark.conf.get(key), random.Random(8)
+    rows = [(i, " ".join(r.choice(WORDS[:9]) for _ in range(4000)), "en") for i in range(40)]
+    got = collocations.collocations(spark.createDataFrame(_wide(rows), DOCS).coalesce(1)).collect()
+    assert sorted(tuple(x) for x in got) == _phrases(rows, 10, 2000)
+    (table, batch), *_ = [(t, n) for name, t, n in seen if name == "phrase-chunks"]
+    assert {f.dataType.typeName() for f in table.schema} <= {"long", "integer", "string", "binary"}
+    runs = [x for x in table.collect() if x["tokens"] is not None]
+    most = collocations.RUN_TOKENS
+    assert sorted(x["n"] for x in runs) == [160_000 - 2 * most, most, most] and len({x["chunk"] for x in runs}) == 1
+    assert int(batch) == 1000 and spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("held", [300, 1 << 20])
+def test_collocations_chunks_fill_across_batches(monkeypatch, held):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(collocations, "HELD_BYTES", held)
+    r = random.Random(held)
+    rows = [(r.choice(["en", "de", "fr"]), b"%d " % i * r.randint(1, 9)) for i in range(300)] + [("en", b"x" * 5000)] + [(f"l{i}", b"once") for i in range(40)]
+    batches = [pa.RecordBatch.from_pydict({"lang": [x[0] for x in rows[i : i + 3]], "text": pa.array([x[1] for x in rows[i : i + 3]], pa.binary())}) for i in range(0, len(rows), 3)]
+    got, sizes = defaultdict(list), defaultdict(list)
+    for lang, data, offsets in collocations._texts(iter(batches)):
+        got[lang] += [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+        sizes[lang].append(len(data))
+    want = defaultdict(list)
+    for lang, t in rows:
+        want[lang].append(t)
+    assert got == want
+    assert all(n <= 100 or n == 5000 for x in sizes.values() for n in x)
+    if held > 300:
+        assert min(sizes["de"][:-1]) > 50
+
+
 def test_collocations_empty(spark):
     assert collocations.collocations(spark.createDataFrame([], DOCS)).collect() == []
     assert collocations.collocations(spark.createDataFrame(_wide([(1, "rare words only", "en")]), DOCS)).collect() == []
